@@ -233,8 +233,8 @@ def q_response_parse(spark, sf):
 
 
 def q_response_salvage(spark, sf):
-    return _json_lists(an.salvage_replies(b.stub_replies(b.article_chunks(spark, sf))).select(
-        "doc", "chunk_no", "attempt", "salvaged", *an.KEYS))
+    s = an.salvage_replies(b.stub_replies(b.article_chunks(spark, sf)))
+    return s.select("doc", "chunk_no", "attempt", "salvaged", *[F.to_json(k).alias(k) for k in an.KEYS])
 
 
 def q_response_attempts(spark, sf):
