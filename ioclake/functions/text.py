@@ -72,35 +72,45 @@ def _codepoint_char(num: Column) -> Column:
 
 
 def decode_entities(col) -> Column:
-    """Decode HTML character references (named subset, decimal, hex)."""
+    """Decode HTML character references (named subset, decimal, hex).
+
+    Each stage is let-bound so the chain is evaluated once per row (a
+    nested ``when``/``aggregate`` would otherwise copy the previous stage
+    into every place it is used)."""
     s = _c(col)
     for ent, ch in _NAMED_ENTITIES:
         s = F.replace(s, F.lit(ent), F.lit(ch))
-    dec = F.aggregate(
-        F.array_distinct(F.regexp_extract_all(s, F.lit("&#([0-9]{1,7});"), 1)), s,
-        lambda acc, n: F.replace(acc, F.concat(F.lit("&#"), n, F.lit(";")),
-                                 _codepoint_char(n.cast("long"))))
-    s = F.when(s.contains("&#"), dec).otherwise(s)
-    hexed = F.aggregate(
-        F.array_distinct(F.regexp_extract_all(s, F.lit("&#[xX]([0-9a-fA-F]{1,6});"), 1)), s,
-        lambda acc, h: F.regexp_replace(acc, F.concat(F.lit("&#[xX]"), h, F.lit(";")),
-                                        _codepoint_char(F.conv(h, 16, 10).cast("long"))))
-    s = F.when(s.contains("&#"), hexed).otherwise(s)
-    return F.replace(s, F.lit("&amp;"), F.lit("&"))
-
-
-# Elements whose whole content is boilerplate for article text.
+
+    def decimal(x):
+        dec = F.aggregate(
+            F.array_distinct(F.regexp_extract_all(x, F.lit("&#([0-9]{1,7});"), 1)), x,
+            lambda acc, n: F.replace(acc, F.concat(F.lit("&#"), n, F.lit(";")),
+                                     _codepoint_char(n.cast("long"))))
+        return F.when(x.contains("&#"), dec).otherwise(x)
+
+    def hexadecimal(x):
+        hx = F.aggregate(
+            F.array_distinct(F.regexp_extract_all(x, F.lit("&#[xX]([0-9a-fA-F]{1,6});"), 1)), x,
+            lambda acc, h: F.regexp_replace(acc, F.concat(F.lit("&#[xX]"), h, F.lit(";")),
+                                            _codepoint_char(F.conv(h, 16, 10).cast("long"))))
+        return F.when(x.contains("&#"), hx).otherwise(x)
+
+    return let(s, lambda x: F.replace(
+        F.when(x.contains("&#"), let(let(x, decimal), hexadecimal)).otherwise(x),
+        F.lit("&amp;"), F.lit("&")))
+
+
+# Elements whose whole content is boilerplate for article text, and
+# comments; removed in one left-to-right pass (the earliest match wins).
 _DROP_BLOCKS = ["script", "style", "noscript", "template", "nav", "footer", "header", "aside"]
+NOISE = "(?is)<(?:!--.*?-->|" + "|".join(rf"{t}\b[^>]*>.*?</{t}\s*>" for t in _DROP_BLOCKS) + ")"
 # Tags that end a text block (rendered as a line break).
 _BLOCK_TAGS = r"(?i)<(?:br|p|/p|h[1-6]|/h[1-6]|li|/li|div|/div|tr|/tr|blockquote|/blockquote|section|/section|article|/article)\b[^>]*>"
 
 
 def strip_noise(html) -> Column:
     """Remove comments and script/style/nav/footer/... elements."""
-    s = F.regexp_replace(_c(html), r"(?s)<!--.*?-->", " ")
-    for tag in _DROP_BLOCKS:
-        s = F.regexp_replace(s, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", " ")
-    return s
+    return F.regexp_replace(_c(html), NOISE, " ")
 
 
 def html_title(html) -> Column:
@@ -113,17 +123,26 @@ def html_main_text(html) -> Column:
     """Main text of a page: the first <article>, else <body>, else the page.
 
     Boilerplate elements are dropped, block tags become line breaks, other
-    tags vanish, entities are decoded, blanks squeezed and lines trimmed.
-    """
-    clean = strip_noise(html)
-    article = F.regexp_extract(clean, r"(?is)<article\b[^>]*>(.*?)(?:</article\s*>|$)", 1)
-    body = F.regexp_extract(clean, r"(?is)<body\b[^>]*>(.*?)(?:</body\s*>|$)", 1)
-    main = (F.when(clean.rlike(r"(?i)<article\b"), article)
-            .when(clean.rlike(r"(?i)<body\b"), body)
-            .otherwise(clean))
-    s = F.regexp_replace(main, _BLOCK_TAGS, "\n")
+    tags vanish, entities are decoded, blanks squeezed and lines trimmed."""
+    def pick(clean):
+        article = F.regexp_extract(clean, r"(?is)<article\b[^>]*>(.*?)(?:</article\s*>|$)", 1)
+        body = F.regexp_extract(clean, r"(?is)<body\b[^>]*>(.*?)(?:</body\s*>|$)", 1)
+        return (F.when(clean.rlike(r"(?i)<article\b"), article)
+                .when(clean.rlike(r"(?i)<body\b"), body)
+                .otherwise(clean))
+
+    s = let(strip_noise(html), pick)
+    s = F.regexp_replace(s, _BLOCK_TAGS, "\n")
     s = F.regexp_replace(s, r"<[^>]*>", "")
     s = decode_entities(s)
     s = F.regexp_replace(s, r"[ \t\f\r\x0B]+", " ")
     s = F.regexp_replace(s, r" ?\n[ \n]*", "\n")
     return py_strip(s)
+
+
+def project_once(df, keep, new: dict):
+    """``df`` with ``keep`` columns plus ``new`` computed columns, behind a
+    generator so a later filter on them cannot be pushed below and
+    evaluate the expressions a second time."""
+    packed = F.struct(*[e.alias(n) for n, e in new.items()])
+    return df.select(*keep, F.inline(F.array(packed)))

@@ -117,8 +117,8 @@ def with_resolved_url(df: DataFrame, base: str, href: str, out: str = "abs_url",
     """Add ``out`` = ``href`` resolved against ``base`` and ``error`` (null
     when fine, else a reason; ``out`` is then null)."""
     r = F.expr(resolve_url_sql(f"`{base}`", f"`{href}`"))
-    return (df.withColumn("_r", r)
-            .withColumn(out, F.col("_r.url")).withColumn(error, F.col("_r.error")).drop("_r"))
+    # generator barrier: filters on the result stay above the computation
+    return df.select("*", F.inline(F.array(F.struct(r["url"].alias(out), r["error"].alias(error)))))
 
 
 # Characters percent-encoded in each component (besides controls, space and
@@ -200,5 +200,5 @@ def with_normalized_url(df: DataFrame, url: str, out: str = "url_norm",
                         reason: str = "url_reject") -> DataFrame:
     """Add ``out`` = normalised http(s) URL, or null with ``reason`` set."""
     r = F.expr(normalize_url_sql(f"`{url}`"))
-    return (df.withColumn("_n", r)
-            .withColumn(reason, F.col("_n.reason")).withColumn(out, F.col("_n.url")).drop("_n"))
+    # generator barrier: filters on the result stay above the computation
+    return df.select("*", F.inline(F.array(F.struct(r["reason"].alias(reason), r["url"].alias(out)))))

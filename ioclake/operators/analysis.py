@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ioclake import config
 from ioclake.functions.text import py_strip
-from ioclake.operators.aggregates import ordered_concat
+from ioclake.functions.text import project_once
+from ioclake.operators.aggregates import CONCAT_FANOUT
 
 KEYS = config.REPLY_KEYS
 LIST_KEYS = config.REPLY_LIST_KEYS
@@ -51,30 +52,40 @@ def classify_replies(responses: DataFrame) -> DataFrame:
     JSON that is not an object or has a non-string list value (a failed
     attempt), 'e' summary or impact not a string (passes the parse, ends in
     rejects), 'failed' error status or no content.  Strict JSON = parses
-    alone, inside [...] and as an object member (no trailing garbage)."""
+    alone, inside [...] and as an object member (no trailing garbage).
+
+    The reply is parsed once per row; generator barriers keep later
+    filters on the class from re-running the parse."""
     c = F.col("content")
-    df = responses.withColumn("_v", F.expr("try_parse_json(content)"))
-    strict = (F.col("_v").isNotNull()
-              & F.expr("try_parse_json(concat('[', content, ']'))").isNotNull()
-              & F.expr("try_parse_json(concat('{\"w\":', content, '}'))").isNotNull())
-    is_obj = F.expr("schema_of_variant(_v)").startswith("OBJECT")
+    parsed = project_once(responses, responses.columns, {
+        "_v": F.expr("try_parse_json(content)"),
+        "_strict": (F.expr("try_parse_json(content)").isNotNull()
+                    & F.expr("try_parse_json(concat('[', content, ']'))").isNotNull()
+                    & F.expr("try_parse_json(concat('{\"w\":', content, '}'))").isNotNull())})
+    typed = project_once(parsed, parsed.columns, {
+        "_root": F.expr("schema_of_variant(_v)"),
+        **{f"_t_{k}": F.expr(f"schema_of_variant(variant_get(_v, '$.{k}'))") for k in KEYS}})
+
+    def t(k):
+        return F.col(f"_t_{k}")
+
     bad_list = F.lit(False)
     for k in LIST_KEYS:
-        bad_list = bad_list | (_vtype(k).isNotNull() & (_vtype(k) != "STRING"))
+        bad_list = bad_list | (t(k).isNotNull() & (t(k) != "STRING"))
     bad_text = F.lit(False)
     for k in TEXT_KEYS:
-        bad_text = bad_text | (_vtype(k).isNotNull() & (_vtype(k) != "STRING"))
+        bad_text = bad_text | (t(k).isNotNull() & (t(k) != "STRING"))
     all_present = F.lit(True)
     for k in KEYS:
-        all_present = all_present & _vtype(k).isNotNull()
+        all_present = all_present & t(k).isNotNull()
     cls = (F.when((F.col("status") != "ok") | c.isNull(), F.lit("failed"))
-           .when(~strict, F.lit("c"))
-           .when(~is_obj | bad_list, F.lit("d"))
+           .when(~F.col("_strict"), F.lit("c"))
+           .when(~F.col("_root").startswith("OBJECT") | bad_list, F.lit("d"))
            .when(bad_text, F.lit("e"))
            .when(all_present, F.lit("a"))
            .otherwise(F.lit("b")))
-    df = df.withColumn("reply_class", cls)
-    parsed = F.col("reply_class").isin("a", "b")
+    classed = project_once(typed, typed.columns, {"reply_class": cls})
+    ok = F.col("reply_class").isin("a", "b")
 
     def get_str(k):
         return F.coalesce(F.expr(f"try_variant_get(_v, '$.{k}', 'string')"), F.lit(""))
@@ -82,13 +93,14 @@ def classify_replies(responses: DataFrame) -> DataFrame:
     cols = {}
     for k in KEYS:
         if k in LIST_KEYS:
-            cols[k] = (F.when(parsed, F.split(get_str(k), config.REPLY_LIST_SEPARATOR))
+            cols[k] = (F.when(ok, F.split(get_str(k), config.REPLY_LIST_SEPARATOR))
                        .otherwise(F.array().cast("array<string>")))
         elif k == "Executive_Summary":
-            cols[k] = F.when(parsed, get_str(k)).when(F.col("reply_class") == "c", c).otherwise(F.lit(""))
+            cols[k] = F.when(ok, get_str(k)).when(F.col("reply_class") == "c", c).otherwise(F.lit(""))
         else:
-            cols[k] = F.when(parsed, get_str(k)).otherwise(F.lit(""))
-    return df.withColumns(cols).drop("_v")
+            cols[k] = F.when(ok, get_str(k)).otherwise(F.lit(""))
+    keep = [x for x in classed.columns if not x.startswith("_")]
+    return project_once(classed, keep, cols)
 
 
 def choose_attempt(classified: DataFrame, key: str = "doc",
@@ -141,28 +153,36 @@ def salvage_replies(responses: DataFrame) -> DataFrame:
     return responses.withColumns(cols).withColumn("salvaged", F.coalesce(found, F.lit(False)))
 
 
-def combine_articles(analyses: DataFrame, key: str = "doc") -> DataFrame:
+def combine_articles(analyses: DataFrame, key: str = "doc",
+                     fanout: int = CONCAT_FANOUT) -> DataFrame:
     """One analysis per article (D3): summaries and impacts each joined with
     a trailing blank in chunk order then stripped; the four lists
     concatenated, empty strings dropped, distinct, sorted.
 
-    Strings go through a two-level ordered concat (no single task gathers
-    an unbounded list); lists through explode + distinct, so a list is
-    only ever as large as its distinct values."""
-    texts = ordered_concat(
-        analyses.select(key, "chunk_no", *[F.concat(F.col(k), F.lit(" ")).alias(k) for k in TEXT_KEYS]),
-        [key], "chunk_no", {k: k for k in TEXT_KEYS})
-    texts = texts.select(key, *[py_strip(k).alias(k) for k in TEXT_KEYS])
-    items = analyses.select(key, F.explode(F.array(*[
-        F.struct(F.lit(k).alias("field"), F.col(k).alias("vals")) for k in LIST_KEYS])).alias("_l"))
-    items = (items.select(key, "_l.field", F.explode("_l.vals").alias("value"))
-             .filter(F.col("value") != "").distinct())
-    lists = (items.groupBy(key).pivot("field", LIST_KEYS)
-             .agg(F.sort_array(F.collect_list("value"))))
-    out = texts.join(lists, key, "left")
-    for k in LIST_KEYS:
-        out = out.withColumn(k, F.coalesce(F.col(k), F.array().cast("array<string>")))
-    return out.select(key, *KEYS)
+    One two-level aggregate: runs of at most ``fanout`` consecutive chunks
+    are combined first (strings in order, lists made distinct), then the
+    runs of an article.  No task gathers more than ``fanout`` chunks or
+    more list values than an article's distinct ones."""
+    def distinct_nonempty(col):
+        return F.array_distinct(F.filter(F.flatten(F.collect_list(col)), lambda x: x != ""))
+
+    run = (analyses
+           .withColumn("_run", F.floor(F.col("chunk_no") / F.lit(fanout)))
+           .groupBy(key, "_run")
+           .agg(F.sort_array(F.collect_list(F.struct(
+               "chunk_no", *[F.concat(F.col(k), F.lit(" ")).alias(k) for k in TEXT_KEYS]))).alias("_t"),
+               *[distinct_nonempty(k).alias(k) for k in LIST_KEYS]))
+    run = run.select(key, "_run", *[F.array_join(F.transform("_t", _field(k)), "").alias(k) for k in TEXT_KEYS],
+                     *LIST_KEYS)
+    art = (run.groupBy(key)
+           .agg(F.sort_array(F.collect_list(F.struct("_run", *TEXT_KEYS))).alias("_t"),
+                *[F.array_sort(F.array_distinct(F.flatten(F.collect_list(k)))).alias(k) for k in LIST_KEYS]))
+    return art.select(key, *[py_strip(F.array_join(F.transform("_t", _field(k)), "")).alias(k)
+                             if k in TEXT_KEYS else F.col(k) for k in KEYS])
+
+
+def _field(name):
+    return lambda x: x[name]
 
 
 def analysed_articles(articles: DataFrame, combined: DataFrame, key: str = "doc") -> DataFrame:

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ioclake.functions.text import html_main_text, html_title
+from ioclake.functions.text import html_main_text, html_title, project_once
 
 
 def fetch_frontier(links: DataFrame, pages: DataFrame) -> DataFrame:
@@ -35,6 +35,6 @@ def links_without_page(links: DataFrame, pages: DataFrame) -> DataFrame:
 def page_text(pages: DataFrame, keep=("page_id", "url")) -> DataFrame:
     """(keep..., title, text) per page; pages whose text is empty are
     dropped (B4, B5).  Pure column work: no shuffle."""
-    return (pages.select(*keep, html_title(F.col("html")).alias("title"),
-                         html_main_text(F.col("html")).alias("text"))
-            .filter(F.col("text").isNotNull() & (F.col("text") != "")))
+    out = project_once(pages, list(keep), {"title": html_title(F.col("html")),
+                                           "text": html_main_text(F.col("html"))})
+    return out.filter(F.col("text").isNotNull() & (F.col("text") != ""))

@@ -62,9 +62,8 @@ _BLOCK = (r"(?i)<(?:br|p|/p|h[1-6]|/h[1-6]|li|/li|div|/div|tr|/tr|blockquote|/bl
 
 
 def page_text_cte() -> str:
-    clean = "regexp_replace(html, '(?s)<!--.*?-->', ' ', 'g')"
-    for t in _DROP:
-        clean = f"regexp_replace({clean}, '(?is)<{t}\\b[^>]*>.*?</{t}\\s*>', ' ', 'g')"
+    noise = "(?is)<(?:!--.*?-->|" + "|".join(f"{t}\\b[^>]*>.*?</{t}\\s*>" for t in _DROP) + ")"
+    clean = f"regexp_replace(html, '{noise}', ' ', 'g')"
     title = py_strip("regexp_replace(" + decode_entities(
         r"regexp_extract(html, '(?is)<title\b[^>]*>(.*?)</title\s*>', 1)") + r", '\s+', ' ', 'g')")
     main = (r"CASE WHEN regexp_matches(c, '(?i)<article\b') "
