@@ -22,12 +22,12 @@ from ioclake.operators import links as lk
 from ioclake.operators import mentions as mn
 from ioclake.operators.pages import page_text
 from ioclake.operators.text import chunk_tokens, split_sentences
-from ioclake.sources.tables import page_scan, read_table
+from ioclake.sources.tables import page_scan, read_text_table
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
     """(doc, pos, title, text) from ``documents``."""
-    d = read_table(spark, sf, "documents")
+    d = read_text_table(spark, sf, "documents")
     return d.select(F.col("doc_id").alias("doc"), F.col("doc_id").alias("pos"),
                     py_strip(F.substring_index("text", "\n", 1)).alias("title"), "text")
 

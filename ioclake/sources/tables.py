@@ -16,6 +16,25 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Scan-parallelism guard for CPU-heavy text work.
+
+    A landed table with few row groups scans as fewer tasks than the
+    cluster has cores, and every regex then runs on one of them.  When the
+    scan plans fewer partitions than the default parallelism, rows are
+    spread round-robin over twice that many; a large table (many files or
+    row groups) already scans wide and passes through untouched."""
+    spark = df.sparkSession
+    want = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want * 2)
+    return df
+
+
+def read_text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spread(read_table(spark, sf_dir, name))
+
+
 def page_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed pages (A2).  A fetch that returned an HTTP error leaves no
     usable row: when the table records a status, only status < 400 is kept
@@ -23,7 +42,7 @@ def page_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages")
     if "status" in pages.columns:
         pages = pages.filter(F.col("status") < 400)
-    return pages
+    return spread(pages)
 
 
 def seed_sites(spark: SparkSession, urls: list[str] | None = None) -> DataFrame:
