@@ -1,0 +1,18 @@
+import tempfile
+
+from ioclake.streaming.landing import articles_batch, start_article_stream
+from ioclake.sources.tables import read_table
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stream_appends_each_url_once(spark):
+    out = tempfile.mkdtemp(prefix="ioclake-stream-out-")
+    ckpt = tempfile.mkdtemp(prefix="ioclake-stream-ckpt-")
+    for _ in range(2):  # a second run over the same landing folder adds nothing
+        q = start_article_stream(spark, SF, out, checkpoint=ckpt, glob="pages.parquet", trigger_once=True)
+        q.awaitTermination(300)
+    got = spark.read.parquet(out)
+    expected = articles_batch(read_table(spark, SF, "pages"))
+    assert got.count() == expected.count()
+    assert got.select("url").distinct().count() == got.count()
