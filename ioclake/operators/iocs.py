@@ -55,22 +55,33 @@ def _candidates(docs: DataFrame, key: str, text: str) -> DataFrame:
             .select(key, "_t.pos", "_t.value"))
 
 
+def token_iocs(docs: DataFrame, key: str = "doc", text: str = "text") -> DataFrame:
+    """(key, pos, src_rank, pat_rank, type, value) from one pass over the
+    tokens: pattern hits (src_rank 1, one row per matching pattern, H5)
+    and URL-like else e-mail-like tokens (src_rank 2, H6)."""
+    v = F.col("value")
+
+    def hit(src, rank, name):
+        return F.struct(F.lit(src).alias("src_rank"), F.lit(rank).alias("pat_rank"), F.lit(name).alias("type"))
+
+    hits = F.array(*[F.when(v.rlike(rx), hit(1, i, name)) for i, (name, rx) in enumerate(IOC_TOKEN_PATTERNS)],
+                   F.when(like_url(v), hit(2, 0, "URL")).when(like_email(v), hit(2, 0, "Email")))
+    return (_candidates(docs, key, text)
+            .select(key, "pos", "value", F.explode(F.filter(hits, lambda h: h.isNotNull())).alias("_h"))
+            .select(key, "pos", "_h.src_rank", "_h.pat_rank", "_h.type", "value"))
+
+
 def pattern_iocs(docs: DataFrame, key: str = "doc", text: str = "text") -> DataFrame:
     """(key, pos, pat_rank, type, value): one row per token and matching
     pattern, value = the whole token (H5)."""
-    hits = F.array(*[F.when(F.col("value").rlike(rx), F.struct(F.lit(i).alias("pat_rank"), F.lit(name).alias("type")))
-                     for i, (name, rx) in enumerate(IOC_TOKEN_PATTERNS)])
-    return (_candidates(docs, key, text)
-            .select(key, "pos", "value", F.explode(F.filter(hits, lambda h: h.isNotNull())).alias("_h"))
-            .select(key, "pos", "_h.pat_rank", "_h.type", "value"))
+    return (token_iocs(docs, key, text).filter(F.col("src_rank") == 1)
+            .select(key, "pos", "pat_rank", "type", "value"))
 
 
 def url_email_iocs(docs: DataFrame, key: str = "doc", text: str = "text") -> DataFrame:
     """(key, pos, type, value): URL-like tokens, else e-mail-like (H6)."""
-    v = F.col("value")
-    t = F.when(like_url(v), F.lit("URL")).when(like_email(v), F.lit("Email"))
-    return (_candidates(docs, key, text).withColumn("type", t)
-            .filter(F.col("type").isNotNull()).select(key, "pos", "type", "value"))
+    return (token_iocs(docs, key, text).filter(F.col("src_rank") == 2)
+            .select(key, "pos", "type", "value"))
 
 
 def mention_iocs(mentions: DataFrame, key: str = "doc", labels=None) -> DataFrame:
@@ -80,15 +91,13 @@ def mention_iocs(mentions: DataFrame, key: str = "doc", labels=None) -> DataFram
             .select(key, "sent", "pos", F.col("label").alias("type"), F.col("text").alias("value")))
 
 
-def all_iocs(mention_part: DataFrame, pattern_part: DataFrame, url_email_part: DataFrame,
-             key: str = "doc") -> DataFrame:
-    """Union of the three IOC sources, duplicates kept, ordered by
-    (src_rank, sent, pos, pat_rank) within a document (G2).  Mentions come
-    first, then pattern hits, then URL/e-mail tokens."""
+def all_iocs(mention_part: DataFrame, token_part: DataFrame, key: str = "doc") -> DataFrame:
+    """Union of the IOC sources, duplicates kept, ordered by
+    (src_rank, sent, pos, pat_rank) within a document (G2): mention-derived
+    first, then pattern hits, then URL/e-mail tokens (``token_part`` is
+    ``token_iocs``: both token sources from one pass)."""
     m = mention_part.select(key, F.lit(0).alias("src_rank"), F.col("sent").cast("long").alias("sent"),
                             F.col("pos").cast("long").alias("pos"), F.lit(0).alias("pat_rank"), "type", "value")
-    p = pattern_part.select(key, F.lit(1).alias("src_rank"), F.lit(0).cast("long").alias("sent"),
-                            F.col("pos").cast("long").alias("pos"), "pat_rank", "type", "value")
-    u = url_email_part.select(key, F.lit(2).alias("src_rank"), F.lit(0).cast("long").alias("sent"),
-                              F.col("pos").cast("long").alias("pos"), F.lit(0).alias("pat_rank"), "type", "value")
-    return m.unionByName(p).unionByName(u)
+    t = token_part.select(key, "src_rank", F.lit(0).cast("long").alias("sent"),
+                          F.col("pos").cast("long").alias("pos"), "pat_rank", "type", "value")
+    return m.unionByName(t)

@@ -140,8 +140,7 @@ def q_iocs_from_mentions(spark, sf):
 
 def _doc_iocs(spark, sf):
     docs = b.documents(spark, sf)
-    return io.all_iocs(io.mention_iocs(b.doc_mentions(spark, sf, docs)),
-                       io.pattern_iocs(docs, "doc"), io.url_email_iocs(docs, "doc"))
+    return io.all_iocs(io.mention_iocs(b.doc_mentions(spark, sf, docs)), io.token_iocs(docs, "doc"))
 
 
 def q_iocs_all(spark, sf):
@@ -293,22 +292,36 @@ def q_report_json(spark, sf):
 
 
 def q_stage_counts(spark, sf):
-    """(stage, n_rows) per stage of the article flow."""
-    stages = [
-        ("pages", page_scan(spark, sf)),
-        ("page_text", pg.page_text(page_scan(spark, sf))),
-        ("articles_built", art.accepted(b.built_articles(spark, sf))),
-        ("deduped", b.deduped_articles(spark, sf)),
-        ("validated", b.validated_articles(spark, sf)),
-        ("chunks", b.article_chunks(spark, sf)),
-        ("chunk_analysis", an.chunk_analysis(_chosen(spark, sf))),
-        ("analysed_articles", _analysed(spark, sf)),
-    ]
-    out = None
-    for name, df in stages:
-        c = df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("stage"), "n_rows")
-        out = c if out is None else out.unionByName(c)
-    return out
+    """(stage, n_rows) per stage of the article flow.
+
+    The page side is one pass: each extracted page carries its build
+    reject, its rank among accepted rows of its URL and its validity, and
+    one aggregate counts every stage.  The analysis side is a second pass
+    over the chosen replies."""
+    pages = page_scan(spark, sf)
+    built = b.built_articles(spark, sf)
+    acc = F.col("reject").isNull()
+    valid = ((F.col("title") != "") & (F.col("text") != "") & (F.col("url") != "")).eqNullSafe(True)
+    # one group per accepted URL (rejects share the null key); partial
+    # aggregation keeps a hot URL or many rejects to one row per map task
+    per_url = built.groupBy(F.when(acc, F.col("url")).alias("_k")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min_by(valid, F.col("pos")).alias("_v"))
+    known = F.col("_k").isNotNull()
+    side = per_url.agg(
+        F.sum("_n").alias("page_text"),
+        F.coalesce(F.sum(F.when(known, F.col("_n"))), F.lit(0)).alias("articles_built"),
+        F.count_if(known).alias("deduped"),
+        F.count_if(known & F.col("_v")).alias("validated"))
+    chunks = b.article_chunks(spark, sf).agg(F.count(F.lit(1)).alias("chunks"))
+    ca = an.chunk_analysis(_chosen(spark, sf)).agg(
+        F.count(F.lit(1)).alias("chunk_analysis"), F.countDistinct("doc").alias("analysed_articles"))
+    n_pages = pages.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("pages").alias("stage"), "n_rows")
+
+    def unpivot(df):
+        return df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("stage"), F.col(c).alias("n_rows"))
+                                             for c in df.columns])).alias("_s")).select("_s.*")
+
+    return n_pages.unionByName(unpivot(side)).unionByName(unpivot(chunks)).unionByName(unpivot(ca))
 
 
 QUERIES = {

@@ -20,7 +20,7 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
     arts = b.validated_articles(spark, sf).select("doc", "text")
     ments = mn.find_mentions(arts, mn.gazetteer_table(spark), key="doc",
                              gazetteer_rows=len(config.TESTDATA_GAZETTEER))
-    iocs = io.all_iocs(io.mention_iocs(ments), io.pattern_iocs(arts, "doc"), io.url_email_iocs(arts, "doc"))
+    iocs = io.all_iocs(io.mention_iocs(ments), io.token_iocs(arts, "doc"))
     return (iocs.groupBy("type")
             .agg(F.count(F.lit(1)).alias("n_iocs"), F.countDistinct("doc").alias("n_articles"))
             .orderBy("type"))

@@ -44,6 +44,6 @@ def test_email_and_url_rules(spark):
 def test_ioc_union_order(spark):
     m = spark.createDataFrame([(0, 0, 2, "Paris", "GPE")], "doc long, sent long, pos long, text string, label string")
     d = docs(spark, ["1.2.3.4 bob@ex.com"])
-    u = io.all_iocs(io.mention_iocs(m), io.pattern_iocs(d, "doc"), io.url_email_iocs(d, "doc"))
+    u = io.all_iocs(io.mention_iocs(m), io.token_iocs(d, "doc"))
     got = sorted(rows(u, "src_rank", "type", "value"))
     assert got == [(0, "GPE", "Paris"), (1, "IP_ADDRESS", "1.2.3.4"), (2, "Email", "bob@ex.com")]
