@@ -120,17 +120,21 @@ def chunk_analysis(chosen: DataFrame, key: str = "doc") -> DataFrame:
     return chosen.filter(F.col("reply_class").isin("a", "b", "c")).select(key, "chunk_no", *KEYS)
 
 
-def reply_rejects(classified: DataFrame, chosen: DataFrame, key: str = "doc",
+def reply_rejects(classified: DataFrame, key: str = "doc",
                   max_attempts: int = config.MAX_ATTEMPTS) -> DataFrame:
     """Chunks whose chosen reply has a non-string summary/impact (class e)
-    and chunks with no usable attempt (H15)."""
+    and chunks with no usable attempt (H15).  One aggregate per chunk: the
+    class of the first returning attempt, null when none returned."""
+    ok = F.col("reply_class").isin("a", "b", "c", "e")
+    per_chunk = (classified.filter(F.col("attempt") <= max_attempts)
+                 .groupBy(key, "chunk_no")
+                 .agg(F.min_by(F.col("reply_class"), F.when(ok, F.col("attempt"))).alias("_cls"),
+                      F.count_if(ok).alias("_ok")))
+    reason = (F.when(F.col("_ok") == 0, F.lit("no_usable_reply"))
+              .when(F.col("_cls") == "e", F.lit("non_string_text")))
     k = F.concat_ws("#", F.col(key).cast("string"), F.col("chunk_no").cast("string"))
-    e = chosen.filter(F.col("reply_class") == "e").select(
-        F.lit("analysis").alias("stage"), k.alias("key"), F.lit("non_string_text").alias("reason"))
-    lost = (classified.filter(F.col("attempt") <= max_attempts).select(key, "chunk_no").distinct()
-            .join(chosen.select(key, "chunk_no"), [key, "chunk_no"], "left_anti")
-            .select(F.lit("analysis").alias("stage"), k.alias("key"), F.lit("no_usable_reply").alias("reason")))
-    return e.unionByName(lost)
+    return (per_chunk.select(F.lit("analysis").alias("stage"), k.alias("key"), reason.alias("reason"))
+            .filter(F.col("reason").isNotNull()))
 
 
 SALVAGE_FIELD = r'"{key}"\s*:\s*"([^"]*)"'

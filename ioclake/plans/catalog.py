@@ -260,7 +260,7 @@ def q_rejects(spark, sf):
         F.lit("build").alias("stage"), F.col("raw_url").alias("key"), F.col("reject").alias("reason"))
     val_rej = art.validation_rejects(b.deduped_articles(spark, sf)).drop("pos")
     link_rej = lk.link_rejects(b.resolved_links(spark, sf))
-    reply_rej = an.reply_rejects(_classified(spark, sf), _chosen(spark, sf))
+    reply_rej = an.reply_rejects(_classified(spark, sf))
     return build_rej.unionByName(val_rej).unionByName(link_rej).unionByName(reply_rej)
 
 

@@ -49,7 +49,10 @@ def test_first_good_attempt(spark):
     cl = an.classify_replies(r)
     chosen = an.choose_attempt(cl)
     assert rows(chosen, "chunk_no", "attempt", "Executive_Summary") == [(0, 2, "two")]
-    assert rows(an.reply_rejects(cl, chosen), "key", "reason") == [("d#1", "no_usable_reply")]
+    assert rows(an.reply_rejects(cl), "key", "reason") == [("d#1", "no_usable_reply")]
+    e = an.classify_replies(replies(spark, [("d", 5, 1, "ok", '{"Executive_Summary":5}'),
+                                            ("d", 5, 2, "ok", '{"Executive_Summary":"x"}')]))
+    assert rows(an.reply_rejects(e), "key", "reason") == [("d#5", "non_string_text")]
 
 
 def test_salvage(spark):
