@@ -29,13 +29,14 @@ def gazetteer_table(spark: SparkSession, entries=None) -> DataFrame:
 
 def prepare_gazetteer(gaz: DataFrame) -> DataFrame:
     """Terms normalised with the token rule and lower-cased:
-    (first, n_tokens, term_l, label); terms of 1..MAX_SPAN tokens only."""
+    (first, n_tokens, term_l, label); terms of 1..MAX_SPAN tokens only; a
+    term listed with several labels keeps the smallest."""
     toks = F.transform(token_array(F.col("term")), lambda t: F.lower(t))
     return (gaz.select(toks.alias("_t"), "label")
             .filter((F.size("_t") >= 1) & (F.size("_t") <= MAX_SPAN))
             .select(F.col("_t")[0].alias("first"), F.size("_t").alias("n_tokens"),
                     F.array_join("_t", " ").alias("term_l"), "label")
-            .dropDuplicates(["term_l"]))
+            .groupBy("first", "n_tokens", "term_l").agg(F.min("label").alias("label")))
 
 
 def find_mentions(docs: DataFrame, gazetteer: DataFrame, key: str = "doc",

@@ -236,11 +236,11 @@ GAZ_VALUES = ", ".join(f"({_q(t)}, {_q(l)})" for t, l in config.TESTDATA_GAZETTE
 
 MENTIONS_CTE = DOCS_CTE + f""",
 gaz AS (
-  SELECT DISTINCT ON (term_l) term_l, n_tokens, label FROM (
+  SELECT term_l, n_tokens, min(label) AS label FROM (
     SELECT array_to_string(list_transform({tokens('term')}, lambda t: lower(t)), ' ') AS term_l,
            len({tokens('term')}) AS n_tokens, label
     FROM (VALUES {GAZ_VALUES}) g(term, label))
-  WHERE n_tokens BETWEEN 1 AND 3),
+  WHERE n_tokens BETWEEN 1 AND 3 GROUP BY term_l, n_tokens),
 sents AS (
   SELECT doc, unnest(range(len(ss))) AS sent, unnest(ss) AS sent_text
   FROM (SELECT doc, {sentences('text')} AS ss FROM docs)),
