@@ -20,7 +20,6 @@ _BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.ansi.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
