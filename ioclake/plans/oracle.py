@@ -102,36 +102,47 @@ def _bad_brackets(n: str) -> str:
             f"(strpos({n}, '[') > 0 AND NOT regexp_matches({n}, '\\[(?:[0-9A-Fa-f:.]+|v[0-9A-Fa-f]+\\.[^\\]]+)\\]')))")
 
 
-def resolve_select(base: str, href: str) -> str:
-    """Select-list fragment adding abs_url, resolve_error (uses lateral
-    aliases); the FROM must expose ``base`` and ``href``."""
+def _chain(source: str, steps: list[tuple[str, str]]) -> str:
+    """Nested SELECTs adding one column per step (each step sees the
+    previous ones as plain columns, so no expression is expanded twice)."""
+    sql = source
+    for alias, expr in steps:
+        sql = f"(SELECT *, {expr} AS {alias} FROM {sql})"
+    return sql
+
+
+def resolve_from(source: str, base: str, href: str) -> str:
+    """Subquery over ``source`` adding abs_url and resolve_error."""
     clean = lambda c: f"regexp_replace(regexp_replace({c}, '[\\t\\r\\n]', '', 'g'), '^[\\x00-\\x20]+', '')"
-    parts = []
-    for side, col in (("b", base), ("h", href)):
+    steps = [("_bc", clean(base)), ("_hc", clean(href))]
+    for side in ("b", "h"):
         for i, name in enumerate(["s", "n", "p", "q", "f"], start=1):
-            e = f"regexp_extract({clean(col)}, {_q(URL_PARTS)}, {i})"
-            parts.append(f"{'lower(' + e + ')' if name == 's' else e} AS _{side}{name}")
+            e = f"regexp_extract(_{side}c, {_q(URL_PARTS)}, {i})"
+            steps.append((f"_{side}{name}", f"lower({e})" if name == "s" else e))
     merge = ("list_reduce(_segs, lambda acc, x: CASE WHEN x = '..' THEN acc[1:greatest(len(acc) - 1, 0)] "
              "WHEN x = '.' THEN acc ELSE list_concat(acc, [x]) END, []::VARCHAR[])")
-    return ",\n".join(parts) + f""",
-      CASE WHEN _hs = '' THEN _bs ELSE _hs END AS _s,
-      string_split(_bp, '/') AS _bp0,
-      CASE WHEN _bp0[-1] <> '' THEN _bp0[1:len(_bp0) - 1] ELSE _bp0 END AS _bparts,
-      CASE WHEN left(_hp, 1) = '/' THEN string_split(_hp, '/') ELSE list_concat(_bparts, string_split(_hp, '/')) END AS _segs0,
-      CASE WHEN left(_hp, 1) = '/' OR len(_segs0) < 3 THEN _segs0
-           ELSE list_concat([_segs0[1]], list_filter(_segs0[2:len(_segs0) - 1], lambda x: x <> ''), [_segs0[-1]]) END AS _segs,
-      {merge} AS _res0,
-      CASE WHEN _segs[-1] IN ('.', '..') THEN list_concat(_res0, ['']) ELSE _res0 END AS _res,
-      CASE WHEN array_to_string(_res, '/') = '' THEN '/' ELSE array_to_string(_res, '/') END AS _mpath,
-      CASE WHEN {href} IS NULL THEN 'null_href'
-           WHEN {_bad_brackets('_hn')} OR {_bad_brackets('_bn')} THEN 'invalid_ipv6' END AS resolve_error,
-      CASE WHEN resolve_error IS NOT NULL THEN NULL
+    steps += [
+        ("_s", "CASE WHEN _hs = '' THEN _bs ELSE _hs END"),
+        ("_bp0", "string_split(_bp, '/')"),
+        ("_bparts", "CASE WHEN _bp0[-1] <> '' THEN _bp0[1:len(_bp0) - 1] ELSE _bp0 END"),
+        ("_segs0", "CASE WHEN left(_hp, 1) = '/' THEN string_split(_hp, '/') "
+                   "ELSE list_concat(_bparts, string_split(_hp, '/')) END"),
+        ("_segs", "CASE WHEN left(_hp, 1) = '/' OR len(_segs0) < 3 THEN _segs0 "
+                  "ELSE list_concat([_segs0[1]], list_filter(_segs0[2:len(_segs0) - 1], lambda x: x <> ''), [_segs0[-1]]) END"),
+        ("_res0", merge),
+        ("_res", "CASE WHEN _segs[-1] IN ('.', '..') THEN list_concat(_res0, ['']) ELSE _res0 END"),
+        ("_mpath", "CASE WHEN array_to_string(_res, '/') = '' THEN '/' ELSE array_to_string(_res, '/') END"),
+        ("resolve_error", f"CASE WHEN {href} IS NULL THEN 'null_href' "
+                          f"WHEN {_bad_brackets('_hn')} OR {_bad_brackets('_bn')} THEN 'invalid_ipv6' END"),
+        ("abs_url", f"""CASE WHEN resolve_error IS NOT NULL THEN NULL
            WHEN {base} IS NULL OR {base} = '' THEN {href}
            WHEN {href} = '' THEN {base}
            WHEN _s <> _bs OR _s NOT IN {_in(USES_RELATIVE)} THEN {href}
            WHEN _s IN {_in(USES_NETLOC)} AND _hn <> '' THEN {_unparse('_s', '_hn', '_hp', '_hq', '_hf')}
            WHEN _hp = '' THEN {_unparse('_s', '_bn', '_bp', "CASE WHEN _hq = '' THEN _bq ELSE _hq END", '_hf')}
-           ELSE {_unparse('_s', '_bn', '_mpath', '_hq', '_hf')} END AS abs_url"""
+           ELSE {_unparse('_s', '_bn', '_mpath', '_hq', '_hf')} END"""),
+    ]
+    return _chain(source, steps)
 
 
 def _pct(col: str, extra: str) -> str:
@@ -141,46 +152,49 @@ def _pct(col: str, extra: str) -> str:
             f"THEN regexp_replace(hex(encode(ch)), '(..)', '%\\1', 'g') ELSE ch END), '') ELSE {col} END")
 
 
-def normalize_select(url: str, out: str = "url_norm", reason: str = "url_reject") -> str:
-    """Select-list fragment adding ``out`` and ``reason`` for ``url``."""
+def normalize_from(source: str, url: str, out: str = "url_norm", reason: str = "url_reject") -> str:
+    """Subquery over ``source`` adding ``out`` and ``reason`` for ``url``."""
     dots = "('..', '.%2e', '%2e.', '%2e%2e')"
     walk = (f"list_reduce(_ps, lambda acc, x: CASE WHEN lower(x) IN {dots} THEN acc[1:greatest(len(acc) - 1, 0)] "
             "WHEN lower(x) IN ('.', '%2e') THEN acc ELSE list_concat(acc, [x]) END, []::VARCHAR[])")
-    return f"""
-      regexp_replace(regexp_replace({url}, '[\\t\\r\\n]', '', 'g'), '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g') AS _u,
-      lower(regexp_extract(_u, '^([A-Za-z][A-Za-z0-9+.-]*):', 1)) AS _sch,
-      regexp_replace(regexp_replace(substring(_u, length(_sch) + 2), '\\\\', '/', 'g'), '^/+', '') AS _rest,
-      regexp_extract(_rest, '^([^/?#]*)', 1) AS _auth,
-      substring(_rest, length(_auth) + 1) AS _tail,
-      string_split(_auth, '@')[-1] AS _hp,
-      CASE WHEN strpos(_auth, '@') > 0 THEN left(_auth, length(_auth) - length(_hp) - 1) ELSE '' END AS _ui,
-      lower(CASE WHEN left(_hp, 1) = '[' THEN regexp_extract(_hp, '^(\\[[^\\]]*\\])', 1)
-                 ELSE regexp_extract(_hp, '^([^:]*)', 1) END) AS _host,
-      substring(_hp, length(_host) + 2) AS _port,
-      CASE WHEN regexp_matches(_port, '^[0-9]{{1,5}}$') THEN _port::INTEGER END AS _portn,
-      regexp_extract(_tail, '^([^?#]*)', 1) AS _path,
-      regexp_matches(_tail, '^[^#]*\\?') AS _has_q,
-      regexp_extract(_tail, '^[^?#]*\\?([^#]*)', 1) AS _q,
-      strpos(_tail, '#') > 0 AS _has_f,
-      substring(_tail, strpos(_tail, '#') + 1) AS _f,
-      string_split(substring(CASE WHEN _path = '' THEN '/' ELSE _path END, 2), '/') AS _ps,
-      {walk} AS _pr0,
-      CASE WHEN lower(_ps[-1]) IN ('..', '.%2e', '%2e.', '%2e%2e', '.', '%2e') THEN list_concat(_pr0, ['']) ELSE _pr0 END AS _pr,
-      '/' || array_to_string(_pr, '/') AS _np,
-      CASE WHEN {url} IS NULL THEN 'null_url'
+    steps = [
+        ("_u", f"regexp_replace(regexp_replace({url}, '[\\t\\r\\n]', '', 'g'), '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')"),
+        ("_sch", "lower(regexp_extract(_u, '^([A-Za-z][A-Za-z0-9+.-]*):', 1))"),
+        ("_rest", "regexp_replace(regexp_replace(substring(_u, length(_sch) + 2), '\\\\', '/', 'g'), '^/+', '')"),
+        ("_auth", "regexp_extract(_rest, '^([^/?#]*)', 1)"),
+        ("_tail", "substring(_rest, length(_auth) + 1)"),
+        ("_hp", "string_split(_auth, '@')[-1]"),
+        ("_ui", "CASE WHEN strpos(_auth, '@') > 0 THEN left(_auth, length(_auth) - length(_hp) - 1) ELSE '' END"),
+        ("_host", "lower(CASE WHEN left(_hp, 1) = '[' THEN regexp_extract(_hp, '^(\\[[^\\]]*\\])', 1) "
+                  "ELSE regexp_extract(_hp, '^([^:]*)', 1) END)"),
+        ("_port", "substring(_hp, length(_host) + 2)"),
+        ("_portn", "CASE WHEN regexp_matches(_port, '^[0-9]{1,5}$') THEN _port::INTEGER END"),
+        ("_path", "regexp_extract(_tail, '^([^?#]*)', 1)"),
+        ("_has_q", "regexp_matches(_tail, '^[^#]*\\?')"),
+        ("_q", "regexp_extract(_tail, '^[^?#]*\\?([^#]*)', 1)"),
+        ("_has_f", "strpos(_tail, '#') > 0"),
+        ("_f", "substring(_tail, strpos(_tail, '#') + 1)"),
+        ("_ps", "string_split(substring(CASE WHEN _path = '' THEN '/' ELSE _path END, 2), '/')"),
+        ("_pr0", walk),
+        ("_pr", "CASE WHEN lower(_ps[-1]) IN ('..', '.%2e', '%2e.', '%2e%2e', '.', '%2e') "
+                "THEN list_concat(_pr0, ['']) ELSE _pr0 END"),
+        ("_np", "'/' || array_to_string(_pr, '/')"),
+        ("_rej", f"""CASE WHEN {url} IS NULL THEN 'null_url'
            WHEN _sch NOT IN ('http', 'https') THEN 'scheme'
            WHEN _host = '' THEN 'host'
            WHEN left(_host, 1) = '[' AND NOT regexp_matches(_host, '^\\[[0-9a-f:.]+\\]$') THEN 'host'
            WHEN left(_host, 1) <> '[' AND regexp_matches(_host, '[\\x00-\\x20#%/:<>?@\\[\\\\\\]^|\\x7F]') THEN 'host'
-           WHEN _port <> '' AND (_portn IS NULL OR _portn > 65535) THEN 'port' END AS _rej,
-      CASE WHEN _rej IS NULL THEN
+           WHEN _port <> '' AND (_portn IS NULL OR _portn > 65535) THEN 'port' END"""),
+        ("_built", f"""CASE WHEN _rej IS NULL THEN
         _sch || '://' || CASE WHEN _ui <> '' THEN _ui || '@' ELSE '' END || _host
         || CASE WHEN _port <> '' AND _portn <> CASE WHEN _sch = 'http' THEN 80 ELSE 443 END THEN ':' || _portn::VARCHAR ELSE '' END
         || {_pct('_np', '"<>`{}')}
         || CASE WHEN _has_q THEN '?' || {_pct('_q', "\"<>'")} ELSE '' END
-        || CASE WHEN _has_f THEN '#' || {_pct('_f', '"<>`')} ELSE '' END END AS _built,
-      coalesce(_rej, CASE WHEN length(_built) > 2083 THEN 'too_long' END) AS {reason},
-      CASE WHEN {reason} IS NULL THEN _built END AS {out}"""
+        || CASE WHEN _has_f THEN '#' || {_pct('_f', '"<>`')} ELSE '' END END"""),
+        (reason, "coalesce(_rej, CASE WHEN length(_built) > 2083 THEN 'too_long' END)"),
+        (out, f"CASE WHEN {reason} IS NULL THEN _built END"),
+    ]
+    return _chain(source, steps)
 
 
 def _cols(*names) -> str:
@@ -205,8 +219,7 @@ links AS (
       {decode_entities("CASE WHEN regexp_matches(raw, '^\"[^\"]*\"$|^''[^'']*''$') THEN substring(raw, 2, length(raw) - 2) ELSE raw END")} AS href
     FROM links_x) WHERE href <> ''),
 resolved AS (
-  SELECT page_id, page_url, link_pos, href, resolve_error, abs_url FROM (
-    SELECT page_id, page_url, link_pos, href, {resolve_select('page_url', 'href')} FROM links)),
+  SELECT page_id, page_url, link_pos, href, resolve_error, abs_url FROM {resolve_from('links', 'page_url', 'href')}),
 article_links AS (
   SELECT * FROM resolved WHERE resolve_error IS NULL AND ({' OR '.join(f"contains(abs_url, {_q(m)})" for m in config.TESTDATA_LINK_MARKERS)})),
 first_links AS (
@@ -218,7 +231,7 @@ built AS (
   SELECT page_id AS pos, url AS raw_url, url_norm AS url, title, text,
          CASE WHEN title IS NULL THEN 'null_title' WHEN text IS NULL THEN 'null_text'
               WHEN url_reject IS NOT NULL THEN 'url_' || url_reject END AS reject
-  FROM (SELECT page_id, url, title, text, {normalize_select('url')} FROM page_text)),
+  FROM {normalize_from('page_text', 'url')}),
 deduped AS (
   SELECT pos, raw_url, url, title, text FROM (
     SELECT *, row_number() OVER (PARTITION BY url ORDER BY pos) AS rn FROM built WHERE reject IS NULL)
@@ -428,8 +441,7 @@ def oracle_sql() -> dict[str, str]:
     q["page_text"] = f"WITH {page_text_cte()} SELECT page_id, url, title, text FROM page_text"
     q["url_normalize"] = (f"WITH {LINKS_CTE}, u AS (SELECT 'page' AS src, page_id AS id, -1 AS link_pos, url FROM pages "
                           f"UNION ALL SELECT 'link', page_id, link_pos, abs_url FROM resolved WHERE abs_url IS NOT NULL) "
-                          f"SELECT src, id, link_pos, url, url_reject, url_norm FROM "
-                          f"(SELECT src, id, link_pos, url, {normalize_select('url')} FROM u)")
+                          f"SELECT src, id, link_pos, url, url_reject, url_norm FROM {normalize_from('u', 'url')}")
     q["dedup_by_url"] = f"WITH {ARTICLES_CTE} SELECT pos, url FROM deduped"
     q["validate_articles"] = f"WITH {ARTICLES_CTE} SELECT pos, url, title FROM validated"
     q["validate_rejects"] = (f"WITH {ARTICLES_CTE} SELECT 'validate' AS stage, url AS key, "
