@@ -187,21 +187,21 @@ def q_actor_related_iocs(spark, sf):
 
 
 def q_articles_enriched(spark, sf):
-    """Articles with their actors, TTPs and IOCs nested (H17); rendered as
-    counts and the ordered actor keys."""
+    """Articles with their actors, TTPs and IOCs attached (H17), rendered
+    as the ordered actor keys and the TTP / IOC counts.  Actor keys are
+    distinct names of a document (bounded by its vocabulary); TTPs and IOCs
+    are counted with partial aggregation, never gathered into one row."""
     docs = b.documents(spark, sf)
     ments = b.doc_mentions(spark, sf, docs)
     actors = ac.merge_actors(ments)
     a = ac.collect_ordered(actors, ["doc"], ["sent", "pos"], "actor_key", "actors")
-    t = ac.collect_ordered(mn.ttps(ments), ["doc"], ["sent", "pos"], "technique", "ttps")
-    i = ac.collect_ordered(_doc_iocs(spark, sf), ["doc"], ["src_rank", "sent", "pos", "pat_rank"],
-                           "value", "iocs")
+    t = mn.ttps(ments).groupBy("doc").agg(F.count(F.lit(1)).alias("n_ttps"))
+    i = _doc_iocs(spark, sf).groupBy("doc").agg(F.count(F.lit(1)).alias("n_iocs"))
     out = docs.select("doc", "title").join(a, "doc", "left").join(t, "doc", "left").join(i, "doc", "left")
-    empty = F.array().cast("array<string>")
     return out.select("doc", "title",
-                      F.to_json(F.coalesce("actors", empty)).alias("actors"),
-                      F.size(F.coalesce("ttps", empty)).alias("n_ttps"),
-                      F.size(F.coalesce("iocs", empty)).alias("n_iocs"))
+                      F.to_json(F.coalesce("actors", F.array().cast("array<string>"))).alias("actors"),
+                      F.coalesce("n_ttps", F.lit(0)).alias("n_ttps"),
+                      F.coalesce("n_iocs", F.lit(0)).alias("n_iocs"))
 
 
 # --------------------------------------------------------- analysis side
