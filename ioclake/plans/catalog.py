@@ -138,17 +138,18 @@ def q_iocs_from_mentions(spark, sf):
     return io.mention_iocs(b.doc_mentions(spark, sf))
 
 
-def _doc_iocs(spark, sf):
-    docs = b.documents(spark, sf)
-    return io.all_iocs(io.mention_iocs(b.doc_mentions(spark, sf, docs)), io.token_iocs(docs, "doc"))
+def _doc_iocs(spark, sf, docs=None, ments=None):
+    docs = b.documents(spark, sf) if docs is None else docs
+    ments = b.doc_mentions(spark, sf, docs) if ments is None else ments
+    return io.all_iocs(io.mention_iocs(ments), io.token_iocs(docs, "doc"))
 
 
 def q_iocs_all(spark, sf):
     return _doc_iocs(spark, sf)
 
 
-def _actors(spark, sf):
-    return ac.merge_actors(b.doc_mentions(spark, sf))
+def _actors(spark, sf, ments=None):
+    return ac.merge_actors(b.doc_mentions(spark, sf) if ments is None else ments)
 
 
 def q_actors_merged(spark, sf):
@@ -156,21 +157,28 @@ def q_actors_merged(spark, sf):
                                      "first_text", "sent", "pos")
 
 
+# Shared inputs are built once per query and passed down, so both sides
+# of a join carry the same plan and Spark can reuse the exchange.
+
 def q_actor_targets(spark, sf):
-    return ac.actor_targets(_actors(spark, sf), b.doc_mentions(spark, sf))
+    ments = b.doc_mentions(spark, sf)
+    return ac.actor_targets(_actors(spark, sf, ments), ments)
 
 
 def q_actor_tactics(spark, sf):
-    return ac.actor_tactics(_actors(spark, sf), b.doc_mentions(spark, sf))
+    ments = b.doc_mentions(spark, sf)
+    return ac.actor_tactics(_actors(spark, sf, ments), ments)
 
 
 def q_actor_techniques(spark, sf):
-    return ac.actor_techniques(_actors(spark, sf), b.doc_mentions(spark, sf))
+    ments = b.doc_mentions(spark, sf)
+    return ac.actor_techniques(_actors(spark, sf, ments), ments)
 
 
 def _actor_context(spark, sf):
     docs = b.documents(spark, sf)
-    return ac.actor_context(_actors(spark, sf), b.doc_sentences(spark, sf, docs), docs)
+    ments = b.doc_mentions(spark, sf, docs)
+    return ac.actor_context(_actors(spark, sf, ments), b.doc_sentences(spark, sf, docs), docs)
 
 
 def q_actor_summary(spark, sf):
@@ -182,7 +190,9 @@ def q_actor_motivation(spark, sf):
 
 
 def q_actor_related_iocs(spark, sf):
-    return ac.actor_related_iocs(_actors(spark, sf), _doc_iocs(spark, sf)).select(
+    docs = b.documents(spark, sf)
+    ments = b.doc_mentions(spark, sf, docs)
+    return ac.actor_related_iocs(_actors(spark, sf, ments), _doc_iocs(spark, sf, docs, ments)).select(
         "doc", "actor_key", "src_rank", "sent", "pos", "pat_rank", "type", "value")
 
 
@@ -196,7 +206,7 @@ def q_articles_enriched(spark, sf):
     actors = ac.merge_actors(ments)
     a = ac.collect_ordered(actors, ["doc"], ["sent", "pos"], "actor_key", "actors")
     t = mn.ttps(ments).groupBy("doc").agg(F.count(F.lit(1)).alias("n_ttps"))
-    i = _doc_iocs(spark, sf).groupBy("doc").agg(F.count(F.lit(1)).alias("n_iocs"))
+    i = _doc_iocs(spark, sf, docs, ments).groupBy("doc").agg(F.count(F.lit(1)).alias("n_iocs"))
     out = docs.select("doc", "title").join(a, "doc", "left").join(t, "doc", "left").join(i, "doc", "left")
     return out.select("doc", "title",
                       F.to_json(F.coalesce("actors", F.array().cast("array<string>"))).alias("actors"),
