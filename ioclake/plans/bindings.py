@@ -47,13 +47,15 @@ def built_articles(spark: SparkSession, sf: str) -> DataFrame:
     return art.build_articles(texts, pos="page_id")
 
 
-def deduped_articles(spark: SparkSession, sf: str) -> DataFrame:
-    return art.dedup_by_url(art.accepted(built_articles(spark, sf)))
+def deduped_articles(spark: SparkSession, sf: str, built: DataFrame | None = None) -> DataFrame:
+    built = built_articles(spark, sf) if built is None else built
+    return art.dedup_by_url(art.accepted(built))
 
 
-def validated_articles(spark: SparkSession, sf: str) -> DataFrame:
+def validated_articles(spark: SparkSession, sf: str, deduped: DataFrame | None = None) -> DataFrame:
     """(doc, pos, url, title, text): validated articles, doc = url."""
-    v = art.validate(deduped_articles(spark, sf))
+    deduped = deduped_articles(spark, sf) if deduped is None else deduped
+    v = art.validate(deduped)
     return v.select(F.col("url").alias("doc"), "pos", "url", "title", "text")
 
 
@@ -68,9 +70,11 @@ def doc_sentences(spark: SparkSession, sf: str, docs: DataFrame | None = None) -
     return split_sentences(docs, "doc")
 
 
-def article_chunks(spark: SparkSession, sf: str, max_tokens: int = config.CHUNK_TOKENS) -> DataFrame:
+def article_chunks(spark: SparkSession, sf: str, max_tokens: int = config.CHUNK_TOKENS,
+                   validated: DataFrame | None = None) -> DataFrame:
     """(doc, pos, chunk_no, chunk, n_tokens) of validated page articles."""
-    return chunk_tokens(validated_articles(spark, sf), key=["doc", "pos"], max_tokens=max_tokens)
+    validated = validated_articles(spark, sf) if validated is None else validated
+    return chunk_tokens(validated, key=["doc", "pos"], max_tokens=max_tokens)
 
 
 def stub_replies(chunks: DataFrame) -> DataFrame:

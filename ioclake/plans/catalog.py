@@ -216,16 +216,33 @@ def q_articles_enriched(spark, sf):
 
 # --------------------------------------------------------- analysis side
 
+class _Analysis:
+    """The article-side analysis chain of one query, each stage built once
+    and shared by every branch that needs it."""
+
+    def __init__(self, spark, sf):
+        self.built = b.built_articles(spark, sf)
+        self.deduped = b.deduped_articles(spark, sf, self.built)
+        self.validated = b.validated_articles(spark, sf, self.deduped)
+        self.chunks = b.article_chunks(spark, sf, validated=self.validated)
+        self.replies = b.stub_replies(self.chunks)
+        self.classified = an.classify_replies(self.replies)
+        self.chosen = an.choose_attempt(self.classified)
+        self.chunk_analysis = an.chunk_analysis(self.chosen)
+        self.combined = an.combine_articles(self.chunk_analysis)
+        self.analysed = an.analysed_articles(self.validated, self.combined)
+
+
 def _classified(spark, sf):
-    return an.classify_replies(b.stub_replies(b.article_chunks(spark, sf)))
+    return _Analysis(spark, sf).classified
 
 
 def _chosen(spark, sf):
-    return an.choose_attempt(_classified(spark, sf))
+    return _Analysis(spark, sf).chosen
 
 
 def _combined(spark, sf):
-    return an.combine_articles(an.chunk_analysis(_chosen(spark, sf)))
+    return _Analysis(spark, sf).combined
 
 
 def _json_lists(df):
@@ -255,29 +272,28 @@ def q_article_combine(spark, sf):
 
 
 def q_analysed_articles(spark, sf):
-    return an.analysed_articles(b.validated_articles(spark, sf), _combined(spark, sf)).select(
-        "doc", "pos", "title")
+    return _Analysis(spark, sf).analysed.select("doc", "pos", "title")
 
 
 def q_unanalysed_articles(spark, sf):
-    return an.unanalysed_articles(b.validated_articles(spark, sf), _combined(spark, sf)).select(
-        "doc", "pos", "title")
+    a = _Analysis(spark, sf)
+    return an.unanalysed_articles(a.validated, a.combined).select("doc", "pos", "title")
 
 
 def q_rejects(spark, sf):
-    built = b.built_articles(spark, sf)
-    build_rej = built.filter(F.col("reject").isNotNull()).select(
+    a = _Analysis(spark, sf)
+    build_rej = a.built.filter(F.col("reject").isNotNull()).select(
         F.lit("build").alias("stage"), F.col("raw_url").alias("key"), F.col("reject").alias("reason"))
-    val_rej = art.validation_rejects(b.deduped_articles(spark, sf)).drop("pos")
+    val_rej = art.validation_rejects(a.deduped).drop("pos")
     link_rej = lk.link_rejects(b.resolved_links(spark, sf))
-    reply_rej = an.reply_rejects(_classified(spark, sf))
+    reply_rej = an.reply_rejects(a.classified)
     return build_rej.unionByName(val_rej).unionByName(link_rej).unionByName(reply_rej)
 
 
 # ----------------------------------------------------------- report side
 
 def _analysed(spark, sf):
-    return an.analysed_articles(b.validated_articles(spark, sf), _combined(spark, sf))
+    return _Analysis(spark, sf).analysed
 
 
 def q_report_summary(spark, sf):
@@ -297,8 +313,8 @@ def q_report_recommendations(spark, sf):
 
 
 def q_report_json(spark, sf):
-    arts = b.validated_articles(spark, sf).select("pos", "url", "title", "text")
-    return rp.report_lines(arts, _analysed(spark, sf))
+    a = _Analysis(spark, sf)
+    return rp.report_lines(a.validated.select("pos", "url", "title", "text"), a.analysed)
 
 
 def q_stage_counts(spark, sf):
@@ -309,7 +325,8 @@ def q_stage_counts(spark, sf):
     one aggregate counts every stage.  The analysis side is a second pass
     over the chosen replies."""
     pages = page_scan(spark, sf)
-    built = b.built_articles(spark, sf)
+    a = _Analysis(spark, sf)
+    built = a.built
     acc = F.col("reject").isNull()
     valid = ((F.col("title") != "") & (F.col("text") != "") & (F.col("url") != "")).eqNullSafe(True)
     # one group per accepted URL (rejects share the null key); partial
@@ -322,8 +339,8 @@ def q_stage_counts(spark, sf):
         F.coalesce(F.sum(F.when(known, F.col("_n"))), F.lit(0)).alias("articles_built"),
         F.count_if(known).alias("deduped"),
         F.count_if(known & F.col("_v")).alias("validated"))
-    chunks = b.article_chunks(spark, sf).agg(F.count(F.lit(1)).alias("chunks"))
-    ca = an.chunk_analysis(_chosen(spark, sf)).agg(
+    chunks = a.chunks.agg(F.count(F.lit(1)).alias("chunks"))
+    ca = a.chunk_analysis.agg(
         F.count(F.lit(1)).alias("chunk_analysis"), F.countDistinct("doc").alias("analysed_articles"))
     n_pages = pages.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("pages").alias("stage"), "n_rows")
 
