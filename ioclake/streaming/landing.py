@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ioclake.operators import articles as art
 from ioclake.operators.pages import page_text
+from ioclake.sources.sinks import write_parquet_counted
 
 PAGES_SCHEMA = "page_id bigint, url string, html string"
 
@@ -58,7 +59,7 @@ def start_article_stream(spark: SparkSession, landing_dir: str, out_dir: str,
         seen = _existing_urls(batch.sparkSession, out_dir)
         if seen is not None:
             new = new.join(seen, "url", "left_anti")
-        new.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out_dir)
+        write_parquet_counted(new.withColumn("batch_id", F.lit(batch_id)), out_dir, f"articles_batch_{batch_id}")
 
     writer = pages.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if trigger_once else writer
