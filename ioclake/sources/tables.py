@@ -24,11 +24,12 @@ def spread(df: DataFrame) -> DataFrame:
     scan plans fewer partitions than the default parallelism, rows are
     spread round-robin over twice that many; a large table (many files or
     row groups) already scans wide and passes through untouched."""
-    spark = df.sparkSession
-    want = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want * 2)
-    return df
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave the scan as planned
+        return df
+    return df.repartition(want * 2) if have < want else df
 
 
 def read_text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
