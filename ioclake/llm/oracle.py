@@ -1,0 +1,3 @@
+"""DuckDB SQL for the queries that SQL can express at the checked size."""
+
+SQL: dict[str, str] = {}
