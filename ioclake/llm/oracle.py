@@ -1,3 +1,27 @@
 """DuckDB SQL for the queries that SQL can express at the checked size."""
 
-SQL: dict[str, str] = {}
+_WORDS = r"""regexp_extract_all(translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+DECONTAMINATE = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS.format('text')} AS w FROM documents),
+it AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS.format('text')} AS w FROM benchmark),
+iw AS (SELECT DISTINCT item_id, least(len(w), 10) AS n,
+              array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS win
+       FROM it, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS r(i) WHERE len(w) > 0),
+lens AS (SELECT DISTINCT n FROM iw),
+dw AS (SELECT rid, n, i, array_to_string(w[i:i + n - 1], ' ') AS win
+       FROM d, lens, unnest(range(1, CAST(len(w) - n + 2 AS BIGINT))) AS r(i) WHERE len(w) >= n),
+hit AS (SELECT rid, n, i, item_id FROM dw JOIN iw USING (n, win)),
+cov AS (SELECT rid, count(DISTINCT p) AS n_hit FROM hit, unnest(range(i, i + n)) AS r(p) GROUP BY rid),
+its AS (SELECT rid, count(DISTINCT item_id) AS n_items,
+               array_to_string(list_sort(list(DISTINCT item_id)), ',') AS ids FROM hit GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN cov USING (rid) LEFT JOIN its USING (rid)
+"""
+
+SQL: dict[str, str] = {
+    "op4_decontaminate": DECONTAMINATE,
+}

@@ -5,15 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ioclake.llm.common import table
+from ioclake.llm.decontaminate import contamination
 from ioclake.llm.near_dedup import near_dedup
 
 
+def q_decontaminate(spark: SparkSession, d: str) -> DataFrame:
+    out = contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", "n_items",
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def q_near_dedup(spark: SparkSession, d: str) -> DataFrame:
     return near_dedup(table(spark, d, "documents"), ngram=2, num=80, den=100)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_decontaminate": q_decontaminate,
     "op6_near_dedup": q_near_dedup,
 }
