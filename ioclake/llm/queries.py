@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ioclake.llm.common import table
+from ioclake.llm import language_id, pieces
+from ioclake.llm.common import fold_bucket, table
 from ioclake.llm.decontaminate import contamination
 from ioclake.llm.near_dedup import near_dedup
+from ioclake.llm.token_count import token_counts
 
 
 def q_decontaminate(spark: SparkSession, d: str) -> DataFrame:
@@ -22,7 +24,27 @@ def q_near_dedup(spark: SparkSession, d: str) -> DataFrame:
     return near_dedup(table(spark, d, "documents"), ngram=2, num=80, den=100)
 
 
+def q_language_id(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    fold = fold_bucket(F.col("doc_id"), 5)
+    model = language_id.fit(docs, "text", "lang", fold != 0)
+    out = language_id.predict(docs, model, "doc_id", "text", {"held_out": fold == 0})
+    return out.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def q_token_count(spark: SparkSession, d: str) -> DataFrame:
+    names = [name for _, name, _ in pieces.load().usable()]
+    return token_counts(table(spark, d, "documents"), names)
+
+
+def q_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
+    return pieces.round_trip(table(spark, d, "documents"), pieces.load())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_token_count": q_token_count,
     "op4_decontaminate": q_decontaminate,
     "op6_near_dedup": q_near_dedup,
+    "op7_language_id": q_language_id,
+    "op9_sentencepiece": q_sentencepiece,
 }
