@@ -177,12 +177,12 @@ def fit(docs: DataFrame, text_col: str, lang_col: str, use: Column, salt: str =
     return pickle.loads(got.model) if got else None
 
 
-def _predictor(shared):
+def _predictor(shared, names: tuple[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         known, net = (model[0], ready(model[1])) if model else ([], None)
         for b in batches:
-            texts = b.column(1)
+            texts = b.column(0)
             for first, rows, data, offs in pieces(texts):
                 prob = np.zeros((rows, max(1, len(known))))
                 if net is not None and len(data):
@@ -197,19 +197,27 @@ def _predictor(shared):
                     lang.append(known[best[i]] if told else "und")
                     score.append(min(1.0, float(prob[i, best[i]])) if told else 0.0)
                 yield pa.RecordBatch.from_arrays(
-                    [*[c.slice(first, rows) for c in (b.column(0), *b.columns[2:])],
+                    [*[c.slice(first, rows) for c in b.columns[1:]],
                      pa.array(lang), pa.array(score, pa.float64())],
-                    names=[b.schema.names[0], *b.schema.names[2:], "lang_pred", "score"])
+                    names=[*b.schema.names[1:], *names])
     return run
 
 
 def predict(docs: DataFrame, model: tuple | None, id_col: str, text_col: str,
             keep: dict[str, Column] | None = None) -> DataFrame:
     """(id, ``keep`` columns, lang_pred, score) per row."""
-    keep = keep or {}
-    src = docs.select(F.col(id_col), F.col(text_col).cast("binary").alias("__text"),
-                      *[c.alias(n) for n, c in keep.items()])
-    kinds = dict(src.dtypes)
-    schema = ", ".join(f"`{n}` {kinds[n]}" for n in (id_col, *keep))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # a fixed-size network
-    return src.mapInArrow(_predictor(shared), f"{schema}, lang_pred string, score double")
+    src = docs.select(F.col(text_col).cast("binary").alias("__text"), F.col(id_col),
+                      *[c.alias(n) for n, c in (keep or {}).items()])
+    return _predicted(src, model)
+
+
+def with_language(docs: DataFrame, model: tuple | None, text_col: str,
+                  names: tuple[str, str] = ("__lang_pred", "__score")) -> DataFrame:
+    """All columns of ``docs`` and the answer under ``names``."""
+    return _predicted(docs.select(F.col(text_col).cast("binary").alias("__text"), *docs.columns), model, names)
+
+
+def _predicted(src: DataFrame, model: tuple | None, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    schema = ", ".join(f"`{n}` {t}" for n, t in src.dtypes[1:])
+    shared = src.sparkSession.sparkContext.broadcast(model)  # a fixed-size network
+    return src.mapInArrow(_predictor(shared, names), f"{schema}, `{names[0]}` string, `{names[1]}` double")

@@ -22,6 +22,17 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN cov USING (rid) LEFT JOIN its USING (rid)
 """
 
+WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+q AS (SELECT page_id, octet_length(encode(h)) AS payload_bytes, sha256(h) AS payload_digest FROM p),
+f AS (SELECT payload_digest, min(page_id) AS first_id FROM q WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first_id IS NULL OR page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first_id IS NULL OR page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM q LEFT JOIN f USING (payload_digest)
+"""
+
 SQL: dict[str, str] = {
     "op4_decontaminate": DECONTAMINATE,
+    "op8_warc": WARC,
 }

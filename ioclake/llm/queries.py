@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ioclake.llm import language_id, pieces
+import corpus_pipeline
+from ioclake.llm import language_id, pieces, warc
 from ioclake.llm.common import fold_bucket, table
 from ioclake.llm.decontaminate import contamination
 from ioclake.llm.near_dedup import near_dedup
@@ -37,6 +38,11 @@ def q_token_count(spark: SparkSession, d: str) -> DataFrame:
     return token_counts(table(spark, d, "documents"), names)
 
 
+def q_warc(spark: SparkSession, d: str) -> DataFrame:
+    packages = warc.write_archives(table(spark, d, "pages"))
+    return warc.read_archives(packages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def q_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
     return pieces.round_trip(table(spark, d, "documents"), pieces.load())
 
@@ -46,5 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontaminate": q_decontaminate,
     "op6_near_dedup": q_near_dedup,
     "op7_language_id": q_language_id,
+    "op8_warc": q_warc,
     "op9_sentencepiece": q_sentencepiece,
+    "pipeline": corpus_pipeline.run,
 }
