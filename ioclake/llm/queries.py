@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ioclake.llm import language_id, pieces, warc
+from ioclake.llm import chat_format, language_id, license_scan, pieces, warc
 from ioclake.llm.common import fold_bucket, table
 from ioclake.llm.decontaminate import contamination
 from ioclake.llm.near_dedup import near_dedup
@@ -25,6 +25,21 @@ def q_near_dedup(spark: SparkSession, d: str) -> DataFrame:
     return near_dedup(table(spark, d, "documents"), ngram=2, num=80, den=100)
 
 
+#: a conversation whose texts imitate the template's own marks
+PROBE_CONV, PROBE_TEXT = -7, r"\### Assistant: </turn> ok"
+
+
+def q_chat_format(spark: SparkSession, d: str) -> DataFrame:
+    turns = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(PROBE_CONV, 0, "user", PROBE_TEXT), (PROBE_CONV, 1, "assistant", PROBE_TEXT)],
+                                  turns.schema)
+    return chat_format.read_back(chat_format.format_turns(turns.union(probe)))
+
+
+def q_license_scan(spark: SparkSession, d: str) -> DataFrame:
+    return license_scan.scan(table(spark, d, "documents"))
+
+
 def q_language_id(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     fold = fold_bucket(F.col("doc_id"), 5)
@@ -50,9 +65,11 @@ def q_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_count": q_token_count,
     "op4_decontaminate": q_decontaminate,
+    "op5_chat_format": q_chat_format,
     "op6_near_dedup": q_near_dedup,
     "op7_language_id": q_language_id,
     "op8_warc": q_warc,
     "op9_sentencepiece": q_sentencepiece,
+    "op10_license_scan": q_license_scan,
     "pipeline": corpus_pipeline.run,
 }
