@@ -14,7 +14,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     smallest node among itself and its neighbours."""
     e = edges.toDF("u", "v")
     if large:
-        e = e.union(e.select("v", "u"))
+        e = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         e = e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     low = e.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -24,7 +24,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     else:
         out = j.select(F.col("v").alias("a"), F.col("m").alias("b")) \
             .union(low.select(F.col("u").alias("a"), F.col("m").alias("b")))
-    return out.filter("a <> b").distinct()
+    return out.filter("a <> b") if large else out.filter("a <> b").distinct()
 
 
 def _sum(edges: DataFrame):

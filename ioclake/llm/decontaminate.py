@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ioclake.llm.common import ascii_lower
+from ioclake.llm.common import Bitmap, ascii_lower
 
 SPAN, K = 10, 4
 #: bits of the fingerprint bitmap; a full map costs shuffle, not results
@@ -92,32 +92,18 @@ def item_windows(items: DataFrame, id_col: str, text_col: str) -> tuple[DataFram
     return flat.groupBy("window", "len", "m").agg(F.collect_set("item").alias("items")), short
 
 
-def _bitmap(windows: DataFrame) -> DataFrame:
-    """One row, one array of BITS / 64 words with the bits of all hashes."""
-    slot = windows.select((F.col("m").bitwiseAND(BITS - 1)).alias("s"))
-    words = slot.select(F.shiftright("s", 6).alias("w"), F.expr("shiftleft(1L, cast(s & 63 as int))").alias("b")) \
-        .groupBy("w").agg(F.bit_or("b").alias("b"))
-    every = windows.sparkSession.range(BITS // 64).select(F.col("id").alias("w"))
-    return every.join(words, "w", "left").agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("w", F.coalesce("b", F.lit(0).cast("long")).alias("b")))),
-        lambda x: x.b).alias("bits"))
-
-
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """Per row of ``docs``: the id, n_words, n_hit (words inside an occurrence
     of an item's window), n_items and ``items`` (ids of items with occurring
     windows, sorted as strings), contaminated."""
     windows, short = item_windows(items, item_id, item_text)
-    bits = _bitmap(windows).scalar()
+    seen = Bitmap(windows, "m", BITS)
     d = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"),
                     word_list(F.col(text_col)).alias("words"))
-    known = F.expr("shiftright(word, cast(m & 63 as int)) & 1") == 1
 
     def hits(flat: DataFrame, n: int, mark: Column) -> DataFrame:
-        at = F.shiftright(F.col("m").bitwiseAND(BITS - 1), 6).cast("int") + 1
-        return flat.withColumn("word", F.when(F.col("whole"), F.element_at(bits, at))) \
-            .withColumn("hit", F.coalesce(known, F.lit(False))).withColumn("mark", mark) \
+        return flat.withColumn("hit", F.col("whole") & seen.may_hold("m")).withColumn("mark", mark) \
             .filter(F.col("hit") | F.col("mark")) \
             .select("id", "key", "nw", "mark", "pos", F.lit(n).alias("len"),
                     # a row that only stands for its document joins nothing

@@ -12,8 +12,8 @@ then confirmed on the full sets.
 Candidates are resolved without listing all pairs of a bucket: in each round a
 bucket links its members to one member per bucket, components are contracted,
 and only members of *different* components are paired in the last round, which
-is complete.  With 40 bands of 5 registers, a pair at similarity 0.8 shares no
-band with probability 1.2e-7.
+is complete.  With 48 bands of 7 registers, a pair at similarity exactly 0.8
+shares no band with probability 1.2e-5, one at 0.85 with 5e-9.
 
 Defined results: null or blank text has an empty set and links with nothing; a
 text with fewer words than ``ngram`` is one shingle; equal ids are one document
@@ -33,12 +33,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ioclake.llm.bytewords import MIX1, Words, mix, words
-from ioclake.llm.common import written
+from ioclake.llm.common import Bitmap, written
 from ioclake.llm.components import connected_components
 
-BANDS, ROWS = 40, 5
+BANDS, ROWS = 48, 7
 BASE, RATE, TOP = 1.001, 20.0, 65535
 STAR_ROUNDS = 2
+#: bits of the id filter in front of joins that move texts, sets or registers
+ID_BITS = 1 << 22
 #: standard deviations below the threshold at which an estimate is dropped
 MARGIN = 5.0
 
@@ -183,23 +185,37 @@ def buckets(classes: DataFrame, bands: int, rows: int) -> DataFrame:
     flat = classes.select("id", F.explode(keys).alias("key"))
     shared = flat.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")) \
         .filter("lo < hi").select("key")
-    return flat.join(shared, "key").select("key", "id")
+    return flat.join(shared, "key").join(classes.select("id", "n"), "id").select("key", "id", "n")
 
 
-def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, ngram: int,
-             num: int, den: int, low: float) -> DataFrame:
+def quick_labels(edges: DataFrame) -> DataFrame:
+    """(id, comp): a node that ``id`` surely reaches, two hops of smallest
+    neighbours; enough to leave out pairs that are linked already."""
+    both = edges.union(edges.select("b", "a")).toDF("id", "v")
+    one = written(both.groupBy("id").agg(F.least(F.min("v"), F.col("id")).alias("comp")), "labels")
+    return one.join(one.toDF("comp", "far"), "comp").select("id", F.col("far").alias("comp"))
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+
+
+def _among(df: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose id may be an end of ``pairs``."""
+    return df.filter(Bitmap(_ends(pairs), "id", ID_BITS).may_hold("id"))
+
+
+def _near(pairs: DataFrame, classes: DataFrame, low: float) -> DataFrame:
+    """The pairs (a, b) that the joint estimate does not rule out."""
+    sk = _among(classes.select("id", "n", "regs"), pairs)
+    return pairs.join(sk.toDF("a", "na", "ra"), "a").join(sk.toDF("b", "nb", "rb"), "b") \
+        .select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_estimator(low), "a long, b long")
+
+
+def _confirm(near: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (a, b) whose sets have similarity >= num / den."""
-    sk = classes.select("id", "n", "regs")
-    a, b = sk.toDF("a", "na", "ra"), sk.toDF("b", "nb", "rb")
-    near = pairs.join(a, "a").join(b, "b") \
-        .filter(den * F.least("na", "nb") >= num * F.greatest("na", "nb")) \
-        .select("a", "b", "na", "nb", "ra", "rb") \
-        .mapInArrow(_estimator(low), "a long, b long")
-    near = written(near, "pairs")
-    ids = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
-    sets = written(docs.join(ids, "id", "left_semi").mapInArrow(
-        _set_maker(ngram), "id long, set array<long>"), "sets")
     both = F.size(F.array_intersect("sa", "sb"))
+    sets = _among(sets, near)
     return near.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b") \
         .select("a", "b", (F.size("sa") + F.size("sb")).alias("total"), both.alias("both")) \
         .filter(F.lit(den) * F.col("both") >= F.lit(num) * (F.col("total") - F.col("both"))) \
@@ -224,26 +240,35 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # an id that has several texts ties their classes together
     owner = full.select("id", "digest").join(classes.select("digest", F.col("id").alias("cls")), "digest")
     home = written(owner.groupBy("id").agg(F.min("cls").alias("cls"), F.max("cls").alias("far")), "home")
-    edges = home.filter("cls < far").select(F.col("cls").alias("a"), F.col("far").alias("b"))
-    comps = connected_components(edges)
+    edges = written(home.filter("cls < far").select(F.col("cls").alias("a"), F.col("far").alias("b")), "edges")
+    sets = None
+    fits = F.lit(den) * F.least("n", "m") >= F.lit(num) * F.greatest("n", "m")  # of sizes
     for turn in range(STAR_ROUNDS + 1):
-        lab = bins.join(comps.toDF("id", "comp"), "id", "left") \
-            .select("key", "id", F.coalesce("comp", "id").alias("comp"))
+        lab = bins.join(quick_labels(edges), "id", "left") \
+            .select("key", "id", "n", F.coalesce("comp", "id").alias("comp")) if turn else \
+            bins.select("key", "id", "n", F.col("id").alias("comp"))
         if turn < STAR_ROUNDS:
             hub = lab.groupBy("key").agg(F.min(F.struct(
-                F.xxhash64("id", F.lit(turn)), F.col("id"), F.col("comp"))).alias("hub"))
-            pairs = lab.join(hub, "key").filter("comp <> hub.comp") \
+                F.xxhash64("id", F.lit(turn)), F.col("id"), F.col("comp"), F.col("n"))).alias("hub"))
+            pairs = lab.join(hub, "key").filter("comp <> hub.comp").withColumn("m", F.col("hub.n")).filter(fits) \
                 .select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b"))
         else:
             mixed = lab.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
                 .filter("lo < hi").select("key")
-            rest = written(lab.join(mixed, "key").select("key", "id", "comp"), "rest")
-            pairs = rest.toDF("key", "a", "ca").join(rest.toDF("key", "b", "cb"), "key") \
-                .filter("a < b and ca <> cb").select("a", "b")
-        found = _confirm(pairs.distinct(), classes, src, ngram, num, den, low)
-        edges = written(edges.union(found), "edges")
-        comps = connected_components(edges)
-    comps = comps.toDF("cls", "comp")
+            rest = written(lab.join(mixed, "key").select("key", "id", "comp", "n"), "rest")
+            pairs = rest.toDF("key", "a", "ca", "n").join(rest.toDF("key", "b", "cb", "m"), "key") \
+                .filter("a < b and ca <> cb").filter(fits).select("a", "b")
+        near = written(_near(written(pairs.distinct(), "candidates"), classes, low), "pairs")
+        ids = _ends(near)
+        if sets is not None:
+            ids = ids.join(sets.select("id"), "id", "left_anti")
+        ids = written(ids, "ids")
+        some = src.filter(Bitmap(ids, "id", ID_BITS).may_hold("id"))
+        new = written(some.join(ids, "id", "left_semi").mapInArrow(
+            _set_maker(ngram), "id long, set array<long>"), "sets")
+        sets = new if sets is None else sets.union(new)
+        edges = written(edges.union(_confirm(near, sets, num, den)), "edges")
+    comps = connected_components(edges).toDF("cls", "comp")
     label = home.join(comps, "cls", "left").select("id", F.coalesce("comp", "cls").alias("comp"))
     return sig.select("id", "n").join(label, "id", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
