@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ioclake.llm import ann, chat_format, language_id, license_scan, pieces, warc
+from ioclake.llm import ann, chat_format, language_id, license_scan, lm_score, pieces, warc
 from ioclake.llm.common import fold_bucket, table
 from ioclake.llm.decontaminate import contamination
 from ioclake.llm.near_dedup import near_dedup
@@ -52,6 +52,10 @@ def q_ann(spark: SparkSession, d: str) -> DataFrame:
     return ann.search(table(spark, d, "embeddings"), F.pmod("id", F.lit(20)) == 0)
 
 
+def q_lm_score(spark: SparkSession, d: str) -> DataFrame:
+    return lm_score.score(table(spark, d, "documents"), "doc_id", "text", fold_bucket(F.col("doc_id"), 10))
+
+
 def q_token_count(spark: SparkSession, d: str) -> DataFrame:
     names = [name for _, name, _ in pieces.load().usable()]
     return token_counts(table(spark, d, "documents"), names)
@@ -68,6 +72,7 @@ def q_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ann": q_ann,
+    "op2_lm_score": q_lm_score,
     "op3_token_count": q_token_count,
     "op4_decontaminate": q_decontaminate,
     "op5_chat_format": q_chat_format,
