@@ -9,11 +9,13 @@ similarity, so bands of registers find candidates.  A candidate pair is first
 estimated from the joint likelihood of larger, smaller and equal registers and
 then confirmed on the full sets.
 
-Candidates are resolved without listing all pairs of a bucket: in each round a
-bucket links its members to one member per bucket, components are contracted,
-and only members of *different* components are paired in the last round, which
-is complete.  With 48 bands of 7 registers, a pair at similarity exactly 0.8
-shares no band with probability 1.2e-5, one at 0.85 with 5e-9.
+Candidates are resolved without listing all pairs of a bucket.  First one member
+of each bucket is held against the others; confirmed links give components, links
+that the estimate only leaves possible give wider families.  Inside a family,
+sets of different components meet in blocks within a task, which emits one link
+per pair of components.  Pairs of different families that share a bucket are
+tested one by one.  With 48 bands of 7 registers, a pair at similarity exactly
+0.8 shares no band with probability 1.2e-5, one at 0.85 with 5e-9.
 
 Defined results: null or blank text has an empty set and links with nothing; a
 text with fewer words than ``ngram`` is one shingle; equal ids are one document
@@ -38,7 +40,8 @@ from ioclake.llm.components import connected_components
 
 BANDS, ROWS = 48, 7
 BASE, RATE, TOP = 1.001, 20.0, 65535
-STAR_ROUNDS = 2
+#: sets in a block of a family; columns of one matrix product
+BLOCK, SLAB = 128, 4096
 #: bits of the id filter in front of joins that move texts, sets or registers
 ID_BITS = 1 << 22
 #: standard deviations below the threshold at which an estimate is dropped
@@ -188,14 +191,6 @@ def buckets(classes: DataFrame, bands: int, rows: int) -> DataFrame:
     return flat.join(shared, "key").join(classes.select("id", "n"), "id").select("key", "id", "n")
 
 
-def quick_labels(edges: DataFrame) -> DataFrame:
-    """(id, comp): a node that ``id`` surely reaches, two hops of smallest
-    neighbours; enough to leave out pairs that are linked already."""
-    both = edges.union(edges.select("b", "a")).toDF("id", "v")
-    one = written(both.groupBy("id").agg(F.least(F.min("v"), F.col("id")).alias("comp")), "labels")
-    return one.join(one.toDF("comp", "far"), "comp").select("id", F.col("far").alias("comp"))
-
-
 def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
 
@@ -222,6 +217,76 @@ def _confirm(near: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
         .select("a", "b").distinct()
 
 
+def block_links(sets: list[np.ndarray], comps: np.ndarray, other: int, num: int, den: int) -> list[tuple[int, int]]:
+    """Places (i, j) of one link per pair of components between the first
+    ``other`` sets and the rest, or among all sets if ``other`` is 0.
+
+    Intersections of all pairs are one matrix product over the elements that
+    two sets at least hold, taken in slabs of bounded width."""
+    sizes = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, place, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    keep = count[place] > 1
+    owner, column = owner[keep], (np.cumsum(count > 1) - 1)[place[keep]]
+    left, right = (slice(0, other), slice(other, None)) if other else (slice(None), slice(None))
+    both = np.zeros((len(sizes[left]), len(sizes[right])), np.float32)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, SLAB):
+        x, y = np.searchsorted(column, [low, low + SLAB])
+        m = np.zeros((len(sets), SLAB), np.float32)
+        m[owner[x:y], column[x:y] - low] = 1
+        both += m[left] @ m[right].T
+    total = sizes[left][:, None] + sizes[right][None, :] - both
+    found = (den * both >= num * total) & (comps[left][:, None] != comps[right][None, :])
+    one = {}
+    for i, j in zip(*np.nonzero(found), strict=True):
+        j += other
+        one.setdefault((min(comps[i], comps[j]), max(comps[i], comps[j])), (i, j))
+    return list(one.values())
+
+
+def _block_linker(num: int, den: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for same, x, y in zip(*batch.columns, strict=True):
+                same = same.as_py()
+                parts = [x.values] if same else [x.values, y.values]
+                ids, comps = (np.concatenate([p.field(f).to_numpy() for p in parts]) for f in ("id", "comp"))
+                sets = [v.values.to_numpy() for p in parts for v in p.field("set")]
+                for i, j in block_links(sets, comps, 0 if same else len(x.values), num, den):
+                    out.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in (0, 1)],
+                                             names=["a", "b"])
+    return run
+
+
+def _family_links(families: DataFrame, comps: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links between different components of a family, from blocks of about
+    BLOCK sets that meet block by block; a large component has blocks of its
+    own, which never meet each other."""
+    m = families.toDF("id", "family").join(comps.toDF("id", "comp"), "id", "left") \
+        .select("id", "family", F.coalesce("comp", "id").alias("comp"))
+    size = m.groupBy("family", "comp").agg(F.count(F.lit(1)).alias("n"))
+    several = size.groupBy("family").agg(F.count(F.lit(1)).alias("comps"), F.sum(
+        F.when(F.col("n") < BLOCK, F.col("n")).otherwise(0)).alias("small")).filter("comps > 1")
+    own = F.col("n") >= BLOCK
+    placed = written(m.join(size, ["family", "comp"]).join(several, "family").select(
+        "id", "family", "comp", F.when(own, F.col("comp")).alias("alone"),
+        F.when(own, F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / BLOCK)))
+        .otherwise(F.pmod(F.xxhash64("comp"), F.ceil(F.col("small") / BLOCK))).alias("block")), "members")
+    some = _among(sets, placed.select(F.col("id").alias("a"), F.col("id").alias("b")))
+    blocks = written(placed.join(some, "id").groupBy("family", "alone", "block")
+                     .agg(F.collect_list(F.struct("id", "comp", "set")).alias("held"))
+                     .withColumn("no", F.struct(F.coalesce("alone", F.lit(-1)).alias("alone"), "block")), "blocks")
+    left = blocks.select("family", F.col("no").alias("i"), F.col("alone").alias("p"), F.col("held").alias("x"))
+    right = blocks.select("family", F.col("no").alias("j"), F.col("alone").alias("q"), F.col("held").alias("y"))
+    meet = left.join(right, "family").filter("i <= j AND (p IS NULL OR q IS NULL OR p <> q)")
+    return meet.select((F.col("i") == F.col("j")).alias("same"), "x", F.when(F.col("i") != F.col("j"), F.col("y"))
+                       .alias("y")).mapInArrow(_block_linker(num, den), "a long, b long")
+
+
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                ngram: int = 5, num: int = 80, den: int = 100,
                bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -236,39 +301,45 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     bins = written(buckets(classes, bands, rows), "buckets")
     j = num / den
     low = j - MARGIN * (j * (1 - j) / (bands * rows)) ** 0.5
-
-    # an id that has several texts ties their classes together
-    owner = full.select("id", "digest").join(classes.select("digest", F.col("id").alias("cls")), "digest")
-    home = written(owner.groupBy("id").agg(F.min("cls").alias("cls"), F.max("cls").alias("far")), "home")
-    edges = written(home.filter("cls < far").select(F.col("cls").alias("a"), F.col("far").alias("b")), "edges")
-    sets = None
     fits = F.lit(den) * F.least("n", "m") >= F.lit(num) * F.greatest("n", "m")  # of sizes
-    for turn in range(STAR_ROUNDS + 1):
-        lab = bins.join(quick_labels(edges), "id", "left") \
-            .select("key", "id", "n", F.coalesce("comp", "id").alias("comp")) if turn else \
-            bins.select("key", "id", "n", F.col("id").alias("comp"))
-        if turn < STAR_ROUNDS:
-            hub = lab.groupBy("key").agg(F.min(F.struct(
-                F.xxhash64("id", F.lit(turn)), F.col("id"), F.col("comp"), F.col("n"))).alias("hub"))
-            pairs = lab.join(hub, "key").filter("comp <> hub.comp").withColumn("m", F.col("hub.n")).filter(fits) \
-                .select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b"))
-        else:
-            mixed = lab.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
-                .filter("lo < hi").select("key")
-            rest = written(lab.join(mixed, "key").select("key", "id", "comp", "n"), "rest")
-            pairs = rest.toDF("key", "a", "ca", "n").join(rest.toDF("key", "b", "cb", "m"), "key") \
-                .filter("a < b and ca <> cb").filter(fits).select("a", "b")
-        near = written(_near(written(pairs.distinct(), "candidates"), classes, low), "pairs")
+
+    def with_sets(near: DataFrame, known: DataFrame | None) -> DataFrame:
         ids = _ends(near)
-        if sets is not None:
-            ids = ids.join(sets.select("id"), "id", "left_anti")
+        if known is not None:
+            ids = ids.join(known.select("id"), "id", "left_anti")
         ids = written(ids, "ids")
         some = src.filter(Bitmap(ids, "id", ID_BITS).may_hold("id"))
         new = written(some.join(ids, "id", "left_semi").mapInArrow(
             _set_maker(ngram), "id long, set array<long>"), "sets")
-        sets = new if sets is None else sets.union(new)
-        edges = written(edges.union(_confirm(near, sets, num, den)), "edges")
-    comps = connected_components(edges).toDF("cls", "comp")
+        return new if known is None else known.union(new)
+
+    # an id that has several texts ties their classes together
+    owner = full.select("id", "digest").join(classes.select("digest", F.col("id").alias("cls")), "digest")
+    home = written(owner.groupBy("id").agg(F.min("cls").alias("cls"), F.max("cls").alias("far")), "home")
+    tied = home.filter("cls < far").select(F.col("cls").alias("a"), F.col("far").alias("b"))
+
+    # one member of each bucket against the others
+    hub = bins.groupBy("key").agg(F.min(F.struct(F.xxhash64("id"), F.col("id"), F.col("n").alias("m"))).alias("hub"))
+    star = bins.join(hub, "key").withColumn("m", F.col("hub.m")).filter(fits).filter("id <> hub.id") \
+        .select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b"))
+    near = written(_near(written(star.distinct(), "candidates"), classes, low), "pairs")
+    sets = with_sets(near, None)
+    edges = written(tied.union(_confirm(near, sets, num, den)), "edges")
+    comps = written(connected_components(edges), "components")
+    families = written(connected_components(edges.union(near)), "families")
+
+    # inside a family all components meet; beyond it, pairs that share a bucket
+    inner = written(_family_links(families, comps, sets, num, den), "inner")
+    lab = bins.join(comps, "id", "left").join(families.toDF("id", "family"), "id", "left") \
+        .select("key", "id", "n", F.coalesce("comp", "id").alias("comp"), F.coalesce("family", "id").alias("family"))
+    mixed = lab.groupBy("key").agg(F.min("family").alias("lo"), F.max("family").alias("hi")) \
+        .filter("lo < hi").select("key")
+    rest = written(lab.join(mixed, "key").select("key", "id", "family", "n"), "rest")
+    cross = rest.toDF("key", "a", "fa", "n").join(rest.toDF("key", "b", "fb", "m"), "key") \
+        .filter("a < b and fa <> fb").filter(fits).select("a", "b")
+    near = written(_near(written(cross.distinct(), "candidates"), classes, low), "pairs")
+    outer = _confirm(near, with_sets(near, sets), num, den)
+    comps = connected_components(edges.union(inner).union(outer)).toDF("cls", "comp")
     label = home.join(comps, "cls", "left").select("id", F.coalesce("comp", "cls").alias("comp"))
     return sig.select("id", "n").join(label, "id", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
