@@ -30,10 +30,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-MARK, LITERAL = "▁", "\ud800"  # LITERAL stands for a mark in the text itself
+# LITERAL stands for a mark in the text itself, CUT lies between words
+MARK, LITERAL, CUT = "▁", "\ud800", "\ud801"
 UNKNOWN = 10.0
 #: distinct words a task remembers before it starts afresh; texts encoded at once
-REMEMBER, AT_ONCE = 300_000, 512
+REMEMBER, AT_ONCE = 500_000, 1024
 #: a longer word is not remembered
 LONG_WORD = 64
 
@@ -67,19 +68,28 @@ def load(path: str = MODEL, scores: str = "auto") -> Vocabulary:
                       next(i for i in range(n) if sp.is_byte(i)), special)
 
 
-def marked_words(text: str) -> list[str]:
-    """The text as marked words; joined they are the marked text."""
+def marked_words(text: str, breaks: str = "") -> list[str]:
+    """The text as marked words; joined they are the marked text.  Characters
+    of ``breaks``, which are in no piece, are words of their own."""
     if not text:
         return []
-    out, run = [], 0
-    parts = text.replace(MARK, LITERAL).split(" ")
-    for p in parts[:-1]:
-        run += 1
-        if p:
-            out.append(MARK * run + p)
-            run = 0
-    out.append(MARK * (run + 1) + parts[-1])
-    return out
+    text = MARK + text.replace(MARK, LITERAL).replace(" ", CUT + MARK)
+    for ch in breaks:
+        text = text.replace(ch, CUT + ch + CUT)
+    words = text.split(CUT)
+    if text[-1] != MARK and MARK + CUT not in text:
+        return words
+    out, run = [], ""
+    for w in words:  # a lone mark goes before the next word
+        if w == MARK:
+            run += MARK
+        elif run and w[:1] != MARK:
+            out += [run, w]
+            run = ""
+        else:
+            out.append(run + w)
+            run = ""
+    return [*out, run] if run else out
 
 
 class Encoder:
@@ -92,6 +102,8 @@ class Encoder:
             node[""] = (score, i)
         self.floor = min(s for _, _, s in vocab.usable()) - UNKNOWN
         self.bytes_at = vocab.bytes_at
+        alphabet = set().union(*(name for _, name, _ in vocab.usable()))
+        self.breaks = "".join(c for c in "\n\r\t" if c not in alphabet)
         self.seen: dict[str, bytes] = {}
 
     def _spell(self, ch: str) -> list[int]:
@@ -99,7 +111,8 @@ class Encoder:
 
     def walk(self, ordered: list[str]) -> Iterator[tuple[str, list[int]]]:
         """Best pieces of each word of a sorted list."""
-        root, last = self.root, ""
+        root, floor, last = self.root, self.floor, ""
+        # per prefix: best score, its last step, open trie nodes with their start
         best, back, open_ = [0.0], [None], [[]]
         for word in ordered:
             n = 0
@@ -108,42 +121,57 @@ class Encoder:
                     break
                 n += 1
             del best[n + 1:], back[n + 1:], open_[n + 1:]
+            alive = open_[n]
             for i in range(n, len(word)):
-                ch, top, via, alive = word[i], -math.inf, None, []
-                for node, j in (*open_[i], (root, i)):
-                    child = node.get(ch)
-                    if child is not None:
-                        alive.append((child, j))
-                        end = child.get("")
-                        if end is not None and best[j] + end[0] > top:
-                            top, via = best[j] + end[0], (j, end[1])
-                single = root.get(ch)
-                if (single is None or "" not in single) and best[i] + self.floor > top:
-                    top, via = best[i] + self.floor, (i, -1)
+                ch, top, via, going = word[i], -math.inf, None, []
+                for node, j in alive:
+                    if ch in node:
+                        child = node[ch]
+                        going.append((child, j))
+                        if "" in child:
+                            end = child[""]
+                            score = best[j] + end[0]
+                            if score > top:
+                                top, via = score, (j, end[1])
+                child = root.get(ch)
+                if child is not None:
+                    going.append((child, i))
+                if child is not None and "" in child:
+                    end = child[""]
+                    if best[i] + end[0] > top:
+                        top, via = best[i] + end[0], (i, end[1])
+                elif best[i] + floor > top:
+                    top, via = best[i] + floor, (i, -1)
                 best.append(top)
                 back.append(via)
-                open_.append(alive)
+                open_.append(going)
+                alive = going
             ids, at = [], len(word)
             while at:
                 j, piece = back[at]
-                ids += [piece] if piece >= 0 else self._spell(word[j])[::-1]
+                if piece >= 0:
+                    ids.append(piece)
+                else:
+                    ids += self._spell(word[j])[::-1]
                 at = j
             yield word, ids[::-1]
             last = word
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
-        split = [None if t is None else marked_words(t) for t in texts]
+        split = [None if t is None else marked_words(t, self.breaks) for t in texts]
         if len(self.seen) > REMEMBER:
             self.seen = {}
-        new = set().union(*(w for w in split if w)) - self.seen.keys()
+        held = [None if w is None else list(map(self.seen.get, w)) for w in split]
+        new = {w for ws, ids in zip(split, held, strict=True) if ids and None in ids
+               for w, x in zip(ws, ids, strict=True) if x is None}
         fresh = {w: np.array(ids, np.int32).tobytes() for w, ids in self.walk(sorted(new))}
-        if any(len(w) > LONG_WORD for w in fresh):
-            self.seen.update((w, b) for w, b in fresh.items() if len(w) <= LONG_WORD)
-            get = lambda w: self.seen.get(w) or fresh[w]
-        else:
-            self.seen.update(fresh)
-            get = self.seen.__getitem__
-        return [None if w is None else np.frombuffer(b"".join(map(get, w)), np.int32) for w in split]
+        self.seen.update((w, ids) for w, ids in fresh.items() if len(w) <= LONG_WORD)
+        out = []
+        for ws, ids in zip(split, held, strict=True):
+            if ids and None in ids:
+                ids = [fresh[w] if x is None else x for w, x in zip(ws, ids, strict=True)]
+            out.append(None if ids is None else np.frombuffer(b"".join(ids), np.int32))
+        return out
 
 
 def spellings(vocab: Vocabulary) -> list[bytes]:
@@ -153,6 +181,29 @@ def spellings(vocab: Vocabulary) -> list[bytes]:
     return out
 
 
+class Speller:
+    """Texts of lists of pieces: the bytes of all pieces of a batch are
+    gathered at once."""
+
+    def __init__(self, vocab: Vocabulary):
+        spell = spellings(vocab)
+        self.size = np.array([len(x) for x in spell], np.int64)
+        self.start = np.concatenate(([0], np.cumsum(self.size)[:-1]))
+        self.data = np.frombuffer(b"".join(spell), np.uint8)
+
+    def texts(self, lists: pa.ListArray) -> list[str | None]:
+        rows = np.array([0 if n is None else n for n in lists.value_lengths().to_pylist()], np.int64)
+        ids = lists.flatten().to_numpy()
+        size = self.size[ids]
+        end = np.cumsum(size)
+        at = np.arange(end[-1] if len(end) else 0) + np.repeat(self.start[ids] - (end - size), size)
+        data = self.data[at].tobytes()
+        bound = np.concatenate(([0], end))[np.concatenate(([0], np.cumsum(rows)))]
+        # the mark that opened the text is its first byte
+        return [data[x + 1:y].decode("utf-8", "replace") if v.is_valid else None
+                for v, x, y in zip(lists, bound[:-1], bound[1:], strict=True)]
+
+
 def _lists(rows: list[np.ndarray | None]) -> pa.Array:
     full = [r for r in rows if r is not None]
     offs = np.zeros(len(rows) + 1, np.int32)
@@ -176,12 +227,11 @@ def _encoding(shared):
 
 def _decoding(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spell = spellings(Vocabulary(**shared.value))
+        spell = Speller(Vocabulary(**shared.value))
         for b in batches:
             for at in range(0, b.num_rows, AT_ONCE):
                 part = b.slice(at, AT_ONCE)
-                texts = [None if r is None else b"".join(map(spell.__getitem__, r))[1:].decode("utf-8", "replace")
-                         for r in (x.values.to_pylist() if x.is_valid else None for x in part.column(0))]
+                texts = spell.texts(part.column(0))
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(texts, pa.string())],
                                                  names=[*part.schema.names[1:], "text"])
     return run
