@@ -169,9 +169,11 @@ def fit(docs: DataFrame, text_col: str, lang_col: str, use: Column, salt: str =
     rows = docs.filter(use & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")) \
         .select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"),
                 F.xxhash64(F.lit(salt), F.col(text_col)).alias("h"))
-    top = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGS).select("lang")
+    top = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGS)
+    # a hash share of each language, a little more than is used, before anything is gathered
+    share = F.shiftrightunsigned("h", 1) / float(2**63) < F.lit(2.0 * PER_LANG) / F.col("count")
     w = Window.partitionBy("lang").orderBy("h")
-    some = rows.join(F.broadcast(top), "lang").withColumn("nth", F.row_number().over(w)) \
+    some = rows.join(F.broadcast(top), "lang").filter(share).withColumn("nth", F.row_number().over(w)) \
         .filter(F.col("nth") <= PER_LANG).select(F.col("text").cast("binary"), "lang")
     got = some.coalesce(1).mapInArrow(_trainer, "model binary").first()
     return pickle.loads(got.model) if got else None
