@@ -54,19 +54,9 @@ IOC_LABELS = ["PRODUCT", "GPE", "LOC", "FAC", "MONEY", "CARDINAL"]
 # phrases that make an actor's sentence its motivation
 MOTIVATION_PHRASES = ["motivated by", "aims to", "goal is", "objective is",
                       "intends to", "purpose is"]
-# per-token indicator patterns, in matcher order (Python-style \b and \d are
-# rewritten to explicit Unicode classes in ioclake.functions.iocs)
-IOC_PATTERNS = [
-    ("IP_ADDRESS", r"\b(?:\d{1,3}\.){3}\d{1,3}\b"),
-    ("MD5_HASH", r"\b[a-fA-F0-9]{32}\b"),
-    ("SHA1_HASH", r"\b[a-fA-F0-9]{40}\b"),
-    ("SHA256_HASH", r"\b[a-fA-F0-9]{64}\b"),
-    ("CVE", r"CVE-\d{4}-\d{4,7}"),
-]
 # report constants
 REPORT_VERSION = "0.1.0"
 REPORT_GENERATOR = "ioclake"  # report `generated_by`; a parameter of build_report
-RUN_TS_FORMAT = "yyyyMMdd_HHmmss"
 
 # ---------------------------------------------------------------------------
 # our own decisions (not from the original job)

@@ -6,6 +6,8 @@ they stay inside whole-stage codegen.
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -55,55 +57,52 @@ def py_strip(col) -> Column:
     return F.btrim(_c(col), F.lit(PY_WHITESPACE))
 
 
-# Named entities we decode, applied before '&amp;' (which must go last so
-# '&amp;lt;' becomes '&lt;' and not '<').
-_NAMED_ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-    ("&nbsp;", " "), ("&copy;", "©"), ("&reg;", "®"),
-    ("&middot;", "·"), ("&ndash;", "–"), ("&mdash;", "—"),
-    ("&hellip;", "…"), ("&lsquo;", "‘"), ("&rsquo;", "’"),
-    ("&ldquo;", "“"), ("&rdquo;", "”"),
-]
+# Named character references: the standard library's table of the HTML
+# entities, plus the XML one; a no-break space becomes a plain blank.
+NAMED_ENTITIES = {n: " " if c == 0xA0 else chr(c) for n, c in (*name2codepoint.items(), ("apos", 39))}
+#: what one reference looks like, right after its '&'
+REFERENCE = r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 
 
 def _codepoint_char(num: Column) -> Column:
-    """Character of a Unicode code point given as a long column."""
-    return F.decode(F.unhex(F.lpad(F.hex(num), 8, "0")), "UTF-32")
+    """Character of a Unicode code point given as a long column; a null, a
+    surrogate, zero or a number beyond Unicode gives U+FFFD."""
+    ok = num.between(1, 0x10FFFF) & ~num.between(0xD800, 0xDFFF)
+    safe = F.when(ok, num).otherwise(F.lit(0xFFFD))
+    return F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32")
+
+
+def _decode_piece(piece: Column) -> Column:
+    """Text after one '&' with the reference it opens, if any, replaced."""
+    name = F.regexp_extract(piece, REFERENCE, 1)
+    digits = F.regexp_replace(F.lower(name), "^#x?0*", "")
+    # more digits than any code point has: out of range, not a number error
+    digits = F.concat(F.lit("0"), digits)
+    number = F.when(F.length(digits) > 8, F.lit("-1")).when(
+        F.lower(name).startswith("#x"), F.conv(digits, 16, 10)).otherwise(F.conv(digits, 10, 10)).cast("long")
+    known = F.create_map(*[F.lit(x) for pair in NAMED_ENTITIES.items() for x in pair])
+    char = F.when(name.startswith("#"), _codepoint_char(number)).when(name != "", F.try_element_at(known, name))
+    return F.coalesce(F.concat(char, F.substring(piece, F.length(name) + 2, F.length(piece))),
+                      F.concat(F.lit("&"), piece))
 
 
 def decode_entities(col) -> Column:
-    """Decode HTML character references (named subset, decimal, hex).
-
-    Each stage is let-bound so the chain is evaluated once per row (a
-    nested ``when``/``aggregate`` would otherwise copy the previous stage
-    into every place it is used)."""
-    s = _c(col)
-    for ent, ch in _NAMED_ENTITIES:
-        s = F.replace(s, F.lit(ent), F.lit(ch))
-
-    def decimal(x):
-        dec = F.aggregate(
-            F.array_distinct(F.regexp_extract_all(x, F.lit("&#([0-9]{1,7});"), 1)), x,
-            lambda acc, n: F.replace(acc, F.concat(F.lit("&#"), n, F.lit(";")),
-                                     _codepoint_char(n.cast("long"))))
-        return F.when(x.contains("&#"), dec).otherwise(x)
-
-    def hexadecimal(x):
-        hx = F.aggregate(
-            F.array_distinct(F.regexp_extract_all(x, F.lit("&#[xX]([0-9a-fA-F]{1,6});"), 1)), x,
-            lambda acc, h: F.regexp_replace(acc, F.concat(F.lit("&#[xX]"), h, F.lit(";")),
-                                            _codepoint_char(F.conv(h, 16, 10).cast("long"))))
-        return F.when(x.contains("&#"), hx).otherwise(x)
-
-    return let(s, lambda x: F.replace(
-        F.when(x.contains("&#"), let(let(x, decimal), hexadecimal)).otherwise(x),
-        F.lit("&amp;"), F.lit("&")))
+    """Decode HTML character references (named, decimal, hex) in one pass:
+    the text is cut at every '&' and each piece looked at once, so decoded
+    text is never decoded again and nothing in it can fail."""
+    def decoded(x):
+        parts = F.split(x, "&")
+        rest = F.transform(F.slice(parts, 2, F.size(parts)), _decode_piece)
+        return F.concat(parts[0], F.array_join(rest, ""))
+    return let(_c(col), lambda x: F.when(x.contains("&"), let(x, decoded)).otherwise(x))
 
 
 # Elements whose whole content is boilerplate for article text, and
 # comments; removed in one left-to-right pass (the earliest match wins).
-_DROP_BLOCKS = ["script", "style", "noscript", "template", "nav", "footer", "header", "aside"]
+# A page header is boilerplate only outside articles.
+_DROP_BLOCKS = ["script", "style", "noscript", "template", "nav", "footer", "aside"]
 NOISE = "(?is)<(?:!--.*?-->|" + "|".join(rf"{t}\b[^>]*>.*?</{t}\s*>" for t in _DROP_BLOCKS) + ")"
+PAGE_HEADER = r"(?is)<header\b[^>]*>.*?</header\s*>"
 # Tags that end a text block (rendered as a line break).
 _BLOCK_TAGS = r"(?i)<(?:br|p|/p|h[1-6]|/h[1-6]|li|/li|div|/div|tr|/tr|blockquote|/blockquote|section|/section|article|/article)\b[^>]*>"
 
@@ -113,6 +112,20 @@ def strip_noise(html) -> Column:
     return F.regexp_replace(_c(html), NOISE, " ")
 
 
+def article_spans(clean) -> Column:
+    """The insides of all outermost <article> elements, nested ones included;
+    an article that is never closed runs to the end."""
+    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("out"))
+
+    def step(acc, part):
+        turn = F.when(part.rlike(r"(?i)^<article\b"), 1).when(part.rlike(r"(?i)^</article\b"), -1).otherwise(0)
+        depth = F.greatest(F.lit(0), acc.depth + turn)
+        return F.struct(depth.alias("depth"), F.when(depth > 0, F.concat(acc.out, F.array(part)))
+                        .when(acc.depth > 0, F.concat(acc.out, F.array(F.lit("<br>")))).otherwise(acc.out).alias("out"))
+
+    return F.array_join(F.aggregate(F.split(clean, r"(?i)(?=</?article\b)"), start, step, lambda a: a.out), "")
+
+
 def html_title(html) -> Column:
     """Decoded, whitespace-squeezed <title>; '' when the page has none."""
     raw = F.regexp_extract(_c(html), r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1)
@@ -120,16 +133,17 @@ def html_title(html) -> Column:
 
 
 def html_main_text(html) -> Column:
-    """Main text of a page: the first <article>, else <body>, else the page.
+    """Main text of a page: its <article> elements, else <body>, else the
+    page, the latter two without page headers.
 
     Boilerplate elements are dropped, block tags become line breaks, other
     tags vanish, entities are decoded, blanks squeezed and lines trimmed."""
     def pick(clean):
-        article = F.regexp_extract(clean, r"(?is)<article\b[^>]*>(.*?)(?:</article\s*>|$)", 1)
-        body = F.regexp_extract(clean, r"(?is)<body\b[^>]*>(.*?)(?:</body\s*>|$)", 1)
-        return (F.when(clean.rlike(r"(?i)<article\b"), article)
-                .when(clean.rlike(r"(?i)<body\b"), body)
-                .otherwise(clean))
+        def page(bare):
+            body = F.regexp_extract(bare, r"(?is)<body\b[^>]*>(.*?)(?:</body\s*>|$)", 1)
+            return F.when(bare.rlike(r"(?i)<body\b"), body).otherwise(bare)
+        return F.when(clean.rlike(r"(?i)<article\b"), article_spans(clean)).otherwise(
+            let(F.regexp_replace(clean, PAGE_HEADER, " "), page))
 
     s = let(strip_noise(html), pick)
     s = F.regexp_replace(s, _BLOCK_TAGS, "\n")

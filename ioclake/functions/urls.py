@@ -31,7 +31,6 @@ USES_NETLOC = ["", "ftp", "http", "gopher", "nntp", "telnet", "imap", "wais",
                "file", "mms", "https", "shttp", "snews", "prospero", "rtsp",
                "rtsps", "rtspu", "rsync", "svn", "svn+ssh", "sftp", "nfs", "git",
                "git+ssh", "ws", "wss", "itms-services"]
-DEFAULT_PORTS = {"http": 80, "https": 443}
 MAX_URL_LENGTH = 2083
 
 # RFC 3986 appendix B, with the scheme restricted to the standard syntax.

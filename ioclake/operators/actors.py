@@ -89,36 +89,81 @@ def actor_context(actors: DataFrame, sentences: DataFrame, titles: DataFrame,
         F.when(F.lower("sent_text").rlike(phrases), F.col("sent_text")).alias("motivation"))
 
 
-def _substrings(lv: F.Column, max_len: int) -> F.Column:
-    """Distinct substrings of length 1..max_len, each at its first position
-    (so one value yields each short substring once)."""
-    n = F.length(lv)
-    pos = F.when(n == 0, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(1), n))
-    subs = F.flatten(F.transform(pos, lambda i: F.transform(
-        F.sequence(F.lit(1), F.lit(max_len)), lambda k: F.substring(lv, i, k))))
-    return F.array_distinct(subs)
-
-
 def actor_related_iocs(actors: DataFrame, iocs: DataFrame, key: str = "doc") -> DataFrame:
     """(key, actor_key, ioc ordering columns..., value): IOC values that
     contain the actor's folded name, ignoring case (C5).
 
-    A substring test is a theta join; instead of pairing every actor with
-    every IOC of a document, both sides meet on a short key: the actor's
-    first QGRAM characters and the distinct 1..QGRAM-character substrings
-    of each IOC value.  Only real candidates are paired, then verified with
-    ``contains``."""
+    A substring test is a theta join.  Each distinct value of a document is
+    tested once, and only against the distinct name starts (QGRAM characters)
+    of that document; names are paired with a value through the starts found in
+    it and verified with ``contains``; the occurrences join the links last."""
     a = actors.select(key, "actor_key", F.substring("actor_key", 1, QGRAM).alias("q"))
-    v = iocs.withColumn("_lv", F.lower("value"))
-    v = v.select("*", F.explode(_substrings(F.col("_lv"), QGRAM)).alias("q"))
-    return (v.join(a, [key, "q"], "inner")
-            .filter(F.col("_lv").contains(F.col("actor_key")))
-            .drop("q", "_lv"))
-
-
-def collect_ordered(df: DataFrame, keys: list[str], order: list[str], value: str,
-                    out: str) -> DataFrame:
-    """keys -> array of ``value`` ordered by ``order`` (duplicates kept)."""
-    st = F.struct(*[F.col(c) for c in order], F.col(value).alias("_v"))
-    return (df.groupBy(*keys).agg(F.sort_array(F.collect_list(st)).alias("_a"))
-            .select(*keys, F.transform("_a", lambda x: x["_v"]).alias(out)))
+    starts = a.groupBy(key).agg(F.collect_set("q").alias("_qs"))
+    v = iocs.select(key, F.lower("value").alias("_lv")).distinct().join(starts, key)
+    v = v.select(key, "_lv", F.explode(F.filter("_qs", lambda q: F.col("_lv").contains(q))).alias("q"))
+    links = (v.join(a, [key, "q"]).filter(F.col("_lv").contains(F.col("actor_key")))
+             .select(key, "_lv", "actor_key"))
+    return iocs.withColumn("_lv", F.lower("value")).join(links, [key, "_lv"]).drop("_lv")
+
+
+def _json(**fields) -> F.Column:
+    return F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]), {"ignoreNullFields": "false"})
+
+
+def _none() -> F.Column:
+    return F.lit(None).cast("string")
+
+
+def _empty() -> F.Column:
+    return F.array().cast("array<string>")
+
+
+def enriched(docs: DataFrame, actors: DataFrame, mentions: DataFrame, iocs: DataFrame, ttps: DataFrame,
+             context: DataFrame, key: str = "doc") -> DataFrame:
+    """(docs..., threat_actors, ttps, iocs): each document with its entities
+    as JSON arrays in first-seen order (H17).  Declared fields that nothing
+    fills are null or empty.
+
+    The children of a document are one union and one aggregate; an actor's own
+    lists are made the same way before."""
+    none = F.lit(0).cast("long")
+
+    def place(*cols):
+        return F.array(*[F.col(c).cast("long") for c in cols], *[none] * (4 - len(cols)))
+
+    in_all = place("src_rank", "sent", "pos", "pat_rank")
+    kinds = [
+        actor_targets(actors, mentions, key).select(key, "actor_key", F.lit(0).alias("k"), place("m_pos").alias("o"),
+                                                    F.col("target").alias("v")),
+        actor_tactics(actors, mentions, key).select(key, "actor_key", F.lit(1), place("m_pos"), "tactic"),
+        actor_techniques(actors, mentions, key).select(key, "actor_key", F.lit(2), place("m_pos"), "technique"),
+        actor_related_iocs(actors, iocs, key).select(key, "actor_key", F.lit(3), in_all, "value"),
+    ]
+    parts = kinds[0]
+    for more in kinds[1:]:
+        parts = parts.union(more)
+    lists = parts.groupBy(key, "actor_key").agg(F.sort_array(F.collect_list(F.struct("k", "o", "v"))).alias("_p"))
+
+    def values(k):
+        return F.coalesce(F.transform(F.filter("_p", lambda x: x.k == k), lambda x: x.v), _empty())
+
+    one = actors.join(lists, [key, "actor_key"], "left").join(context, [key, "actor_key"], "left").select(
+        key, F.lit(0).alias("k"), place("sent", "pos").alias("o"), F.col("actor_key").alias("tie"),
+        _json(names=F.col("names"), aliases=_empty(), description=F.col("description"), summary=F.col("summary"),
+              motivation=F.col("motivation"), targets=values(0), tactics=values(1), techniques=values(2),
+              procedures=_empty(), related_iocs=values(3)).alias("j"))
+    two = ttps.select(key, F.lit(1), place("sent", "pos"), "tactic",
+                      _json(tactic=F.col("tactic"), technique=F.col("technique"), procedure=_none(), mitre_id=_none(),
+                            related_actors=_empty()))
+    three = iocs.select(key, F.lit(2), in_all, "type",
+                        _json(type=F.col("type"), value=F.col("value"), first_seen=_none(), last_seen=_none(),
+                              related_actors=_empty(), related_ttps=_empty()))
+    children = one.union(two).union(three).groupBy(key).agg(
+        F.sort_array(F.collect_list(F.struct("k", "o", "tie", "j"))).alias("_c"))
+
+    def array_of(k):
+        held = F.transform(F.filter("_c", lambda x: x.k == k), lambda x: x.j)
+        return F.concat(F.lit("["), F.coalesce(F.array_join(held, ","), F.lit("")), F.lit("]"))
+
+    return docs.join(children, key, "left").select(
+        *docs.columns, array_of(0).alias("threat_actors"), array_of(1).alias("ttps"), array_of(2).alias("iocs"))

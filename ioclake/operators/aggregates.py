@@ -9,34 +9,6 @@ from pyspark.sql import functions as F
 CONCAT_FANOUT = 1024
 
 
-def ordered_concat(df: DataFrame, keys: list[str], order: str, values: dict[str, str],
-                   fanout: int = CONCAT_FANOUT) -> DataFrame:
-    """(keys..., out...) where each ``out`` joins column ``values[out]``
-    with no separator in ``order`` (put separators into the values).
-
-    Two levels: runs of at most ``fanout`` consecutive order values are
-    concatenated in parallel first, then the per-run strings are joined.
-    No task sorts more than ``fanout`` values, or one string per run, for a
-    key, even for a key (or the whole table with ``keys=[]``) that holds a
-    large share of the rows.  NULL values are skipped; ``order`` must be a
-    non-negative integer column."""
-    outs = list(values)
-
-    def field(o):
-        return lambda x: x[o]
-
-    b = F.floor(F.col(order) / F.lit(fanout)).alias("_bucket")
-    parts = [F.col(values[o]).alias(o) for o in outs]
-    lvl1 = (df.select(*keys, b, F.struct(F.col(order).alias("_o"), *parts).alias("_r"))
-            .groupBy(*keys, "_bucket")
-            .agg(F.sort_array(F.collect_list("_r")).alias("_a"))
-            .select(*keys, "_bucket", *[
-                F.array_join(F.transform("_a", field(o)), "").alias(o) for o in outs]))
-    return (lvl1.groupBy(*keys)
-            .agg(F.sort_array(F.collect_list(F.struct("_bucket", *outs))).alias("_a"))
-            .select(*keys, *[F.array_join(F.transform("_a", field(o)), "").alias(o) for o in outs]))
-
-
 def first_seen(df: DataFrame, value: str, order: list[str]) -> DataFrame:
     """Distinct ``value`` with the smallest ``order`` tuple it occurs at
     (partial aggregation: one row per value and task crosses the shuffle)."""

@@ -39,11 +39,6 @@ def build_requests(chunks: DataFrame, key: str = "doc") -> DataFrame:
                          req.alias("request"))
 
 
-def _vtype(k: str) -> F.Column:
-    # 'STRING', 'BIGINT', 'NULL', 'OBJECT<...>', ... ; null when the key is absent
-    return F.expr(f"schema_of_variant(variant_get(_v, '$.{k}'))")
-
-
 def classify_replies(responses: DataFrame) -> DataFrame:
     """Add ``reply_class`` and the parsed six fields.
 
@@ -109,7 +104,8 @@ def choose_attempt(classified: DataFrame, key: str = "doc",
     classes a, b, c and e (H14).  Chunks with none are absent."""
     ok = classified.filter(F.col("reply_class").isin("a", "b", "c", "e")
                            & (F.col("attempt") <= max_attempts))
-    fields = [c for c in ok.columns if c not in (key, "chunk_no")]
+    # the raw reply stays behind; its parsed fields go on
+    fields = [c for c in ok.columns if c not in (key, "chunk_no", "content")]
     best = (ok.groupBy(key, "chunk_no")
             .agg(F.min_by(F.struct(*fields), F.col("attempt")).alias("_r")))
     return best.select(key, "chunk_no", "_r.*")

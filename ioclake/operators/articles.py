@@ -29,24 +29,17 @@ def accepted(articles: DataFrame) -> DataFrame:
     return articles.filter(F.col("reject").isNull()).drop("reject")
 
 
-def dedup_by_url(articles: DataFrame, key: str = "url", order: str = "pos") -> DataFrame:
+def dedup_by_url(articles: DataFrame, key: str = "url", order="pos") -> DataFrame:
     """Keep the first row per key by ``order``.
 
     ``row_number() = 1`` becomes a partial WindowGroupLimit before the
     shuffle: each map task ships at most one row per key, so a key that
     holds a third of all rows costs one row per task, not a hot partition."""
-    w = Window.partitionBy(key).orderBy(order)
+    w = Window.partitionBy(key).orderBy(*([order] if isinstance(order, str) else order))
     return (articles.withColumn("_rn", F.row_number().over(w))
             .filter(F.col("_rn") == 1).drop("_rn"))
 
 
-def duplicate_rows(articles: DataFrame, key: str = "url", order: str = "pos") -> DataFrame:
-    """The rows E2 drops."""
-    w = Window.partitionBy(key).orderBy(order)
-    return (articles.withColumn("_rn", F.row_number().over(w))
-            .filter(F.col("_rn") > 1).drop("_rn"))
-
-
 def _valid() -> F.Column:
     # truthiness of str: non-empty passes, a blank-only title passes
     return ((F.col("title") != "") & (F.col("text") != "") & (F.col("url") != "")).eqNullSafe(True)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ioclake import config
 from ioclake.functions.text import tokens as token_array
 
-# fixed values: the indicator patterns of config.IOC_PATTERNS with Python's
+# fixed values: the indicator patterns, in matcher order, with Python's
 # Unicode-aware \b and \d spelled out, so Java and RE2 agree with Python:
 # \b -> (^|[^\p{L}\p{N}_]) ... ($|[^\p{L}\p{N}_]),  \d -> \p{Nd}
 IOC_TOKEN_PATTERNS = [

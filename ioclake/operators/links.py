@@ -10,8 +10,12 @@ from ioclake import config
 from ioclake.functions.text import decode_entities
 from ioclake.functions.urls import with_resolved_url
 
-# <a ... href=VALUE>, value double-quoted, single-quoted or bare
-ANCHOR_HREF = r"""(?is)<a\b[^>]*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)"""
+# One start tag of an <a> element: the name must end there, attributes are
+# quoted or bare tokens, so a '>' inside quotes does not end the tag.
+ANCHOR = r"""(?is)<a(?=[\s/>])(?:"[^"]*"|'[^']*'|[^>"'])*>"""
+# The attribute named exactly href: names start after white space, and the
+# attributes before it are skipped as whole tokens.
+HREF = r"""(?is)^<a(?:[\s/]+(?!href[\s=/>])[^\s=/>]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']*))?)*[\s/]+href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
 
 
 def _without_raw_text(html) -> F.Column:
@@ -23,8 +27,10 @@ def _without_raw_text(html) -> F.Column:
 
 def extract_links(pages: DataFrame, page_key: str = "page_id") -> DataFrame:
     """(page_key, page_url, link_pos, href): every non-empty href of an <a>
-    element, in document order, entities decoded."""
-    raw = F.regexp_extract_all(_without_raw_text(F.col("html")), F.lit(ANCHOR_HREF), 1)
+    element, in document order, entities decoded.  ``link_pos`` numbers the
+    <a> elements that carry an href."""
+    tags = F.regexp_extract_all(_without_raw_text(F.col("html")), F.lit(ANCHOR), 0)
+    raw = F.filter(F.transform(tags, lambda t: F.regexp_extract(t, HREF, 1)), lambda h: h != "")
     return (pages
             .select(F.col(page_key), F.col("url").alias("page_url"),
                     F.posexplode(raw).alias("link_pos", "_raw"))

@@ -12,14 +12,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ioclake import config
-from ioclake.functions.text import let
+from ioclake.functions.text import TOKEN_LEAD, WS, let
 from ioclake.functions.text import tokens as token_array
 from ioclake.operators.text import split_sentences
 
-MAX_SPAN = 3
-# A gazetteer up to this many rows is broadcast; beyond it the lookup is a
-# shuffle join on the first word (AQE may still pick broadcast at run time).
-BROADCAST_MAX_TERMS = 200_000
+# Marks in place of the punctuation a token lost before and after it, so a
+# span can tell "of the" from "of, the".
+LOST_BEFORE, LOST_AFTER = "\x01", "\x02"
 
 
 def gazetteer_table(spark: SparkSession, entries=None) -> DataFrame:
@@ -28,57 +27,63 @@ def gazetteer_table(spark: SparkSession, entries=None) -> DataFrame:
 
 
 def prepare_gazetteer(gaz: DataFrame) -> DataFrame:
-    """Terms normalised with the token rule and lower-cased:
-    (first, n_tokens, term_l, label); terms of 1..MAX_SPAN tokens only; a
-    term listed with several labels keeps the smallest."""
+    """(n_tokens, term_l, labels): terms normalised with the token rule and
+    lower-cased, each with all its labels, sorted.  Terms of any length."""
     toks = F.transform(token_array(F.col("term")), lambda t: F.lower(t))
-    return (gaz.select(toks.alias("_t"), "label")
-            .filter((F.size("_t") >= 1) & (F.size("_t") <= MAX_SPAN))
-            .select(F.col("_t")[0].alias("first"), F.size("_t").alias("n_tokens"),
-                    F.array_join("_t", " ").alias("term_l"), "label")
-            .groupBy("first", "n_tokens", "term_l").agg(F.min("label").alias("label")))
-
-
-def find_mentions(docs: DataFrame, gazetteer: DataFrame, key: str = "doc",
-                  text: str = "text", gazetteer_rows: int | None = None) -> DataFrame:
-    """Spans of 1..3 tokens inside one sentence whose lower-cased text is a
-    gazetteer term; a span inside a longer matched span is dropped.
-
-    Plan: sentences -> one row per token carrying the next two tokens ->
-    equi-join on the first word against the (broadcast) gazetteer ->
-    residual check of the full span.  Only matched spans reach the window
-    that removes contained spans (shuffle on (doc, sent), small)."""
-    sents = split_sentences(docs, key, text)
-    windows = let(token_array(F.col("sent_text")), lambda toks: F.transform(toks, lambda t, i: F.struct(
-        i.alias("pos"), t.alias("t0"), F.get(toks, i + 1).alias("t1"), F.get(toks, i + 2).alias("t2"))))
-    grams = (sents.select(key, "sent", F.explode(windows).alias("_w"))
-             .select(key, "sent", "_w.*")
-             .withColumn("first", F.lower("t0")))
+    return (gaz.select(toks.alias("_t"), "label").filter(F.size("_t") >= 1)
+            .groupBy(F.size("_t").alias("n_tokens"), F.array_join("_t", " ").alias("term_l"))
+            .agg(F.sort_array(F.collect_set("label")).alias("labels")))
+
+
+def marked_tokens(text) -> F.Column:
+    """The tokens of the token rule, with marks where punctuation was lost;
+    a token of punctuation only marks the next one."""
+    s = F.translate(F.coalesce(F.col(text), F.lit("")), LOST_BEFORE + LOST_AFTER, "--")
+    s = F.regexp_replace(s, TOKEN_LEAD, LOST_BEFORE)
+    s = F.regexp_replace(s, r"[^\p{L}\p{N}/\x01 \t\n\x0B\f\r]+(?![^ \t\n\x0B\f\r])", LOST_AFTER)
+    s = F.regexp_replace(s, LOST_BEFORE + WS + "+", LOST_BEFORE)
+    return F.filter(F.split(s, WS + "+"), lambda t: (t != "") & (F.translate(t, LOST_BEFORE + LOST_AFTER, "") != ""))
+
+
+def find_mentions(docs: DataFrame, gazetteer: DataFrame, key: str = "doc", text: str = "text") -> DataFrame:
+    """(key, sent, pos, n_tokens, text, label): spans inside one sentence
+    whose lower-cased text is a gazetteer term and that hold no punctuation
+    between their tokens; of overlapping spans the leftmost stays, of those at
+    one place the longest.  A term with several labels gives a row for each.
+
+    Plan: per sentence the spans of just the lengths that the gazetteer holds
+    -> equi-join on (length, span) -> the few matches of a sentence are walked
+    in order.  The distinct lengths are the only thing read up front."""
     gaz = prepare_gazetteer(gazetteer)
-    if gazetteer_rows is not None and gazetteer_rows <= BROADCAST_MAX_TERMS:
-        gaz = F.broadcast(gaz)
-    span = (F.when(F.col("n_tokens") == 1, F.col("t0"))
-            .when(F.col("n_tokens") == 2, F.concat_ws(" ", "t0", "t1"))
-            .otherwise(F.concat_ws(" ", "t0", "t1", "t2")))
-    full = (F.when(F.col("n_tokens") == 1, F.lit(True))
-            .when(F.col("n_tokens") == 2, F.col("t1").isNotNull())
-            .otherwise(F.col("t2").isNotNull()))
-    matched = (grams.join(gaz, "first", "inner")
-               .withColumn("text", span)
-               .filter(full & (F.lower("text") == F.col("term_l")))
-               .select(key, "sent", "pos", "n_tokens", "text", "label"))
-    w = Window.partitionBy(key, "sent").orderBy("pos").rangeBetween(-(MAX_SPAN - 1), 0)
-    around = F.collect_list(F.struct("pos", "n_tokens")).over(w)
-    return (matched.withColumn("_around", around)
-            .filter(~F.exists("_around", lambda o: (o["n_tokens"] > F.col("n_tokens"))
-                              & (o["pos"] + o["n_tokens"] >= F.col("pos") + F.col("n_tokens"))))
-            .drop("_around"))
-
-
-def gazetteer_size_checked(gazetteer: DataFrame) -> int:
-    """Row count of the gazetteer (a small dimension; the count bounds what
-    we broadcast)."""
-    return gazetteer.count()
+    lengths = sorted(r[0] for r in gaz.select("n_tokens").distinct().collect())
+    sents = split_sentences(docs, key, text).select(key, "sent", marked_tokens("sent_text").alias("_t"))
+
+    def spans(toks, n: int):
+        first = F.when(F.size(toks) >= n, F.sequence(F.lit(0), F.size(toks) - n)).otherwise(
+            F.array().cast("array<int>"))
+        return F.transform(first, lambda i: F.struct(
+            i.alias("pos"), F.lit(n).alias("n_tokens"), F.array_join(F.slice(toks, i + 1, n), " ").alias("raw")))
+
+    every = let(F.col("_t"), lambda t: F.concat(*[spans(t, n) for n in lengths])) if lengths else \
+        F.array().cast("array<struct<pos:int,n_tokens:int,raw:string>>")
+    whole = ~F.col("raw").contains(LOST_AFTER + " ") & ~F.col("raw").contains(" " + LOST_BEFORE)
+    grams = (sents.select(key, "sent", F.explode(every).alias("_s")).select(key, "sent", "_s.*").filter(whole)
+             .select(key, "sent", "pos", "n_tokens", F.translate("raw", LOST_BEFORE + LOST_AFTER, "").alias("text"))
+             .withColumn("term_l", F.lower("text")))
+    matched = grams.join(gaz, ["n_tokens", "term_l"]).select(
+        key, "sent", F.struct("pos", F.negative("n_tokens").alias("less"), "text", "labels").alias("_m"))
+    start = F.struct(F.lit(0).alias("free"), F.slice("_all", 1, 0).alias("kept"))
+
+    def walk(acc, m):
+        fits = m.pos >= acc.free
+        return F.struct(F.when(fits, m.pos - m.less).otherwise(acc.free).alias("free"),
+                        F.when(fits, F.concat(acc.kept, F.array(m))).otherwise(acc.kept).alias("kept"))
+
+    kept = F.aggregate("_all", start, walk, lambda a: a.kept)
+    return (matched.groupBy(key, "sent").agg(F.array_sort(F.collect_list("_m")).alias("_all"))
+            .select(key, "sent", F.explode(kept).alias("_m"))
+            .select(key, "sent", "_m.pos", F.negative("_m.less").alias("n_tokens"), "_m.text",
+                    F.explode("_m.labels").alias("label")))
 
 
 def ttps(mentions: DataFrame, key: str = "doc", labels=None) -> DataFrame:

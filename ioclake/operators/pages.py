@@ -9,27 +9,44 @@ from pyspark.sql import functions as F
 from ioclake.functions.text import html_main_text, html_title, project_once
 
 
-def fetch_frontier(links: DataFrame, pages: DataFrame) -> DataFrame:
-    """Distinct link URLs with whether a landed page already exists (A3).
+def without_fragment(url) -> F.Column:
+    """The part of a URL that is fetched."""
+    return F.substring_index(url, "#", 1)
+
+
+def _landed(pages: DataFrame) -> DataFrame:
+    """One landed page per fetched URL: the first by page_id."""
+    return (pages.filter(F.col("url").isNotNull()).groupBy(without_fragment("url").alias("fetch_url"))
+            .agg(F.min("page_id").alias("page_id")))
+
 
-    Each URL is looked up once however many links point at it; the
-    `cached = false` rows are the work still to fetch."""
-    wanted = links.select(F.col("abs_url").alias("url")).distinct()
-    have = pages.select("url").distinct().withColumn("cached", F.lit(True))
+def fetch_frontier(links: DataFrame, pages: DataFrame) -> DataFrame:
+    """Distinct link URLs, as fetched, with whether a landed page already
+    exists (A3).  Each URL is looked up once however many links point at it;
+    the `cached = false` rows are the work still to fetch."""
+    wanted = links.select(without_fragment("abs_url").alias("url")).distinct()
+    have = _landed(pages).select(F.col("fetch_url").alias("url"), F.lit(True).alias("cached"))
     return (wanted.join(have, "url", "left")
             .select("url", F.coalesce(F.col("cached"), F.lit(False)).alias("cached")))
 
 
+def lookup_pages(links: DataFrame, pages: DataFrame) -> DataFrame:
+    """Links with the page_id of their landed page, fragments aside: links
+    whose page is missing vanish, as failed fetches did."""
+    return links.withColumn("fetch_url", without_fragment("abs_url")) \
+        .join(_landed(pages), "fetch_url").drop("fetch_url")
+
+
 def join_links_to_pages(links: DataFrame, pages: DataFrame) -> DataFrame:
-    """Links whose URL has a landed page (C1, inner equi-join): links whose
-    page is missing vanish, as failed fetches did."""
-    return (links.join(pages.select(F.col("url").alias("abs_url"), "page_id", "html"),
-                       "abs_url", "inner"))
+    """Links with their landed page's id and html (C1); a narrow lookup
+    decides the page, its html follows by page_id."""
+    return lookup_pages(links, pages).join(pages.select("page_id", "html"), "page_id")
 
 
 def links_without_page(links: DataFrame, pages: DataFrame) -> DataFrame:
     """Links whose page is missing (C1 complement, left anti join)."""
-    return links.join(pages.select(F.col("url").alias("abs_url")), "abs_url", "left_anti")
+    return links.withColumn("fetch_url", without_fragment("abs_url")) \
+        .join(_landed(pages), "fetch_url", "left_anti").drop("fetch_url")
 
 
 def page_text(pages: DataFrame, keep=("page_id", "url")) -> DataFrame:

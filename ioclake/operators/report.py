@@ -15,23 +15,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ioclake import config
-from ioclake.functions.text import py_strip
-from ioclake.operators.aggregates import first_seen, ordered_concat
+from ioclake.operators.aggregates import first_seen
 
 
 def report_summary(analysed: DataFrame) -> DataFrame:
-    """One row: executive_summary = article summaries joined by a blank in
-    article order, empties kept (D4); global_impact = impacts each followed
-    by a blank, stripped (D8)."""
-    # a leading blank on every summary, removed once at the end, keeps the
-    # concat free of any "is this the first article" lookup
-    df = analysed.select(
-        "pos",
-        F.concat(F.lit(" "), F.coalesce("Executive_Summary", F.lit(""))).alias("_s"),
-        F.concat(F.coalesce("Global_Impact", F.lit(" ")), F.lit(" ")).alias("_g"))
-    agg = ordered_concat(df, [], "pos", {"_s": "_s", "_g": "_g"})
-    return agg.select(F.expr("substring(_s, 2)").alias("executive_summary"),
-                      py_strip("_g").alias("global_impact"))
+    """(pos, executive_summary, global_impact): one row per article in
+    article order.  The report's summary is the executive summaries joined by
+    a blank (D4) and the impacts joined by a blank and stripped (D8); it is kept
+    as ordered lines, so no row holds the corpus."""
+    return analysed.select("pos", F.coalesce("Executive_Summary", F.lit("")).alias("executive_summary"),
+                           F.coalesce("Global_Impact", F.lit("")).alias("global_impact"))
 
 
 def _first_seen_items(analysed: DataFrame, field: str, out: str) -> DataFrame:
@@ -64,11 +57,12 @@ def report_lines(articles: DataFrame, analysed: DataFrame, report_id: str | None
     """(report_id, run_ts, section, pos, json): the report document as JSON
     lines (D9, A4, A5).
 
-    Sections: 'header' (id, timestamp, version, generated_by), 'summary'
-    (executive summary, global impact), one 'landscape' line per actor, one
+    Every line is wrapped in ``threat_intelligence`` (A5).  Sections:
+    'header' (id, timestamp, version, generated_by), one 'summary' line per
+    analysed article (summary, impact), one 'landscape' line per actor, one
     'threat' line per emerging threat, one 'recommendation' line per
     recommendation, one 'article' line per validated article (analysed or
-    not).  ``pos`` orders lines inside a section.  Every section is built
+    not) with its actors, TTPs and IOCs.  ``pos`` orders lines inside a section.  Every section is built
     in parallel; the id and run time are two constants."""
     spark = analysed.sparkSession
     report_id = report_id or str(uuid.uuid4())
@@ -79,23 +73,31 @@ def report_lines(articles: DataFrame, analysed: DataFrame, report_id: str | None
     def line(df, section, pos, payload):
         return df.select(F.lit(report_id).alias("report_id"), F.lit(stamp).alias("run_ts"),
                          F.lit(section).alias("section"), pos.cast("long").alias("pos"),
-                         F.to_json(payload).alias("json"))
+                         F.concat(F.lit('{"threat_intelligence":'), payload, F.lit("}")).alias("json"))
 
-    header = line(spark.range(1), "header", F.lit(0), F.struct(
+    def obj(*cols):
+        return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
+
+    header = line(spark.range(1), "header", F.lit(0), obj(
         F.lit(report_id).alias("id"), ts.cast("string").alias("timestamp"),
         F.lit(config.REPORT_VERSION).alias("version"), F.lit(generated_by).alias("generated_by")))
-    summary = line(report_summary(analysed), "summary", F.lit(0), F.struct(
+    summary = line(report_summary(analysed), "summary", F.col("pos"), obj(
         "executive_summary", "global_impact"))
-    land = line(report_landscape(analysed), "landscape", F.col("first_pos"), F.struct(
+    land = line(report_landscape(analysed), "landscape", F.col("first_pos"), obj(
         "actor", F.create_map(F.lit("description"), F.col("description")).alias("entry")))
-    thr = line(report_threats(analysed), "threat", F.col("first_pos"), F.struct("description", "severity"))
+    thr = line(report_threats(analysed), "threat", F.col("first_pos"), obj("description", "severity"))
     rec = line(report_recommendations(analysed), "recommendation", F.col("first_pos"),
-               F.struct("description", "priority"))
-    art = line(articles, "article", F.col("pos"), F.struct(*articles.columns))
+               obj("description", "priority"))
+    # the entity columns hold JSON already
+    own = F.to_json(F.struct("pos", "title", "url", "text"), {"ignoreNullFields": "false"})
+    art = line(articles.withColumn("_own", own), "article", F.col("pos"), F.concat(
+        F.expr("left(_own, length(_own) - 1)"), F.lit(',"threat_actors":'), "threat_actors",
+        F.lit(',"ttps":'), "ttps", F.lit(',"iocs":'), "iocs", F.lit("}")))
     return (header.unionByName(summary).unionByName(land).unionByName(thr)
             .unionByName(rec).unionByName(art))
 
 
 def write_report(lines: DataFrame, path: str) -> None:
-    """Sink: JSON lines under ``path``, one folder per run timestamp (A4)."""
-    lines.write.mode("append").partitionBy("run_ts").json(path)
+    """Sink: JSON lines under ``path``, one folder per run stamp (A4).  A run
+    with the same stamp replaces its own folder and no other."""
+    lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_ts").json(path)

@@ -16,11 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ioclake import config
-from ioclake.functions.text import py_strip
+from ioclake.functions.text import WS, py_strip
+from ioclake.functions.urls import with_normalized_url
 from ioclake.operators import articles as art
 from ioclake.operators import links as lk
 from ioclake.operators import mentions as mn
-from ioclake.operators.pages import page_text
+from ioclake.operators import pages as pg
 from ioclake.operators.text import chunk_tokens, split_sentences
 from ioclake.sources.tables import page_scan, read_text_table
 
@@ -41,9 +42,37 @@ def first_links(spark: SparkSession, sf: str, markers=None) -> DataFrame:
     return lk.first_n_links(lk.filter_article_links(resolved_links(spark, sf), markers))
 
 
+def site_links(spark: SparkSession, sf: str) -> DataFrame:
+    """(site_pos, link_pos, abs_url): the first article links of each site.
+
+    No landed link points at a landed page, so links are bound to pages by a
+    rule: number (7 * site + 13 * link + 1) modulo twice the number of pages;
+    where that is a page_id, the link's target is that page's URL, else it
+    keeps its own and its page is missing."""
+    pages = page_scan(spark, sf)
+    twice = pages.agg((F.max("page_id") + 1) * 2).scalar()
+    links = first_links(spark, sf).select(F.col("page_id").alias("site_pos"), "link_pos", "abs_url").withColumn(
+        "page_id", (F.col("site_pos") * 7 + F.col("link_pos") * 13 + 1) % twice)
+    return links.join(pages.select("page_id", "url"), "page_id", "left") \
+        .select("site_pos", "link_pos", F.coalesce("url", "abs_url").alias("abs_url"))
+
+
+def flow_articles(spark: SparkSession, sf: str) -> DataFrame:
+    """(site_pos, link_pos, page_id, doc, title, text): articles reached from
+    the sites' links.  URLs are checked and deduplicated before any html
+    moves; equal URLs have one page, so the order of steps does not matter."""
+    pages = page_scan(spark, sf)
+    found = pg.lookup_pages(site_links(spark, sf), pages)
+    named = with_normalized_url(found, "abs_url", out="doc", reason="_reject").filter("_reject IS NULL")
+    once = art.dedup_by_url(named.select("site_pos", "link_pos", "page_id", "doc"), "doc", ["site_pos", "link_pos"])
+    html = once.join(pages.select("page_id", "html"), "page_id")
+    texts = pg.page_text(html, keep=("site_pos", "link_pos", "page_id", "doc"))
+    return art.validate(texts.withColumnRenamed("doc", "url")).withColumnRenamed("url", "doc")
+
+
 def built_articles(spark: SparkSession, sf: str) -> DataFrame:
     """Extracted pages as article records with reject reasons."""
-    texts = page_text(page_scan(spark, sf), keep=("page_id", "url"))
+    texts = pg.page_text(page_scan(spark, sf), keep=("page_id", "url"))
     return art.build_articles(texts, pos="page_id")
 
 
@@ -62,7 +91,7 @@ def validated_articles(spark: SparkSession, sf: str, deduped: DataFrame | None =
 def doc_mentions(spark: SparkSession, sf: str, docs: DataFrame | None = None) -> DataFrame:
     docs = documents(spark, sf) if docs is None else docs
     gaz = mn.gazetteer_table(spark)
-    return mn.find_mentions(docs, gaz, key="doc", gazetteer_rows=len(config.TESTDATA_GAZETTEER))
+    return mn.find_mentions(docs, gaz, key="doc")
 
 
 def doc_sentences(spark: SparkSession, sf: str, docs: DataFrame | None = None) -> DataFrame:
@@ -87,7 +116,7 @@ def stub_replies(chunks: DataFrame) -> DataFrame:
     4 JSON array twice, then as 0  5 list value not a string, every time
     6 summary is a number (passes the parse, ends in rejects)
     """
-    toks = F.split("chunk", " ")
+    toks = F.split(py_strip("chunk"), WS + "+")
 
     def words(start, n, sep):
         return F.array_join(F.slice(toks, start, n), sep)

@@ -7,7 +7,8 @@ so results compare as plain strings.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from ioclake import config
@@ -53,18 +54,17 @@ def q_links_first_n(spark, sf):
 
 
 def q_fetch_frontier(spark, sf):
-    return pg.fetch_frontier(b.first_links(spark, sf), page_scan(spark, sf))
+    return pg.fetch_frontier(b.site_links(spark, sf), page_scan(spark, sf))
 
 
 def q_link_page_join(spark, sf):
-    return (pg.join_links_to_pages(b.first_links(spark, sf).withColumnRenamed("page_id", "src_page_id"),
-                                   page_scan(spark, sf))
-            .select("src_page_id", "link_pos", "abs_url", "page_id"))
+    return (pg.join_links_to_pages(b.site_links(spark, sf), page_scan(spark, sf))
+            .select("site_pos", "link_pos", "abs_url", "page_id"))
 
 
 def q_link_page_missing(spark, sf):
-    return (pg.links_without_page(b.first_links(spark, sf), page_scan(spark, sf))
-            .select("page_id", "link_pos", "abs_url"))
+    return (pg.links_without_page(b.site_links(spark, sf), page_scan(spark, sf))
+            .select("site_pos", "link_pos", "abs_url"))
 
 
 # ------------------------------------------------------------ article side
@@ -95,7 +95,9 @@ def q_validate_rejects(spark, sf):
 
 
 def q_articles_ordered(spark, sf):
-    return b.validated_articles(spark, sf).select("pos", "doc").orderBy("pos")
+    """The connected flow: sites -> first links -> landed pages -> text ->
+    dedup -> validation, in (site, link) order (F1)."""
+    return b.flow_articles(spark, sf).select("site_pos", "link_pos", "doc", "title").orderBy("site_pos", "link_pos")
 
 
 def q_risk_range_check(spark, sf):
@@ -196,22 +198,16 @@ def q_actor_related_iocs(spark, sf):
         "doc", "actor_key", "src_rank", "sent", "pos", "pat_rank", "type", "value")
 
 
-def q_articles_enriched(spark, sf):
-    """Articles with their actors, TTPs and IOCs attached (H17), rendered
-    as the ordered actor keys and the TTP / IOC counts.  Actor keys are
-    distinct names of a document (bounded by its vocabulary); TTPs and IOCs
-    are counted with partial aggregation, never gathered into one row."""
-    docs = b.documents(spark, sf)
+def _enriched(spark, sf, docs):
+    """``docs`` (doc, title, text, ...) with actors, TTPs and IOCs."""
     ments = b.doc_mentions(spark, sf, docs)
     actors = ac.merge_actors(ments)
-    a = ac.collect_ordered(actors, ["doc"], ["sent", "pos"], "actor_key", "actors")
-    t = mn.ttps(ments).groupBy("doc").agg(F.count(F.lit(1)).alias("n_ttps"))
-    i = _doc_iocs(spark, sf, docs, ments).groupBy("doc").agg(F.count(F.lit(1)).alias("n_iocs"))
-    out = docs.select("doc", "title").join(a, "doc", "left").join(t, "doc", "left").join(i, "doc", "left")
-    return out.select("doc", "title",
-                      F.to_json(F.coalesce("actors", F.array().cast("array<string>"))).alias("actors"),
-                      F.coalesce("n_ttps", F.lit(0)).alias("n_ttps"),
-                      F.coalesce("n_iocs", F.lit(0)).alias("n_iocs"))
+    context = ac.actor_context(actors, b.doc_sentences(spark, sf, docs), docs)
+    return ac.enriched(docs, actors, ments, _doc_iocs(spark, sf, docs, ments), mn.ttps(ments), context)
+
+
+def q_articles_enriched(spark, sf):
+    return _enriched(spark, sf, b.documents(spark, sf)).select("doc", "title", "threat_actors", "ttps", "iocs")
 
 
 # --------------------------------------------------------- analysis side
@@ -312,9 +308,14 @@ def q_report_recommendations(spark, sf):
     return rp.report_recommendations(_analysed(spark, sf))
 
 
+#: a run names its report; the query's is fixed so that it can be compared
+REPORT_ID, REPORT_TIME = "00000000-0000-0000-0000-000000000000", datetime(2024, 1, 2, 3, 4, 5)
+
+
 def q_report_json(spark, sf):
     a = _Analysis(spark, sf)
-    return rp.report_lines(a.validated.select("pos", "url", "title", "text"), a.analysed)
+    articles = _enriched(spark, sf, a.validated)
+    return rp.report_lines(articles, a.analysed, REPORT_ID, REPORT_TIME)
 
 
 def q_stage_counts(spark, sf):

@@ -9,6 +9,8 @@ definition, so agreement checks the rewrite too.
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from ioclake import config
 from ioclake.functions.urls import USES_NETLOC, USES_RELATIVE
 
@@ -35,51 +37,79 @@ def sentences(col: str) -> str:
             + "+', '\\1' || chr(1), 'g'), chr(1))")
 
 
+def words(col: str) -> str:
+    """Raw words, each with the white space before it, the last also with
+    what follows: joined they are the text."""
+    return f"regexp_extract_all(coalesce({col}, ''), '{WS}*[^{WS[1:]}+(?:{WS}+\\z)?')"
+
+
 def py_strip(col: str) -> str:
     return f"trim({col}, {PYWS})"
 
 
-_NAMED = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-          ("&nbsp;", " "), ("&copy;", "©"), ("&reg;", "®"), ("&middot;", "·"), ("&ndash;", "–"),
-          ("&mdash;", "—"), ("&hellip;", "…"), ("&lsquo;", "‘"), ("&rsquo;", "’"),
-          ("&ldquo;", "“"), ("&rdquo;", "”")]
+_NAMES = {n: " " if c == 0xA0 else chr(c) for n, c in (*name2codepoint.items(), ("apos", 39))}
+_NAME_MAP = (f"map([{', '.join(_q(n) for n in _NAMES)}], [{', '.join(_q(c) for c in _NAMES.values())}])")
 
 
-def decode_entities(col: str) -> str:
-    s = col
-    for a, b in _NAMED:
-        s = f"replace({s}, {_q(a)}, {_q(b)})"
-    s = (f"list_reduce(list_distinct(regexp_extract_all({s}, '&#([0-9]{{1,7}});', 1)), "
-         f"lambda acc, n: replace(acc, '&#' || n || ';', chr(n::INTEGER)), {s})")
-    s = (f"list_reduce(list_distinct(regexp_extract_all({s}, '&#[xX]([0-9a-fA-F]{{1,6}});', 1)), "
-         f"lambda acc, h: regexp_replace(acc, '&#[xX]' || h || ';', chr(('0x' || h)::INTEGER), 'g'), {s})")
-    return f"replace({s}, '&amp;', '&')"
+def _char(number: str) -> str:
+    return (f"CASE WHEN coalesce({number}, -1) BETWEEN 1 AND 1114111 AND NOT {number} BETWEEN 55296 AND 57343 "
+            f"THEN chr(CAST({number} AS INTEGER)) ELSE chr(65533) END")
 
 
-_DROP = ["script", "style", "noscript", "template", "nav", "footer", "header", "aside"]
+def decode_entities(col: str) -> str:
+    ref = lambda rx: f"regexp_extract(p, '^{rx};', 1)"
+    dec, hx, name = ref("#0*([0-9]{1,7})"), ref("#[xX]0*([0-9a-fA-F]{1,7})"), ref("([A-Za-z][A-Za-z0-9]*)")
+    tail = "substring(p, strpos(p, ';') + 1)"
+    piece = (f"CASE WHEN {dec} <> '' THEN {_char(f'TRY_CAST({dec} AS BIGINT)')} || {tail} "
+             f"WHEN {hx} <> '' THEN {_char(f'TRY_CAST(concat(chr(48), chr(120), {hx}) AS BIGINT)')} || {tail} "
+             f"WHEN regexp_matches(p, '^#([0-9]+|[xX][0-9a-fA-F]+);') THEN chr(65533) || {tail} "
+             f"WHEN {name} <> '' AND len(map_extract({_NAME_MAP}, {name})) > 0 "
+             f"THEN map_extract({_NAME_MAP}, {name})[1] || {tail} ELSE '&' || p END")
+    return (f"CASE WHEN contains({col}, '&') THEN string_split({col}, '&')[1] || array_to_string("
+            f"list_transform(string_split({col}, '&')[2:], lambda p: {piece}), '') ELSE {col} END")
+
+
+_DROP = ["script", "style", "noscript", "template", "nav", "footer", "aside"]
 _BLOCK = (r"(?i)<(?:br|p|/p|h[1-6]|/h[1-6]|li|/li|div|/div|tr|/tr|blockquote|/blockquote|"
           r"section|/section|article|/article)\b[^>]*>")
 
 
 def page_text_cte() -> str:
+    """Article text by the running depth of article tags: a piece belongs to
+    an article where more were opened than closed, stray closings aside."""
     noise = "(?is)<(?:!--.*?-->|" + "|".join(f"{t}\\b[^>]*>.*?</{t}\\s*>" for t in _DROP) + ")"
     clean = f"regexp_replace(html, '{noise}', ' ', 'g')"
-    title = py_strip("regexp_replace(" + decode_entities(
-        r"regexp_extract(html, '(?is)<title\b[^>]*>(.*?)</title\s*>', 1)") + r", '\s+', ' ', 'g')")
-    main = (r"CASE WHEN regexp_matches(c, '(?i)<article\b') "
-            r"THEN regexp_extract(c, '(?is)<article\b[^>]*>(.*?)(?:</article\s*>|$)', 1) "
-            r"WHEN regexp_matches(c, '(?i)<body\b') "
-            r"THEN regexp_extract(c, '(?is)<body\b[^>]*>(.*?)(?:</body\s*>|$)', 1) ELSE c END")
-    txt = f"regexp_replace({main}, '{_BLOCK}', chr(10), 'g')"
+    title = py_strip("regexp_replace(" + decode_entities("raw_title") + r", '\s+', ' ', 'g')")
+    bare = r"regexp_replace(c, '(?is)<header\b[^>]*>.*?</header\s*>', ' ', 'g')"
+    txt = f"regexp_replace(main, '{_BLOCK}', chr(10), 'g')"
     txt = f"regexp_replace({txt}, '<[^>]*>', '', 'g')"
-    txt = decode_entities(txt)
-    txt = f"regexp_replace({txt}, '[ \\t\\f\\r\\x0B]+', ' ', 'g')"
-    txt = f"regexp_replace({txt}, ' ?\\n[ \\n]*', chr(10), 'g')"
-    txt = py_strip(txt)
-    return f"""page_text AS (
-      SELECT page_id, url, title, text FROM (
-        SELECT page_id, url, {title} AS title, {txt} AS text
-        FROM (SELECT page_id, url, html, {clean} AS c FROM pages))
+    squeezed = "regexp_replace(dec, '[ \\t\\f\\r\\x0B]+', ' ', 'g')"
+    squeezed = py_strip(f"regexp_replace({squeezed}, ' ?\\n[ \\n]*', chr(10), 'g')")
+    return rf"""pt_clean AS (
+      SELECT page_id, url, {clean} AS c, regexp_extract(html, '(?is)<title\b[^>]*>(.*?)</title\s*>', 1) AS raw_title FROM pages),
+    pt_parts AS (
+      SELECT row_number() OVER () AS rid, * FROM (
+        SELECT page_id, url, raw_title, c, string_split(regexp_replace(c, '(?i)(</?article\b)', chr(1) || '\1', 'g'), chr(1)) AS parts
+        FROM pt_clean)),
+    pt_sum AS (
+      SELECT rid, i, part, sum(turn) OVER (PARTITION BY rid ORDER BY i) AS s, turn FROM (
+        SELECT rid, i, part, CASE WHEN regexp_matches(part, '(?i)^<article\b') THEN 1
+          WHEN regexp_matches(part, '(?i)^</article\b') THEN -1 ELSE 0 END AS turn
+        FROM (SELECT rid, unnest(range(len(parts))) AS i, unnest(parts) AS part FROM pt_parts))),
+    pt_depth AS (
+      SELECT *, s - least(0, min(s) OVER (PARTITION BY rid ORDER BY i)) AS depth FROM pt_sum),
+    pt_art AS (
+      SELECT rid, string_agg(CASE WHEN depth > 0 THEN part WHEN was > 0 THEN '<br>' ELSE '' END, '' ORDER BY i) AS art
+      FROM (SELECT *, lag(depth, 1, 0) OVER (PARTITION BY rid ORDER BY i) AS was FROM pt_depth) GROUP BY rid),
+    pt_main AS (
+      SELECT page_id, url, raw_title, CASE WHEN regexp_matches(c, '(?i)<article\b') THEN art
+        WHEN regexp_matches(b, '(?i)<body\b') THEN regexp_extract(b, '(?is)<body\b[^>]*>(.*?)(?:</body\s*>|$)', 1)
+        ELSE b END AS main
+      FROM (SELECT p.*, {bare} AS b, art FROM pt_parts p JOIN pt_art USING (rid))),
+    pt_flat AS (SELECT page_id, url, raw_title, {txt} AS flat FROM pt_main),
+    pt_dec AS (SELECT page_id, url, {title} AS title, {decode_entities('flat')} AS dec FROM pt_flat),
+    page_text AS (
+      SELECT page_id, url, title, text FROM (SELECT page_id, url, title, {squeezed} AS text FROM pt_dec)
       WHERE text IS NOT NULL AND text <> '')"""
 
 
@@ -209,10 +239,19 @@ links_raw AS (
          regexp_extract_all(
            regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', ' ', 'g'),
              '(?is)<script\b[^>]*>.*?</script\s*>', ' ', 'g'), '(?is)<style\b[^>]*>.*?</style\s*>', ' ', 'g'),
-           '(?is)<a\b[^>]*?\bhref\s*=\s*("[^"]*"|''[^'']*''|[^\s>]+)', 1) AS hrefs
+           '(?is)<a(?:[\s/](?:"[^"]*"|''[^'']*''|[^>"''])*)?>') AS tags
   FROM pages),
+links_attr AS (
+  SELECT page_id, page_url, t, a, regexp_extract(attr, '^[\s/]+([^\s=/>]+)', 1) AS name,
+         regexp_extract(attr, '(?s)=\s*("[^"]*"|''[^'']*''|[^\s>"'']+)$', 1) AS raw
+  FROM (SELECT page_id, page_url, t, unnest(range(len(attrs))) AS a, unnest(attrs) AS attr
+        FROM (SELECT page_id, page_url, t, regexp_extract_all(substring(tag, 3),
+                '(?s)[\s/]+[^\s=/>]+(?:\s*=\s*(?:"[^"]*"|''[^'']*''|[^\s>"'']*))?') AS attrs
+              FROM (SELECT page_id, page_url, unnest(range(len(tags))) AS t, unnest(tags) AS tag FROM links_raw)))),
 links_x AS (
-  SELECT page_id, page_url, unnest(range(len(hrefs))) AS link_pos, unnest(hrefs) AS raw FROM links_raw),
+  SELECT page_id, page_url, row_number() OVER (PARTITION BY page_id ORDER BY t) - 1 AS link_pos, raw
+  FROM (SELECT page_id, page_url, t, arg_min(raw, a) AS raw FROM links_attr WHERE lower(name) = 'href' GROUP BY ALL)
+  WHERE raw <> ''),
 links AS (
   SELECT page_id, page_url, link_pos, href FROM (
     SELECT page_id, page_url, link_pos,
@@ -226,6 +265,14 @@ first_links AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY link_pos) AS rn FROM article_links) WHERE rn <= {config.LINKS_PER_SITE})"""
 
 
+SITE_CTE = """
+landed AS (SELECT string_split(url, '#')[1] AS fetch_url, min(page_id) AS page_id FROM pages WHERE url IS NOT NULL GROUP BY 1),
+site_links AS (
+  SELECT l.page_id AS site_pos, l.link_pos, coalesce(p.url, l.abs_url) AS abs_url
+  FROM first_links l LEFT JOIN pages p
+    ON p.page_id = (l.page_id * 7 + l.link_pos * 13 + 1) % (SELECT (max(page_id) + 1) * 2 FROM pages))"""
+
+
 ARTICLES_CTE = page_text_cte() + f""",
 built AS (
   SELECT page_id AS pos, url AS raw_url, url_norm AS url, title, text,
@@ -249,27 +296,41 @@ GAZ_VALUES = ", ".join(f"({_q(t)}, {_q(l)})" for t, l in config.TESTDATA_GAZETTE
 
 MENTIONS_CTE = DOCS_CTE + f""",
 gaz AS (
-  SELECT term_l, n_tokens, min(label) AS label FROM (
-    SELECT array_to_string(list_transform({tokens('term')}, lambda t: lower(t)), ' ') AS term_l,
-           len({tokens('term')}) AS n_tokens, label
-    FROM (VALUES {GAZ_VALUES}) g(term, label))
-  WHERE n_tokens BETWEEN 1 AND 3 GROUP BY term_l, n_tokens),
+  SELECT DISTINCT array_to_string(list_transform({tokens('term')}, lambda t: lower(t)), ' ') AS term_l,
+         len({tokens('term')}) AS n_tokens, label
+  FROM (VALUES {GAZ_VALUES}) g(term, label) WHERE len({tokens('term')}) >= 1),
 sents AS (
   SELECT doc, unnest(range(len(ss))) AS sent, unnest(ss) AS sent_text
   FROM (SELECT doc, {sentences('text')} AS ss FROM docs)),
-stoks AS (SELECT doc, sent, sent_text, {tokens('sent_text')} AS toks FROM sents),
+rawtoks AS (
+  SELECT doc, sent, unnest(range(len(rs))) AS r, unnest(rs) AS raw
+  FROM (SELECT doc, sent, list_filter(string_split_regex(sent_text, '{WS}+'), lambda x: x <> '') AS rs FROM sents)),
+cores AS (
+  SELECT doc, sent, r, regexp_replace(regexp_replace(raw, '^[^\\p{{L}}\\p{{N}}]+', ''), '[^\\p{{L}}\\p{{N}}/]+$', '') AS core,
+         regexp_matches(raw, '^[^\\p{{L}}\\p{{N}}]') AS lead, regexp_matches(raw, '[^\\p{{L}}\\p{{N}}/]$') AS trail
+  FROM rawtoks),
+stoks AS (
+  SELECT doc, sent, row_number() OVER w - 1 AS pos, core,
+         coalesce(lead(r) OVER w = r + 1 AND NOT trail AND NOT lead(lead) OVER w, false) AS glued
+  FROM cores WHERE core <> '' WINDOW w AS (PARTITION BY doc, sent ORDER BY r)),
+slists AS (SELECT doc, sent, list(core ORDER BY pos) AS toks, list(glued ORDER BY pos) AS glue FROM stoks GROUP BY doc, sent),
 grams AS (
   SELECT doc, sent, p AS pos, n AS n_tokens, array_to_string(toks[p + 1:p + n], ' ') AS text
-  FROM (SELECT doc, sent, toks, unnest(range(len(toks))) AS p FROM stoks) t,
-       (VALUES (1), (2), (3)) v(n)
-  WHERE p + n <= len(toks)),
+  FROM (SELECT doc, sent, toks, glue, unnest(range(len(toks))) AS p FROM slists) t, (SELECT DISTINCT n_tokens AS n FROM gaz) v
+  WHERE p + n <= len(toks) AND coalesce(list_bool_and(glue[p + 1:p + n - 1]), true)),
 matched AS (
-  SELECT g.doc, g.sent, g.pos, g.n_tokens, g.text, z.label
+  SELECT DISTINCT g.doc, g.sent, g.pos, g.n_tokens, g.text
   FROM grams g JOIN gaz z ON lower(g.text) = z.term_l AND g.n_tokens = z.n_tokens),
+longest AS (SELECT doc, sent, pos, max(n_tokens) AS n_tokens FROM matched GROUP BY ALL),
+walked AS (
+  SELECT doc, sent, unnest(list_reduce(list({{'pos': pos, 'n': n_tokens}} ORDER BY pos),
+    lambda acc, m: CASE WHEN len(acc) = 0 OR m.pos >= acc[-1].pos + acc[-1].n THEN list_append(acc, m) ELSE acc END,
+    [{{'pos': -1, 'n': 0::BIGINT}}][2:])) AS m
+  FROM longest GROUP BY doc, sent),
 mentions AS (
-  SELECT * FROM matched m WHERE NOT EXISTS (
-    SELECT 1 FROM matched o WHERE o.doc = m.doc AND o.sent = m.sent AND o.n_tokens > m.n_tokens
-      AND o.pos <= m.pos AND o.pos + o.n_tokens >= m.pos + m.n_tokens))"""
+  SELECT w.doc, w.sent, w.m.pos AS pos, x.n_tokens, x.text, z.label
+  FROM walked w JOIN matched x ON x.doc = w.doc AND x.sent = w.sent AND x.pos = w.m.pos AND x.n_tokens = w.m.n
+  JOIN gaz z ON z.term_l = lower(x.text) AND z.n_tokens = x.n_tokens)"""
 
 IOC_PATTERNS = [
     ("IP_ADDRESS", r"(^|[^\p{L}\p{N}_])(\p{Nd}{1,3}\.){3}\p{Nd}{1,3}($|[^\p{L}\p{N}_])"),
@@ -320,8 +381,8 @@ forms AS (
   WHERE rn = 1),
 actors AS (
   SELECT doc, actor_key, list(text ORDER BY sent, pos) AS names,
-         arg_min(text, sent * 1000000 + pos) AS first_text,
-         min(sent * 1000000 + pos) // 1000000 AS sent, min(sent * 1000000 + pos) % 1000000 AS pos
+         list(text ORDER BY sent, pos)[1] AS first_text,
+         min(sent) AS sent, list(pos ORDER BY sent, pos)[1] AS pos
   FROM forms GROUP BY doc, actor_key)"""
 
 
@@ -333,9 +394,9 @@ def _actor_join(labels) -> str:
 CHUNKS = config.CHUNK_TOKENS
 
 ANALYSIS_CTE = ARTICLES_CTE + f""",
-atoks AS (SELECT doc, pos, {tokens('text')} AS toks FROM validated),
+atoks AS (SELECT doc, pos, {words('text')} AS toks FROM validated),
 chunks AS (
-  SELECT doc, pos, c AS chunk_no, array_to_string(toks[c * {CHUNKS} + 1:(c + 1) * {CHUNKS}], ' ') AS chunk,
+  SELECT doc, pos, c AS chunk_no, array_to_string(toks[c * {CHUNKS} + 1:(c + 1) * {CHUNKS}], '') AS chunk,
          len(toks[c * {CHUNKS} + 1:(c + 1) * {CHUNKS}]) AS n_tokens
   FROM (SELECT doc, pos, toks, unnest(range(CAST(ceil(len(toks) / {CHUNKS}) AS BIGINT))) AS c FROM atoks)),
 replies AS (
@@ -355,7 +416,7 @@ replies AS (
                   'TTPs', array_to_string(w[4:5], ', '), 'IOCs', array_to_string(w[6:6], ', '),
                   'Global_Impact', array_to_string(w[7:12], ' '),
                   'Recommendations', array_to_string(w[13:14], ', '))::VARCHAR AS full_json
-    FROM (SELECT doc, pos, chunk_no, string_split(chunk, ' ') AS w, unnest(range(1, {config.MAX_ATTEMPTS} + 1)) AS attempt
+    FROM (SELECT doc, pos, chunk_no, string_split_regex({py_strip('chunk')}, '{WS}+') AS w, unnest(range(1, {config.MAX_ATTEMPTS} + 1)) AS attempt
           FROM chunks))),
 classified AS (
   SELECT doc, pos, chunk_no, attempt, content, cls AS reply_class,
@@ -423,6 +484,81 @@ SALVAGED = " OR ".join(
     for k in config.REPLY_KEYS)
 
 
+REPORT_ID = "00000000-0000-0000-0000-000000000000"
+
+
+def enriched_cte() -> str:
+    """Each document with its actors, TTPs and IOCs as JSON arrays."""
+    same = ("SELECT a2.doc, a2.actor_key, m.pos, m.text AS v FROM actors a2 JOIN mentions m "
+            "ON m.doc = a2.doc AND m.sent = a2.sent WHERE m.label IN ")
+    lists = {
+        "targets": (f"{same}{_in(config.TARGET_LABELS)} AND lower(m.text) <> a2.actor_key", "pos, v"),
+        "tactics": (f"{same}{_in(config.TACTIC_LABELS)}", "pos, v"),
+        "techniques": (f"{same}{_in(config.TECHNIQUE_LABELS)}", "pos, v"),
+        "related": ("SELECT a2.doc, a2.actor_key, i.src_rank, i.sent, i.pos, i.pat_rank, i.value AS v FROM actors a2 "
+                    "JOIN all_iocs i ON i.doc = a2.doc AND contains(lower(i.value), a2.actor_key)",
+                    "src_rank, sent, pos, pat_rank, v"),
+    }
+    ctes = ", ".join(f"en_{n} AS (SELECT doc, actor_key, list(v ORDER BY {o}) AS {n} FROM ({sql}) GROUP BY doc, actor_key)"
+                     for n, (sql, o) in lists.items())
+    joined = " ".join(f"LEFT JOIN en_{n} ON en_{n}.doc = a.doc AND en_{n}.actor_key = a.actor_key" for n in lists)
+    empty, quote = "[]::VARCHAR[]", "chr(39)"
+    held = ", ".join(f"'{k}': coalesce({k}, {empty})" for k in ("targets", "tactics", "techniques"))
+    actor = (f"to_json({{'names': a.names, 'aliases': {empty}, "
+             f"'description': 'Extracted from article: ' || coalesce(d.title, 'None'), "
+             f"'summary': 'Potential threat actor ' || {quote} || a.first_text || {quote} || ' identified in the context: ' "
+             f"|| {quote} || s.sent_text || {quote}, "
+             f"'motivation': CASE WHEN regexp_matches(lower(s.sent_text), {_q('|'.join(config.MOTIVATION_PHRASES))}) "
+             f"THEN s.sent_text END, {held}, 'procedures': {empty}, 'related_iocs': coalesce(related, {empty})}})::VARCHAR")
+    ttp = (f"to_json({{'tactic': label, 'technique': text, 'procedure': NULL::VARCHAR, 'mitre_id': NULL::VARCHAR, "
+           f"'related_actors': {empty}}})::VARCHAR")
+    ioc = (f"to_json({{'type': type, 'value': value, 'first_seen': NULL::VARCHAR, 'last_seen': NULL::VARCHAR, "
+           f"'related_actors': {empty}, 'related_ttps': {empty}}})::VARCHAR")
+
+    def array_of(n):
+        return f"'[' || coalesce(array_to_string({n}, ','), '') || ']' AS {n}"
+
+    return f"""{ctes},
+en_a AS (SELECT a.doc, list({actor} ORDER BY a.sent, a.pos, a.actor_key) AS threat_actors
+  FROM actors a JOIN docs d ON d.doc = a.doc LEFT JOIN sents s ON s.doc = a.doc AND s.sent = a.sent {joined} GROUP BY a.doc),
+en_t AS (SELECT doc, list({ttp} ORDER BY sent, pos, label) AS ttps FROM mentions WHERE label IN {_in(config.TTP_LABELS)} GROUP BY doc),
+en_i AS (SELECT doc, list({ioc} ORDER BY src_rank, sent, pos, pat_rank, type) AS iocs FROM all_iocs GROUP BY doc),
+enriched AS (SELECT d.*, {array_of('threat_actors')}, {array_of('ttps')}, {array_of('iocs')}
+  FROM docs d LEFT JOIN en_a USING (doc) LEFT JOIN en_t USING (doc) LEFT JOIN en_i USING (doc))"""
+
+
+def _report_sql(x: str, a: str) -> str:
+    """The report's lines, with the fixed id and time of the query."""
+    body = a.replace(DOCS_CTE, f"{x}, docs AS (SELECT doc, pos, title, text, url FROM validated)")
+    head = f"SELECT {_q(REPORT_ID)} AS report_id, '20240102_030405' AS run_ts, "
+    art = "to_json({'pos': pos, 'title': title, 'url': url, 'text': text})::VARCHAR"
+    entities = """',"threat_actors":' || threat_actors || ',"ttps":' || ttps || ',"iocs":' || iocs || '}'"""
+    header = (f"to_json({{'id': {_q(REPORT_ID)}, 'timestamp': '2024-01-02 03:04:05', 'version': {_q(config.REPORT_VERSION)}, "
+              f"'generated_by': {_q(config.REPORT_GENERATOR)}}})::VARCHAR")
+
+    def part(section, pos, json, source=""):
+        return (head + f"'{section}' AS section, {pos} AS pos, " + """'{"threat_intelligence":' || """ + json
+                + " || '}' AS json " + source)
+
+    def items(field, out, extra):
+        return (f"FROM (SELECT {out}, {extra}, min(pos) AS first_pos FROM (SELECT pos, unnest({field}) AS {out} "
+                f"FROM analysed) GROUP BY {out})")
+
+    parts = [
+        part("header", "0::BIGINT", header),
+        part("summary", "pos", "to_json({'executive_summary': Executive_Summary, 'global_impact': Global_Impact})::VARCHAR",
+             "FROM analysed"),
+        part("landscape", "first_pos", "to_json({'actor': actor, 'entry': {'description': ''}})::VARCHAR",
+             items("Threat_Actors", "actor", "0 AS x")),
+        part("threat", "first_pos", "to_json({'description': description, 'severity': NULL::VARCHAR})::VARCHAR",
+             items("TTPs", "description", "0 AS x")),
+        part("recommendation", "first_pos", "to_json({'description': description, 'priority': NULL::VARCHAR})::VARCHAR",
+             items("Recommendations", "description", "0 AS x")),
+        part("article", "pos", f"left({art}, length({art}) - 1) || {entities}", "FROM enriched"),
+    ]
+    return f"WITH {body}{IOCS_CTE}, {enriched_cte()} " + " UNION ALL ".join(parts)
+
+
 def oracle_sql() -> dict[str, str]:
     M = MENTIONS_CTE
     q = {}
@@ -432,12 +568,12 @@ def oracle_sql() -> dict[str, str]:
     q["link_resolve"] = f"WITH {LINKS_CTE} SELECT page_id, link_pos, href, abs_url, resolve_error FROM resolved"
     q["link_filter"] = f"WITH {LINKS_CTE} SELECT page_id, link_pos, abs_url FROM article_links"
     q["links_first_n"] = f"WITH {LINKS_CTE} SELECT page_id, link_pos, abs_url FROM first_links"
-    q["fetch_frontier"] = (f"WITH {LINKS_CTE} SELECT DISTINCT abs_url AS url, "
-                           f"abs_url IN (SELECT url FROM pages) AS cached FROM first_links")
-    q["link_page_join"] = (f"WITH {LINKS_CTE} SELECT l.page_id AS src_page_id, l.link_pos, l.abs_url, p.page_id "
-                           f"FROM first_links l JOIN pages p ON p.url = l.abs_url")
-    q["link_page_missing"] = (f"WITH {LINKS_CTE} SELECT page_id, link_pos, abs_url FROM first_links "
-                              f"WHERE abs_url NOT IN (SELECT url FROM pages WHERE url IS NOT NULL)")
+    q["fetch_frontier"] = (f"WITH {LINKS_CTE}, {SITE_CTE} SELECT DISTINCT string_split(abs_url, '#')[1] AS url, "
+                           f"string_split(abs_url, '#')[1] IN (SELECT fetch_url FROM landed) AS cached FROM site_links")
+    q["link_page_join"] = (f"WITH {LINKS_CTE}, {SITE_CTE} SELECT l.site_pos, l.link_pos, l.abs_url, "
+                           f"p.page_id FROM site_links l JOIN landed p ON p.fetch_url = string_split(l.abs_url, '#')[1]")
+    q["link_page_missing"] = (f"WITH {LINKS_CTE}, {SITE_CTE} SELECT site_pos, link_pos, abs_url FROM site_links "
+                              f"WHERE string_split(abs_url, '#')[1] NOT IN (SELECT fetch_url FROM landed)")
     q["page_text"] = f"WITH {page_text_cte()} SELECT page_id, url, title, text FROM page_text"
     q["url_normalize"] = (f"WITH {LINKS_CTE}, u AS (SELECT 'page' AS src, page_id AS id, -1 AS link_pos, url FROM pages "
                           f"UNION ALL SELECT 'link', page_id, link_pos, abs_url FROM resolved WHERE abs_url IS NOT NULL) "
@@ -448,13 +584,19 @@ def oracle_sql() -> dict[str, str]:
                              f"CASE WHEN coalesce(title, '') = '' THEN 'empty_title' WHEN coalesce(text, '') = '' "
                              f"THEN 'empty_text' ELSE 'empty_url' END AS reason, pos FROM deduped "
                              f"WHERE NOT coalesce(title <> '' AND text <> '' AND url <> '', false)")
-    q["articles_ordered"] = f"WITH {ARTICLES_CTE} SELECT pos, doc FROM validated ORDER BY pos"
+    q["articles_ordered"] = (
+        f"WITH {LINKS_CTE}, {SITE_CTE}, {page_text_cte()}, "
+        f"reached AS (SELECT l.site_pos, l.link_pos, l.abs_url, t.title, t.text FROM site_links l "
+        f"JOIN landed p ON p.fetch_url = string_split(l.abs_url, '#')[1] JOIN page_text t ON t.page_id = p.page_id) "
+        f"SELECT site_pos, link_pos, url_norm AS doc, title FROM (SELECT *, row_number() OVER "
+        f"(PARTITION BY url_norm ORDER BY site_pos, link_pos) AS rn FROM {normalize_from('reached', 'abs_url')} "
+        f"WHERE url_reject IS NULL) WHERE rn = 1 AND coalesce(title <> '' AND text <> '', false) ORDER BY 1, 2")
     q["risk_range_check"] = ("SELECT doc_id, risk_score FROM (SELECT doc_id, n_chars / 100.0 AS risk_score "
                              "FROM documents) WHERE risk_score IS NULL OR risk_score BETWEEN 0 AND 100")
     q["doc_tokens"] = f"WITH {DOCS_CTE}{TOKENS_CTE} SELECT doc, pos, token FROM dtoks"
     q["sentence_split"] = f"WITH {M} SELECT doc, sent, sent_text FROM sents"
-    q["chunk_tokens"] = (f"WITH {DOCS_CTE}, t AS (SELECT doc, {tokens('text')} AS toks FROM docs) "
-                         f"SELECT doc, c AS chunk_no, array_to_string(toks[c * {CHUNKS} + 1:(c + 1) * {CHUNKS}], ' ') AS chunk, "
+    q["chunk_tokens"] = (f"WITH {DOCS_CTE}, t AS (SELECT doc, {words('text')} AS toks FROM docs) "
+                         f"SELECT doc, c AS chunk_no, array_to_string(toks[c * {CHUNKS} + 1:(c + 1) * {CHUNKS}], '') AS chunk, "
                          f"len(toks[c * {CHUNKS} + 1:(c + 1) * {CHUNKS}]) AS n_tokens "
                          f"FROM (SELECT doc, toks, unnest(range(CAST(ceil(len(toks) / {CHUNKS}) AS BIGINT))) AS c FROM t)")
     q["iocs_patterns"] = f"WITH {M}{IOCS_CTE} SELECT doc, pos, pat_rank, type, value FROM pat_iocs"
@@ -479,11 +621,7 @@ def oracle_sql() -> dict[str, str]:
     q["actor_motivation"] = f"SELECT doc, actor_key, motivation FROM ({ctx})"
     q["actor_related_iocs"] = (f"WITH {A}{IOCS_CTE} SELECT a.doc, a.actor_key, i.src_rank, i.sent, i.pos, i.pat_rank, i.type, i.value "
                                f"FROM actors a JOIN all_iocs i ON i.doc = a.doc AND contains(lower(i.value), a.actor_key)")
-    q["articles_enriched"] = (
-        f"WITH {A}{IOCS_CTE} SELECT d.doc, d.title, "
-        f"to_json(coalesce((SELECT list(actor_key ORDER BY sent, pos, actor_key) FROM actors a WHERE a.doc = d.doc), []::VARCHAR[])) AS actors, "
-        f"(SELECT count(*) FROM mentions m WHERE m.doc = d.doc AND m.label IN {_in(config.TTP_LABELS)}) AS n_ttps, "
-        f"(SELECT count(*) FROM all_iocs i WHERE i.doc = d.doc) AS n_iocs FROM docs d")
+    q["articles_enriched"] = f"WITH {A}{IOCS_CTE}, {enriched_cte()} SELECT doc, title, threat_actors, ttps, iocs FROM enriched"
     X = ANALYSIS_CTE
     q["analysis_requests"] = (f"WITH {X} SELECT doc, chunk_no, {_q(config.MODEL_NAME)} AS model, "
                               f"{_q(config.SYSTEM_PROMPT)} AS system, {_q(config.USER_PROMPT_PREFIX)} || chunk AS user, "
@@ -495,12 +633,12 @@ def oracle_sql() -> dict[str, str]:
     q["article_combine"] = f"WITH {X} SELECT doc, {_json_list_cols()} FROM combined"
     q["analysed_articles"] = f"WITH {X} SELECT doc, pos, title FROM analysed"
     q["unanalysed_articles"] = f"WITH {X} SELECT doc, pos, title FROM validated WHERE doc NOT IN (SELECT doc FROM combined)"
-    q["report_summary"] = (f"WITH {X} SELECT coalesce(string_agg(Executive_Summary, ' ' ORDER BY pos), '') AS executive_summary, "
-                           + py_strip("coalesce(string_agg(Global_Impact || ' ', '' ORDER BY pos), '')") + " AS global_impact "
+    q["report_summary"] = (f"WITH {X} SELECT pos, Executive_Summary AS executive_summary, Global_Impact AS global_impact "
                            f"FROM analysed")
     q["report_landscape"] = _first_seen("Threat_Actors", "actor", "'' AS description")
     q["report_threats"] = _first_seen("TTPs", "description", "NULL::VARCHAR AS severity")
     q["report_recommendations"] = _first_seen("Recommendations", "description", "NULL::VARCHAR AS priority")
+    q["report_json"] = _report_sql(X, A)
     q["rejects"] = (
         f"WITH {X}, {LINKS_CTE} "
         f"SELECT 'build' AS stage, raw_url AS key, reject AS reason FROM built WHERE reject IS NOT NULL "

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ioclake import config
-
 DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                  "events", "documents", "embeddings", "pages", "benchmark", "labels",
                  "conversations"]
@@ -16,20 +14,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Scan-parallelism guard for CPU-heavy text work.
+#: session setting: partitions that text scans are dealt over (unset: as scanned)
+SCAN_PARTITIONS = "ioclake.scan.partitions"
+
 
-    A landed table with few row groups scans as fewer tasks than the
-    cluster has cores, and every regex then runs on one of them.  When the
-    scan plans fewer partitions than the default parallelism, rows are
-    spread round-robin over twice that many; a large table (many files or
-    row groups) already scans wide and passes through untouched."""
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave the scan as planned
-        return df
-    return df.repartition(want * 2) if have < want else df
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt over the partitions that the caller set for text scans;
+    a landed table of few row groups scans as few tasks otherwise."""
+    n = df.sparkSession.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(n)) if n else df
 
 
 def read_text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,13 +39,6 @@ def page_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(pages)
 
 
-def seed_sites(spark: SparkSession, urls: list[str] | None = None) -> DataFrame:
-    """The configured index-page list as (site_pos, url) (A1)."""
-    urls = config.SEED_SITES if urls is None else urls
-    return spark.createDataFrame([(i, u) for i, u in enumerate(urls)],
-                                 "site_pos int, url string")
-
-
 def seeds_from_pages(pages: DataFrame) -> DataFrame:
     """Landed index pages as the seed table: site position = page_id."""
     return pages.select(F.col("page_id").alias("site_pos"), "url")

@@ -63,5 +63,36 @@ def test_gazetteer_longest_span_wins(spark):
     d = spark.createDataFrame([("d", "Apt One Group attacked. One more.")], "doc string, text string")
     g = spark.createDataFrame([("one", "CARDINAL"), ("apt one", "ORG"), ("apt one group", "ORG"),
                                ("one group", "NORP")], "term string, label string")
-    got = sorted(rows(mn.find_mentions(d, g, gazetteer_rows=4), "sent", "pos", "text", "label"))
+    got = sorted(rows(mn.find_mentions(d, g), "sent", "pos", "text", "label"))
     assert got == [(0, 0, "Apt One Group", "ORG"), (1, 0, "One", "CARDINAL")]
+
+
+def mentions(spark, text, *terms):
+    d = spark.createDataFrame([("d", text)], "doc string, text string")
+    g = spark.createDataFrame(list(terms), "term string, label string")
+    return sorted(rows(mn.find_mentions(d, g), "sent", "pos", "n_tokens", "text", "label"))
+
+
+def test_long_terms_and_all_labels(spark):
+    got = mentions(spark, "The North Korean Lazarus Group Bureau struck.",
+                   ("North Korean Lazarus Group Bureau", "ORG"), ("north korean lazarus group bureau", "PERSON"),
+                   ("Lazarus", "ORG"))
+    text = "North Korean Lazarus Group Bureau"
+    assert got == [(0, 1, 5, text, "ORG"), (0, 1, 5, text, "PERSON")]
+
+
+def test_overlapping_spans_leftmost_then_longest(spark):
+    got = mentions(spark, "Lazarus Group Bureau", ("Lazarus Group", "ORG"), ("Group Bureau", "ORG"), ("Lazarus", "ORG"))
+    assert got == [(0, 0, 2, "Lazarus Group", "ORG")]
+
+
+def test_spans_do_not_jump_over_punctuation(spark):
+    assert mentions(spark, "of, the of - the of (the) of the", ("of the", "ORG")) == [(0, 6, 2, "of the", "ORG")]
+
+
+def test_related_iocs_of_a_very_long_token(spark):
+    a = spark.createDataFrame([("d", "evil"), ("d", "x"), ("e", "evil")], "doc string, actor_key string")
+    long = "ab" * 10_000 + "EVIL" + "cd" * 10_000
+    i = spark.createDataFrame([("d", 0, long), ("d", 1, long), ("d", 2, "none"), ("e", 0, "x")],
+                              "doc string, pos int, value string")
+    assert sorted(rows(ac.actor_related_iocs(a, i), "doc", "actor_key", "pos")) == [("d", "evil", 0), ("d", "evil", 1)]

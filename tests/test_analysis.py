@@ -1,4 +1,6 @@
 import json
+import tempfile
+from datetime import datetime
 
 from conftest import rows
 
@@ -73,21 +75,31 @@ def test_combine_blanks_and_lists(spark):
 
 
 def test_unanalysed_article_and_report(spark):
-    arts = spark.createDataFrame([("d1", 1, "T1"), ("d2", 2, "T2")], "doc string, pos long, title string")
+    arts = spark.createDataFrame(
+        [("d1", 1, "T1", "u1", "x", "[]", "[]", '[{"a":1}]'), ("d2", 2, "T2", "u2", None, "[]", "[]", "[]")],
+        "doc string, pos long, title string, url string, text string, threat_actors string, ttps string, iocs string")
     comb = spark.createDataFrame(
         [("d1", "s1", ["x", "y"], ["y", "z"], [], "g1", ["r"])],
         "doc string, Executive_Summary string, Threat_Actors array<string>, TTPs array<string>, "
         "IOCs array<string>, Global_Impact string, Recommendations array<string>")
     assert rows(an.unanalysed_articles(arts, comb), "doc") == [("d2",)]
-    analysed = an.analysed_articles(arts, comb)
+    analysed = an.analysed_articles(arts.select("doc", "pos", "title"), comb)
     assert sorted(rows(rp.report_threats(analysed), "description")) == [("y",), ("z",)]
-    assert rows(rp.report_summary(analysed)) == [("s1", "g1")]
-    lines = rp.report_lines(arts, analysed, report_id="r1")
-    assert sorted(s for (s,) in rows(lines, "section")) == sorted(
-        ["header", "summary", "landscape", "landscape", "threat", "threat", "recommendation", "article", "article"])
+    assert rows(rp.report_summary(analysed)) == [(1, "s1", "g1")]
+    lines = rp.report_lines(arts, analysed, report_id="r1", run_ts=datetime(2024, 1, 2))
+    got = sorted(rows(lines, "section", "pos"))
+    assert got == sorted([("header", 0), ("summary", 1), ("landscape", 1), ("landscape", 1), ("threat", 1),
+                          ("threat", 1), ("recommendation", 1), ("article", 1), ("article", 2)])
+    body = {(r.section, r.pos): json.loads(r.json)["threat_intelligence"] for r in lines.collect()}
+    assert body["article", 1]["iocs"] == [{"a": 1}] and body["article", 2]["text"] is None
+    out = tempfile.mkdtemp(prefix="ioclake-report-")
+    for _ in range(2):  # the same stamp replaces its own lines
+        rp.write_report(lines, out)
+    assert spark.read.json(out).count() == len(got)
 
 
 def test_report_summary_keeps_empties(spark):
     a = spark.createDataFrame([(1, "a", "x"), (2, "", ""), (3, "b", "y")],
                               "pos long, Executive_Summary string, Global_Impact string")
-    assert rows(rp.report_summary(a)) == [("a  b", "x  y")]
+    a = a.withColumn("pos", a.pos * 10**12)  # far apart positions need no common row
+    assert sorted(rows(rp.report_summary(a))) == [(10**12, "a", "x"), (2 * 10**12, "", ""), (3 * 10**12, "b", "y")]

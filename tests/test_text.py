@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 
-from ioclake.functions.text import html_main_text, html_title
+from ioclake.functions.text import decode_entities, html_main_text, html_title
 from ioclake.operators.pages import page_text
 from ioclake.operators.text import chunk_tokens, split_sentences, tokenize
 
@@ -50,16 +50,15 @@ def test_chunk_edges(spark):
 
 
 @settings(max_examples=10, deadline=None)
-@given(st.lists(st.integers(min_value=0, max_value=30), min_size=1, max_size=8), st.integers(1, 7))
-def test_chunks_concatenate_to_tokens(spark, sizes, n):
-    texts = [" ".join(f"t{i}" for i in range(k)) for k in sizes]
+@given(st.lists(st.text(alphabet='ab,".$ \n\té', max_size=30), min_size=1, max_size=8), st.integers(1, 5))
+def test_chunks_join_to_the_text(spark, texts, n):
     got = {}
     for d, c, chunk, k in rows(chunk_tokens(docs(spark, texts), "doc", max_tokens=n)):
         assert 1 <= k <= n
         got.setdefault(d, []).append((c, chunk))
     for i, text in enumerate(texts):
-        joined = " ".join(ch for _, ch in sorted(got.get(i, [])))
-        assert joined == text
+        joined = "".join(ch for _, ch in sorted(got.get(i, [])))
+        assert joined == (text if text.strip(" \n\t") else "")
 
 
 def test_sentences_keep_punctuation(spark):
@@ -82,3 +81,32 @@ def test_page_without_text_dropped(spark):
     assert rows(page_text(pages)) == []
     df = pages.select(html_title(F.col("html")).alias("t"), html_main_text(F.col("html")).alias("x"))
     assert rows(df) == [("", "")]
+
+
+def test_punctuation_stays_in_chunks(spark):
+    text = 'The "Lazarus Group", a.k.a. APT-38 (DPRK). It paid $5M;'
+    assert rows(chunk_tokens(docs(spark, [text]), "doc"), "chunk") == [(text,)]
+
+
+def decoded(spark, *texts):
+    return [t for (t,) in rows(docs(spark, texts).select(decode_entities("text").alias("t")))]
+
+
+def test_references_decode_once_and_never_fail(spark):
+    got = decoded(spark, "&#x24;1 &#36;", "&#x5c;n", "&#9999999; &#99999999999999999999;", "&#55357;&#56832;", "&#38;amp;",
+                  "&amp;lt;", "caf&eacute; &Eacute; &euro;", "&nosuch; & &; &#; &#x; &#0;", "&#00000000065;&#x0000041;", "a&b")
+    assert got == ["$1 $", "\\n", "\ufffd \ufffd", "\ufffd\ufffd", "&amp;", "&lt;", "caf\u00e9 \u00c9 \u20ac",
+                   "&nosuch; & &; &#; &#x; \ufffd", "AA", "a&b"]
+
+
+def main_text(spark, html):
+    df = spark.createDataFrame([(html,)], "html string")
+    return rows(df.select(html_main_text(F.col("html")).alias("t")))[0][0]
+
+
+def test_all_articles_nested_ones_and_their_headers(spark):
+    assert main_text(spark, "<body>out<article>a<article>quote</article>b</article>mid<article>c</article>out</body>") \
+        == "a\nquote\nb\nc"
+    assert main_text(spark, "<header>top</header><article><header><h1>Head</h1></header>x</article>") == "Head\nx"
+    assert main_text(spark, "<body><header>top</header>text</body>") == "text"
+    assert main_text(spark, "</article>x<article>never closed") == "never closed"
