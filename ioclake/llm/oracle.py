@@ -32,7 +32,27 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM q LEFT JOIN f USING (payload_digest)
 """
 
+# the template's control strings, longest first
+_CONTROLS = r"(### Assistant:|### System:|### Role <|### User:|</turn>|>:|\\)"
+
+CHAT_FORMAT = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'),
+f AS (
+  SELECT *, CASE role WHEN 'user' THEN '### User: ' WHEN 'system' THEN '### System: ' WHEN 'assistant' THEN '### Assistant: '
+    ELSE '### Role <' || regexp_replace(role, '{_CONTROLS}', '\\\\\\1', 'g') || '>: ' END
+    || regexp_replace(text, '{_CONTROLS}', '\\\\\\1', 'g') || ' </turn>' || chr(10) AS formatted FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(formatted)) AS BIGINT) AS formatted_chars,
+  regexp_matches(string_agg(role || ',', '' ORDER BY turn, role, text), '^(system,)?(user,assistant,)*user,(assistant,)?$') AS valid
+FROM f GROUP BY conv_id
+"""
+
 SQL: dict[str, str] = {
     "op4_decontaminate": DECONTAMINATE,
+    "op5_chat_format": CHAT_FORMAT,
     "op8_warc": WARC,
 }
