@@ -53,6 +53,21 @@ def q_links_first_n(spark, sf):
     return b.first_links(spark, sf).select("page_id", "link_pos", "abs_url")
 
 
+def _site_counts(spark, sf):
+    """Per site: links found, links that could not be resolved, article
+    links, and how many of those are kept (A6)."""
+    marked = b.resolved_links(spark, sf).withColumn("_article", F.col("resolve_error").isNull()
+                                                    & lk.article_link_predicate(config.TESTDATA_LINK_MARKERS))
+    return marked.groupBy("page_id").agg(
+        F.count(F.lit(1)).alias("links"), F.count_if(F.col("resolve_error").isNotNull()).alias("link_rejects"),
+        F.count_if("_article").alias("article_links"),
+        F.least(F.count_if("_article"), F.lit(config.LINKS_PER_SITE)).alias("kept_links"))
+
+
+def q_site_link_counts(spark, sf):
+    return _site_counts(spark, sf).withColumnRenamed("page_id", "site_pos")
+
+
 def q_fetch_frontier(spark, sf):
     return pg.fetch_frontier(b.site_links(spark, sf), page_scan(spark, sf))
 
@@ -86,6 +101,12 @@ def q_dedup_by_url(spark, sf):
     return b.deduped_articles(spark, sf).select("pos", "url")
 
 
+def q_dedup_by_text(spark, sf):
+    """First document per text: the copies in ``documents`` make E2 bite."""
+    d = b.documents(spark, sf).select("pos", F.sha2("text", 256).alias("text_sha256"))
+    return art.dedup_by_url(d, "text_sha256")
+
+
 def q_validate_articles(spark, sf):
     return art.validate(b.deduped_articles(spark, sf)).select("pos", "url", "title")
 
@@ -120,6 +141,14 @@ def q_chunk_tokens(spark, sf):
     return chunk_tokens(b.documents(spark, sf), "doc")
 
 
+#: words a chunk in the queries whose texts should fall into several chunks
+SMALL_CHUNK = 60
+
+
+def q_chunk_tokens_small(spark, sf):
+    return chunk_tokens(b.documents(spark, sf), "doc", max_tokens=SMALL_CHUNK)
+
+
 def q_iocs_patterns(spark, sf):
     return io.pattern_iocs(b.documents(spark, sf), "doc")
 
@@ -216,11 +245,11 @@ class _Analysis:
     """The article-side analysis chain of one query, each stage built once
     and shared by every branch that needs it."""
 
-    def __init__(self, spark, sf):
+    def __init__(self, spark, sf, max_tokens=config.CHUNK_TOKENS):
         self.built = b.built_articles(spark, sf)
         self.deduped = b.deduped_articles(spark, sf, self.built)
         self.validated = b.validated_articles(spark, sf, self.deduped)
-        self.chunks = b.article_chunks(spark, sf, validated=self.validated)
+        self.chunks = b.article_chunks(spark, sf, max_tokens, validated=self.validated)
         self.replies = b.stub_replies(self.chunks)
         self.classified = an.classify_replies(self.replies)
         self.chosen = an.choose_attempt(self.classified)
@@ -267,6 +296,23 @@ def q_article_combine(spark, sf):
     return _json_lists(_combined(spark, sf))
 
 
+def q_article_combine_small(spark, sf):
+    """Articles of several chunks folded into one analysis (D3)."""
+    return _json_lists(_Analysis(spark, sf, SMALL_CHUNK).combined)
+
+
+def q_reply_parse_landed(spark, sf):
+    """Landed texts as replies: event properties are JSON objects,
+    conversation texts are prose (H10-H12)."""
+    events = read_table(spark, sf, "events").select(
+        F.concat(F.lit("event "), "event_id").alias("doc"), F.col("props").alias("content"))
+    talks = read_table(spark, sf, "conversations").select(
+        F.concat(F.lit("turn "), "conv_id", F.lit(" "), "turn").alias("doc"), F.col("text").alias("content"))
+    replies = events.union(talks).select("doc", F.lit(0).alias("chunk_no"), F.lit(1).alias("attempt"),
+                                         F.lit("ok").alias("status"), "content")
+    return _json_lists(an.classify_replies(replies).select("doc", "reply_class", *an.KEYS))
+
+
 def q_analysed_articles(spark, sf):
     return _Analysis(spark, sf).analysed.select("doc", "pos", "title")
 
@@ -338,8 +384,13 @@ def q_stage_counts(spark, sf):
     side = per_url.agg(
         F.sum("_n").alias("page_text"),
         F.coalesce(F.sum(F.when(known, F.col("_n"))), F.lit(0)).alias("articles_built"),
+        F.coalesce(F.sum(F.when(~known, F.col("_n"))), F.lit(0)).alias("build_rejects"),
         F.count_if(known).alias("deduped"),
-        F.count_if(known & F.col("_v")).alias("validated"))
+        F.coalesce(F.sum(F.when(known, F.col("_n") - 1)), F.lit(0)).alias("duplicates_skipped"),
+        F.count_if(known & F.col("_v")).alias("validated"),
+        F.count_if(known & ~F.col("_v")).alias("validate_rejects"))
+    links = _site_counts(spark, sf).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in (
+        "links", "link_rejects", "article_links", "kept_links")])
     chunks = a.chunks.agg(F.count(F.lit(1)).alias("chunks"))
     ca = a.chunk_analysis.agg(
         F.count(F.lit(1)).alias("chunk_analysis"), F.countDistinct("doc").alias("analysed_articles"))
@@ -349,12 +400,17 @@ def q_stage_counts(spark, sf):
         return df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("stage"), F.col(c).alias("n_rows"))
                                              for c in df.columns])).alias("_s")).select("_s.*")
 
-    return n_pages.unionByName(unpivot(side)).unionByName(unpivot(chunks)).unionByName(unpivot(ca))
+    return n_pages.unionByName(unpivot(links)).unionByName(unpivot(side)).unionByName(unpivot(chunks)).unionByName(unpivot(ca))
 
 
 QUERIES = {
     "seed_scan": q_seed_scan,
     "page_scan": q_page_scan,
+    "site_link_counts": q_site_link_counts,
+    "dedup_by_text": q_dedup_by_text,
+    "chunk_tokens_small": q_chunk_tokens_small,
+    "article_combine_small": q_article_combine_small,
+    "reply_parse_landed": q_reply_parse_landed,
     "fetch_frontier": q_fetch_frontier,
     "report_json": q_report_json,
     "stage_counts": q_stage_counts,

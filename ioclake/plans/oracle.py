@@ -599,6 +599,14 @@ def oracle_sql() -> dict[str, str]:
                          f"SELECT doc, c AS chunk_no, array_to_string(toks[c * {CHUNKS} + 1:(c + 1) * {CHUNKS}], '') AS chunk, "
                          f"len(toks[c * {CHUNKS} + 1:(c + 1) * {CHUNKS}]) AS n_tokens "
                          f"FROM (SELECT doc, toks, unnest(range(CAST(ceil(len(toks) / {CHUNKS}) AS BIGINT))) AS c FROM t)")
+    small = 60
+    q["chunk_tokens_small"] = q["chunk_tokens"].replace(str(CHUNKS), str(small))
+    q["dedup_by_text"] = "SELECT min(doc_id) AS pos, sha256(text) AS text_sha256 FROM documents GROUP BY sha256(text)"
+    article = "resolve_error IS NULL AND (" + " OR ".join(f"contains(abs_url, {_q(m)})" for m in config.TESTDATA_LINK_MARKERS) + ")"
+    sites = (f"SELECT page_id AS site_pos, count(*) AS links, count(resolve_error) AS link_rejects, "
+             f"count(*) FILTER ({article}) AS article_links, "
+             f"least(count(*) FILTER ({article}), {config.LINKS_PER_SITE}) AS kept_links FROM resolved GROUP BY page_id")
+    q["site_link_counts"] = f"WITH {LINKS_CTE} {sites}"
     q["iocs_patterns"] = f"WITH {M}{IOCS_CTE} SELECT doc, pos, pat_rank, type, value FROM pat_iocs"
     q["iocs_url_email"] = f"WITH {M}{IOCS_CTE} SELECT doc, pos, type, value FROM ue_iocs"
     q["gazetteer_mentions"] = f"WITH {M} SELECT doc, sent, pos, n_tokens, text, label FROM mentions"
@@ -631,6 +639,13 @@ def oracle_sql() -> dict[str, str]:
                              f"{SALVAGE} FROM replies")
     q["response_attempts"] = f"WITH {X} SELECT doc, chunk_no, attempt, reply_class FROM chosen"
     q["article_combine"] = f"WITH {X} SELECT doc, {_json_list_cols()} FROM combined"
+    cut = (str(CHUNKS), str(small))
+    q["article_combine_small"] = q["article_combine"].replace(*cut)
+    classified = X[X.index("classified AS ("):X.index("chosen AS (")].rstrip().rstrip(",")
+    q["reply_parse_landed"] = (
+        "WITH replies AS (SELECT 'event ' || event_id AS doc, 0 AS pos, 0 AS chunk_no, 1 AS attempt, 'ok' AS status, "
+        "props AS content FROM events UNION ALL SELECT 'turn ' || conv_id || ' ' || turn, 0, 0, 1, 'ok', text FROM conversations), "
+        f"{classified} SELECT doc, reply_class, {_json_list_cols()} FROM classified")
     q["analysed_articles"] = f"WITH {X} SELECT doc, pos, title FROM analysed"
     q["unanalysed_articles"] = f"WITH {X} SELECT doc, pos, title FROM validated WHERE doc NOT IN (SELECT doc FROM combined)"
     q["report_summary"] = (f"WITH {X} SELECT pos, Executive_Summary AS executive_summary, Global_Impact AS global_impact "
@@ -651,7 +666,12 @@ def oracle_sql() -> dict[str, str]:
         f"(SELECT DISTINCT doc, chunk_no FROM classified WHERE attempt <= {config.MAX_ATTEMPTS}) c "
         f"WHERE NOT EXISTS (SELECT 1 FROM chosen h WHERE h.doc = c.doc AND h.chunk_no = c.chunk_no)")
     q["stage_counts"] = (
-        f"WITH {X} SELECT 'pages' AS stage, count(*) AS n_rows FROM pages "
+        f"WITH {X}, {LINKS_CTE}, sites AS ({sites}) SELECT 'pages' AS stage, count(*) AS n_rows FROM pages "
+        + "".join(f"UNION ALL SELECT '{c}', coalesce(sum({c}), 0) FROM sites "
+                  for c in ("links", "link_rejects", "article_links", "kept_links")) +
+        f"UNION ALL SELECT 'build_rejects', count(*) FROM built WHERE reject IS NOT NULL "
+        f"UNION ALL SELECT 'duplicates_skipped', (SELECT count(*) FROM built WHERE reject IS NULL) - count(*) FROM deduped "
+        f"UNION ALL SELECT 'validate_rejects', (SELECT count(*) FROM deduped) - count(*) FROM validated "
         f"UNION ALL SELECT 'page_text', count(*) FROM page_text "
         f"UNION ALL SELECT 'articles_built', count(*) FROM built WHERE reject IS NULL "
         f"UNION ALL SELECT 'deduped', count(*) FROM deduped "
