@@ -14,7 +14,7 @@ of each bucket is held against the others; confirmed links give components, link
 that the estimate only leaves possible give wider families.  Inside a family,
 sets of different components meet in blocks within a task, which emits one link
 per pair of components.  Pairs of different families that share a bucket are
-tested one by one.  With 48 bands of 7 registers, a pair at similarity exactly
+tested one by one, after their sizes and register parities allow it.  With 48 bands of 7 registers, a pair at similarity exactly
 0.8 shares no band with probability 1.2e-5, one at 0.85 with 5e-9.
 
 Defined results: null or blank text has an empty set and links with nothing; a
@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ioclake.llm.bytewords import MIX1, Words, mix, words
@@ -40,6 +40,8 @@ from ioclake.llm.components import connected_components
 
 BANDS, ROWS = 48, 7
 BASE, RATE, TOP = 1.001, 20.0, 65535
+#: registers whose lowest bit goes into the parity word that travels with bucket rows
+PARITY = 256
 #: sets in a block of a family; columns of one matrix product
 BLOCK, SLAB = 128, 4096
 #: bits of the id filter in front of joins that move texts, sets or registers
@@ -99,6 +101,22 @@ def sketch_sets(flat: np.ndarray, bound: np.ndarray, m: int) -> np.ndarray:
     return out
 
 
+def parities(regs: np.ndarray) -> np.ndarray:
+    """Lowest bits of the first PARITY registers as 64-bit words."""
+    low = np.zeros((len(regs), PARITY), np.uint8)
+    low[:, :regs.shape[1]] = regs[:, :PARITY] & 1
+    return np.packbits(low, axis=1).view(np.int64)
+
+
+def _alike(j: float) -> Column:
+    """Whether the parities of ``bits`` and ``other`` are as close as those of
+    sets of similarity ``j``: registers that differ have equal parity half of
+    the time.  The bound is MARGIN deviations wide."""
+    apart = sum((F.bit_count(F.col("bits")[k].bitwiseXOR(F.col("other")[k])) for k in range(PARITY // 64)), F.lit(0))
+    miss = (1 - j) / 2
+    return apart <= PARITY * miss + MARGIN * (PARITY * miss * (1 - miss)) ** 0.5
+
+
 def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Registers of the union of two sets."""
     return np.maximum(a, b)
@@ -138,11 +156,14 @@ def _sketcher(ngram: int, m: int):
                 regs = sketch_sets(flat, bound, m)
                 digests = [hashlib.blake2b(w.hash[x:y].tobytes(), digest_size=16).digest()
                            for x, y in zip(w.bound[:-1], w.bound[1:], strict=True)]
+                words64 = parities(regs)
+                offs = np.arange(w.rows + 1, dtype=np.int32) * words64.shape[1]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(w.first, w.rows), pa.array(digests, pa.binary()),
                      pa.array(np.diff(bound).astype(np.int64)),
-                     pa.array([r.tobytes() for r in regs], pa.binary())],
-                    names=["id", "digest", "n", "regs"])
+                     pa.array([r.tobytes() for r in regs], pa.binary()),
+                     pa.ListArray.from_arrays(pa.array(offs), pa.array(words64.ravel()))],
+                    names=["id", "digest", "n", "regs", "bits"])
     return run
 
 
@@ -177,18 +198,18 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, ngram: int,
     """(id, digest of the word sequence, n shingles, registers) per row."""
     src = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("binary"))
     return src.mapInArrow(_sketcher(ngram, bands * rows),
-                          "id long, digest binary, n long, regs binary")
+                          "id long, digest binary, n long, regs binary, bits array<long>")
 
 
 def buckets(classes: DataFrame, bands: int, rows: int) -> DataFrame:
-    """(key, id, n) for each band whose registers another class shares."""
+    """(key, id, n, bits) for each band whose registers another class shares."""
     width = 2 * rows
     keys = F.array(*[F.xxhash64(F.lit(i), F.substring("regs", i * width + 1, width))
                      for i in range(bands)])
     flat = classes.select("id", F.explode(keys).alias("key"))
     shared = flat.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")) \
         .filter("lo < hi").select("key")
-    return flat.join(shared, "key").join(classes.select("id", "n"), "id").select("key", "id", "n")
+    return flat.join(shared, "key").join(classes.select("id", "n", "bits"), "id").select("key", "id", "n", "bits")
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -297,11 +318,13 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sig = written(sketches(docs, id_col, text_col, ngram, bands, rows), "sketch")
     full = sig.filter("n > 0 and id is not null")
     classes = written(full.groupBy("digest").agg(
-        F.min("id").alias("id"), F.first("n").alias("n"), F.first("regs").alias("regs")), "classes")
+        F.min("id").alias("id"), F.first("n").alias("n"), F.first("regs").alias("regs"),
+        F.first("bits").alias("bits")), "classes")
     bins = written(buckets(classes, bands, rows), "buckets")
     j = num / den
     low = j - MARGIN * (j * (1 - j) / (bands * rows)) ** 0.5
-    fits = F.lit(den) * F.least("n", "m") >= F.lit(num) * F.greatest("n", "m")  # of sizes
+    # what sizes and parities allow
+    fits = (F.lit(den) * F.least("n", "m") >= F.lit(num) * F.greatest("n", "m")) & _alike(j)
 
     def with_sets(near: DataFrame, known: DataFrame | None) -> DataFrame:
         ids = _ends(near)
@@ -319,8 +342,9 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     tied = home.filter("cls < far").select(F.col("cls").alias("a"), F.col("far").alias("b"))
 
     # one member of each bucket against the others
-    hub = bins.groupBy("key").agg(F.min(F.struct(F.xxhash64("id"), F.col("id"), F.col("n").alias("m"))).alias("hub"))
-    star = bins.join(hub, "key").withColumn("m", F.col("hub.m")).filter(fits).filter("id <> hub.id") \
+    hub = bins.groupBy("key").agg(F.min(F.struct(F.xxhash64("id"), F.col("id"), F.col("n").alias("m"), F.col("bits").alias("other"))).alias("hub"))
+    star = bins.join(hub, "key").withColumn("m", F.col("hub.m")).withColumn("other", F.col("hub.other")) \
+        .filter(fits).filter("id <> hub.id") \
         .select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b"))
     near = written(_near(written(star.distinct(), "candidates"), classes, low), "pairs")
     sets = with_sets(near, None)
@@ -330,12 +354,12 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     # inside a family all components meet; beyond it, pairs that share a bucket
     inner = written(_family_links(families, comps, sets, num, den), "inner")
-    lab = bins.join(comps, "id", "left").join(families.toDF("id", "family"), "id", "left") \
-        .select("key", "id", "n", F.coalesce("comp", "id").alias("comp"), F.coalesce("family", "id").alias("family"))
+    lab = bins.join(families.toDF("id", "family"), "id", "left") \
+        .select("key", "id", "n", "bits", F.coalesce("family", "id").alias("family"))
     mixed = lab.groupBy("key").agg(F.min("family").alias("lo"), F.max("family").alias("hi")) \
         .filter("lo < hi").select("key")
-    rest = written(lab.join(mixed, "key").select("key", "id", "family", "n"), "rest")
-    cross = rest.toDF("key", "a", "fa", "n").join(rest.toDF("key", "b", "fb", "m"), "key") \
+    rest = written(lab.join(mixed, "key").select("key", "id", "family", "n", "bits"), "rest")
+    cross = rest.toDF("key", "a", "fa", "n", "bits").join(rest.toDF("key", "b", "fb", "m", "other"), "key") \
         .filter("a < b and fa <> fb").filter(fits).select("a", "b")
     near = written(_near(written(cross.distinct(), "candidates"), classes, low), "pairs")
     outer = _confirm(near, with_sets(near, sets), num, den)
