@@ -179,13 +179,13 @@ def fit(docs: DataFrame, text_col: str, lang_col: str, use: Column, salt: str =
     return pickle.loads(got.model) if got else None
 
 
-def _predictor(shared, names: tuple[str, str]):
+def _predictor(shared, names: tuple[str, str], text: int, first: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         known, net = (model[0], ready(model[1])) if model else ([], None)
         for b in batches:
-            texts = b.column(0)
-            for first, rows, data, offs in pieces(texts):
+            texts = b.column(text).cast(pa.binary())
+            for begin, rows, data, offs in pieces(texts):
                 prob = np.zeros((rows, max(1, len(known))))
                 if net is not None and len(data):
                     x, held, row = _cut(data, offs)
@@ -193,33 +193,33 @@ def _predictor(shared, names: tuple[str, str]):
                     prob /= np.maximum(1, np.diff(offs))[:, None]
                 best = prob.argmax(1)
                 lang, score = [], []
-                for i, t in enumerate(texts.slice(first, rows)):
+                for i, t in enumerate(texts.slice(begin, rows)):
                     s = t.as_py()
                     told = net is not None and s is not None and has_letter(s.decode("utf-8", "replace"))
                     lang.append(known[best[i]] if told else "und")
                     score.append(min(1.0, float(prob[i, best[i]])) if told else 0.0)
                 yield pa.RecordBatch.from_arrays(
-                    [*[c.slice(first, rows) for c in b.columns[1:]],
+                    [*[c.slice(begin, rows) for c in b.columns[first:]],
                      pa.array(lang), pa.array(score, pa.float64())],
-                    names=[*b.schema.names[1:], *names])
+                    names=[*b.schema.names[first:], *names])
     return run
 
 
 def predict(docs: DataFrame, model: tuple | None, id_col: str, text_col: str,
             keep: dict[str, Column] | None = None) -> DataFrame:
     """(id, ``keep`` columns, lang_pred, score) per row."""
-    src = docs.select(F.col(text_col).cast("binary").alias("__text"), F.col(id_col),
-                      *[c.alias(n) for n, c in (keep or {}).items()])
-    return _predicted(src, model)
+    src = docs.select(F.col(text_col).alias("__text"), F.col(id_col), *[c.alias(n) for n, c in (keep or {}).items()])
+    return _predicted(src, model, ("lang_pred", "score"), 0, 1)
 
 
 def with_language(docs: DataFrame, model: tuple | None, text_col: str,
                   names: tuple[str, str] = ("__lang_pred", "__score")) -> DataFrame:
     """All columns of ``docs`` and the answer under ``names``."""
-    return _predicted(docs.select(F.col(text_col).cast("binary").alias("__text"), *docs.columns), model, names)
+    return _predicted(docs, model, names, docs.columns.index(text_col), 0)
 
 
-def _predicted(src: DataFrame, model: tuple | None, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    schema = ", ".join(f"`{n}` {t}" for n, t in src.dtypes[1:])
+def _predicted(src: DataFrame, model: tuple | None, names: tuple[str, str], text: int, first: int) -> DataFrame:
+    """``src`` from column ``first`` on and the answer to column ``text``."""
+    schema = ", ".join(f"`{n}` {t}" for n, t in src.dtypes[first:])
     shared = src.sparkSession.sparkContext.broadcast(model)  # a fixed-size network
-    return src.mapInArrow(_predictor(shared, names), f"{schema}, `{names[0]}` string, `{names[1]}` double")
+    return src.mapInArrow(_predictor(shared, names, text, first), f"{schema}, `{names[0]}` string, `{names[1]}` double")

@@ -34,7 +34,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK, LITERAL, CUT = "▁", "\ud800", "\ud801"
 UNKNOWN = 10.0
 #: distinct words a task remembers before it starts afresh; texts encoded at once
-REMEMBER, AT_ONCE = 500_000, 1024
+REMEMBER, AT_ONCE = 250_000, 512
 #: a longer word is not remembered
 LONG_WORD = 64
 
@@ -237,6 +237,22 @@ def _decoding(shared):
     return run
 
 
+def _checking(shared):
+    """Encodes and decodes again in one worker, which holds one vocabulary."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab = Vocabulary(**shared.value)
+        enc, spell = Encoder(vocab), Speller(vocab)
+        for b in batches:
+            for at in range(0, b.num_rows, AT_ONCE):
+                part = b.slice(at, AT_ONCE)
+                texts = part.column(0).to_pylist()
+                made = _lists(enc.encode(texts))
+                same = [x == y for x, y in zip(texts, spell.texts(made), strict=True)]
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], made, pa.array(same)],
+                                                 names=[*part.schema.names[1:], "pieces", "round_trip"])
+    return run
+
+
 def _mapped(df: DataFrame, first: Column, keep: dict[str, Column], task, vocab: Vocabulary, made: str) -> DataFrame:
     src = df.select(first.alias("__in"), *[c.alias(n) for n, c in keep.items()])
     schema = ", ".join([*(f"`{n}` {t}" for n, t in src.dtypes[1:]), made])
@@ -254,9 +270,9 @@ def decode(df: DataFrame, vocab: Vocabulary, keep: dict[str, Column], pieces_col
 
 
 def round_trip(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_pieces, pieces, round_trip): every text encoded, decoded from its
-    pieces, and held against the original by a 64-bit hash."""
-    enc = encode(docs, vocab, {"id": F.col(id_col), "h": F.xxhash64(text_col)}, text_col)
-    dec = decode(enc, vocab, {c: F.col(c) for c in ("id", "h", "pieces")})
-    return dec.select(F.col("id").alias(id_col), F.coalesce(F.size("pieces"), F.lit(0)).cast("long").alias("n_pieces"),
-                      "pieces", (F.xxhash64("text") == F.col("h")).alias("round_trip"))
+    """(id, n_pieces, pieces, round_trip): every text encoded, decoded from
+    its pieces, and held against the original."""
+    both = _mapped(docs, F.col(text_col), {"id": F.col(id_col)}, _checking, vocab,
+                   "pieces array<int>, round_trip boolean")
+    return both.select(F.col("id").alias(id_col), F.coalesce(F.size("pieces"), F.lit(0)).cast("long").alias("n_pieces"),
+                       "pieces", "round_trip")

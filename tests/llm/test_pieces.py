@@ -110,3 +110,10 @@ def test_token_count_table(spark):
     assert got == sorted([(1, 0, 0, 0), (2, 0, 0, 0), (3, 1, greedy("▁" + "y" * 50_000), greedy("▁" + "y" * 50_000)),
                           (3, 3, sum(map(greedy, words)), max(map(greedy, words)))])
     assert token_counts(df.limit(0), ["a"]).count() == 0
+
+
+def test_decode_is_the_inverse_of_encode(spark):
+    rows = [(1, None), (2, ""), (3, " a  b\n▁"), (4, "日本 x" * 50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    made = pieces.encode(df, VOCAB, {"doc_id": df.doc_id})
+    assert sorted(tuple(r) for r in pieces.decode(made, VOCAB, {"doc_id": made.doc_id}).collect()) == rows
