@@ -10,9 +10,8 @@ state that all tokens before it left; the state is carried from window to
 window, so a document is scored to its end at constant memory.
 
 Training is truncated backpropagation in numpy.  A first task warms the network
-up on a bounded number of documents; then every partition trains on its share of
-one in ``SHARE`` training documents (so the training grows with the input), and
-the weights are averaged in a tree, weighted by tokens.
+up on a bounded number of documents; then every partition trains on all its
+training documents, and the weights are averaged in a tree, weighted by tokens.
 
 Counts of the ``HEAD`` most frequent words at most (a bound on what is
 broadcast) are known to the tasks; the other words of a document are joined with
@@ -45,8 +44,9 @@ ALPHA = 0.1
 HEAD, CLASSES, CLASS_SIZE = 131_072, 64, 64
 NEURAL = CLASSES * CLASS_SIZE
 HIDDEN = 24
-SHARE, WARM_DOCS = 16, 200
-LANES, WINDOW, RATE, CLIP = 32, 32, 0.006, 5.0
+WARM_DOCS = 200
+#: lanes of a step: from few to many, where that leaves about ``STEPS`` steps
+LANES, STEPS, WINDOW, RATE, CLIP = (32, 128), 256, 32, 0.006, 5.0
 SCORE_LANES, SCORE_WINDOW, POOL = 256, 32, 1_500_000
 FLUSH = 500_000
 SEED = 3
@@ -96,6 +96,22 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(1, keepdims=True))
 
 
+def _softmax(x: np.ndarray) -> np.ndarray:
+    x -= x.max(1, keepdims=True)
+    np.exp(x, out=x)
+    x /= x.sum(1, keepdims=True)
+    return x
+
+
+def _summed(rows: np.ndarray, at: np.ndarray, many: int) -> np.ndarray:
+    """Sums of the rows that share a place ``at`` among ``many``."""
+    order = np.argsort(at, kind="stable")
+    first = np.flatnonzero(np.diff(at[order], prepend=-1))
+    out = np.zeros((many, rows.shape[1]), rows.dtype)
+    out[at[order[first]]] = np.add.reduceat(rows[order], first)
+    return out
+
+
 def log_probs(net: dict, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """ln P of each token (of the class alone for tokens of the last class)."""
     out = _log_softmax(h @ net["c"] + net["cb"])[np.arange(len(ids)), ids // CLASS_SIZE].astype(np.float64)
@@ -162,46 +178,55 @@ def train(net: dict, docs: list[np.ndarray]) -> tuple[dict, int]:
     net = {k: v.copy() for k, v in net.items()}
     m1 = {k: np.zeros_like(v) for k, v in net.items()}
     m2 = {k: np.zeros_like(v) for k, v in net.items()}
-    h = np.zeros((min(LANES, len(docs)), HIDDEN), np.float32)
+    many = int(np.clip(sum(map(len, docs)) // (WINDOW * STEPS), *LANES))
+    h = np.zeros((min(many, len(docs)), HIDDEN), np.float32)
     step = seen = 0
-    for tok, own, fresh in windows(docs, LANES, WINDOW):
-        n = tok.shape[1]
+    for tok, own, fresh in windows(docs, many, WINDOW):
+        high, n = tok.shape
         h = h[:n]
+        emb = net["e"][tok.ravel()]
+        put = (emb @ net["x"] + net["g"]).reshape(high, n, 3 * HIDDEN)
+        keep = ~fresh[:, :, None]
         trace = []
-        for t in range(len(tok)):
-            h = np.where(fresh[t][:, None], np.float32(0), h)
-            new, r, z, c, a = _cell(net["e"][tok[t]] @ net["x"] + net["g"], h, net["u"])
-            trace.append((h, r, z, c, a))
+        for t in range(high):
+            h = h * keep[t]
+            new, r, z, c, a = _cell(put[t], h, net["u"])
+            trace.append((h, r, z, c, a[:, 2 * HIDDEN:]))
             h = new
         real = own >= 0
-        state, ids = np.stack([x[0] for x in trace])[real], tok[real]
-        grad = {k: np.zeros_like(v) for k, v in net.items()}
-        d = np.exp(_log_softmax(state @ net["c"] + net["cb"]))
+        before = np.stack([x[0] for x in trace])
+        state, ids = before[real], tok[real]
+        grad = {k: np.zeros_like(net[k]) for k in ("w", "wb")}
+        d = _softmax(state @ net["c"] + net["cb"])
         d[np.arange(len(ids)), ids // CLASS_SIZE] -= 1
         scale = np.float32(1 / len(ids))
         d *= scale
         grad["c"], grad["cb"] = state.T @ d, d.sum(0)
         back = d @ net["c"].T
         for k, at in _by_class(ids):
-            d = np.exp(_log_softmax(state[at] @ net["w"][k].T + net["wb"][k]))
+            some = state[at]
+            d = _softmax(some @ net["w"][k].T + net["wb"][k])
             d[np.arange(len(at)), ids[at] % CLASS_SIZE] -= 1
             d *= scale
-            grad["w"][k], grad["wb"][k] = d.T @ state[at], d.sum(0)
+            grad["w"][k], grad["wb"][k] = d.T @ some, d.sum(0)
             back[at] += d @ net["w"][k]
-        direct = np.zeros((len(tok), n, HIDDEN), np.float32)
+        direct = np.zeros((high, n, HIDDEN), np.float32)
         direct[real] = back
-        dh = np.zeros((n, HIDDEN), np.float32)
-        for t in reversed(range(len(tok))):
+        das, dgs = np.empty((2, high, n, 3 * HIDDEN), np.float32)
+        dh, ut = np.zeros((n, HIDDEN), np.float32), np.ascontiguousarray(net["u"].T)
+        for t in reversed(range(high)):
             old, r, z, c, a = trace[t]
             dn = dh * (1 - z) * (1 - c * c)
-            da = np.concatenate([dn * a[:, 2 * HIDDEN:] * r * (1 - r), dh * (old - c) * z * (1 - z), dn * r], 1)
-            dg = np.concatenate([da[:, :2 * HIDDEN], dn], 1)
-            grad["u"] += old.T @ da
-            emb = net["e"][tok[t]]
-            grad["x"] += emb.T @ dg
-            grad["g"] += dg.sum(0)
-            np.add.at(grad["e"], tok[t], dg @ net["x"].T)
-            dh = np.where(fresh[t][:, None], 0, dh * z + da @ net["u"].T + direct[t])
+            da = das[t]
+            da[:, :HIDDEN] = dn * a * r * (1 - r)
+            da[:, HIDDEN:2 * HIDDEN] = dh * (old - c) * z * (1 - z)
+            da[:, 2 * HIDDEN:] = dn * r
+            dgs[t, :, :2 * HIDDEN], dgs[t, :, 2 * HIDDEN:] = da[:, :2 * HIDDEN], dn
+            dh = (dh * z + da @ ut + direct[t]) * keep[t]
+        das, dgs = das.reshape(-1, 3 * HIDDEN), dgs.reshape(-1, 3 * HIDDEN)
+        grad["u"] = before.reshape(-1, HIDDEN).T @ das
+        grad["x"], grad["g"] = emb.T @ dgs, dgs.sum(0)
+        grad["e"] = _summed(dgs @ net["x"].T, tok.ravel() % len(net["e"]), len(net["e"]))
         size = np.sqrt(sum(float((g**2).sum()) for g in grad.values()))
         step += 1
         for k, g in grad.items():
@@ -396,6 +421,15 @@ def frequent(counts: DataFrame, most: int) -> DataFrame:
     return counts.filter(F.col("c") >= low) if low is not None else counts.filter("false")
 
 
+def fitted(learn: DataFrame, shared: tuple) -> tuple[dict, int]:
+    """(weights, tokens learned from) after a pass over all texts of ``learn``;
+    ``shared``: the frequent words, the number of ends and the weights so far."""
+    parts = learn.select("text").mapInArrow(
+        _training(learn.sparkSession.sparkContext.broadcast(shared)), "net binary, n long")
+    added, n = parts.rdd.map(_weighted).treeAggregate((None, 0), _add, _add, 3)
+    return ({k: (v / n).astype(np.float32) for k, v in added.items()}, n) if n else (shared[2], 0)
+
+
 def score(docs: DataFrame, id_col: str, text_col: str, fold: Column) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) per
     row; ``fold`` is 0 for rows that are not learned from."""
@@ -416,16 +450,11 @@ def score(docs: DataFrame, id_col: str, text_col: str, fold: Column) -> DataFram
 
     net = initial(np.array(neural, float), float(rest_n))
     sc = spark.sparkContext
-    pick = F.xxhash64(F.lit("train"), "text")
-    warm = learn.orderBy(pick, "h").limit(WARM_DOCS).select("text").coalesce(1) \
+    warm = learn.orderBy(F.xxhash64(F.lit("train"), "id", "text"), "h").limit(WARM_DOCS).select("text").coalesce(1) \
         .mapInArrow(_training(sc.broadcast((table, end_count, net))), "net binary, n long").first()
     if warm:
         net = pickle.loads(warm.net)
-    share = learn.filter(F.pmod(pick, F.lit(SHARE)) == 0).select("text") \
-        .mapInArrow(_training(sc.broadcast((table, end_count, net))), "net binary, n long")
-    added = share.rdd.map(_weighted).treeAggregate((None, 0), _add, _add, 3)
-    if added[1]:
-        net = {k: (v / added[1]).astype(np.float32) for k, v in added[0].items()}
+    net = fitted(learn, (table, end_count, net))[0]
 
     kind = src.dtypes[0][1]
     rows = src.select("id", "h", F.coalesce(F.col("fold") == 0, F.lit(False)).alias("held_out"), "text").mapInArrow(

@@ -105,3 +105,24 @@ def test_hash_table_finds_all_and_nothing_else():
     assert (t.find(keys) == np.arange(len(keys))).all()
     assert (t.find(keys + np.uint64(1)) == -1).sum() >= len(keys) - 1
     assert (M.HashTable(keys[:0]).find(keys[:3]) == -1).all()
+
+
+def test_network_learns_from_every_training_row(spark, monkeypatch):
+    monkeypatch.setattr(M, "WARM_DOCS", 0)
+    left = F.pmod(F.xxhash64(F.lit("train"), F.col("text").cast("binary")), F.lit(16)) != 0
+    # one text, held by all rows: its words are as frequent as each other, only their order tells
+    texts = spark.createDataFrame([(" ".join([f"p{i}", f"q{i}", f"r{i}", f"s{i}"] * 50),) for i in range(20)], "text string")
+    text = texts.filter(left).first().text
+    df = spark.createDataFrame([(i, text) for i in range(400)], "doc_id long, text string")
+    got = M.score(df, "doc_id", "text", F.lit(1)).collect()
+    assert got[0].train_tokens == 400 * 201
+    assert got[0].score > 0.8 * got[0].base_score
+
+
+def test_tokens_learned_from_are_all_tokens(spark):
+    table = [(w.encode(), 100 - i) for i, w in enumerate("abcdefgh")]
+    df = spark.createDataFrame([(i, " ".join("abcdefgh"[(i + j) % 8] for j in range(i % 7))) for i in range(300)],
+                               "doc_id long, text string").select(F.col("text").cast("binary").alias("text"))
+    net = M.initial(np.array([300, *(c for _, c in table)], float), 0.0)
+    assert M.fitted(df.repartition(3), (table, 300, net))[1] == sum(i % 7 + 1 for i in range(300))
+    assert M.fitted(df.limit(0), (table, 300, net)) == (net, 0)
