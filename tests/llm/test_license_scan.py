@@ -53,3 +53,84 @@ def test_empty_table_and_real_documents(spark):
     got = {r.doc_id: (r.n_sentences, r.n_known, r.n_matches, list(r.licences)) for r in scan(docs).collect()}
     assert got == {r.doc_id: brute(r.text) for r in docs.collect()}
     assert scan(docs.limit(0)).count() == 0
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS.
+"""
+BSD = """Copyright (c) 2020, Some One
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+NAMES = """3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+
+
+def test_genuine_texts_wrapped_and_not(spark):
+    gpl2 = GPL.replace("version 3", "version 2")
+    agpl = GPL.replace("GNU General", "GNU Affero General")
+    lgpl = GPL.replace("This program", "This library").replace("GNU General", "GNU Lesser General").replace("n 3", "n 2.1")
+    genuine = [(MIT, "MIT"), (APACHE, "Apache-2.0"), (BSD, "BSD"), (BSD + NAMES, "BSD-3-Clause"),
+               (GPL, "GPL-3.0-or-later"), (gpl2, "GPL-2.0-or-later"), (agpl, "AGPL-3.0-or-later"),
+               (lgpl, "LGPL-2.1-or-later"), (MPL, "MPL-2.0")]
+    unwrapped = [re.sub(r"(?<!\n)\n(?!\n)", " ", t) for t, _ in genuine]
+    commented = ["".join(f" * {line}\n" for line in t.split("\n")) for t, _ in genuine]
+    inside = [f"some prose without a stop\n{t}more prose" for t, _ in genuine]
+    want = [[x] for _, x in genuine]
+    for texts in ([t for t, _ in genuine], commented, inside):
+        assert [r[3] for r in run(spark, texts)] == want
+    # BSD's first clause is no sentence of its own there: it follows a heading on the same line
+    assert [r[3] for r in run(spark, unwrapped)][:2] == want[:2] and [r[3] for r in run(spark, unwrapped)][4:] == want[4:]
+
+
+def test_wrapped_sentences_count_once_and_do_not_join_over_breaks(spark):
+    known = {"a b c": "ABC", "a b": "AB", "d": "D"}
+    rules = (Rule("ABCD", ("ABC", "D")), Rule("AB", ("AB",)))
+    texts = ["x\na\nb\nc\nd", "a\nb\n\nc", "a.\nb c", "a b\nx c", "y a\nb c", "a\nb\na b\nc\nd y"]
+    assert run(spark, texts, sentences=known, rules=rules) == [
+        (3, 2, 1, ["ABCD"]), (2, 1, 1, ["AB"]), (2, 0, 0, []), (2, 1, 1, ["AB"]), (2, 0, 0, []), (3, 2, 1, ["AB"])]
