@@ -8,9 +8,9 @@ probabilities are the mean over all its windows, weighted by their bytes.
 Filters are linear in one-hot bytes, so a filter of width w is a sum of w table
 rows; for use the tables of neighbouring bytes are merged into byte-pair
 tables, which halves the look-ups.  Training is plain numpy (Adam, gradients
-through the winning positions) on at most ``PER_LANG`` labelled documents a
-language, chosen by hash, inside one task; the model that comes back has a fixed
-size.
+through the winning positions) on at most ``PER_LANG`` different labelled texts a
+language, those of the smallest hashes, inside one task; the model that comes
+back has a fixed size.
 
 Defined results: null text or a text without a letter is ``und`` with score 0;
 a table without labelled rows gives ``und`` with score 0 everywhere; equal rows
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from ioclake.llm.bytewords import pieces
 
 WIDTHS, FILTERS, WINDOW = (2, 3, 4), 16, 256
-#: the bound of the training sample: documents a language, languages, windows a document
+#: the bound of the training sample: different texts a language, languages, windows a text
 PER_LANG, LANGS, PER_DOC = 600, 64, 4
 EPOCHS, BATCH, RATE = 4, 64, 0.01
 SEED = 11
@@ -170,12 +170,12 @@ def fit(docs: DataFrame, text_col: str, lang_col: str, use: Column, salt: str =
         .select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"),
                 F.xxhash64(F.lit(salt), F.col(text_col)).alias("h"))
     top = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGS)
-    # a hash share of each language, a little more than is used, before anything is gathered
-    share = F.shiftrightunsigned("h", 1) / float(2**63) < F.lit(2.0 * PER_LANG) / F.col("count")
+    # chosen on narrow rows, each text once; only chosen texts move, one row of each
     w = Window.partitionBy("lang").orderBy("h")
-    some = rows.join(F.broadcast(top), "lang").filter(share).withColumn("nth", F.row_number().over(w)) \
-        .filter(F.col("nth") <= PER_LANG).select(F.col("text").cast("binary"), "lang")
-    got = some.coalesce(1).mapInArrow(_trainer, "model binary").first()
+    chosen = rows.select("lang", "h").distinct().join(F.broadcast(top.select("lang")), "lang") \
+        .withColumn("nth", F.row_number().over(w)).filter(F.col("nth") <= PER_LANG).drop("nth")
+    some = rows.join(F.broadcast(chosen), ["lang", "h"]).dropDuplicates(["lang", "h"])
+    got = some.select(F.col("text").cast("binary"), "lang").coalesce(1).mapInArrow(_trainer, "model binary").first()
     return pickle.loads(got.model) if got else None
 
 

@@ -55,3 +55,29 @@ def test_edge_texts(spark):
     assert none is None
     assert {r.lang_pred for r in L.predict(df, none, "doc_id", "text").collect()} == {"und"}
     assert L.predict(df.limit(0), none, "doc_id", "text").count() == 0
+
+
+def test_copies_do_not_thin_out_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(L, "PER_LANG", 20)
+    words = {"en": "the cat of the house and the dog number", "de": "der Hund und die Katze von dem Haus Nummer"}
+    docs = spark.range(20_000).select("id", F.when(F.col("id") % 2 == 0, "en").otherwise("de").alias("lang")).select(
+        "lang", F.concat(F.when(F.col("lang") == "en", words["en"]).otherwise(words["de"]), F.lit(" "),
+                         F.when(F.col("id") < 15_000, F.col("id") % 10).otherwise(F.lit(77)).cast("string")).alias("text"))
+    monkeypatch.setattr(L, "_trainer", _rows_then(L._trainer))
+    known, net = L.fit(docs, "text", "lang", F.lit(True))
+    seen = net.pop("rows")
+    assert known == ["de", "en"]
+    assert len(seen) == len(set(seen)) == 12  # five texts and the common one of each language
+
+
+def _rows_then(real):
+    def run(batches):
+        import pickle
+
+        import pyarrow as pa
+        held = list(batches)
+        for out in real(iter(held)):
+            known, net = pickle.loads(out.column(0)[0].as_py())
+            net["rows"] = [x for b in held for x in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((known, net))], pa.binary())], names=["model"])
+    return run
