@@ -9,8 +9,8 @@ Filters are linear in one-hot bytes, so a filter of width w is a sum of w table
 rows; for use the tables of neighbouring bytes are merged into byte-pair
 tables, which halves the look-ups.  Training is plain numpy (Adam, gradients
 through the winning positions) on at most ``PER_LANG`` different labelled texts a
-language, those of the smallest hashes, inside one task; the model that comes
-back has a fixed size.
+language, those of the smallest hashes, inside one task; every language with
+labelled rows is learned, and the model has one output column for each.
 
 Defined results: null text or a text without a letter is ``und`` with score 0;
 a table without labelled rows gives ``und`` with score 0 everywhere; equal rows
@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from ioclake.llm.bytewords import pieces
 
 WIDTHS, FILTERS, WINDOW = (2, 3, 4), 16, 256
-#: the bound of the training sample: different texts a language, languages, windows a text
-PER_LANG, LANGS, PER_DOC = 600, 64, 4
+#: the bound of the training sample: different texts a language, windows a text
+PER_LANG, PER_DOC = 600, 4
 EPOCHS, BATCH, RATE = 4, 64, 0.01
 SEED = 11
 _LETTER = re.compile(r"[^\W\d_]")
@@ -158,7 +158,8 @@ def _trainer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known = sorted(set(langs))
     order = np.argsort(np.array(langs), kind="stable")
     x = np.concatenate(xs)[order]
-    y = np.array([known.index(lang) for lang in langs])[order]
+    place = {lang: i for i, lang in enumerate(known)}
+    y = np.array([place[lang] for lang in langs])[order]
     lex = np.lexsort((*x.T[:16], y))  # the same model for any order of rows
     net = train(x[lex], y[lex], len(known))
     yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((known, net))], pa.binary())], names=["model"])
@@ -169,10 +170,9 @@ def fit(docs: DataFrame, text_col: str, lang_col: str, use: Column, salt: str =
     rows = docs.filter(use & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")) \
         .select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"),
                 F.xxhash64(F.lit(salt), F.col(text_col)).alias("h"))
-    top = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGS)
     # chosen on narrow rows, each text once; only chosen texts move, one row of each
     w = Window.partitionBy("lang").orderBy("h")
-    chosen = rows.select("lang", "h").distinct().join(F.broadcast(top.select("lang")), "lang") \
+    chosen = rows.select("lang", "h").distinct() \
         .withColumn("nth", F.row_number().over(w)).filter(F.col("nth") <= PER_LANG).drop("nth")
     some = rows.join(F.broadcast(chosen), ["lang", "h"]).dropDuplicates(["lang", "h"])
     got = some.select(F.col("text").cast("binary"), "lang").coalesce(1).mapInArrow(_trainer, "model binary").first()
@@ -221,5 +221,5 @@ def with_language(docs: DataFrame, model: tuple | None, text_col: str,
 def _predicted(src: DataFrame, model: tuple | None, names: tuple[str, str], text: int, first: int) -> DataFrame:
     """``src`` from column ``first`` on and the answer to column ``text``."""
     schema = ", ".join(f"`{n}` {t}" for n, t in src.dtypes[first:])
-    shared = src.sparkSession.sparkContext.broadcast(model)  # a fixed-size network
+    shared = src.sparkSession.sparkContext.broadcast(model)  # its size follows the languages alone
     return src.mapInArrow(_predictor(shared, names, text, first), f"{schema}, `{names[0]}` string, `{names[1]}` double")

@@ -81,3 +81,10 @@ def _rows_then(real):
             net["rows"] = [x for b in held for x in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((known, net))], pa.binary())], names=["model"])
     return run
+
+
+def test_every_labelled_language_is_learned(spark):
+    df = spark.createDataFrame([(f"{chr(97 + n % 26) * 5} {chr(97 + n // 26) * 7} {i}", f"l{n:02}")
+                                for n in range(70) for i in range(1 + (n < 69))], "text string, lang string")
+    known, net = L.fit(df, "text", "lang", F.lit(True))
+    assert known == [f"l{n:02}" for n in range(70)] and net["out"].shape[1] == 70
