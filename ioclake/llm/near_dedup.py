@@ -336,10 +336,12 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             _set_maker(ngram), "id long, set array<long>"), "sets")
         return new if known is None else known.union(new)
 
-    # an id that has several texts ties their classes together
-    owner = full.select("id", "digest").join(classes.select("digest", F.col("id").alias("cls")), "digest")
+    # an id that has several texts ties their classes to the smallest one
+    owner = written(full.select("id", "digest").join(classes.select("digest", F.col("id").alias("cls")), "digest")
+                    .select("id", "cls"), "owner")
     home = written(owner.groupBy("id").agg(F.min("cls").alias("cls"), F.max("cls").alias("far")), "home")
-    tied = home.filter("cls < far").select(F.col("cls").alias("a"), F.col("far").alias("b"))
+    tied = written(owner.join(home.filter("cls < far").select("id", F.col("cls").alias("low")), "id")
+                   .filter("low < cls").select(F.col("low").alias("a"), F.col("cls").alias("b")).distinct(), "tied")
 
     # one member of each bucket against the others
     hub = bins.groupBy("key").agg(F.min(F.struct(F.xxhash64("id"), F.col("id"), F.col("n").alias("m"), F.col("bits").alias("other"))).alias("hub"))
@@ -347,7 +349,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .filter(fits).filter("id <> hub.id") \
         .select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b"))
     near = written(_near(written(star.distinct(), "candidates"), classes, low), "pairs")
-    sets = with_sets(near, None)
+    sets = with_sets(near.union(tied), None)  # of all that a family may hold
     edges = written(tied.union(_confirm(near, sets, num, den)), "edges")
     comps = written(connected_components(edges), "components")
     families = written(connected_components(edges.union(near)), "families")

@@ -97,3 +97,21 @@ def test_chain_of_links(spark):
     edges = edges.union(spark.createDataFrame([(900, 901), (901, 900), (950, 950)], "a long, b long"))
     got = {r.id: r.comp for r in connected_components(edges).collect()}
     assert got == {**{i: 0 for i in range(200)}, 900: 900, 901: 900}
+
+
+def test_an_id_with_three_texts_is_one_document(spark, monkeypatch):
+    from ioclake.llm import near_dedup as module
+
+    texts = [" ".join(f"{w}{i}" for i in range(60)) for w in "abcd"]
+    rows = [(1, texts[0]), (2, texts[1]), (3, texts[2]), (4, texts[3]), *[(9, x) for x in texts]]
+    real, lost = module._family_links, []
+
+    def links(families, comps, sets, num, den):
+        lost.append(families.select("id").join(sets.select("id"), "id", "left_anti").count())
+        return real(families, comps, sets, num, den)
+
+    monkeypatch.setattr(module, "_family_links", links)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.component_id) for r in module.near_dedup(df, ngram=2).collect()}
+    assert got == {(i, 1) for i in (1, 2, 3, 4, 9)}
+    assert lost == [0]
