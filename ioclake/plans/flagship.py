@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ioclake import config
 from ioclake.operators import iocs as io
 from ioclake.operators import mentions as mn
 from ioclake.plans import bindings as b
@@ -18,8 +17,7 @@ from ioclake.plans import bindings as b
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     arts = b.validated_articles(spark, sf).select("doc", "text")
-    ments = mn.find_mentions(arts, mn.gazetteer_table(spark), key="doc",
-                             gazetteer_rows=len(config.TESTDATA_GAZETTEER))
+    ments = mn.find_mentions(arts, mn.gazetteer_table(spark), key="doc")
     iocs = io.all_iocs(io.mention_iocs(ments), io.token_iocs(arts, "doc"))
     return (iocs.groupBy("type")
             .agg(F.count(F.lit(1)).alias("n_iocs"), F.countDistinct("doc").alias("n_articles"))

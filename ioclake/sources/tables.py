@@ -15,7 +15,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 #: session setting: partitions that text scans are dealt over (unset: as scanned)
-SCAN_PARTITIONS = "ioclake.scan.partitions"
+SCAN_PARTITIONS = "spark.ioclake.scan.partitions"
 
 
 def spread(df: DataFrame) -> DataFrame:
