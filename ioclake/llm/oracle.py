@@ -51,8 +51,36 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM f GROUP BY conv_id
 """
 
+
+
+def _clustering(k: int = 16, rounds: int = 3, dims: int = 64, scale: int = 64) -> str:
+    """Lloyd's rounds written out, distances by plain sums of squares."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+far{r} AS (SELECT rid, v, cluster, CAST(list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+           FROM kept, c{r}),
+own{r} AS (SELECT rid, any_value(v) AS v, min(struct_pack(d := d, cluster := cluster)) AS b FROM far{r} GROUP BY rid)""")
+        if r < rounds:
+            steps.append(f"""
+sums{r} AS (SELECT b.cluster AS cluster, p, sum(v[p])::HUGEINT AS s, count(*) AS n FROM own{r}, unnest(range(1, {dims + 1})) AS t(p) GROUP BY 1, 2),
+new{r} AS (SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY p) AS c FROM sums{r} GROUP BY 1),
+c{r + 1} AS (SELECT cluster, coalesce(new{r}.c, c{r}.c) AS c FROM c{r} LEFT JOIN new{r} USING (cluster))""")
+    return f"""
+WITH kept AS (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * {scale}) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = {dims} AND list_count(embedding) = {dims}
+    AND list_bool_and(list_transform(embedding, lambda x: isfinite(x)))),
+seeds AS (SELECT v, sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h FROM kept ORDER BY h, v LIMIT {k}),
+c0 AS (SELECT CAST(row_number() OVER (ORDER BY h, v) - 1 AS INTEGER) AS cluster, v AS c FROM seeds),{",".join(steps)}
+SELECT vec_id, b.cluster AS cluster, b.d AS distance, CAST(sum(b.d) OVER (PARTITION BY b.cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(b.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM own{rounds} JOIN kept USING (rid) JOIN c{rounds} ON c{rounds}.cluster = b.cluster
+"""
+
+
 SQL: dict[str, str] = {
     "op4_decontaminate": DECONTAMINATE,
     "op5_chat_format": CHAT_FORMAT,
     "op8_warc": WARC,
+    "op13_centroids": _clustering(),
 }

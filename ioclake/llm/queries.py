@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ioclake.llm import ann, chat_format, language_id, license_scan, lm_score, pieces, warc
+from ioclake.llm import ann, centroids, chat_format, language_id, license_scan, lm_score, pieces, warc
 from ioclake.llm.common import fold_bucket, table
 from ioclake.llm.decontaminate import contamination
 from ioclake.llm.near_dedup import near_dedup
@@ -70,6 +70,10 @@ def q_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
     return pieces.round_trip(table(spark, d, "documents"), pieces.load())
 
 
+def q_centroids(spark: SparkSession, d: str) -> DataFrame:
+    return centroids.cluster(table(spark, d, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ann": q_ann,
     "op2_lm_score": q_lm_score,
@@ -81,5 +85,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": q_warc,
     "op9_sentencepiece": q_sentencepiece,
     "op10_license_scan": q_license_scan,
+    "op13_centroids": q_centroids,
     "pipeline": corpus_pipeline.run,
 }
