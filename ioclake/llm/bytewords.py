@@ -49,7 +49,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 @dataclass
 class Words:
     """Words of the texts ``first .. first + rows - 1`` of a batch: byte
-    spans in ``data``, hashes, and per text the range of its words."""
+    spans in ``data``, hashes, and per text the ranges of its words and bytes."""
 
     first: int
     rows: int
@@ -58,6 +58,7 @@ class Words:
     end: np.ndarray
     hash: np.ndarray
     bound: np.ndarray
+    offs: np.ndarray
 
     def strings(self, which: np.ndarray) -> pa.Array:
         """The lower-cased bytes of the words ``which`` as a binary array."""
@@ -103,4 +104,4 @@ def words(texts: pa.Array, limit: int = PIECE) -> Iterator[Words]:
         total = np.zeros(n + 1, np.uint64)
         np.cumsum(_VALUE[data] * up[:n], out=total[1:])
         h = mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
-        yield Words(first, rows, data, start, end, h, np.searchsorted(start, offs))
+        yield Words(first, rows, data, start, end, h, np.searchsorted(start, offs), offs)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ioclake.llm import ann, centroids, chat_format, language_id, license_scan, lm_score, pieces, warc
+from ioclake.llm import alignment, ann, centroids, chat_format, language_id, license_scan, lm_score, pieces, quality, warc
 from ioclake.llm.common import fold_bucket, table
 from ioclake.llm.decontaminate import contamination
 from ioclake.llm.near_dedup import near_dedup
@@ -70,6 +70,27 @@ def q_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
     return pieces.round_trip(table(spark, d, "documents"), pieces.load())
 
 
+#: the public vocabularies that op11 aligns
+BYTE_LEVEL, PIECES = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def q_alignment(spark: SparkSession, d: str) -> DataFrame:
+    return alignment.align(table(spark, d, "documents"), BYTE_LEVEL, PIECES)[0]
+
+
+#: from this probability of a good text on
+GOOD = 0.3
+
+
+def q_quality(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    fold = fold_bucket(F.col("doc_id"), 5)
+    model = quality.fit(docs, table(spark, d, "labels"), fold != 0)
+    held_out = F.coalesce(fold == 0, F.lit(False))
+    return quality.score(docs, model, {"doc_id": F.col("doc_id"), "held_out": held_out}).withColumn(
+        "predicted", F.when(F.col("score") >= GOOD, 1).otherwise(0))
+
+
 def q_centroids(spark: SparkSession, d: str) -> DataFrame:
     return centroids.cluster(table(spark, d, "embeddings"))
 
@@ -85,6 +106,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": q_warc,
     "op9_sentencepiece": q_sentencepiece,
     "op10_license_scan": q_license_scan,
+    "op11_alignment": q_alignment,
+    "op12_quality": q_quality,
     "op13_centroids": q_centroids,
     "pipeline": corpus_pipeline.run,
 }
