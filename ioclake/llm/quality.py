@@ -43,7 +43,7 @@ from ioclake.llm.common import written
 PER_CLASS = 4096
 PAIRS = 1024
 MEASURES = ("adjacent equal words", "words seen before", "bytes a word", "words of over 20 bytes", "size")
-STEPS, RATE, DECAY = 400, 0.02, 1e-4
+STEPS, RATE, DECAY = 300, 0.02, 1e-4
 #: confidence of the prior's bound
 DELTA, GAMMA = 0.1, 0.01
 ROWS_AT_ONCE = 256
@@ -84,6 +84,16 @@ def features(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
 
 # ----------------------------------------------------------------- training
 
+def _score(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Model values in the precision of the features, which are never copied."""
+    return (x @ w[:-1].astype(x.dtype)).astype(float) + w[-1]
+
+
+def _grad(x: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """Mean over rows of the weights' gradient, from slopes per row."""
+    return np.append(s.astype(x.dtype) @ x, s.sum()) / len(s)
+
+
 def _loss(z: np.ndarray) -> np.ndarray:
     return np.logaddexp(0, -z)
 
@@ -96,16 +106,12 @@ def _slope(z: np.ndarray) -> np.ndarray:
 def pu_risk(weights: np.ndarray, good: np.ndarray, mixed: np.ndarray, prior: float) -> tuple[float, np.ndarray]:
     """Non-negative risk and the direction to descend.  The last weight is
     the bias."""
-    zg, zm = good @ weights[:-1] + weights[-1], mixed @ weights[:-1] + weights[-1]
-
-    def grad(x, s):
-        return np.append(x.T @ s, s.sum()) / len(s)
-
+    zg, zm = _score(good, weights), _score(mixed, weights)
     bad = _loss(-zm).mean() - prior * _loss(-zg).mean()
-    of_bad = grad(mixed, -_slope(-zm)) - prior * grad(good, -_slope(-zg))
+    of_bad = _grad(mixed, -_slope(-zm)) - prior * _grad(good, -_slope(-zg))
     if bad < 0:  # no risk is: go back up
         return prior * _loss(zg).mean(), -of_bad
-    return prior * _loss(zg).mean() + bad, prior * grad(good, _slope(zg)) + of_bad
+    return prior * _loss(zg).mean() + bad, prior * _grad(good, _slope(zg)) + of_bad
 
 
 def _adam(width: int, direction) -> np.ndarray:
@@ -135,20 +141,19 @@ def train(good: np.ndarray, mixed: np.ndarray) -> dict:
     good, mixed = (good - mean) / spread, (mixed - mean) / spread
 
     def apart(w):  # positives against unlabelled texts
-        zg, zm = (x @ w[:-1] + w[-1] for x in halves)
-        sg, sm = _slope(zg) / len(zg), -_slope(-zm) / len(zm)
-        return np.append(halves[0].T @ sg + halves[1].T @ sm, sg.sum() + sm.sum())
+        return _grad(halves[0], _slope(_score(halves[0], w))) + _grad(halves[1], -_slope(-_score(halves[1], w)))
 
     halves = good[::2], mixed[::2]
     w = _adam(good.shape[1], apart)
     others = [x[1::2] if len(x) > 1 else x for x in (good, mixed)]
-    prior = class_prior(*(x @ w[:-1] + w[-1] for x in others))
+    prior = class_prior(*(_score(x, w) for x in others))
     w = _adam(good.shape[1], lambda w: pu_risk(w, good, mixed, prior)[1])
     return {"mean": mean, "spread": spread, "weights": w, "prior": prior}
 
 
 def probabilities(model: dict, x: np.ndarray) -> np.ndarray:
-    z = (x - model["mean"]) / model["spread"] @ model["weights"][:-1] + model["weights"][-1]
+    # summed row by row, so a text's score does not depend on its neighbours
+    z = ((x - model["mean"]) / model["spread"] * model["weights"][:-1]).sum(1) + model["weights"][-1]
     return 1 / (1 + np.exp(np.clip(-z, -500, 500)))
 
 
