@@ -1,4 +1,4 @@
-"""Text column expressions: tokens, sentences, trimming, HTML to text.
+"""Text column expressions: tokens, sentences, trimming, character references.
 
 All functions return ``Column`` objects built from Spark SQL built-ins so
 they stay inside whole-stage codegen.
@@ -97,63 +97,6 @@ def decode_entities(col) -> Column:
     return let(_c(col), lambda x: F.when(x.contains("&"), let(x, decoded)).otherwise(x))
 
 
-# Elements whose whole content is boilerplate for article text, and
-# comments; removed in one left-to-right pass (the earliest match wins).
-# A page header is boilerplate only outside articles.
-_DROP_BLOCKS = ["script", "style", "noscript", "template", "nav", "footer", "aside"]
-NOISE = "(?is)<(?:!--.*?-->|" + "|".join(rf"{t}\b[^>]*>.*?</{t}\s*>" for t in _DROP_BLOCKS) + ")"
-PAGE_HEADER = r"(?is)<header\b[^>]*>.*?</header\s*>"
-# Tags that end a text block (rendered as a line break).
-_BLOCK_TAGS = r"(?i)<(?:br|p|/p|h[1-6]|/h[1-6]|li|/li|div|/div|tr|/tr|blockquote|/blockquote|section|/section|article|/article)\b[^>]*>"
-
-
-def strip_noise(html) -> Column:
-    """Remove comments and script/style/nav/footer/... elements."""
-    return F.regexp_replace(_c(html), NOISE, " ")
-
-
-def article_spans(clean) -> Column:
-    """The insides of all outermost <article> elements, nested ones included;
-    an article that is never closed runs to the end."""
-    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc, part):
-        turn = F.when(part.rlike(r"(?i)^<article\b"), 1).when(part.rlike(r"(?i)^</article\b"), -1).otherwise(0)
-        depth = F.greatest(F.lit(0), acc.depth + turn)
-        return F.struct(depth.alias("depth"), F.when(depth > 0, F.concat(acc.out, F.array(part)))
-                        .when(acc.depth > 0, F.concat(acc.out, F.array(F.lit("<br>")))).otherwise(acc.out).alias("out"))
-
-    return F.array_join(F.aggregate(F.split(clean, r"(?i)(?=</?article\b)"), start, step, lambda a: a.out), "")
-
-
-def html_title(html) -> Column:
-    """Decoded, whitespace-squeezed <title>; '' when the page has none."""
-    raw = F.regexp_extract(_c(html), r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1)
-    return py_strip(F.regexp_replace(decode_entities(raw), r"\s+", " "))
-
-
-def html_main_text(html) -> Column:
-    """Main text of a page: its <article> elements, else <body>, else the
-    page, the latter two without page headers.
-
-    Boilerplate elements are dropped, block tags become line breaks, other
-    tags vanish, entities are decoded, blanks squeezed and lines trimmed."""
-    def pick(clean):
-        def page(bare):
-            body = F.regexp_extract(bare, r"(?is)<body\b[^>]*>(.*?)(?:</body\s*>|$)", 1)
-            return F.when(bare.rlike(r"(?i)<body\b"), body).otherwise(bare)
-        return F.when(clean.rlike(r"(?i)<article\b"), article_spans(clean)).otherwise(
-            let(F.regexp_replace(clean, PAGE_HEADER, " "), page))
-
-    s = let(strip_noise(html), pick)
-    s = F.regexp_replace(s, _BLOCK_TAGS, "\n")
-    s = F.regexp_replace(s, r"<[^>]*>", "")
-    s = decode_entities(s)
-    s = F.regexp_replace(s, r"[ \t\f\r\x0B]+", " ")
-    s = F.regexp_replace(s, r" ?\n[ \n]*", "\n")
-    return py_strip(s)
-
-
 def project_once(df, keep, new: dict):
     """``df`` with ``keep`` columns plus ``new`` computed columns, behind a
     generator so a later filter on them cannot be pushed below and

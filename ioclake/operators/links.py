@@ -7,39 +7,24 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ioclake import config
-from ioclake.functions.text import decode_entities
+from ioclake.functions.html import href_value, token_hrefs
 from ioclake.functions.urls import with_resolved_url
+from ioclake.operators.pages import tokenize_pages
 
-# One start tag of an <a> element: the name must end there, attributes are
-# quoted or bare tokens, so a '>' inside quotes does not end the tag.
-ANCHOR = r"""(?is)<a(?=[\s/>])(?:"[^"]*"|'[^']*'|[^>"'])*>"""
-# The attribute named exactly href: names start after white space, and the
-# attributes before it are skipped as whole tokens.
-HREF = r"""(?is)^<a(?:[\s/]+(?!href[\s=/>])[^\s=/>]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']*))?)*[\s/]+href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
 
-
-def _without_raw_text(html) -> F.Column:
-    # markup inside comments, scripts and styles is not markup
-    s = F.regexp_replace(html, r"(?s)<!--.*?-->", " ")
-    s = F.regexp_replace(s, r"(?is)<script\b[^>]*>.*?</script\s*>", " ")
-    return F.regexp_replace(s, r"(?is)<style\b[^>]*>.*?</style\s*>", " ")
+def page_links(parsed: DataFrame, page_key: str = "page_id") -> DataFrame:
+    """(page_key, page_url, link_pos, href) from pages whose raw ``hrefs``
+    are at hand: decoded, empty ones dropped after they are numbered."""
+    found = parsed.select(F.col(page_key), F.col("url").alias("page_url"), F.posexplode("hrefs").alias("link_pos", "_raw"))
+    return found.withColumn("href", href_value(F.col("_raw"))).drop("_raw").filter(F.col("href") != "")
 
 
 def extract_links(pages: DataFrame, page_key: str = "page_id") -> DataFrame:
     """(page_key, page_url, link_pos, href): every non-empty href of an <a>
     element, in document order, entities decoded.  ``link_pos`` numbers the
     <a> elements that carry an href."""
-    tags = F.regexp_extract_all(_without_raw_text(F.col("html")), F.lit(ANCHOR), 0)
-    raw = F.filter(F.transform(tags, lambda t: F.regexp_extract(t, HREF, 1)), lambda h: h != "")
-    return (pages
-            .select(F.col(page_key), F.col("url").alias("page_url"),
-                    F.posexplode(raw).alias("link_pos", "_raw"))
-            .withColumn("href", decode_entities(
-                F.when(F.col("_raw").rlike(r"""^"[^"]*"$|^'[^']*'$"""),
-                       F.expr("substring(_raw, 2, length(_raw) - 2)"))
-                .otherwise(F.col("_raw"))))
-            .drop("_raw")
-            .filter(F.col("href") != ""))
+    tokens = tokenize_pages(pages, (page_key, "url"))
+    return page_links(tokens.select(page_key, "url", token_hrefs(F.col("tokens")).alias("hrefs")), page_key)
 
 
 def resolve_links(links: DataFrame) -> DataFrame:

@@ -1,12 +1,13 @@
 """Page side: URL-keyed fetch reuse (A3), link -> page lookup (C1) and
-HTML -> (title, text) extraction (B4, B5)."""
+HTML -> (title, text, links) extraction (B1, B4, B5)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ioclake.functions.text import html_main_text, html_title, project_once
+from ioclake.functions.html import html_tokens, token_content, token_hrefs, token_text, token_title
+from ioclake.functions.text import project_once
 
 
 def without_fragment(url) -> F.Column:
@@ -49,9 +50,28 @@ def links_without_page(links: DataFrame, pages: DataFrame) -> DataFrame:
         .join(_landed(pages), "fetch_url", "left_anti").drop("fetch_url")
 
 
+def tokenize_pages(pages: DataFrame, keep) -> DataFrame:
+    """(keep..., tokens) per page, the tokens made once."""
+    return project_once(pages, list(keep), {"tokens": html_tokens(F.col("html"))})
+
+
+def parse_pages(pages: DataFrame, keep=("page_id", "url")) -> DataFrame:
+    """(keep..., title, text, hrefs) per page from one pass over its html.
+    Pure column work: no shuffle."""
+    t = F.col("tokens")
+    return project_once(tokenize_pages(pages, keep), list(keep), {
+        "title": token_title(t), "text": token_text(t), "hrefs": token_hrefs(t)})
+
+
 def page_text(pages: DataFrame, keep=("page_id", "url")) -> DataFrame:
     """(keep..., title, text) per page; pages whose text is empty are
-    dropped (B4, B5).  Pure column work: no shuffle."""
-    out = project_once(pages, list(keep), {"title": html_title(F.col("html")),
-                                           "text": html_main_text(F.col("html"))})
-    return out.filter(F.col("text").isNotNull() & (F.col("text") != ""))
+    dropped (B4, B5)."""
+    t = F.col("tokens")
+    out = project_once(tokenize_pages(pages, keep), list(keep), {"title": token_title(t), "text": token_text(t)})
+    return out.filter(F.col("text") != "")
+
+
+def page_content(pages: DataFrame, keep=("page_id",)) -> DataFrame:
+    """(keep..., blocks, first, last, text): the part of each page whose
+    blocks are long and not links, whatever its elements are called (B4)."""
+    return tokenize_pages(pages, keep).select(*keep, F.inline(F.array(token_content(F.col("tokens")))))

@@ -88,6 +88,10 @@ def q_page_text(spark, sf):
     return pg.page_text(page_scan(spark, sf))
 
 
+def q_page_content(spark, sf):
+    return pg.page_content(page_scan(spark, sf))
+
+
 def q_url_normalize(spark, sf):
     pages = page_scan(spark, sf).select(F.lit("page").alias("src"), F.col("page_id").alias("id"),
                                         F.lit(-1).cast("int").alias("link_pos"), "url")
@@ -418,6 +422,7 @@ QUERIES = {
     "link_resolve": q_link_resolve,
     "link_filter": q_link_filter,
     "page_text": q_page_text,
+    "page_content": q_page_content,
     "url_normalize": q_url_normalize,
     "validate_articles": q_validate_articles,
     "validate_rejects": q_validate_rejects,

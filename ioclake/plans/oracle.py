@@ -69,48 +69,131 @@ def decode_entities(col: str) -> str:
             f"list_transform(string_split({col}, '&')[2:], lambda p: {piece}), '') ELSE {col} END")
 
 
-_DROP = ["script", "style", "noscript", "template", "nav", "footer", "aside"]
-_BLOCK = (r"(?i)<(?:br|p|/p|h[1-6]|/h[1-6]|li|/li|div|/div|tr|/tr|blockquote|/blockquote|"
-          r"section|/section|article|/article)\b[^>]*>")
+# One left-to-right pass that never gives back what it has taken, in a dialect
+# without look-ahead: raw-text elements are spelled out by name.
+_W = r" \t\n\f\r"
+_ATTR = (rf"""(?:=[^{_W}/>=]*|[^{_W}/>=]+)(?:[{_W}]*=[{_W}]*(?:"[^"]*(?:"|\z)|'[^']*(?:'|\z)|[^{_W}>"'][^{_W}>]*)?)?""")
+_REST = rf"(?:[{_W}/]+|{_ATTR})*"
+_RAW = "|".join(rf"<{n}(?:[{_W}/]{_REST})?(?:>(?s:.*?)(?:</{n}(?:[{_W}/][^>]*)?(?:>|\z)|\z)|\z)"
+                for n in ("script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"))
+_TOKEN = (rf"(?i)<!--(?:-?>|(?s:.*?)(?:--!?>|\z))|{_RAW}|</?[a-z][^{_W}/>]*{_REST}(?:>|\z)|<[!?/][^>]*(?:>|\z)|[^<]+|<[^<]*")
+_DROP = "('noscript', 'template', 'nav', 'footer', 'aside')"
+_MARKUP = "'^<[a-zA-Z!?/]'"
+
+
+def _starts(token: str, names: str) -> str:
+    return f"regexp_matches({token}, '(?i)^<(?:{names})[{_W}/>]')"
+
+
+def _turn() -> str:
+    """State after one tag, as a struct; 'out' keeps what follows each tag."""
+    n, skips = "m.name", "s.skip <> ''"
+    ends = f"{n} IN ('/body', '/html')"
+    opens = f"(s.skip = '' AND ({n} IN {_DROP} OR ({n} = 'header' AND s.art = 0)))"
+    leaves = f"({skips} AND {n} = '/article' AND s.inn = 0 AND s.art > 0)"
+    over = f"(({skips} AND {n} = '/' || s.skip AND s.depth = 1) OR {leaves} OR {ends})"
+    skip = f"CASE WHEN {opens} THEN {n} WHEN {over} THEN '' ELSE s.skip END"
+    depth = (f"CASE WHEN {opens} THEN 1 WHEN {over} THEN 0 WHEN {skips} AND {n} = s.skip THEN s.depth + 1 "
+             f"WHEN {skips} AND {n} = '/' || s.skip THEN s.depth - 1 ELSE s.depth END")
+    inn = (f"CASE WHEN {opens} OR {ends} THEN 0 WHEN {skips} AND {n} = 'article' THEN s.inn + 1 "
+           f"WHEN {skips} AND {n} = '/article' AND s.inn > 0 THEN s.inn - 1 ELSE s.inn END")
+    art = (f"CASE WHEN {ends} THEN 0 WHEN s.skip = '' AND {n} = 'article' THEN s.art + 1 "
+           f"WHEN (s.skip = '' OR {leaves}) AND {n} = '/article' THEN greatest(s.art - 1, 0) ELSE s.art END")
+    body = f"CASE WHEN s.skip = '' AND {n} = 'body' THEN 1 WHEN {ends} AND s.body = 1 THEN 2 ELSE s.body END"
+    code = f"CASE WHEN ({skip}) <> '' THEN 0 WHEN ({art}) > 0 THEN 3 WHEN ({body}) = 1 THEN 2 ELSE 1 END"
+    return (f"{{'skip': {skip}, 'depth': {depth}, 'inn': {inn}, 'art': {art}, 'body': {body}, "
+            f"'out': list_append(s.out, {{'at': m.at, 'code': {code}}})}}")
+
+
+def _tidy(text: str) -> str:
+    dec = f"replace({text}, chr(0), '')"
+    squeezed = f"regexp_replace({dec}, '[ \\t\\f\\r\\x0B]+', ' ', 'g')"
+    return f"regexp_replace({squeezed}, ' ?\\n[ \\n]*', chr(10), 'g')"
+
+
+_LINE = "regexp_replace(regexp_replace({}, '[\\x01\\x02]', '', 'g'), ' ?\\n[ \\n]*', chr(10), 'g')"
+_PIECE = (rf"CASE WHEN NOT regexp_matches(tok, {_MARKUP}) THEN regexp_replace(tok, '[\x00\x01\x02]', '', 'g') "
+          f"WHEN {_starts('tok', 'br|/?(?:p|h[1-6]|li|div|tr|blockquote|section|article)')} THEN chr(10) "
+          f"WHEN {_starts('tok', 'a')} THEN chr(1) WHEN {_starts('tok', '/a')} THEN chr(2) ELSE chr(0) END")
+
+TOKENS_OF_PAGES = f"""pg_tok AS MATERIALIZED (SELECT page_id, url, regexp_extract_all(html, {_q(_TOKEN)}) AS t FROM pages),
+pg_rows AS MATERIALIZED (SELECT page_id, unnest(range(len(t))) AS i, unnest(t) AS tok FROM pg_tok)"""
+
+
+def _content(source: str, name: str) -> str:
+    """CTEs over ``source`` (page_id, tidied text with marked links): the
+    best run of blocks, all runs held against each other."""
+    words = "len(list_filter(string_split({}, ' '), lambda w: w <> ''))"
+    plain = "regexp_replace({}, '[\\x01\\x02]', '', 'g')"
+    every, alone = words.format(plain.format("line")), words.format(plain.format("regexp_replace(line, '\\x01[^\\x02]*', '', 'g')"))
+    return f"""{name}_lines AS MATERIALIZED (
+      SELECT page_id, k, line, {alone} - 3 * ({every} - {alone}) - 6 AS x FROM (
+        SELECT page_id, unnest(range(len(ls))) AS k, unnest(ls) AS line FROM (
+          SELECT page_id, list_filter(string_split(text, chr(10)), lambda l: trim({plain.format('l')}) <> '') AS ls FROM {source}))),
+    {name}_sums AS MATERIALIZED (
+      SELECT page_id, k, sum(w) OVER (PARTITION BY page_id ORDER BY k) AS upto, w FROM (
+        SELECT page_id, k, 2 * x + lag(x, 1, 0) OVER p + lead(x, 1, 0) OVER p AS w FROM {name}_lines
+        WINDOW p AS (PARTITION BY page_id ORDER BY k))),
+    {name}_best AS (
+      SELECT page_id, a AS first, b AS last FROM (
+        SELECT f.page_id, f.k AS a, l.k AS b, row_number() OVER (PARTITION BY f.page_id
+          ORDER BY l.upto - f.upto + f.w DESC, l.k, f.k DESC) AS rn
+        FROM {name}_sums f JOIN {name}_sums l ON l.page_id = f.page_id AND l.k >= f.k WHERE l.upto - f.upto + f.w > 0)
+      WHERE rn = 1),
+    {name} AS (
+      SELECT s.page_id, coalesce(n, 0) AS blocks, coalesce(first, -1) AS first, coalesce(last, -1) AS last,
+        {py_strip(_LINE.format("coalesce(body, '')"))} AS text
+      FROM {source} s LEFT JOIN (
+        SELECT l.page_id, count(*) AS n, any_value(first) AS first, any_value(last) AS last, string_agg(line, chr(10) ORDER BY l.k)
+          FILTER (first IS NULL OR l.k BETWEEN first AND last) AS body
+        FROM {name}_lines l LEFT JOIN {name}_best b ON b.page_id = l.page_id GROUP BY l.page_id) USING (page_id))"""
 
 
 def page_text_cte() -> str:
-    """Article text by the running depth of article tags: a piece belongs to
-    an article where more were opened than closed, stray closings aside."""
-    noise = "(?is)<(?:!--.*?-->|" + "|".join(f"{t}\\b[^>]*>.*?</{t}\\s*>" for t in _DROP) + ")"
-    clean = f"regexp_replace(html, '{noise}', ' ', 'g')"
+    """Main text by the state after each tag that matters; each token takes
+    the state of the last such tag before it."""
+    marks = rf"lower(regexp_extract(tok, '(?i)^<(/?(?:noscript|template|nav|footer|aside|header|article|body|html))[{_W}/>]', 1))"
+    start = "{'skip': '', 'depth': 0, 'inn': 0, 'art': 0, 'body': 0, 'out': [{'at': -1::BIGINT, 'code': 1}]}"
+    end = rf"(?:</title(?:[{_W}/][^>]*)?>?$|$)"
+    raw_title = rf"regexp_extract(tok, '(?is)^<title(?:[{_W}/]{_REST.replace(chr(39), chr(39) * 2)})?>(.*?){end}', 1)"
     title = py_strip("regexp_replace(" + decode_entities("raw_title") + r", '\s+', ' ', 'g')")
-    bare = r"regexp_replace(c, '(?is)<header\b[^>]*>.*?</header\s*>', ' ', 'g')"
-    txt = f"regexp_replace(main, '{_BLOCK}', chr(10), 'g')"
-    txt = f"regexp_replace({txt}, '<[^>]*>', '', 'g')"
-    squeezed = "regexp_replace(dec, '[ \\t\\f\\r\\x0B]+', ' ', 'g')"
-    squeezed = py_strip(f"regexp_replace({squeezed}, ' ?\\n[ \\n]*', chr(10), 'g')")
-    return rf"""pt_clean AS (
-      SELECT page_id, url, {clean} AS c, regexp_extract(html, '(?is)<title\b[^>]*>(.*?)</title\s*>', 1) AS raw_title FROM pages),
-    pt_parts AS (
-      SELECT row_number() OVER () AS rid, * FROM (
-        SELECT page_id, url, raw_title, c, string_split(regexp_replace(c, '(?i)(</?article\b)', chr(1) || '\1', 'g'), chr(1)) AS parts
-        FROM pt_clean)),
-    pt_sum AS (
-      SELECT rid, i, part, sum(turn) OVER (PARTITION BY rid ORDER BY i) AS s, turn FROM (
-        SELECT rid, i, part, CASE WHEN regexp_matches(part, '(?i)^<article\b') THEN 1
-          WHEN regexp_matches(part, '(?i)^</article\b') THEN -1 ELSE 0 END AS turn
-        FROM (SELECT rid, unnest(range(len(parts))) AS i, unnest(parts) AS part FROM pt_parts))),
-    pt_depth AS (
-      SELECT *, s - least(0, min(s) OVER (PARTITION BY rid ORDER BY i)) AS depth FROM pt_sum),
-    pt_art AS (
-      SELECT rid, string_agg(CASE WHEN depth > 0 THEN part WHEN was > 0 THEN '<br>' ELSE '' END, '' ORDER BY i) AS art
-      FROM (SELECT *, lag(depth, 1, 0) OVER (PARTITION BY rid ORDER BY i) AS was FROM pt_depth) GROUP BY rid),
-    pt_main AS (
-      SELECT page_id, url, raw_title, CASE WHEN regexp_matches(c, '(?i)<article\b') THEN art
-        WHEN regexp_matches(b, '(?i)<body\b') THEN regexp_extract(b, '(?is)<body\b[^>]*>(.*?)(?:</body\s*>|$)', 1)
-        ELSE b END AS main
-      FROM (SELECT p.*, {bare} AS b, art FROM pt_parts p JOIN pt_art USING (rid))),
-    pt_flat AS (SELECT page_id, url, raw_title, {txt} AS flat FROM pt_main),
-    pt_dec AS (SELECT page_id, url, {title} AS title, {decode_entities('flat')} AS dec FROM pt_flat),
+    return f"""{TOKENS_OF_PAGES},
+    pt_marks AS (SELECT page_id, list({{'at': i, 'name': {marks}}} ORDER BY i) AS ms FROM pg_rows WHERE {marks} <> '' GROUP BY page_id),
+    pt_turns AS (
+      SELECT page_id, o.at AS i, o.code AS code FROM (
+        SELECT page_id, unnest(list_reduce(ms, lambda s, m: {_turn()}, {start}).out) AS o FROM pt_marks)),
+    pt_codes AS (
+      SELECT page_id, i, tok, coalesce(last_value(code IGNORE NULLS) OVER (PARTITION BY page_id ORDER BY i), 1) AS code
+      FROM pg_rows LEFT JOIN pt_turns USING (page_id, i)),
+    pt_best AS (SELECT page_id, max(code) AS best FROM pt_codes GROUP BY page_id),
+    pt_raw AS (
+      SELECT page_id, best, string_agg(CASE WHEN code = best THEN {_PIECE} || CASE WHEN more THEN '' ELSE chr(10) END ELSE '' END,
+               '' ORDER BY i) AS raw
+      FROM (SELECT *, coalesce(lead(code) OVER (PARTITION BY page_id ORDER BY i) = code, false) AS more FROM pt_codes)
+      JOIN pt_best USING (page_id) GROUP BY page_id, best),
+    pt_dec AS (SELECT page_id, best, {decode_entities('raw')} AS dec FROM pt_raw),
+    pt_flat AS MATERIALIZED (SELECT page_id, best, {_tidy('dec')} AS text FROM pt_dec),
+    pt_loose AS (SELECT page_id, text FROM pt_flat WHERE best < 3),
+    {_content('pt_loose', 'pt_run')},
+    pt_title AS (
+      SELECT page_id, {title} AS title FROM (
+        SELECT page_id, {raw_title} AS raw_title FROM (SELECT page_id, arg_min(tok, i) AS tok FROM pg_rows
+          WHERE {_starts('tok', 'title')} GROUP BY page_id))),
     page_text AS (
-      SELECT page_id, url, title, text FROM (SELECT page_id, url, title, {squeezed} AS text FROM pt_dec)
-      WHERE text IS NOT NULL AND text <> '')"""
+      SELECT page_id, url, title, text FROM (
+        SELECT page_id, url, coalesce(title, '') AS title,
+          CASE WHEN best = 3 THEN {py_strip(_LINE.format('f.text'))} ELSE r.text END AS text
+        FROM pg_tok JOIN pt_flat f USING (page_id) LEFT JOIN pt_run r USING (page_id) LEFT JOIN pt_title USING (page_id))
+      WHERE text <> '')"""
+
+
+def page_content_sql() -> str:
+    return f"""WITH {TOKENS_OF_PAGES},
+    pc_raw AS (SELECT page_id, coalesce(string_agg({_PIECE}, '' ORDER BY i), '') AS raw FROM (SELECT page_id FROM pages) LEFT JOIN pg_rows USING (page_id) GROUP BY page_id),
+    pc_dec AS (SELECT page_id, {decode_entities('raw')} AS dec FROM pc_raw),
+    pc_text AS MATERIALIZED (SELECT page_id, {_tidy('dec')} AS text FROM pc_dec),
+    {_content('pc_text', 'pc_run')}
+    SELECT page_id, blocks, first, last, text FROM pc_run"""
 
 
 # ------------------------------------------------------------------ URLs
@@ -233,20 +316,14 @@ def _cols(*names) -> str:
 
 # ------------------------------------------------------- shared CTE chains
 
-LINKS_CTE = rf"""
-links_raw AS (
-  SELECT page_id, url AS page_url,
-         regexp_extract_all(
-           regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', ' ', 'g'),
-             '(?is)<script\b[^>]*>.*?</script\s*>', ' ', 'g'), '(?is)<style\b[^>]*>.*?</style\s*>', ' ', 'g'),
-           '(?is)<a(?:[\s/](?:"[^"]*"|''[^'']*''|[^>"''])*)?>') AS tags
-  FROM pages),
+_ATTR_Q = _ATTR.replace("'", "''")
+_PAGE_LINKS = rf"""links_raw AS (
+  SELECT page_id, url AS page_url, list_filter(t, lambda x: {_starts('x', 'a')} AND ends_with(x, '>')) AS tags FROM pg_tok),
 links_attr AS (
-  SELECT page_id, page_url, t, a, regexp_extract(attr, '^[\s/]+([^\s=/>]+)', 1) AS name,
-         regexp_extract(attr, '(?s)=\s*("[^"]*"|''[^'']*''|[^\s>"'']+)$', 1) AS raw
+  SELECT page_id, page_url, t, a, regexp_extract(attr, '^(=[^{_W}/>=]*|[^{_W}/>=]+)', 1) AS name,
+         regexp_extract(attr, '(?s)^(?:=[^{_W}/>=]*|[^{_W}/>=]+)[{_W}]*=[{_W}]*("[^"]*"|''[^'']*''|[^{_W}>"''][^{_W}>]*)$', 1) AS raw
   FROM (SELECT page_id, page_url, t, unnest(range(len(attrs))) AS a, unnest(attrs) AS attr
-        FROM (SELECT page_id, page_url, t, regexp_extract_all(substring(tag, 3),
-                '(?s)[\s/]+[^\s=/>]+(?:\s*=\s*(?:"[^"]*"|''[^'']*''|[^\s>"'']*))?') AS attrs
+        FROM (SELECT page_id, page_url, t, regexp_extract_all(substring(tag, 3), '(?s){_ATTR_Q}') AS attrs
               FROM (SELECT page_id, page_url, unnest(range(len(tags))) AS t, unnest(tags) AS tag FROM links_raw)))),
 links_x AS (
   SELECT page_id, page_url, row_number() OVER (PARTITION BY page_id ORDER BY t) - 1 AS link_pos, raw
@@ -255,7 +332,7 @@ links_x AS (
 links AS (
   SELECT page_id, page_url, link_pos, href FROM (
     SELECT page_id, page_url, link_pos,
-      {decode_entities("CASE WHEN regexp_matches(raw, '^\"[^\"]*\"$|^''[^'']*''$') THEN substring(raw, 2, length(raw) - 2) ELSE raw END")} AS href
+      {decode_entities("CASE WHEN left(raw, 1) IN ('\"', chr(39)) THEN substring(raw, 2, length(raw) - 2) ELSE raw END")} AS href
     FROM links_x) WHERE href <> ''),
 resolved AS (
   SELECT page_id, page_url, link_pos, href, resolve_error, abs_url FROM {resolve_from('links', 'page_url', 'href')}),
@@ -263,6 +340,7 @@ article_links AS (
   SELECT * FROM resolved WHERE resolve_error IS NULL AND ({' OR '.join(f"contains(abs_url, {_q(m)})" for m in config.TESTDATA_LINK_MARKERS)})),
 first_links AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY link_pos) AS rn FROM article_links) WHERE rn <= {config.LINKS_PER_SITE})"""
+LINKS_CTE = f"{TOKENS_OF_PAGES},\n{_PAGE_LINKS}"
 
 
 SITE_CTE = """
@@ -575,6 +653,7 @@ def oracle_sql() -> dict[str, str]:
     q["link_page_missing"] = (f"WITH {LINKS_CTE}, {SITE_CTE} SELECT site_pos, link_pos, abs_url FROM site_links "
                               f"WHERE string_split(abs_url, '#')[1] NOT IN (SELECT fetch_url FROM landed)")
     q["page_text"] = f"WITH {page_text_cte()} SELECT page_id, url, title, text FROM page_text"
+    q["page_content"] = page_content_sql()
     q["url_normalize"] = (f"WITH {LINKS_CTE}, u AS (SELECT 'page' AS src, page_id AS id, -1 AS link_pos, url FROM pages "
                           f"UNION ALL SELECT 'link', page_id, link_pos, abs_url FROM resolved WHERE abs_url IS NOT NULL) "
                           f"SELECT src, id, link_pos, url, url_reject, url_norm FROM {normalize_from('u', 'url')}")
@@ -585,7 +664,7 @@ def oracle_sql() -> dict[str, str]:
                              f"THEN 'empty_text' ELSE 'empty_url' END AS reason, pos FROM deduped "
                              f"WHERE NOT coalesce(title <> '' AND text <> '' AND url <> '', false)")
     q["articles_ordered"] = (
-        f"WITH {LINKS_CTE}, {SITE_CTE}, {page_text_cte()}, "
+        f"WITH {page_text_cte()}, {_PAGE_LINKS}, {SITE_CTE}, "
         f"reached AS (SELECT l.site_pos, l.link_pos, l.abs_url, t.title, t.text FROM site_links l "
         f"JOIN landed p ON p.fetch_url = string_split(l.abs_url, '#')[1] JOIN page_text t ON t.page_id = p.page_id) "
         f"SELECT site_pos, link_pos, url_norm AS doc, title FROM (SELECT *, row_number() OVER "
@@ -655,7 +734,7 @@ def oracle_sql() -> dict[str, str]:
     q["report_recommendations"] = _first_seen("Recommendations", "description", "NULL::VARCHAR AS priority")
     q["report_json"] = _report_sql(X, A)
     q["rejects"] = (
-        f"WITH {X}, {LINKS_CTE} "
+        f"WITH {X}, {_PAGE_LINKS} "
         f"SELECT 'build' AS stage, raw_url AS key, reject AS reason FROM built WHERE reject IS NOT NULL "
         f"UNION ALL SELECT 'validate', url, CASE WHEN coalesce(title, '') = '' THEN 'empty_title' "
         f"WHEN coalesce(text, '') = '' THEN 'empty_text' ELSE 'empty_url' END FROM deduped "
@@ -666,7 +745,7 @@ def oracle_sql() -> dict[str, str]:
         f"(SELECT DISTINCT doc, chunk_no FROM classified WHERE attempt <= {config.MAX_ATTEMPTS}) c "
         f"WHERE NOT EXISTS (SELECT 1 FROM chosen h WHERE h.doc = c.doc AND h.chunk_no = c.chunk_no)")
     q["stage_counts"] = (
-        f"WITH {X}, {LINKS_CTE}, sites AS ({sites}) SELECT 'pages' AS stage, count(*) AS n_rows FROM pages "
+        f"WITH {X}, {_PAGE_LINKS}, sites AS ({sites}) SELECT 'pages' AS stage, count(*) AS n_rows FROM pages "
         + "".join(f"UNION ALL SELECT '{c}', coalesce(sum({c}), 0) FROM sites "
                   for c in ("links", "link_rejects", "article_links", "kept_links")) +
         f"UNION ALL SELECT 'build_rejects', count(*) FROM built WHERE reject IS NOT NULL "

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 
-from ioclake.functions.text import decode_entities, html_main_text, html_title
+from ioclake.functions.html import html_main_text, html_title
+from ioclake.functions.text import decode_entities
 from ioclake.operators.pages import page_text
 from ioclake.operators.text import chunk_tokens, split_sentences, tokenize
 
