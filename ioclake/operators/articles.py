@@ -25,6 +25,16 @@ def build_articles(texts: DataFrame, pos: str = "pos") -> DataFrame:
                      reject.alias("reject"))
 
 
+def build_narrow(texts: DataFrame, pos: str = "pos") -> DataFrame:
+    """(pos, raw_url, url, reject, invalid): ``build_articles`` and the reason
+    of ``validation_rejects`` for pages that have a text, from (pos, url,
+    has_title).  What follows can sort and move records without their texts."""
+    df = with_normalized_url(texts.withColumnRenamed("url", "raw_url"), "raw_url", out="url", reason="_url_reject")
+    return df.select(F.col(pos).alias("pos"), "raw_url", "url",
+                     F.when(F.col("_url_reject").isNotNull(), F.concat(F.lit("url_"), F.col("_url_reject"))).alias("reject"),
+                     F.when(~F.col("has_title"), F.lit("empty_title")).when(F.col("url") == "", F.lit("empty_url")).alias("invalid"))
+
+
 def accepted(articles: DataFrame) -> DataFrame:
     return articles.filter(F.col("reject").isNull()).drop("reject")
 

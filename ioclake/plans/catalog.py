@@ -22,6 +22,7 @@ from ioclake.operators import pages as pg
 from ioclake.operators import report as rp
 from ioclake.operators.text import chunk_tokens, tokenize
 from ioclake.plans import bindings as b
+from ioclake.plans.run import Run
 from ioclake.sources.tables import page_scan, read_table, seeds_from_pages
 from ioclake.functions.urls import with_normalized_url
 
@@ -101,8 +102,13 @@ def q_url_normalize(spark, sf):
     return with_normalized_url(pages.unionByName(links), "url")
 
 
+def _articles(spark, sf):
+    """A run that writes its parsed pages and plans the rest."""
+    return Run(spark, sf, keep={"parsed"})
+
+
 def q_dedup_by_url(spark, sf):
-    return b.deduped_articles(spark, sf).select("pos", "url")
+    return _articles(spark, sf).deduped.select("pos", "url")
 
 
 def q_dedup_by_text(spark, sf):
@@ -112,11 +118,12 @@ def q_dedup_by_text(spark, sf):
 
 
 def q_validate_articles(spark, sf):
-    return art.validate(b.deduped_articles(spark, sf)).select("pos", "url", "title")
+    return _articles(spark, sf).validated.select("pos", "url", "title")
 
 
 def q_validate_rejects(spark, sf):
-    return art.validation_rejects(b.deduped_articles(spark, sf))
+    return _articles(spark, sf).deduped.filter("invalid IS NOT NULL").select(
+        F.lit("validate").alias("stage"), F.col("url").alias("key"), F.col("invalid").alias("reason"), "pos")
 
 
 def q_articles_ordered(spark, sf):
@@ -245,33 +252,10 @@ def q_articles_enriched(spark, sf):
 
 # --------------------------------------------------------- analysis side
 
-class _Analysis:
-    """The article-side analysis chain of one query, each stage built once
-    and shared by every branch that needs it."""
-
-    def __init__(self, spark, sf, max_tokens=config.CHUNK_TOKENS):
-        self.built = b.built_articles(spark, sf)
-        self.deduped = b.deduped_articles(spark, sf, self.built)
-        self.validated = b.validated_articles(spark, sf, self.deduped)
-        self.chunks = b.article_chunks(spark, sf, max_tokens, validated=self.validated)
-        self.replies = b.stub_replies(self.chunks)
-        self.classified = an.classify_replies(self.replies)
-        self.chosen = an.choose_attempt(self.classified)
-        self.chunk_analysis = an.chunk_analysis(self.chosen)
-        self.combined = an.combine_articles(self.chunk_analysis)
-        self.analysed = an.analysed_articles(self.validated, self.combined)
-
-
-def _classified(spark, sf):
-    return _Analysis(spark, sf).classified
-
-
-def _chosen(spark, sf):
-    return _Analysis(spark, sf).chosen
-
-
-def _combined(spark, sf):
-    return _Analysis(spark, sf).combined
+def _analysis(spark, sf, max_tokens=config.CHUNK_TOKENS):
+    """A run that writes pages, chunks and classified replies, which several
+    branches of a query read, and plans the rest."""
+    return Run(spark, sf, {"parsed", "chunks", "classified"}, max_tokens)
 
 
 def _json_lists(df):
@@ -279,30 +263,30 @@ def _json_lists(df):
 
 
 def q_analysis_requests(spark, sf):
-    return an.build_requests(b.article_chunks(spark, sf)).drop("request")
+    return an.build_requests(_articles(spark, sf).chunks).drop("request")
 
 
 def q_response_parse(spark, sf):
-    return _json_lists(_classified(spark, sf).select(
+    return _json_lists(_articles(spark, sf).classified.select(
         "doc", "chunk_no", "attempt", "reply_class", *an.KEYS))
 
 
 def q_response_salvage(spark, sf):
-    s = an.salvage_replies(b.stub_replies(b.article_chunks(spark, sf)))
+    s = an.salvage_replies(b.stub_replies(_articles(spark, sf).chunks))
     return s.select("doc", "chunk_no", "attempt", "salvaged", *[F.to_json(k).alias(k) for k in an.KEYS])
 
 
 def q_response_attempts(spark, sf):
-    return _chosen(spark, sf).select("doc", "chunk_no", "attempt", "reply_class")
+    return _articles(spark, sf).chosen.select("doc", "chunk_no", "attempt", "reply_class")
 
 
 def q_article_combine(spark, sf):
-    return _json_lists(_combined(spark, sf))
+    return _json_lists(_articles(spark, sf).combined)
 
 
 def q_article_combine_small(spark, sf):
     """Articles of several chunks folded into one analysis (D3)."""
-    return _json_lists(_Analysis(spark, sf, SMALL_CHUNK).combined)
+    return _json_lists(Run(spark, sf, {"parsed"}, SMALL_CHUNK).combined)
 
 
 def q_reply_parse_landed(spark, sf):
@@ -318,28 +302,21 @@ def q_reply_parse_landed(spark, sf):
 
 
 def q_analysed_articles(spark, sf):
-    return _Analysis(spark, sf).analysed.select("doc", "pos", "title")
+    return _analysis(spark, sf).analysed.select("doc", "pos", "title")
 
 
 def q_unanalysed_articles(spark, sf):
-    a = _Analysis(spark, sf)
-    return an.unanalysed_articles(a.validated, a.combined).select("doc", "pos", "title")
+    return _analysis(spark, sf).unanalysed.select("doc", "pos", "title")
 
 
 def q_rejects(spark, sf):
-    a = _Analysis(spark, sf)
-    build_rej = a.built.filter(F.col("reject").isNotNull()).select(
-        F.lit("build").alias("stage"), F.col("raw_url").alias("key"), F.col("reject").alias("reason"))
-    val_rej = art.validation_rejects(a.deduped).drop("pos")
-    link_rej = lk.link_rejects(b.resolved_links(spark, sf))
-    reply_rej = an.reply_rejects(a.classified)
-    return build_rej.unionByName(val_rej).unionByName(link_rej).unionByName(reply_rej)
+    return Run(spark, sf).rejects()
 
 
 # ----------------------------------------------------------- report side
 
 def _analysed(spark, sf):
-    return _Analysis(spark, sf).analysed
+    return _analysis(spark, sf).analysed
 
 
 def q_report_summary(spark, sf):
@@ -363,48 +340,14 @@ REPORT_ID, REPORT_TIME = "00000000-0000-0000-0000-000000000000", datetime(2024,
 
 
 def q_report_json(spark, sf):
-    a = _Analysis(spark, sf)
-    articles = _enriched(spark, sf, a.validated)
-    return rp.report_lines(articles, a.analysed, REPORT_ID, REPORT_TIME)
+    run = Run(spark, sf)
+    return rp.report_lines(_enriched(spark, sf, run.validated), run.analysed, REPORT_ID, REPORT_TIME)
 
 
 def q_stage_counts(spark, sf):
-    """(stage, n_rows) per stage of the article flow.
-
-    The page side is one pass: each extracted page carries its build
-    reject, its rank among accepted rows of its URL and its validity, and
-    one aggregate counts every stage.  The analysis side is a second pass
-    over the chosen replies."""
-    pages = page_scan(spark, sf)
-    a = _Analysis(spark, sf)
-    built = a.built
-    acc = F.col("reject").isNull()
-    valid = ((F.col("title") != "") & (F.col("text") != "") & (F.col("url") != "")).eqNullSafe(True)
-    # one group per accepted URL (rejects share the null key); partial
-    # aggregation keeps a hot URL or many rejects to one row per map task
-    per_url = built.groupBy(F.when(acc, F.col("url")).alias("_k")).agg(
-        F.count(F.lit(1)).alias("_n"), F.min_by(valid, F.col("pos")).alias("_v"))
-    known = F.col("_k").isNotNull()
-    side = per_url.agg(
-        F.sum("_n").alias("page_text"),
-        F.coalesce(F.sum(F.when(known, F.col("_n"))), F.lit(0)).alias("articles_built"),
-        F.coalesce(F.sum(F.when(~known, F.col("_n"))), F.lit(0)).alias("build_rejects"),
-        F.count_if(known).alias("deduped"),
-        F.coalesce(F.sum(F.when(known, F.col("_n") - 1)), F.lit(0)).alias("duplicates_skipped"),
-        F.count_if(known & F.col("_v")).alias("validated"),
-        F.count_if(known & ~F.col("_v")).alias("validate_rejects"))
-    links = _site_counts(spark, sf).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in (
-        "links", "link_rejects", "article_links", "kept_links")])
-    chunks = a.chunks.agg(F.count(F.lit(1)).alias("chunks"))
-    ca = a.chunk_analysis.agg(
-        F.count(F.lit(1)).alias("chunk_analysis"), F.countDistinct("doc").alias("analysed_articles"))
-    n_pages = pages.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("pages").alias("stage"), "n_rows")
-
-    def unpivot(df):
-        return df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("stage"), F.col(c).alias("n_rows"))
-                                             for c in df.columns])).alias("_s")).select("_s.*")
-
-    return n_pages.unionByName(unpivot(links)).unionByName(unpivot(side)).unionByName(unpivot(chunks)).unionByName(unpivot(ca))
+    """(stage, n_rows) per stage of the article flow (A6), observed while a
+    whole run writes its stages."""
+    return Run(spark, sf).counts()
 
 
 QUERIES = {

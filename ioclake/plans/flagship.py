@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 
 from ioclake.operators import iocs as io
 from ioclake.operators import mentions as mn
-from ioclake.plans import bindings as b
+from ioclake.plans.run import Run
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
-    arts = b.validated_articles(spark, sf).select("doc", "text")
+    arts = Run(spark, sf, keep={"parsed"}).validated.select("doc", "text")
     ments = mn.find_mentions(arts, mn.gazetteer_table(spark), key="doc")
     iocs = io.all_iocs(io.mention_iocs(ments), io.token_iocs(arts, "doc"))
     return (iocs.groupBy("type")
