@@ -25,7 +25,9 @@ memory follows its length.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -59,8 +61,19 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(rest)}
 
 
+#: how a byte-level vocabulary cuts a text before it merges bytes
+CUT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: texts of these characters alone are cut alike by every version of Unicode
+STEADY = re.compile(r"[\t\n\r -~\u00a1-\u024f]*")
+
+
 def byte_level_side(definition: str) -> Side:
-    """A byte-level vocabulary from the JSON text of its definition."""
+    """A byte-level vocabulary from the JSON text of its definition.
+
+    Where ids follow the order of merges, the same definition is also given to
+    a faster engine, for texts whose cut cannot depend on the engine's tables of
+    characters; it gives the same ids."""
+    import tiktoken
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_str(definition)
@@ -71,8 +84,20 @@ def byte_level_side(definition: str) -> Side:
     for name, i in names.items():
         spell[i] = bytes(of[c] for c in name) if all(c in of for c in name) else name.encode()
 
+    made = json.loads(definition)
+    merges = [m.split(" ") if isinstance(m, str) else m for m in made["model"]["merges"]]
+    cut = made.get("pre_tokenizer") or {}
+    plain = cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True)
+    quick = None
+    if plain and not made.get("normalizer") and all(names["".join(m)] == 256 + n for n, m in enumerate(merges)):
+        ranks = {spell[i]: i for i in range(256 + len(merges))}
+        quick = tiktoken.Encoding("definition", pat_str=CUT, mergeable_ranks=ranks, special_tokens={})
+
     def encode(texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in tok.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        steady = [quick is not None and STEADY.fullmatch(t) is not None for t in texts]
+        slow = iter(tok.encode_batch_fast([" " + t for t, s in zip(texts, steady, strict=True) if not s],
+                                          add_special_tokens=False))
+        return [quick.encode_ordinary(" " + t) if s else next(slow).ids for t, s in zip(texts, steady, strict=True)]
 
     return Side(encode, spell)
 

@@ -4,6 +4,8 @@ import hashlib
 from collections import Counter
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from ioclake.llm import alignment
 from ioclake.llm.queries import BYTE_LEVEL, PIECES, QUERIES
@@ -113,6 +115,28 @@ def test_empty_table(spark):
     assert alignment.align(df, BYTE_LEVEL, PIECES)[0].collect() == []
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.characters(max_codepoint=0x24F) | st.sampled_from("'stredmvl \n\t\r0123456789 \u00ad"), max_size=60))
+def test_both_engines_of_a_definition_agree(text):
+    side = getattr(test_both_engines_of_a_definition_agree, "side", None)
+    if side is None:
+        with open(BYTE_LEVEL) as f:
+            side = test_both_engines_of_a_definition_agree.side = alignment.byte_level_side(f.read())
+    token_lists("x")
+    assert side.encode([text]) == [token_lists.made[0].encode(" " + text, add_special_tokens=False).ids]
+
+
+def test_the_faster_engine_is_used(monkeypatch):
+    import tiktoken
+    seen = []
+    whole = tiktoken.Encoding.encode_ordinary
+    monkeypatch.setattr(tiktoken.Encoding, "encode_ordinary", lambda self, t: seen.append(t) or whole(self, t))
+    with open(BYTE_LEVEL) as f:
+        side = alignment.byte_level_side(f.read())
+    side.encode(["plain déjà vu", "東京"])
+    assert seen == [" plain déjà vu"]
+
+
 def test_decimals():
     rows = alignment.decimals(1200)
     assert [bytes(r[r != 0]).decode() for r in rows] == [str(n) for n in range(1200)]
