@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ioclake.functions.text import decode_entities, let, py_strip
+from ioclake.functions.text import decode_entities, fold_out, let, none_of, py_strip
 
 _W = r" \t\n\f\r"  # white space inside tags
 _NAME = rf"(?:=[^{_W}/>=]*+|[^{_W}/>=]++)"
@@ -44,8 +44,6 @@ _MARK = rf"(?i)^<(/?(?:{'|'.join(BOILERPLATE)}|header|article|body|html))(?=[{_W
 _BLOCK = rf"(?i)^<(?:br|/?(?:p|h[1-6]|li|div|tr|blockquote|section|article))(?=[{_W}/>])"
 #: what stands for other tags until the text is decoded, and around links
 _TAG, _LINK, _UNLINK = "\x00", "\x01", "\x02"
-#: steps of a fold whose results are gathered together
-FOLD = 256
 #: weights of a block: a word outside links, a word in links, the block itself
 OWN, LINKED, EACH = 1, 3, 6
 
@@ -74,29 +72,6 @@ def token_title(tokens) -> Column:
     return py_strip(F.regexp_replace(decode_entities(F.coalesce(inside, F.lit(""))), r"\s+", " "))
 
 
-def _fold_blocks(items, start, step, out_type: str) -> Column:
-    """All that ``step`` gives out over ``items``: it maps a state and an
-    item to (state, array of results).  Results are gathered by blocks."""
-    none = F.array().cast(f"array<{out_type}>")
-
-    def one(acc, x):
-        state, out = step(acc.state, x)
-        return F.struct(state.alias("state"), F.concat(acc.out, out).alias("out"))
-
-    def block(acc, xs):
-        done = F.aggregate(xs, F.struct(acc.state.alias("state"), none.alias("out")), one)
-        return let(done, lambda d: F.struct(d.state.alias("state"), F.concat(acc.outs, F.array(d.out)).alias("outs")))
-
-    def blocks(xs):
-        count = F.ceil(F.size(xs) / FOLD).cast("int")
-        cut = F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), lambda k: F.slice(xs, k * FOLD + 1, FOLD)))
-        every = F.aggregate(F.coalesce(cut, F.slice(F.array(xs), 1, 0)), F.struct(
-            start.alias("state"), F.slice(F.array(none), 1, 0).alias("outs")), block)
-        return F.flatten(every.outs)
-
-    return let(items, blocks)
-
-
 def _structure_step(s, m):
     """One tag that opens or closes a part of the page.
 
@@ -122,7 +97,7 @@ def _structure_step(s, m):
     state = F.struct(skip.alias("skip"), depth.alias("depth"), inner.alias("inner"), art.alias("art"),
                      body.alias("body"), code.alias("code"))
     new = F.struct(m["at"].alias("at"), code.alias("code"))
-    return state, F.when(code != s.code, F.array(new)).otherwise(F.slice(F.array(new), 1, 0))
+    return state, F.when(code != s.code, F.array(new)).otherwise(none_of(new))
 
 
 def token_parts(tokens) -> Column:
@@ -134,7 +109,7 @@ def token_parts(tokens) -> Column:
     start = F.struct(F.lit("").alias("skip"), zero.alias("depth"), zero.alias("inner"), zero.alias("art"),
                      zero.alias("body"), F.lit(1).alias("code"))
     turns = F.concat(F.array(F.struct(zero.alias("at"), F.lit(1).alias("code"))),
-                     _fold_blocks(marks, start, _structure_step, "struct<at:int,code:int>"))
+                     fold_out(marks, start, _structure_step))
     return let(turns, lambda ts: F.transform(ts, lambda t, k: F.struct(
         t["at"].alias("at"), F.coalesce(F.get(ts, k + 1)["at"], F.size(tokens)).alias("upto"), t["code"].alias("code"))))
 

@@ -40,6 +40,38 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+#: steps of a fold whose results are gathered together
+FOLD = 256
+
+
+def none_of(value: Column) -> Column:
+    """The empty array of values like ``value``."""
+    return F.slice(F.array(value), 1, 0)
+
+
+def fold_out(items: Column, start: Column, step) -> Column:
+    """All that ``step`` gives out over the array ``items``: it maps a state
+    and an item to (state, array of results).  Results are gathered by blocks of
+    FOLD items, so that no step copies what all steps before have given out."""
+    def blocks(xs):
+        none = F.flatten(none_of(step(start, F.get(xs, 0))[1]))  # empty, and of the type of results
+
+        def one(acc, x):
+            state, out = step(acc.state, x)
+            return F.struct(state.alias("state"), F.concat(acc.out, out).alias("out"))
+
+        def block(acc, part):
+            done = F.aggregate(part, F.struct(acc.state.alias("state"), none.alias("out")), one)
+            return let(done, lambda d: F.struct(d.state.alias("state"), F.concat(acc.outs, F.array(d.out)).alias("outs")))
+
+        count = F.ceil(F.size(xs) / FOLD).cast("int")
+        cut = F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), lambda k: F.slice(xs, k * FOLD + 1, FOLD)))
+        every = F.aggregate(F.coalesce(cut, none_of(xs)), F.struct(start.alias("state"), none_of(none).alias("outs")), block)
+        return F.flatten(every.outs)
+
+    return let(items, blocks)
+
+
 def tokens(text) -> Column:
     """array<string> of tokens of ``text`` (empty array for null text)."""
     s = F.regexp_replace(F.coalesce(_c(text), F.lit("")), TOKEN_LEAD, "")

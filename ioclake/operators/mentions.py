@@ -8,17 +8,20 @@ span's first token inside its sentence; mention order in a document is
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ioclake import config
-from ioclake.functions.text import TOKEN_LEAD, WS, let
+from ioclake.functions.bitmap import Bitmap
+from ioclake.functions.text import TOKEN_LEAD, WS, fold_out, let, none_of
 from ioclake.functions.text import tokens as token_array
 from ioclake.operators.text import split_sentences
 
 # Marks in place of the punctuation a token lost before and after it, so a
 # span can tell "of the" from "of, the".
 LOST_BEFORE, LOST_AFTER = "\x01", "\x02"
+#: bits of a sketch of how terms begin (half a megabyte each)
+START_BITS = 1 << 22
 
 
 def gazetteer_table(spark: SparkSession, entries=None) -> DataFrame:
@@ -45,43 +48,59 @@ def marked_tokens(text) -> F.Column:
     return F.filter(F.split(s, WS + "+"), lambda t: (t != "") & (F.translate(t, LOST_BEFORE + LOST_AFTER, "") != ""))
 
 
+def _starts(gaz: DataFrame) -> tuple[Bitmap, Bitmap]:
+    """Sketches of the terms of one token, and of the first two tokens of
+    longer ones."""
+    t = F.split("term_l", " ")
+    one = gaz.filter("n_tokens = 1").select(F.xxhash64(t[0]).alias("h"))
+    two = gaz.filter("n_tokens > 1").select(F.xxhash64(t[0], F.get(t, 1)).alias("h"))
+    return Bitmap(one, "h", START_BITS), Bitmap(two, "h", START_BITS)
+
+
+def _leftmost_longest(spans) -> F.Column:
+    """Of an ordered array of spans (pos, less = -tokens, ...) those that a
+    walk from the left keeps: the first that begins where the last has ended."""
+    def step(free, m):
+        fits = m.pos >= free
+        return F.when(fits, m.pos - m.less).otherwise(free), F.when(fits, F.array(m)).otherwise(none_of(m))
+    return fold_out(spans, F.lit(0), step)
+
+
 def find_mentions(docs: DataFrame, gazetteer: DataFrame, key: str = "doc", text: str = "text") -> DataFrame:
     """(key, sent, pos, n_tokens, text, label): spans inside one sentence
     whose lower-cased text is a gazetteer term and that hold no punctuation
     between their tokens; of overlapping spans the leftmost stays, of those at
     one place the longest.  A term with several labels gives a row for each.
 
-    Plan: per sentence the spans of just the lengths that the gazetteer holds
-    -> equi-join on (length, span) -> the few matches of a sentence are walked
-    in order.  The distinct lengths are the only thing read up front."""
+    Plan: fixed-size sketches of how terms begin decide inside the scan where a
+    span may start; only there spans are made, of the lengths that the gazetteer
+    holds -> equi-join on (length, span) -> one walk over the few matches of a
+    sentence.  The distinct lengths are the only thing read up front."""
     gaz = prepare_gazetteer(gazetteer)
     lengths = sorted(r[0] for r in gaz.select("n_tokens").distinct().collect())
+    longer = [n for n in lengths if n > 1]
+    one, two = _starts(gaz)
     sents = split_sentences(docs, key, text).select(key, "sent", marked_tokens("sent_text").alias("_t"))
+    lower = F.transform("_t", lambda t: F.lower(F.translate(t, LOST_BEFORE + LOST_AFTER, "")))
+    # a row per token, which only carries a reference to the sentence's tokens until it has passed
+    hashed = sents.select(key, "sent", "_t", F.inline(let(lower, lambda ts: F.transform(ts, lambda t, i: F.struct(
+        i.alias("pos"), F.xxhash64(t).alias("h1"), F.xxhash64(t, F.get(ts, i + 1)).alias("h2"))))))
+    begun = hashed.filter(one.may_hold("h1") | two.may_hold("h2")).select(
+        key, "sent", "_t", "pos", one.may_hold("h1").alias("one"), two.may_hold("h2").alias("two"))
+
+    sizes = F.concat(F.when(F.col("one"), F.array(F.lit(1))).otherwise(none_of(F.lit(1))),
+                     F.when(F.col("two"), F.array(*map(F.lit, longer or [2]))).otherwise(none_of(F.lit(1))))
+    spans = F.transform(F.filter(sizes, lambda n: F.col("pos") + n <= F.size("_t")), lambda n: F.struct(
+        n.alias("n_tokens"), F.array_join(F.slice("_t", F.col("pos") + 1, n), " ").alias("raw")))
 
-    def spans(toks, n: int):
-        first = F.when(F.size(toks) >= n, F.sequence(F.lit(0), F.size(toks) - n)).otherwise(
-            F.array().cast("array<int>"))
-        return F.transform(first, lambda i: F.struct(
-            i.alias("pos"), F.lit(n).alias("n_tokens"), F.array_join(F.slice(toks, i + 1, n), " ").alias("raw")))
-
-    every = let(F.col("_t"), lambda t: F.concat(*[spans(t, n) for n in lengths])) if lengths else \
-        F.array().cast("array<struct<pos:int,n_tokens:int,raw:string>>")
     whole = ~F.col("raw").contains(LOST_AFTER + " ") & ~F.col("raw").contains(" " + LOST_BEFORE)
-    grams = (sents.select(key, "sent", F.explode(every).alias("_s")).select(key, "sent", "_s.*").filter(whole)
+    grams = (begun.select(key, "sent", "pos", F.inline(spans)).filter(whole)
              .select(key, "sent", "pos", "n_tokens", F.translate("raw", LOST_BEFORE + LOST_AFTER, "").alias("text"))
              .withColumn("term_l", F.lower("text")))
     matched = grams.join(gaz, ["n_tokens", "term_l"]).select(
         key, "sent", F.struct("pos", F.negative("n_tokens").alias("less"), "text", "labels").alias("_m"))
-    start = F.struct(F.lit(0).alias("free"), F.slice("_all", 1, 0).alias("kept"))
-
-    def walk(acc, m):
-        fits = m.pos >= acc.free
-        return F.struct(F.when(fits, m.pos - m.less).otherwise(acc.free).alias("free"),
-                        F.when(fits, F.concat(acc.kept, F.array(m))).otherwise(acc.kept).alias("kept"))
-
-    kept = F.aggregate("_all", start, walk, lambda a: a.kept)
     return (matched.groupBy(key, "sent").agg(F.array_sort(F.collect_list("_m")).alias("_all"))
-            .select(key, "sent", F.explode(kept).alias("_m"))
+            .select(key, "sent", F.explode(_leftmost_longest(F.col("_all"))).alias("_m"))
             .select(key, "sent", "_m.pos", F.negative("_m.less").alias("n_tokens"), "_m.text",
                     F.explode("_m.labels").alias("label")))
 

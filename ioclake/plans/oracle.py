@@ -387,15 +387,18 @@ cores AS (
   SELECT doc, sent, r, regexp_replace(regexp_replace(raw, '^[^\\p{{L}}\\p{{N}}]+', ''), '[^\\p{{L}}\\p{{N}}/]+$', '') AS core,
          regexp_matches(raw, '^[^\\p{{L}}\\p{{N}}]') AS lead, regexp_matches(raw, '[^\\p{{L}}\\p{{N}}/]$') AS trail
   FROM rawtoks),
-stoks AS (
+stoks AS MATERIALIZED (
   SELECT doc, sent, row_number() OVER w - 1 AS pos, core,
          coalesce(lead(r) OVER w = r + 1 AND NOT trail AND NOT lead(lead) OVER w, false) AS glued
   FROM cores WHERE core <> '' WINDOW w AS (PARTITION BY doc, sent ORDER BY r)),
 slists AS (SELECT doc, sent, list(core ORDER BY pos) AS toks, list(glued ORDER BY pos) AS glue FROM stoks GROUP BY doc, sent),
+begins AS (
+  SELECT s.doc, s.sent, s.pos, f.n FROM stoks s
+  JOIN (SELECT DISTINCT string_split(term_l, ' ')[1] AS t, n_tokens AS n FROM gaz) f ON f.t = lower(s.core)),
 grams AS (
-  SELECT doc, sent, p AS pos, n AS n_tokens, array_to_string(toks[p + 1:p + n], ' ') AS text
-  FROM (SELECT doc, sent, toks, glue, unnest(range(len(toks))) AS p FROM slists) t, (SELECT DISTINCT n_tokens AS n FROM gaz) v
-  WHERE p + n <= len(toks) AND coalesce(list_bool_and(glue[p + 1:p + n - 1]), true)),
+  SELECT doc, sent, b.pos, n AS n_tokens, array_to_string(toks[b.pos + 1:b.pos + n], ' ') AS text
+  FROM begins b JOIN slists USING (doc, sent)
+  WHERE b.pos + n <= len(toks) AND coalesce(list_bool_and(glue[b.pos + 1:b.pos + n - 1]), true)),
 matched AS (
   SELECT DISTINCT g.doc, g.sent, g.pos, g.n_tokens, g.text
   FROM grams g JOIN gaz z ON lower(g.text) = z.term_l AND g.n_tokens = z.n_tokens),
@@ -405,7 +408,7 @@ walked AS (
     lambda acc, m: CASE WHEN len(acc) = 0 OR m.pos >= acc[-1].pos + acc[-1].n THEN list_append(acc, m) ELSE acc END,
     [{{'pos': -1, 'n': 0::BIGINT}}][2:])) AS m
   FROM longest GROUP BY doc, sent),
-mentions AS (
+mentions AS MATERIALIZED (
   SELECT w.doc, w.sent, w.m.pos AS pos, x.n_tokens, x.text, z.label
   FROM walked w JOIN matched x ON x.doc = w.doc AND x.sent = w.sent AND x.pos = w.m.pos AND x.n_tokens = w.m.n
   JOIN gaz z ON z.term_l = lower(x.text) AND z.n_tokens = x.n_tokens)"""

@@ -1,4 +1,9 @@
+import random
+import time
+
 from conftest import rows
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from ioclake.operators import actors as ac
 from ioclake.operators import mentions as mn
@@ -96,3 +101,56 @@ def test_related_iocs_of_a_very_long_token(spark):
     i = spark.createDataFrame([("d", 0, long), ("d", 1, long), ("d", 2, "none"), ("e", 0, "x")],
                               "doc string, pos int, value string")
     assert sorted(rows(ac.actor_related_iocs(a, i), "doc", "actor_key", "pos")) == [("d", "evil", 0), ("d", "evil", 1)]
+
+
+def mentions_of(spark, texts, terms):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc long, text string")
+    gaz = mn.gazetteer_table(spark, terms)
+    return sorted(rows(mn.find_mentions(df, gaz), "doc", "sent", "pos", "n_tokens", "text", "label"))
+
+
+def walk(text, terms):
+    """Leftmost-longest terms of one sentence of plain words."""
+    toks, held, out, at = text.split(), {}, [], 0
+    for term, label in terms:
+        held.setdefault(tuple(term.lower().split()), set()).add(label)
+    sizes = sorted({len(t) for t in held}, reverse=True)
+    while at < len(toks):
+        n = next((n for n in sizes if at + n <= len(toks) and tuple(t.lower() for t in toks[at:at + n]) in held), 0)
+        if n:
+            out += [(0, 0, at, n, " ".join(toks[at:at + n]), lab) for lab in sorted(held[tuple(t.lower() for t in toks[at:at + n])])]
+        at += n or 1
+    return sorted(out)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.sampled_from(["a", "B", "c", "d"]), min_size=1, max_size=30),
+       st.lists(st.tuples(st.lists(st.sampled_from("abcd"), min_size=1, max_size=5).map(" ".join), st.sampled_from("XY")),
+                min_size=1, max_size=6))
+def test_mentions_are_the_leftmost_longest(spark, words, terms):
+    assert mentions_of(spark, [" ".join(words)], terms) == walk(" ".join(words), terms)
+
+
+def test_large_gazetteer_makes_few_spans(spark):
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randrange(40_000)}"
+    terms = list({" ".join(word() for _ in range(rng.randrange(1, 11))): "ORG" for _ in range(100_000)}.items())
+    text = " ".join(t for term, _ in rng.sample(terms, 300) for t in [*term.split(), *(word() for _ in range(20))])
+    assert mentions_of(spark, [text], terms) == walk(text, terms)
+    df = spark.createDataFrame([(0, text)], "doc long, text string")
+    plan = mn.find_mentions(df, mn.gazetteer_table(spark, terms))._jdf.queryExecution().optimizedPlan().toString()
+    assert "scalar-subquery" in plan
+
+
+def test_many_matches_in_one_sentence_are_walked_once(spark):
+    took = []
+    for n in (5_000, 40_000):
+        began = time.time()
+        assert len(mentions_of(spark, ["one two three " * n], [("two", "X"), ("one two", "Y"), ("none", "Z")])) == n
+        took.append(time.time() - began)
+    assert took[1] < 8 * took[0] + 15
+
+
+def test_no_terms_give_no_mentions(spark):
+    assert mentions_of(spark, ["a b c"], []) == []
+    assert mentions_of(spark, ["a b c", "", "..."], [("***", "X"), ("", "Y")]) == []
