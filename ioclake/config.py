@@ -66,8 +66,14 @@ REPORT_GENERATOR = "ioclake"  # report `generated_by`; a parameter of build_repo
 # `pages` table, whose links never contain /blog/ or /research/.
 TESTDATA_LINK_MARKERS = ["/th", "/de"]
 
+# Merge ranks that chunks are counted by (the original's own vocabulary is not
+# at hand; any file of base64 tokens and ranks will do) and tokens a chunk in
+# the query, so that texts fall into several.
+BPE_RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+TESTDATA_BPE_CHUNK = 200
+
 # Gazetteer used when mentions are found by lookup on the synthetic prose.
-# Terms are matched case-insensitively on 1-3 token spans inside a sentence.
+# Terms of any length are matched case-insensitively inside a sentence.
 TESTDATA_GAZETTEER = [
     ("that", "ORG"),
     ("with", "PERSON"),
