@@ -11,11 +11,14 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ioclake import config
 from ioclake.operators.aggregates import first_seen
+from ioclake.sources.commits import new_folder, publish, published
+
+LINE = "report_id string, run_ts string, section string, pos long, json string"
 
 
 def report_summary(analysed: DataFrame) -> DataFrame:
@@ -97,7 +100,31 @@ def report_lines(articles: DataFrame, analysed: DataFrame, report_id: str | None
             .unionByName(rec).unionByName(art))
 
 
-def write_report(lines: DataFrame, path: str) -> None:
-    """Sink: JSON lines under ``path``, one folder per run stamp (A4).  A run
-    with the same stamp replaces its own folder and no other."""
-    lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_ts").json(path)
+SECTIONS = ["header", "summary", "landscape", "threat", "recommendation", "article"]
+
+
+def write_report(lines: DataFrame, path: str, run_ts: str) -> str:
+    """Sink: the report of one run as JSON lines under ``path`` (A4), in order:
+    files read by name give header, summaries, landscape, threats,
+    recommendations and articles, each by position.  Readers see it whole, once
+    the manifest of ``run_ts`` names its folder; a run with the same stamp
+    replaces its own report and no other.  Returns the folder."""
+    folder = new_folder(path, run_ts)
+    rank = F.array_position(F.array(*map(F.lit, SECTIONS)), F.col("section"))
+    order = ["_rank", "pos", "json"]
+    placed = lines.withColumn("_rank", rank).repartitionByRange(*order).sortWithinPartitions(*order)
+    placed.drop("_rank").write.json(folder)
+    publish(lines.sparkSession, path, run_ts, folder)
+    return folder
+
+
+def read_report(spark: SparkSession, path: str, run_ts: str) -> DataFrame | None:
+    """The lines of a published report, None if there is none."""
+    folder = published(spark, path, run_ts)
+    return None if folder is None else spark.read.schema(LINE).json(folder)
+
+
+def reports(spark: SparkSession, path: str) -> DataFrame:
+    """(run_ts, folder): the collection of reports under ``path``."""
+    held = spark.read.schema("name string, folder string").json(f"{path.rstrip('/')}/commits/*.json")
+    return held.select(F.col("name").alias("run_ts"), "folder")

@@ -7,6 +7,7 @@ so results compare as plain strings.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -20,9 +21,12 @@ from ioclake.operators import links as lk
 from ioclake.operators import mentions as mn
 from ioclake.operators import pages as pg
 from ioclake.operators import report as rp
+from ioclake.operators import ledger, related as rel, seen
+from ioclake.operators.bpe import chunk_bpe
 from ioclake.operators.text import chunk_tokens, tokenize
 from ioclake.plans import bindings as b
 from ioclake.plans.run import Run
+from ioclake.sources.staging import shared_dir, written
 from ioclake.sources.tables import page_scan, read_table, seeds_from_pages
 from ioclake.functions.urls import with_normalized_url
 
@@ -160,6 +164,10 @@ def q_chunk_tokens_small(spark, sf):
     return chunk_tokens(b.documents(spark, sf), "doc", max_tokens=SMALL_CHUNK)
 
 
+def q_chunk_bpe(spark, sf):
+    return chunk_bpe(b.documents(spark, sf), config.BPE_RANKS, "doc", max_tokens=config.TESTDATA_BPE_CHUNK)
+
+
 def q_iocs_patterns(spark, sf):
     return io.pattern_iocs(b.documents(spark, sf), "doc")
 
@@ -238,6 +246,40 @@ def q_actor_related_iocs(spark, sf):
         "doc", "actor_key", "src_rank", "sent", "pos", "pat_rank", "type", "value")
 
 
+# ------------------------------------------- declared fields (extensions)
+
+def q_indicator_classes(spark, sf):
+    return rel.indicator_classes(_doc_iocs(spark, sf))
+
+
+def q_related_articles(spark, sf):
+    return rel.related_articles(written(_doc_iocs(spark, sf).select("doc", "type", "value").distinct(), "iocs"))
+
+
+def q_ttp_links(spark, sf):
+    ments = b.doc_mentions(spark, sf)
+    return rel.ttp_links(mn.ttps(ments), ments).withColumn("related_actors", F.to_json("related_actors"))
+
+
+def q_ioc_links(spark, sf):
+    docs = b.documents(spark, sf)
+    ments = b.doc_mentions(spark, sf, docs)
+    out = rel.ioc_links(_doc_iocs(spark, sf, docs, ments), _actors(spark, sf, ments), mn.ttps(ments))
+    return out.select("doc", "type", "value", *[F.to_json(c).alias(c) for c in ("related_actors", "related_ttps")])
+
+
+def q_ioc_seen(spark, sf):
+    """Indicators of three runs (document number modulo 3, a day apart each,
+    and an hour for each number modulo 7), the first one replayed."""
+    iocs = _doc_iocs(spark, sf).withColumn("seen_at", F.timestamp_seconds(
+        F.unix_seconds(F.lit(SEEN_FROM).cast("timestamp")) + F.col("doc") % 3 * 86_400 + F.col("doc") % 7 * 3600))
+    iocs = written(iocs.select("doc", "type", "value", "seen_at"), "seen-at")
+    path = f"{shared_dir(spark)}/seen-{uuid.uuid4().hex}"
+    for run in (0, 1, 2, 0):
+        state = seen.update_seen(spark, path, seen.sightings(iocs.filter(F.col("doc") % 3 == run), "seen_at"), f"run{run}")
+    return state.select("type", "value", *[F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("first_seen", "last_seen")])
+
+
 def _enriched(spark, sf, docs):
     """``docs`` (doc, title, text, ...) with actors, TTPs and IOCs."""
     ments = b.doc_mentions(spark, sf, docs)
@@ -280,6 +322,16 @@ def q_response_attempts(spark, sf):
     return _articles(spark, sf).chosen.select("doc", "chunk_no", "attempt", "reply_class")
 
 
+def q_attempt_ledger(spark, sf):
+    """Rounds of asking until every chunk has an answer or three attempts."""
+    chunks = written(_articles(spark, sf).chunks.select("doc", "pos", "chunk_no", "chunk"), "requests")
+
+    def ask(todo):
+        return b.stub_replies(todo).join(todo.select("doc", "chunk_no", "attempt"), ["doc", "chunk_no", "attempt"])
+
+    return ledger.ask_all(chunks, ask).select("doc", "chunk_no", "attempt", "reply_class", "asked_ms")
+
+
 def q_article_combine(spark, sf):
     return _json_lists(_articles(spark, sf).combined)
 
@@ -335,6 +387,8 @@ def q_report_recommendations(spark, sf):
     return rp.report_recommendations(_analysed(spark, sf))
 
 
+#: time of the first run of ``q_ioc_seen``
+SEEN_FROM = "2024-01-01 00:00:00"
 #: a run names its report; the query's is fixed so that it can be compared
 REPORT_ID, REPORT_TIME = "00000000-0000-0000-0000-000000000000", datetime(2024, 1, 2, 3, 4, 5)
 
@@ -344,6 +398,18 @@ def q_report_json(spark, sf):
     return rp.report_lines(_enriched(spark, sf, run.validated), run.analysed, REPORT_ID, REPORT_TIME)
 
 
+def q_report_published(spark, sf):
+    """The report's tables written as ordered files, published, and read by
+    the manifest: sections with their lines and first and last positions."""
+    run = _analysis(spark, sf)
+    lines = rp.report_lines(run.validated.select("doc", "pos", "title", "url", "text", *[
+        F.lit("[]").alias(c) for c in ("threat_actors", "ttps", "iocs")]), run.analysed, REPORT_ID, REPORT_TIME)
+    path, stamp = f"{shared_dir(spark)}/reports-{uuid.uuid4().hex}", REPORT_TIME.strftime("%Y%m%d_%H%M%S")
+    rp.write_report(lines, path, stamp)
+    return rp.read_report(spark, path, stamp).groupBy("run_ts", "section").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"))
+
+
 def q_stage_counts(spark, sf):
     """(stage, n_rows) per stage of the article flow (A6), observed while a
     whole run writes its stages."""
@@ -351,6 +417,14 @@ def q_stage_counts(spark, sf):
 
 
 QUERIES = {
+    "report_published": q_report_published,
+    "attempt_ledger": q_attempt_ledger,
+    "ioc_seen": q_ioc_seen,
+    "ioc_links": q_ioc_links,
+    "ttp_links": q_ttp_links,
+    "related_articles": q_related_articles,
+    "indicator_classes": q_indicator_classes,
+    "chunk_bpe": q_chunk_bpe,
     "seed_scan": q_seed_scan,
     "page_scan": q_page_scan,
     "site_link_counts": q_site_link_counts,

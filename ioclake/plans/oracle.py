@@ -712,7 +712,36 @@ def oracle_sql() -> dict[str, str]:
     q["actor_related_iocs"] = (f"WITH {A}{IOCS_CTE} SELECT a.doc, a.actor_key, i.src_rank, i.sent, i.pos, i.pat_rank, i.type, i.value "
                                f"FROM actors a JOIN all_iocs i ON i.doc = a.doc AND contains(lower(i.value), a.actor_key)")
     q["articles_enriched"] = f"WITH {A}{IOCS_CTE}, {enriched_cte()} SELECT doc, title, threat_actors, ttps, iocs FROM enriched"
+    shared = ("SELECT type, value, count(DISTINCT doc) AS n_articles, min(doc) AS first_article FROM all_iocs "
+              "GROUP BY type, value HAVING count(DISTINCT doc) > 1")
+    q["indicator_classes"] = f"WITH {M}{IOCS_CTE} {shared}"
+    q["related_articles"] = (f"WITH {M}{IOCS_CTE}, shared AS ({shared}) SELECT DISTINCT doc, type, value, n_articles, first_article, "
+                             f"n_articles - 1 AS n_links FROM all_iocs JOIN shared USING (type, value)")
+    none = "[]::VARCHAR[]"
+    q["ttp_links"] = (
+        f"WITH {A} SELECT doc, sent, pos, label AS tactic, text AS technique, to_json(coalesce((SELECT list(DISTINCT actor_key "
+        f"ORDER BY actor_key) FROM am WHERE am.doc = m.doc AND am.sent = m.sent), {none}))::VARCHAR AS related_actors "
+        f"FROM mentions m WHERE label IN {_in(config.TTP_LABELS)}")
+    q["ioc_links"] = (
+        f"WITH {A}{IOCS_CTE}, alone AS (SELECT DISTINCT doc, type, value FROM all_iocs), "
+        f"ra AS (SELECT i.doc, i.type, i.value, list(DISTINCT actor_key ORDER BY actor_key) AS ra FROM alone i JOIN actors a "
+        f"ON a.doc = i.doc AND contains(lower(i.value), a.actor_key) GROUP BY ALL), "
+        f"rt AS (SELECT i.doc, i.type, i.value, list(DISTINCT m.text ORDER BY m.text) AS rt FROM men_iocs i JOIN mentions m "
+        f"ON m.doc = i.doc AND m.sent = i.sent AND m.label IN {_in(config.TTP_LABELS)} GROUP BY ALL) "
+        f"SELECT doc, type, value, to_json(coalesce(ra, {none}))::VARCHAR AS related_actors, "
+        f"to_json(coalesce(rt, {none}))::VARCHAR AS related_ttps FROM alone LEFT JOIN ra USING (doc, type, value) "
+        f"LEFT JOIN rt USING (doc, type, value)")
+    at = "TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(doc % 3 AS INTEGER)) + to_hours(doc % 7)"
+    q["ioc_seen"] = (f"WITH {M}{IOCS_CTE} SELECT type, value, strftime(min({at}), '%Y-%m-%d %H:%M:%S') AS first_seen, "
+                     f"strftime(max({at}), '%Y-%m-%d %H:%M:%S') AS last_seen FROM all_iocs GROUP BY type, value")
     X = ANALYSIS_CTE
+    draw = "CAST('0x' || substring(md5(doc || '#' || chunk_no || '#' || {0}), 1, 4) AS BIGINT)"
+    waits = " + ".join(f"CASE WHEN attempt >= {n} THEN 1000 + (least(60000, 1000 * {2 ** (n - 1)}) - 1000) * {draw.format(n)} // 65536 ELSE 0 END"
+                       for n in range(2, config.MAX_ATTEMPTS + 1))
+    q["attempt_ledger"] = (
+        f"WITH {X} SELECT doc, chunk_no, attempt, reply_class, {waits} AS asked_ms FROM classified c WHERE NOT EXISTS ("
+        f"SELECT 1 FROM classified e WHERE e.doc = c.doc AND e.chunk_no = c.chunk_no AND e.attempt < c.attempt "
+        f"AND e.reply_class IN ('a', 'b', 'c', 'e'))")
     q["analysis_requests"] = (f"WITH {X} SELECT doc, chunk_no, {_q(config.MODEL_NAME)} AS model, "
                               f"{_q(config.SYSTEM_PROMPT)} AS system, {_q(config.USER_PROMPT_PREFIX)} || chunk AS user, "
                               f"{config.TEMPERATURE} AS temperature, {config.REPLY_MAX_TOKENS} AS max_tokens FROM chunks")
@@ -736,6 +765,13 @@ def oracle_sql() -> dict[str, str]:
     q["report_threats"] = _first_seen("TTPs", "description", "NULL::VARCHAR AS severity")
     q["report_recommendations"] = _first_seen("Recommendations", "description", "NULL::VARCHAR AS priority")
     q["report_json"] = _report_sql(X, A)
+    def firsts(field):
+        return f"(SELECT min(pos) AS pos FROM (SELECT pos, unnest({field}) AS v FROM analysed) GROUP BY v)"
+    q["report_published"] = f"WITH {X} " + " UNION ALL ".join(
+        f"SELECT '20240102_030405' AS run_ts, '{section}' AS section, count(*) AS n_lines, min(pos) AS first_pos, max(pos) AS last_pos "
+        f"FROM {source} HAVING count(*) > 0" for section, source in (
+            ("header", "(SELECT 0::BIGINT AS pos)"), ("summary", "analysed"), ("landscape", firsts("Threat_Actors")),
+            ("threat", firsts("TTPs")), ("recommendation", firsts("Recommendations")), ("article", "validated")))
     q["rejects"] = (
         f"WITH {X}, {_PAGE_LINKS} "
         f"SELECT 'build' AS stage, raw_url AS key, reject AS reason FROM built WHERE reject IS NOT NULL "

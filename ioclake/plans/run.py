@@ -29,11 +29,12 @@ COUNTS = ["pages", "links", "link_rejects", "article_links", "kept_links", "page
 
 
 class Run:
-    """``keep``: names of the stages to write; None writes all of them."""
+    """``keep``: names of the stages to write; None writes all of them.
+    ``chunker`` and ``replies`` make the chunks and the replies to them."""
 
     def __init__(self, spark: SparkSession, sf: str, keep: set[str] | None = None,
-                 max_tokens: int = config.CHUNK_TOKENS, replies=b.stub_replies):
-        self.spark, self.sf, self.max_tokens, self.replies_of = spark, sf, max_tokens, replies
+                 max_tokens: int = config.CHUNK_TOKENS, replies=b.stub_replies, chunker=chunk_tokens):
+        self.spark, self.sf, self.max_tokens, self.replies_of, self.chunker = spark, sf, max_tokens, replies, chunker
         self.stages = Stages(keep)
 
     @property
@@ -85,7 +86,7 @@ class Run:
 
     @property
     def chunks(self) -> DataFrame:
-        return self.stages.stage("chunks", lambda: chunk_tokens(
+        return self.stages.stage("chunks", lambda: self.chunker(
             self.validated, key=["doc", "pos"], max_tokens=self.max_tokens), chunks=F.count(F.lit(1)))
 
     @property

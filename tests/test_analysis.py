@@ -94,8 +94,8 @@ def test_unanalysed_article_and_report(spark):
     assert body["article", 1]["iocs"] == [{"a": 1}] and body["article", 2]["text"] is None
     out = tempfile.mkdtemp(prefix="ioclake-report-")
     for _ in range(2):  # the same stamp replaces its own lines
-        rp.write_report(lines, out)
-    assert spark.read.json(out).count() == len(got)
+        rp.write_report(lines, out, "20240102_000000")
+    assert rp.read_report(spark, out, "20240102_000000").count() == len(got)
 
 
 def test_report_summary_keeps_empties(spark):

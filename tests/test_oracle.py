@@ -40,4 +40,4 @@ def test_matches_duckdb(spark, con, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) - set(SQL) == {"chunk_bpe"}  # held against a merge loop in test_bpe
