@@ -11,7 +11,7 @@ or non-relative scheme returns the reference unchanged).  A reference whose
 authority has unbalanced or invalid brackets is an error row, not a failure.
 
 Normalisation follows the WHATWG URL rules as applied to http(s) URLs:
-lower-case scheme and host, default port dropped, empty path -> '/', dot
+lower-case scheme and host, other than ASCII labels in punycode, default port dropped, empty path -> '/', dot
 segments removed, space and other unsafe characters percent-encoded,
 query and fragment kept.  Other schemes, empty hosts, bad ports and URLs
 over 2083 characters are rejected with a reason.
@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ioclake.functions.punycode import ascii_host_sql
+
 # fixed values: schemes the standard library resolves relative references
 # for, and schemes whose URLs carry a network location
 USES_RELATIVE = ["", "ftp", "http", "gopher", "nntp", "imap", "wais", "file",
@@ -164,15 +166,17 @@ def normalize_url_sql(url: str) -> str:
     body = _let("split(substring(if(k.path = '', '/', k.path), 2), '/')", "ps", body)
     fields = """named_struct(
         'sch', h.sch, 'ui', h.ui, 'host', h.host,
-        'port', substring(h.hp, length(h.host) + 2),
-        'portn', if(substring(h.hp, length(h.host) + 2) rlike '^[0-9]{1,5}$',
-                    cast(substring(h.hp, length(h.host) + 2) as int), null),
+        'port', h.port, 'portn', if(h.port rlike '^[0-9]{1,5}$', cast(h.port as int), null),
         'path', regexp_extract(h.tail, '^([^?#]*)', 1),
         'has_q', h.tail rlike '^[^#]*\\\\?',
         'q', regexp_extract(h.tail, '^[^?#]*\\\\?([^#]*)', 1),
         'has_f', instr(h.tail, '#') > 0,
         'f', substring(h.tail, instr(h.tail, '#') + 1))"""
     body = _let(fields, "k", body)
+    # a host with other characters in ASCII; one that cannot be so is no host
+    named = ("named_struct('sch', h.sch, 'ui', h.ui, 'tail', h.tail, 'host', coalesce(" + ascii_host_sql("h.host")
+             + ", ''), 'port', substring(h.hp, length(h.host) + 2))")
+    body = _let(named, "h", body)
     host = """named_struct('sch', a.sch, 'tail', a.tail, 'ui', a.ui, 'hp', a.hp,
         'host', lower(if(left(a.hp, 1) = '[', regexp_extract(a.hp, '^(\\\\[[^\\\\]]*\\\\])', 1),
                          regexp_extract(a.hp, '^([^:]*)', 1))))"""
