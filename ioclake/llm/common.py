@@ -3,36 +3,19 @@
 from __future__ import annotations
 
 import string
-import tempfile
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ioclake.functions.bitmap import Bitmap  # noqa: F401
+from ioclake.functions.joins import join_counted  # noqa: F401
+from ioclake.sources.staging import shared_dir, written  # noqa: F401
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` of the
-    session; a local folder is made only where that is unset (tests)."""
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not current:
-        current = "file://" + tempfile.mkdtemp(prefix="ioclake-shared-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    return current
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back: cuts
-    the lineage, so a lost executor costs a re-read, not a re-run."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/ioclake-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def ascii_lower(c: Column) -> Column:
     """A-Z to a-z and nothing else.  ``lower`` does the same on a pure ASCII
     text and is much faster there."""
@@ -43,25 +26,3 @@ def ascii_lower(c: Column) -> Column:
 def fold_bucket(c: Column, n: int) -> Column:
     """crc32 of the id written as text, modulo ``n`` (null id: null)."""
     return F.pmod(F.crc32(c.cast("string").cast("binary")), F.lit(n))
-
-
-class Bitmap:
-    """A fixed-size set sketch of long values, made by Spark and sent to all
-    tasks as one array of ``bits / 64`` longs: what it rules out is surely not
-    among the values; the rest still has to be joined."""
-
-    def __init__(self, values: DataFrame, col: str, bits: int):
-        self.bits = bits
-        slot = values.select(F.col(col).bitwiseAND(bits - 1).alias("s"))
-        words = slot.select(F.shiftright("s", 6).alias("w"), F.expr("shiftleft(1L, cast(s & 63 as int))").alias("b")) \
-            .groupBy("w").agg(F.bit_or("b").alias("b"))
-        every = values.sparkSession.range(bits // 64).select(F.col("id").alias("w"))
-        self.array = every.join(words, "w", "left").agg(F.transform(
-            F.array_sort(F.collect_list(F.struct("w", F.coalesce("b", F.lit(0).cast("long")).alias("b")))),
-            lambda x: x.b).alias("bits")).scalar()
-
-    def may_hold(self, col: str) -> Column:
-        """Whether the value may be in the set (null: not)."""
-        at = F.shiftright(F.col(col).bitwiseAND(self.bits - 1), 6).cast("int") + 1
-        mask = F.call_function("shiftleft", F.lit(1).cast("long"), F.col(col).bitwiseAND(63).cast("int"))
-        return F.coalesce(F.element_at(self.array, at).bitwiseAND(mask) != 0, F.lit(False))

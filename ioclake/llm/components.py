@@ -6,19 +6,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ioclake.llm.common import written
+from ioclake.llm.common import join_counted, written
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, large: bool, n: int) -> DataFrame:
     """One step: each node's larger (smaller) neighbours are linked to the
-    smallest node among itself and its neighbours."""
+    smallest node among itself and its neighbours.  ``n``: links at least as
+    many as a node may have; centres of many links do not meet in one task."""
     e = edges.toDF("u", "v")
     if large:
         e = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         e = e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    low = e.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    j = e.join(low, "u")
+    low = e.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("held"))
+    j = join_counted(e, low, "u", "held", n)
     if large:
         out = j.filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
     else:
@@ -41,7 +42,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
                   .filter("a <> b").distinct(), "links")
     before = _sum(cur)
     while before[0]:
-        cur = written(_star(_star(cur, True), False), "links")
+        star = written(_star(cur, True, 2 * before[0]), "stars")
+        cur = written(_star(star, False, 2 * before[0]), "links")
         after = _sum(cur)
         if after == before:
             break

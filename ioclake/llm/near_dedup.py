@@ -13,9 +13,14 @@ Candidates are resolved without listing all pairs of a bucket.  First one member
 of each bucket is held against the others; confirmed links give components, links
 that the estimate only leaves possible give wider families.  Inside a family,
 sets of different components meet in blocks within a task, which emits one link
-per pair of components.  Pairs of different families that share a bucket are
-tested one by one, after their sizes and register parities allow it.  With 48 bands of 7 registers, a pair at similarity exactly
-0.8 shares no band with probability 1.2e-5, one at 0.85 with 5e-9.
+per pair of components.  Members of a bucket that are of different families meet
+in blocks too, where sizes and register parities are held against each other;
+only pairs that both allow leave the task.  No join lists the pairs of a bucket.
+
+What may be missed: with 48 bands of 7 registers, a pair at similarity exactly 0.8
+shares no band with probability 1.2e-5, one at 0.85 with 5e-9.  Parities and joint
+estimate each drop such a pair 5 standard deviations off, 3e-7 each at 0.8 and less
+above; so 1.3e-5 in all at 0.8, for pairs that no third document ties together.
 
 Defined results: null or blank text has an empty set and links with nothing; a
 text with fewer words than ``ngram`` is one shingle; equal ids are one document
@@ -35,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ioclake.llm.bytewords import MIX1, Words, mix, words
-from ioclake.llm.common import Bitmap, written
+from ioclake.llm.common import Bitmap, join_counted, written
 from ioclake.llm.components import connected_components
 
 BANDS, ROWS = 48, 7
@@ -48,6 +53,9 @@ BLOCK, SLAB = 128, 4096
 ID_BITS = 1 << 22
 #: standard deviations below the threshold at which an estimate is dropped
 MARGIN = 5.0
+#: members of a bucket in a block; pairs enumerated at once
+BUCKET_BLOCK, PAIRS_AT_ONCE = 512, 1 << 20
+
 
 def _family(m: int) -> np.ndarray:
     rng = np.random.default_rng(20240229)
@@ -108,13 +116,19 @@ def parities(regs: np.ndarray) -> np.ndarray:
     return np.packbits(low, axis=1).view(np.int64)
 
 
+def _apart(j: float) -> float:
+    """The most parities in which sets of similarity ``j`` may differ:
+    registers that differ have equal parity half of the time.  The bound is
+    MARGIN deviations wide."""
+    miss = (1 - j) / 2
+    return PARITY * miss + MARGIN * (PARITY * miss * (1 - miss)) ** 0.5
+
+
 def _alike(j: float) -> Column:
     """Whether the parities of ``bits`` and ``other`` are as close as those of
-    sets of similarity ``j``: registers that differ have equal parity half of
-    the time.  The bound is MARGIN deviations wide."""
+    sets of similarity ``j``."""
     apart = sum((F.bit_count(F.col("bits")[k].bitwiseXOR(F.col("other")[k])) for k in range(PARITY // 64)), F.lit(0))
-    miss = (1 - j) / 2
-    return apart <= PARITY * miss + MARGIN * (PARITY * miss * (1 - miss)) ** 0.5
+    return apart <= _apart(j)
 
 
 def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -202,14 +216,15 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, ngram: int,
 
 
 def buckets(classes: DataFrame, bands: int, rows: int) -> DataFrame:
-    """(key, id, n, bits) for each band whose registers another class shares."""
+    """(key, id, hub, held) for each band whose registers another class
+    shares: the bucket's member that stands for it, by hash, and its size."""
     width = 2 * rows
     keys = F.array(*[F.xxhash64(F.lit(i), F.substring("regs", i * width + 1, width))
                      for i in range(bands)])
     flat = classes.select("id", F.explode(keys).alias("key"))
-    shared = flat.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")) \
-        .filter("lo < hi").select("key")
-    return flat.join(shared, "key").join(classes.select("id", "n", "bits"), "id").select("key", "id", "n", "bits")
+    shared = flat.groupBy("key").agg(F.min(F.struct(F.xxhash64("id"), F.col("id"))).getField("id").alias("hub"),
+                                     F.count(F.lit(1)).alias("held")).filter("held > 1")
+    return flat.join(shared, "key")
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -283,6 +298,17 @@ def _block_linker(num: int, den: int):
     return run
 
 
+def _fetched(meet: DataFrame, blocks: DataFrame, key: str) -> DataFrame:
+    """(same, x, y): the blocks ``held`` of each pair (key, i, j) of numbers;
+    y is null where a block meets itself."""
+    x = blocks.select(key, F.col("no").alias("i"), F.col("held").alias("x"))
+    y = blocks.select(key, F.col("no").alias("j"), F.col("held").alias("y"))
+    same = meet.filter("i = j").join(x, [key, "i"]).select(F.lit(True).alias("same"), "x", F.lit(None).cast(
+        y.schema["y"].dataType).alias("y"))
+    return same.unionByName(meet.filter("i < j").join(x, [key, "i"]).join(y, [key, "j"]).select(
+        F.lit(False).alias("same"), "x", "y"))
+
+
 def _family_links(families: DataFrame, comps: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Links between different components of a family, from blocks of about
     BLOCK sets that meet block by block; a large component has blocks of its
@@ -293,7 +319,8 @@ def _family_links(families: DataFrame, comps: DataFrame, sets: DataFrame, num: i
     several = size.groupBy("family").agg(F.count(F.lit(1)).alias("comps"), F.sum(
         F.when(F.col("n") < BLOCK, F.col("n")).otherwise(0)).alias("small")).filter("comps > 1")
     own = F.col("n") >= BLOCK
-    placed = written(m.join(size, ["family", "comp"]).join(several, "family").select(
+    sized = join_counted(m, size.withColumn("held", F.col("n")), ["family", "comp"], "held", m.count())
+    placed = written(sized.join(several, "family").select(
         "id", "family", "comp", F.when(own, F.col("comp")).alias("alone"),
         F.when(own, F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / BLOCK)))
         .otherwise(F.pmod(F.xxhash64("comp"), F.ceil(F.col("small") / BLOCK))).alias("block")), "members")
@@ -301,11 +328,78 @@ def _family_links(families: DataFrame, comps: DataFrame, sets: DataFrame, num: i
     blocks = written(placed.join(some, "id").groupBy("family", "alone", "block")
                      .agg(F.collect_list(F.struct("id", "comp", "set")).alias("held"))
                      .withColumn("no", F.struct(F.coalesce("alone", F.lit(-1)).alias("alone"), "block")), "blocks")
-    left = blocks.select("family", F.col("no").alias("i"), F.col("alone").alias("p"), F.col("held").alias("x"))
-    right = blocks.select("family", F.col("no").alias("j"), F.col("alone").alias("q"), F.col("held").alias("y"))
-    meet = left.join(right, "family").filter("i <= j AND (p IS NULL OR q IS NULL OR p <> q)")
-    return meet.select((F.col("i") == F.col("j")).alias("same"), "x", F.when(F.col("i") != F.col("j"), F.col("y"))
-                       .alias("y")).mapInArrow(_block_linker(num, den), "a long, b long")
+    # block numbers meet first, then each pair of numbers fetches its sets
+    left = blocks.select("family", F.col("no").alias("i"), F.col("alone").alias("p"))
+    right = blocks.select("family", F.col("no").alias("j"), F.col("alone").alias("q"))
+    meet = left.join(right, "family").filter("i <= j AND (p IS NULL OR q IS NULL OR p <> q)").select("family", "i", "j")
+    return _fetched(meet, blocks, "family").mapInArrow(_block_linker(num, den), "a long, b long")
+
+
+def possible_pairs(members: tuple, lefts: np.ndarray, rights: np.ndarray, ordered: bool, num: int, den: int) -> np.ndarray:
+    """Distinct id pairs, smaller first, of members of different families
+    whose sizes and parities allow the similarity num / den.  Row k of
+    ``lefts`` and ``rights`` are two ranges of members that meet; ``ordered``
+    takes each pair of a range that meets itself once."""
+    (ids, family, n, bits), out, apart = members, [], _apart(num / den)
+    sizes = (lefts[:, 1] - lefts[:, 0]) * (rights[:, 1] - rights[:, 0])
+    at = 0
+    while at < len(sizes):
+        end = max(at + 1, int(np.searchsorted(np.cumsum(sizes[at:]), PAIRS_AT_ONCE, "right")) + at)
+        count = sizes[at:end]
+        within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        wide = np.repeat(rights[at:end, 1] - rights[at:end, 0], count)
+        i = np.repeat(lefts[at:end, 0], count) + within // np.maximum(wide, 1)
+        j = np.repeat(rights[at:end, 0], count) + within % np.maximum(wide, 1)
+        use = family[i] != family[j]
+        if ordered:
+            use &= i < j
+        use &= den * np.minimum(n[i], n[j]) >= num * np.maximum(n[i], n[j])
+        i, j = i[use], j[use]
+        close = np.bitwise_count(bits[i] ^ bits[j]).sum(1) <= apart
+        out.append(np.stack((ids[i[close]], ids[j[close]])))
+        at = end
+    both = np.concatenate(out, 1) if out else np.empty((2, 0), np.int64)
+    return np.unique(np.sort(both, 0), axis=1)
+
+
+def _members(held: pa.ListArray) -> tuple[tuple, np.ndarray]:
+    """Columns of all members of the blocks, and the range of each block."""
+    flat = held.flatten()
+    bits = flat.field("bits").flatten().to_numpy().view(np.uint64).reshape(len(flat), -1)
+    size = held.value_lengths().to_numpy()
+    end = np.cumsum(size)
+    return tuple(flat.field(f).to_numpy() for f in ("id", "family", "n")) + (bits,), np.stack((end - size, end), 1)
+
+
+def _bucket_tester(num: int, den: int):
+    """Pairs that may be similar among blocks of buckets that meet."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            same = b.column(0).to_numpy(zero_copy_only=False).astype(bool)
+            for alone in (True, False):
+                part = b.filter(pa.array(same == alone))
+                if not part.num_rows:
+                    continue
+                x, left = _members(part.column(1))
+                right = left
+                if not alone:
+                    y, right = _members(part.column(2))
+                    right = right + len(x[0])
+                    x = tuple(np.concatenate(p) for p in zip(x, y, strict=True))
+                a, c = possible_pairs(x, left, right, alone, num, den)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(c)], names=["a", "b"])
+    return run
+
+
+def _bucket_pairs(rest: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of members (key, id, family, n, bits, held) of a bucket
+    that are of different families and that sizes and parities allow, each
+    listed once a bucket at most.  ``held``: members of the bucket at most."""
+    blocks = written(rest.withColumn("no", F.pmod(F.xxhash64("id"), F.ceil(F.col("held") / BUCKET_BLOCK)))
+                     .groupBy("key", "no").agg(F.collect_list(F.struct("id", "family", "n", "bits")).alias("held")), "bins")
+    keys = blocks.select("key", "no")
+    meet = keys.withColumnRenamed("no", "i").join(keys.withColumnRenamed("no", "j"), "key").filter("i <= j")
+    return _fetched(meet, blocks, "key").mapInArrow(_bucket_tester(num, den), "a long, b long")
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -344,10 +438,10 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    .filter("low < cls").select(F.col("low").alias("a"), F.col("cls").alias("b")).distinct(), "tied")
 
     # one member of each bucket against the others
-    hub = bins.groupBy("key").agg(F.min(F.struct(F.xxhash64("id"), F.col("id"), F.col("n").alias("m"), F.col("bits").alias("other"))).alias("hub"))
-    star = bins.join(hub, "key").withColumn("m", F.col("hub.m")).withColumn("other", F.col("hub.other")) \
-        .filter(fits).filter("id <> hub.id") \
-        .select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b"))
+    narrow = classes.select("id", "n", "bits")
+    star = bins.filter("id <> hub").select("id", "hub").distinct().join(narrow, "id") \
+        .join(narrow.toDF("hub", "m", "other"), "hub").filter(fits).select(
+            F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
     near = written(_near(written(star.distinct(), "candidates"), classes, low), "pairs")
     sets = with_sets(near.union(tied), None)  # of all that a family may hold
     edges = written(tied.union(_confirm(near, sets, num, den)), "edges")
@@ -356,21 +450,21 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     # inside a family all components meet; beyond it, pairs that share a bucket
     inner = written(_family_links(families, comps, sets, num, den), "inner")
-    lab = bins.join(families.toDF("id", "family"), "id", "left") \
-        .select("key", "id", "n", "bits", F.coalesce("family", "id").alias("family"))
-    mixed = lab.groupBy("key").agg(F.min("family").alias("lo"), F.max("family").alias("hi")) \
-        .filter("lo < hi").select("key")
-    rest = written(lab.join(mixed, "key").select("key", "id", "family", "n", "bits"), "rest")
-    cross = rest.toDF("key", "a", "fa", "n", "bits").join(rest.toDF("key", "b", "fb", "m", "other"), "key") \
-        .filter("a < b and fa <> fb").filter(fits).select("a", "b")
+    lab = written(bins.join(families.toDF("id", "family"), "id", "left")
+                  .join(families.toDF("hub", "hubs"), "hub", "left").select(
+                      "key", "id", "held", F.coalesce("family", "id").alias("family"), F.coalesce("hubs", "hub").alias("hubs")), "lab")
+    # a bucket whose members are all of its hub's family has nothing left to test
+    mixed = lab.filter("family <> hubs").select("key").distinct()
+    rest = lab.join(mixed, "key", "left_semi").join(narrow, "id").select("key", "id", "family", "n", "bits", "held")
+    cross = _bucket_pairs(rest, num, den)
     near = written(_near(written(cross.distinct(), "candidates"), classes, low), "pairs")
     outer = _confirm(near, with_sets(near, sets), num, den)
     comps = connected_components(edges.union(inner).union(outer)).toDF("cls", "comp")
-    label = home.join(comps, "cls", "left").select("id", F.coalesce("comp", "cls").alias("comp"))
-    return sig.select("id", "n").join(label, "id", "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-        F.coalesce("comp", "id").alias("component_id"),
-        F.col("id").eqNullSafe(F.coalesce("comp", "id")).alias("kept"))
+    label = home.join(comps, "cls", "left").select(F.col("id").alias("doc"), F.coalesce("comp", "cls").alias("comp"))
+    return sig.select(F.col("id").alias("doc"), "n").join(label, "doc", "left").select(
+        F.col("doc").alias(id_col), F.col("n").alias("n_shingles"),
+        F.coalesce("comp", "doc").alias("component_id"),
+        F.col("doc").eqNullSafe(F.coalesce("comp", "doc")).alias("kept"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:

@@ -115,3 +115,58 @@ def test_an_id_with_three_texts_is_one_document(spark, monkeypatch):
     got = {(r.doc_id, r.component_id) for r in module.near_dedup(df, ngram=2).collect()}
     assert got == {(i, 1) for i in (1, 2, 3, 4, 9)}
     assert lost == [0]
+
+
+def made_members(n, twins, rng):
+    """(id, family, n, bits): random parities, every ``twins``-th a copy of the one before with 9 bits changed."""
+    bits = rng.integers(0, 2**63, (n, 4), dtype=np.int64)
+    for i in range(1, n, twins):
+        bits[i] = bits[i - 1] ^ np.array([511, 0, 0, 0])
+    return [(int(i), int(i // 3), int(90 + i % 20), [int(x) for x in bits[i]]) for i in range(n)]
+
+
+def allowed(rows, num, den):
+    from ioclake.llm.near_dedup import _apart
+    out = set()
+    bits = np.array([r[3] for r in rows])
+    for k, (i, f, n, _) in enumerate(rows):
+        near = np.flatnonzero(np.bitwise_count(bits[k] ^ bits).sum(1) <= _apart(num / den))
+        out |= {(min(i, rows[m][0]), max(i, rows[m][0])) for m in near if rows[m][1] != f
+                and den * min(n, rows[m][2]) >= num * max(n, rows[m][2])}
+    return out
+
+
+@pytest.mark.parametrize("at_once", [1 << 20, 100])
+def test_members_of_a_bucket_meet_in_blocks(spark, monkeypatch, at_once):
+    from ioclake.llm import near_dedup as module
+    monkeypatch.setattr(module, "PAIRS_AT_ONCE", at_once)
+    monkeypatch.setattr(module, "BUCKET_BLOCK", 16)
+    rows = made_members(120, 4, np.random.default_rng(2))
+    df = spark.createDataFrame([(k, *r, 120) for k in (7, 8) for r in rows] + [(9, *r, 3) for r in rows[:3]],
+                               "key long, id long, family long, n long, bits array<long>, held long")
+    got = {tuple(r) for r in module._bucket_pairs(df, 80, 100).collect()}
+    assert got == allowed(rows, 80, 100)
+
+
+def test_a_bucket_of_many_unlike_members_lists_no_pairs(spark):
+    from ioclake.llm import near_dedup as module
+    rows = made_members(5000, 50, np.random.default_rng(3))
+    df = spark.createDataFrame([(1, *r, 5000) for r in rows],
+                               "key long, id long, family long, n long, bits array<long>, held long")
+    out = module._bucket_pairs(df, 80, 100)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and "family" not in plan.split("MapInArrow")[0]
+    met = spark.read.parquet(*{f for f in out.inputFiles()}).groupBy("key").count().first()[1]
+    assert met <= 2 * 5000 / module.BUCKET_BLOCK  # blocks, so under 200 pairs of them for 12 million of members
+    assert {tuple(r) for r in out.collect()} == allowed(rows, 80, 100)
+
+
+def test_joins_by_count_keep_every_row(spark, monkeypatch):
+    from ioclake.functions import joins
+    from ioclake.llm import common
+    monkeypatch.setattr(joins, "HOT_KEYS", 4)
+    rows = [(1, n) for n in range(60)] + [(2, n) for n in range(30)] + [(k, 0) for k in range(3, 20)]
+    df = spark.createDataFrame(rows, "k long, x long")
+    per = df.groupBy("k").agg(F.count("x").alias("held"), F.max("x").alias("top"))
+    got = common.join_counted(df, per, "k", "held", len(rows))
+    assert sorted(map(tuple, got.collect())) == sorted((k, x, {1: 59, 2: 29}.get(k, 0)) for k, x in rows)
