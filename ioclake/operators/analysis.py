@@ -133,6 +133,7 @@ def reply_rejects(classified: DataFrame, key: str = "doc",
             .filter(F.col("reason").isNotNull()))
 
 
+# fixed value: how a field is found in a broken reply
 SALVAGE_FIELD = r'"{key}"\s*:\s*"([^"]*)"'
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ioclake import config
+
 DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                  "events", "documents", "embeddings", "pages", "benchmark", "labels",
                  "conversations"]
@@ -39,6 +41,12 @@ def page_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(pages)
 
 
+def seed_table(spark: SparkSession, sites=None) -> DataFrame:
+    """(site_pos, url): the index pages that a run starts from, in order (A1)."""
+    sites = config.SEED_SITES if sites is None else sites
+    return spark.createDataFrame(list(enumerate(sites)), "site_pos long, url string")
+
+
 def seeds_from_pages(pages: DataFrame) -> DataFrame:
     """Landed index pages as the seed table: site position = page_id."""
     return pages.select(F.col("page_id").alias("site_pos"), "url")

@@ -91,3 +91,10 @@ def test_a_cluster_must_name_its_folder(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         staging.shared_dir(Session)
+
+
+def test_seed_sites_in_order(spark):
+    from ioclake import config
+    from ioclake.sources.tables import seed_table
+    assert rows(seed_table(spark), "url") == [(u,) for u in config.SEED_SITES]
+    assert rows(seed_table(spark, ["u"])) == [(0, "u")]
