@@ -12,6 +12,9 @@ window, so a document is scored to its end at constant memory.
 Training is truncated backpropagation in numpy.  A first task warms the network
 up on a bounded number of documents; then every partition trains on all its
 training documents, and the weights are averaged in a tree, weighted by tokens.
+So weights, and with them scores, depend on how the table is partitioned: a
+partition is one learner, which takes its documents in pools of ``POOL`` tokens,
+in ``LANES`` lanes as the pool allows, with a fresh optimiser for each pool.
 
 Counts of the ``HEAD`` most frequent words at most (a bound on what is
 broadcast) are known to the tasks; the other words of a document are joined with
