@@ -12,8 +12,14 @@ products of the original vectors.
 
 Equal vectors are searched once: a class of equal vectors carries its ``top + 1``
 smallest ids, which is all that any answer can hold, so a vector that a third of
-the rows share is one entry.  Leaves are cut into blocks of bounded size, and
-queries meet them block by block.
+the rows share is one entry.
+
+Leaves are numbered in tree order and laid into blocks of about ``STORED_BLOCK``
+vectors, queries by their first leaf into blocks of about ``QUERY_BLOCK``; a larger
+leaf fills several.  A walk gives out block numbers only.  Query blocks and stored
+blocks that meet do so in a task of their own, which gives out the best few of
+each query; so memory is bounded by two blocks, and where the tree prunes, blocks
+that no query of a block visits are never sent.
 
 Defined results: vectors that are null, empty, zero, of another length than most,
 or hold null or non-finite components take no part, nor do null ids; rows that
@@ -37,8 +43,10 @@ from ioclake.llm.common import written
 
 #: vectors the tree is fitted to; children a node; sample vectors a leaf
 SAMPLE, BRANCH, LEAF = 32_768, 8, 32
-CALIBRATE, TARGET = 64, 0.97
-STORED_BLOCK, QUERY_BLOCK = 2048, 512
+CALIBRATE, TARGET = 256, 0.94
+STORED_BLOCK, QUERY_BLOCK = 4096, 1024
+#: queries scored at once; queries a task walks
+SCORED, WALKED = 128, 256
 ROUNDS, SEED = 8, 5
 
 
@@ -139,37 +147,72 @@ def _filing(shared, most: float):
     return run
 
 
+def lay_out(sizes: dict[int, int], per: int) -> dict[int, tuple[int, int]]:
+    """leaf -> (first block, blocks): leaves in order share blocks of about
+    ``per`` rows, a leaf of more rows has blocks of its own."""
+    out, block, held = {}, 0, 0
+    for leaf in sorted(sizes):
+        n = sizes[leaf]
+        if held and held + n > per:
+            block, held = block + 1, 0
+        blocks = max(1, -(-n // per))
+        out[leaf] = (block, blocks)
+        held += n
+        if blocks > 1:
+            block, held = block + blocks, 0
+    return out
+
+
 def _walking(shared, visits: int):
+    """Per query its first leaf and the blocks of the leaves it visits."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree, places = shared.value
         for b in batches:
-            order = [[leaf for _, leaf in zip(range(visits), best_bins(shared.value, q), strict=False)]
-                     for q in _asked(_matrix(b.column(1)))]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(order, pa.list_(pa.int64()))],
-                                             names=[*b.schema.names, "leaves"])
+            home, blocks = [], []
+            for q in _asked(_matrix(b.column(1))):
+                order = [leaf for _, leaf in zip(range(visits), best_bins(tree, q), strict=False)]
+                home.append(order[0])
+                blocks.append(sorted({p + k for x in order if x in places for p, n in (places[x],) for k in range(n)}))
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array(home, pa.int64()), pa.array(blocks, pa.list_(pa.int32()))],
+                names=[*b.schema.names, "leaf", "blocks"])
     return run
 
 
-def _best(score: np.ndarray, ids: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, id, score) of the top columns per row, ties to smaller ids."""
+def _best(q: np.ndarray, v: np.ndarray, ids: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, id, score) of the ``top`` largest inner products per row of
+    ``q``, ties to smaller ids."""
     by_id = np.argsort(ids, kind="stable")
-    score, ids = score[:, by_id], ids[by_id]
-    pick = np.argsort(-score, 1, kind="stable")[:, :top]
-    rows = np.repeat(np.arange(len(score)), pick.shape[1])
-    return rows, ids[pick].ravel(), np.take_along_axis(score, pick, 1).ravel()
+    v, ids, parts = v[by_id], ids[by_id], []
+    for at in range(0, len(q), SCORED):
+        score = q[at:at + SCORED] @ v.T
+        n = score.shape[1]
+        least = np.partition(score, n - top, 1)[:, n - top] if n > top else np.full(len(score), -np.inf)
+        row, col = np.nonzero(score >= least[:, None])  # a few more than top where scores are equal
+        order = np.lexsort((col, -score[row, col], row))
+        row, col = row[order], col[order]
+        nth = np.arange(len(row)) - np.searchsorted(row, row)
+        row, col = row[nth < top], col[nth < top]
+        parts.append((row + at, ids[col], score[row, col]))
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
 def _meeting(top: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for q, s in zip(b.column(0), b.column(1), strict=True):
-                q, s = q.values, s.values
-                asked, ids = q.field("id").to_numpy(), s.field("cid").to_numpy()
-                rows, found, score = _best(_matrix(q.field("v")) @ _matrix(s.field("v")).T, ids, top)
-                yield pa.RecordBatch.from_arrays([pa.array(asked[rows]), pa.array(found), pa.array(score)],
-                                                 names=["asked", "cid", "score"])
+    def run(asked: pa.Table, stored: pa.Table) -> pa.Table:
+        if not asked.num_rows or not stored.num_rows:
+            return FOUND.empty_table()
+        rows, found, score = _best(_table(asked["v"]), _table(stored["v"]), stored["cid"].to_numpy(), top)
+        return pa.Table.from_arrays([pa.array(asked["id"].to_numpy()[rows]), pa.array(found), pa.array(score)], schema=FOUND)
     return run
 
 
+FOUND = pa.schema([("asked", pa.int64()), ("cid", pa.int64()), ("score", pa.float64())])
+
+
+def _table(lists: pa.ChunkedArray) -> np.ndarray:
+    return np.concatenate([_matrix(c) for c in lists.chunks])
+
+
 def _brute(shared, top: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked, q = shared.value
@@ -177,7 +220,7 @@ def _brute(shared, top: int):
             if not b.num_rows:
                 continue
             ids, leaf = b.column(0).to_numpy(), b.column(2).to_numpy()
-            rows, found, score = _best(q @ _matrix(b.column(1)).T, np.arange(len(ids)), top + 1)
+            rows, found, score = _best(q, _matrix(b.column(1)), np.arange(len(ids)), top + 1)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(asked[rows]), pa.array(ids[found]), pa.array(score), pa.array(leaf[found])],
                 names=["asked", "cid", "score", "leaf"])
@@ -197,10 +240,14 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return d.filter(F.size("v") == (size.d if size else 0))
 
 
-def _blocks(df: DataFrame, key: str, per: int) -> Column:
-    """A block number per row of a leaf: blocks of about ``per`` rows."""
-    count = df.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / per).alias("n"))
-    return df.join(count, "leaf").withColumn("block", F.pmod(F.xxhash64(key), F.col("n"))).drop("n")
+def _placed(df: DataFrame, key: str, per: int) -> tuple[DataFrame, dict[int, tuple[int, int]]]:
+    """``df`` with a block per row, by its leaf, and the layout.  There are at
+    most as many leaves as the tree has, so both are small."""
+    sizes = {r.leaf: r.n for r in df.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()}
+    layout = lay_out(sizes, per)
+    table = df.sparkSession.createDataFrame([(x, *p) for x, p in layout.items()], "leaf long, first int, several int")
+    return df.join(F.broadcast(table), "leaf").withColumn("block", (
+        F.col("first") + F.pmod(F.xxhash64(key), F.col("several"))).cast("int")).drop("leaf", "first", "several"), layout
 
 
 def search(vectors: DataFrame, queries: Column, top: int = 20, id_col: str = "vec_id",
@@ -239,15 +286,15 @@ def search(vectors: DataFrame, queries: Column, top: int = 20, id_col: str = "ve
         ranks += [place[x] for x in truth.loc[truth["asked"] == one, "leaf"]]
     visits = int(np.sort(ranks)[int(np.ceil(target * len(ranks))) - 1]) if ranks else 1
 
-    walked = asked.select(F.col("cid").alias("id"), "v").distinct().mapInArrow(
-        _walking(shared, visits), "id long, v array<double>, leaves array<long>") \
-        .select("id", "v", F.explode("leaves").alias("leaf"))
-    walked = written(walked, "walked")
-    q_blocks = _blocks(walked, "id", QUERY_BLOCK).groupBy("leaf", "block") \
-        .agg(F.collect_list(F.struct("id", "v")).alias("q")).select("leaf", "q")
-    s_blocks = _blocks(index, "cid", STORED_BLOCK).groupBy("leaf", "block") \
-        .agg(F.collect_list(F.struct("cid", "v")).alias("s")).select("leaf", "s")
-    met = q_blocks.join(s_blocks, "leaf").select("q", "s").mapInArrow(
+    stored, places = _placed(index, "cid", STORED_BLOCK)
+    shared = spark.sparkContext.broadcast((tree, places))
+    distinct = asked.select(F.col("cid").alias("id"), "v").distinct()
+    walked = written(distinct.repartition(max(1, -(-distinct.count() // WALKED)), "id").mapInArrow(
+        _walking(shared, visits), "id long, v array<double>, leaf long, blocks array<int>"), "walked")
+    queries_in, _ = _placed(walked, "id", QUERY_BLOCK)
+    sent = queries_in.select("id", "v", F.col("block").alias("asking"), F.explode("blocks").alias("block"))
+    pairs = queries_in.select(F.col("block").alias("asking"), F.explode("blocks").alias("block")).distinct()
+    met = sent.groupBy("asking", "block").cogroup(stored.join(pairs, "block").groupBy("asking", "block")).applyInArrow(
         _meeting(top + 1), "asked long, cid long, score double")
     found = met.withColumn("nth", F.row_number().over(w)).filter(F.col("nth") <= top + 1).drop("nth")
     by_score = Window.partitionBy("asked").orderBy(F.desc("score"), "near")

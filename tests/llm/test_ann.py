@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from ioclake.llm.ann import best_bins, build_tree, leaf_of, search
+from ioclake.llm.ann import _best, best_bins, build_tree, lay_out, leaf_of, search
 
 VECS = "vec_id long, embedding array<float>, rank int, score string"
 
@@ -87,3 +87,42 @@ def test_one_vector_for_a_third_of_the_rows(spark):
     best = brute(rows, 4)
     assert len(hot) == 50 and all(len(n) == 4 for n in hot.values())
     assert sum(len(set(n) & {i for i, _ in best[q]}) for q, n in hot.items()) >= 0.9 * 200
+
+
+def test_best_takes_ties_by_id():
+    rng = np.random.default_rng(4)
+    v, ids = rng.integers(-2, 3, (60, 3)).astype(float), rng.permutation(60)
+    q = rng.integers(-2, 3, (300, 3)).astype(float)
+    for top in (1, 7, 60, 100):
+        row, got, score = _best(q, v, ids, top)
+        want = [(r, i, s) for r in range(len(q)) for s, i in sorted(((-float(q[r] @ v[k]), int(ids[k])) for k in range(60)))[:top]]
+        assert list(zip(row.tolist(), got.tolist(), (-score).tolist())) == [(r, i, s) for r, i, s in want]
+
+
+def test_layout_fills_blocks_in_order():
+    assert lay_out({0: 3, 1: 3, 2: 5, 5: 21, 7: 1, 8: 10}, 10) == {0: (0, 1), 1: (0, 1), 2: (1, 1), 5: (2, 3), 7: (5, 1), 8: (6, 1)}
+    assert lay_out({}, 10) == {}
+
+
+def test_blocks_that_no_query_visits_are_not_sent(spark, monkeypatch):
+    """Well separated groups: a query meets the blocks around it alone."""
+    from ioclake.llm import ann
+    monkeypatch.setattr(ann, "STORED_BLOCK", 64)
+    monkeypatch.setattr(ann, "QUERY_BLOCK", 8)
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(40, 12)) * 30
+    centres /= np.linalg.norm(centres, axis=1)[:, None] / 30
+    rows = [(i, [float(a) for a in centres[i % 40] + rng.normal(size=12) * 0.1]) for i in range(4000)]
+    met = []
+    whole = ann._walking
+
+    def seen(shared, visits):
+        met.append((visits, shared.value[0]["leaves"]))
+        return whole(shared, visits)
+
+    monkeypatch.setattr(ann, "_walking", seen)
+    got = found(search(frame(spark, rows), is_query()))
+    visits, leaves = met[0]
+    assert visits < leaves / 10
+    want = brute(rows, 20)
+    assert sum(len({i for _, i, _ in near} & {i for i, _ in want[q]}) for q, near in got.items()) >= 0.9 * 20 * len(want)
