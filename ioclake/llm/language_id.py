@@ -8,9 +8,10 @@ probabilities are the mean over all its windows, weighted by their bytes.
 Filters are linear in one-hot bytes, so a filter of width w is a sum of w table
 rows; for use the tables of neighbouring bytes are merged into byte-pair
 tables, which halves the look-ups.  Training is plain numpy (Adam, gradients
-through the winning positions) on at most ``PER_LANG`` different labelled texts a
-language, those of the smallest hashes, inside one task; every language with
-labelled rows is learned, and the model has one output column for each.
+through the winning positions) inside one task.  Its sample is bounded: the
+``LANGS`` languages with most different labelled texts, at most ``PER_LANG`` such
+texts a language, those of the smallest hashes, and of each at most ``PER_DOC``
+windows, spread over the whole text.  Prediction reads all bytes of all texts.
 
 Defined results: null text or a text without a letter is ``und`` with score 0;
 a table without labelled rows gives ``und`` with score 0 everywhere; equal rows
@@ -25,14 +26,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ioclake.llm.bytewords import pieces
+from ioclake.llm.common import written
 
 WIDTHS, FILTERS, WINDOW = (2, 3, 4), 16, 256
-#: the bound of the training sample: different texts a language, windows a text
-PER_LANG, PER_DOC = 600, 4
+#: the bound of the training sample: languages, different texts a language, windows a text
+LANGS, PER_LANG, PER_DOC = 256, 600, 4
+#: texts that are looked at for each that is used, so that PER_LANG are found
+SPARE = 1.25
 EPOCHS, BATCH, RATE = 4, 64, 0.01
 SEED = 11
 _LETTER = re.compile(r"[^\W\d_]")
@@ -69,6 +73,31 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return z / z.sum(1, keepdims=True)
 
 
+def loss_and_grad(net: dict, xb: np.ndarray, yb: np.ndarray) -> tuple[float, dict]:
+    """Mean cross-entropy of windows ``xb`` and its gradient."""
+    n, pooled, won = len(xb), [], []
+    for w in WIDTHS:
+        z = sum(net[f"t{w}"][k][xb[:, k:WINDOW - w + 1 + k]] for k in range(w))
+        won.append(z.argmax(1))
+        pooled.append(np.maximum(z.max(1) + net[f"b{w}"], 0))
+    feat = np.concatenate(pooled, 1)
+    d = _softmax(feat @ net["out"] + net["bias"])
+    loss = -np.log(np.maximum(d[np.arange(n), yb], 1e-300)).mean()
+    d[np.arange(n), yb] -= 1
+    d /= n
+    grad = {"out": feat.T @ d, "bias": d.sum(0)}
+    back = (d @ net["out"].T) * (feat > 0)
+    for i, w in enumerate(WIDTHS):
+        g = back[:, i * FILTERS:(i + 1) * FILTERS]
+        grad[f"b{w}"] = g.sum(0)
+        t = np.zeros_like(net[f"t{w}"])
+        for k in range(w):
+            byte = np.take_along_axis(xb, won[i] + k, 1)
+            np.add.at(t[k], (byte, np.arange(FILTERS)), g)
+        grad[f"t{w}"] = t
+    return float(loss), grad
+
+
 def train(x: np.ndarray, y: np.ndarray, n_langs: int) -> dict:
     """Weights fitted to windows ``x`` (n, WINDOW) of languages ``y``."""
     net = _init(n_langs)
@@ -79,26 +108,7 @@ def train(x: np.ndarray, y: np.ndarray, n_langs: int) -> dict:
         order = rng.permutation(len(x))
         for at in range(0, len(x), BATCH):
             pick = order[at:at + BATCH]
-            xb, yb, n = x[pick].astype(np.int64), y[pick], len(pick)
-            pooled, won = [], []
-            for w in WIDTHS:
-                z = sum(net[f"t{w}"][k][xb[:, k:WINDOW - w + 1 + k]] for k in range(w))
-                won.append(z.argmax(1))
-                pooled.append(np.maximum(z.max(1) + net[f"b{w}"], 0))
-            feat = np.concatenate(pooled, 1)
-            d = _softmax(feat @ net["out"] + net["bias"])
-            d[np.arange(n), yb] -= 1
-            d /= n
-            grad = {"out": feat.T @ d, "bias": d.sum(0)}
-            back = (d @ net["out"].T) * (feat > 0)
-            for i, w in enumerate(WIDTHS):
-                g = back[:, i * FILTERS:(i + 1) * FILTERS]
-                grad[f"b{w}"] = g.sum(0)
-                t = np.zeros_like(net[f"t{w}"])
-                for k in range(w):
-                    byte = np.take_along_axis(xb, won[i] + k, 1)
-                    np.add.at(t[k], (byte, np.arange(FILTERS)), g)
-                grad[f"t{w}"] = t
+            _, grad = loss_and_grad(net, x[pick].astype(np.int64), y[pick])
             step += 1
             for k, g in grad.items():
                 m1[k] = 0.9 * m1[k] + 0.1 * g
@@ -141,26 +151,26 @@ def probabilities(net: dict, x: np.ndarray, at_once: int = 1024) -> np.ndarray:
 
 
 def _trainer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    xs, langs = [], []
+    held: dict[str, dict[int, np.ndarray]] = {}
     for b in batches:
         for first, rows, data, offs in pieces(b.column(0)):
-            x, held, row = _cut(data, offs)
+            x, _, row = _cut(data, offs)
             # whole windows spread over the text; a shorter text's only one
             size = np.bincount(row, minlength=rows)
             nth = np.arange(len(row)) - (np.cumsum(size) - size)[row]
             step = np.maximum(1, size[row] // PER_DOC)
             use = (nth % step == 0) & (nth // step < PER_DOC)
-            xs.append(x[use].astype(np.uint8))
-            names = b.column(1).slice(first, rows).to_pylist()
-            langs += [names[r] for r in row[use]]
-    if not langs:
+            names, hashes = (b.column(k).slice(first, rows).to_pylist() for k in (1, 2))
+            for r in range(rows):
+                held.setdefault(names[r], {})[hashes[r]] = x[use & (row == r)].astype(np.uint8)
+    if not held:
         return
-    known = sorted(set(langs))
-    order = np.argsort(np.array(langs), kind="stable")
-    x = np.concatenate(xs)[order]
-    place = {lang: i for i, lang in enumerate(known)}
-    y = np.array([place[lang] for lang in langs])[order]
-    lex = np.lexsort((*x.T[:16], y))  # the same model for any order of rows
+    known = sorted(held)
+    # by hash, so the same model for any order of rows
+    chosen = [(y, held[lang][h]) for y, lang in enumerate(known) for h in sorted(held[lang])[:PER_LANG]]
+    x = np.concatenate([w for _, w in chosen])
+    y = np.repeat([y for y, _ in chosen], [len(w) for _, w in chosen])
+    lex = np.lexsort((*x.T[:16], y))
     net = train(x[lex], y[lex], len(known))
     yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((known, net))], pa.binary())], names=["model"])
 
@@ -170,12 +180,14 @@ def fit(docs: DataFrame, text_col: str, lang_col: str, use: Column, salt: str =
     rows = docs.filter(use & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")) \
         .select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"),
                 F.xxhash64(F.lit(salt), F.col(text_col)).alias("h"))
-    # chosen on narrow rows, each text once; only chosen texts move, one row of each
-    w = Window.partitionBy("lang").orderBy("h")
-    chosen = rows.select("lang", "h").distinct() \
-        .withColumn("nth", F.row_number().over(w)).filter(F.col("nth") <= PER_LANG).drop("nth")
-    some = rows.join(F.broadcast(chosen), ["lang", "h"]).dropDuplicates(["lang", "h"])
-    got = some.select(F.col("text").cast("binary"), "lang").coalesce(1).mapInArrow(_trainer, "model binary").first()
+    # chosen on narrow rows, each text once, by a hash below the language's share: no language meets in one task
+    texts = written(rows.groupBy("lang", "h").agg(F.count(F.lit(1)).alias("copies")).select("lang", "h"), "texts")
+    count = texts.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGS)
+    part = F.pmod(F.xxhash64("h"), F.lit(1 << 40)) / float(1 << 40)
+    below = texts.join(F.broadcast(count), "lang").filter(part * F.col("n") < PER_LANG * SPARE).select("lang", "h")
+    chosen = F.broadcast(below.limit(2 * LANGS * PER_LANG))  # narrow rows; the limit is the proof
+    some = rows.join(chosen, ["lang", "h"]).dropDuplicates(["lang", "h"])
+    got = some.select(F.col("text").cast("binary"), "lang", F.xxhash64("h").alias("h")).coalesce(1).mapInArrow(_trainer, "model binary").first()
     return pickle.loads(got.model) if got else None
 
 

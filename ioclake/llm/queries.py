@@ -44,7 +44,7 @@ def q_language_id(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     fold = fold_bucket(F.col("doc_id"), 5)
     model = language_id.fit(docs, "text", "lang", fold != 0)
-    out = language_id.predict(docs, model, "doc_id", "text", {"held_out": fold == 0})
+    out = language_id.predict(docs, model, "doc_id", "text", {"held_out": F.coalesce(fold == 0, F.lit(False))})
     return out.select("doc_id", "held_out", "lang_pred", "score")
 
 

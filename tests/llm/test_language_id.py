@@ -88,3 +88,68 @@ def test_every_labelled_language_is_learned(spark):
                                 for n in range(70) for i in range(1 + (n < 69))], "text string, lang string")
     known, net = L.fit(df, "text", "lang", F.lit(True))
     assert known == [f"l{n:02}" for n in range(70)] and net["out"].shape[1] == 70
+
+
+def test_gradient_by_differences():
+    rng = np.random.default_rng(6)
+    net = {k: v.astype(float) for k, v in L._init(3).items()}
+    x, y = rng.integers(0, 30, (5, L.WINDOW)), np.array([0, 1, 2, 1, 0])
+    _, grad = L.loss_and_grad(net, x, y)
+    for name, values in net.items():
+        flat, slope = values.reshape(-1), grad[name].reshape(-1)
+        for at in np.argsort(-np.abs(slope))[:6]:
+            kept, e = flat[at], 1e-5
+            flat[at] = kept + e
+            up = L.loss_and_grad(net, x, y)[0]
+            flat[at] = kept - e
+            down = L.loss_and_grad(net, x, y)[0]
+            flat[at] = kept
+            assert abs((up - down) / (2 * e) - slope[at]) < 1e-4 * max(1, abs(slope[at])), name
+
+
+def test_document_score_is_the_mean_over_bytes(spark):
+    """Every window by plain sums, weighted by the bytes it holds."""
+    known, net = ["a", "b", "c"], L._init(3)
+    texts = ["x" * 10, "the quick brown fox " * 40, "é" * 300 + " end", "q" * 256, "z" * 257]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in L.predict(df, (known, net), "doc_id", "text").collect()}
+    for i, t in enumerate(texts):
+        data, total = t.encode(), np.zeros(3)
+        for at in range(0, len(data), L.WINDOW):
+            held = data[at:at + L.WINDOW]
+            x = np.zeros(L.WINDOW, int)
+            x[:len(held)] = list(held)
+            feat = []
+            for w in L.WIDTHS:
+                z = np.array([sum(net[f"t{w}"][k][x[p + k]] for k in range(w)) for p in range(L.WINDOW - w + 1)])
+                feat.append(np.maximum(z.max(0) + net[f"b{w}"], 0))
+            total += len(held) * L._softmax((np.concatenate(feat) @ net["out"] + net["bias"])[None])[0]
+        mean = total / len(data)
+        assert got[i].lang_pred == known[mean.argmax()] and abs(got[i].score - mean.max()) < 1e-4
+
+
+def test_a_null_id_is_not_held_out(spark, tmp_path):
+    rows = [(n, "the cat of the house " * 3, "en") for n in range(20)] + [(None, "the cat of the house", "en")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    out = {r.doc_id: r for r in q_language_id(spark, str(tmp_path)).collect()}
+    assert len(out) == 21 and out[None].held_out is False and out[None].lang_pred == "en"
+
+
+def test_the_sample_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(L, "LANGS", 2)
+    monkeypatch.setattr(L, "PER_LANG", 30)
+    df = spark.createDataFrame([(f"{lang} word {i} " * 200, lang) for lang, n in (("aa", 400), ("bb", 300), ("cc", 5)) for i in range(n)],
+                               "text string, lang string")
+    seen, real = [], L.train
+    path = __import__("tempfile").mkdtemp()
+
+    def spied(x, y, n):
+        import numpy
+        numpy.save(path + "/y.npy", y)
+        return real(x[:64], y[:64] * 0, n)
+
+    monkeypatch.setattr(L, "train", spied)
+    known, _ = L.fit(df, "text", "lang", F.lit(True))
+    y = np.load(path + "/y.npy")
+    assert known == ["aa", "bb"] and not seen
+    assert all(20 * L.PER_DOC < (y == k).sum() <= 30 * L.PER_DOC for k in (0, 1))
