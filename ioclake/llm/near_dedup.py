@@ -14,8 +14,8 @@ of each bucket is held against the others; confirmed links give components, link
 that the estimate only leaves possible give wider families.  Inside a family,
 sets of different components meet in blocks within a task, which emits one link
 per pair of components.  Members of a bucket that are of different families meet
-in blocks too, where sizes and register parities are held against each other;
-only pairs that both allow leave the task.  No join lists the pairs of a bucket.
+in blocks too, where sizes, register parities and joint estimates are held
+against the threshold; only pairs that all three allow leave the task.  No join lists the pairs of a bucket.
 
 What may be missed: with 48 bands of 7 registers, a pair at similarity exactly 0.8
 shares no band with probability 1.2e-5, one at 0.85 with 5e-9.  Parities and joint
@@ -53,8 +53,8 @@ BLOCK, SLAB = 128, 4096
 ID_BITS = 1 << 22
 #: standard deviations below the threshold at which an estimate is dropped
 MARGIN = 5.0
-#: members of a bucket in a block; pairs enumerated at once
-BUCKET_BLOCK, PAIRS_AT_ONCE = 512, 1 << 20
+#: members of a bucket in a block; pairs enumerated at once, and estimated at once
+BUCKET_BLOCK, PAIRS_AT_ONCE, ESTIMATED = 512, 1 << 20, 1 << 13
 
 
 def _family(m: int) -> np.ndarray:
@@ -124,6 +124,12 @@ def _apart(j: float) -> float:
     return PARITY * miss + MARGIN * (PARITY * miss * (1 - miss)) ** 0.5
 
 
+def _least_estimate(j: float, m: int) -> float:
+    """The estimate from ``m`` registers below which a pair is ruled out,
+    MARGIN deviations below ``j``."""
+    return j - MARGIN * (j * (1 - j) / m) ** 0.5
+
+
 def _alike(j: float) -> Column:
     """Whether the parities of ``bits`` and ``other`` are as close as those of
     sets of similarity ``j``."""
@@ -337,10 +343,11 @@ def _family_links(families: DataFrame, comps: DataFrame, sets: DataFrame, num: i
 
 def possible_pairs(members: tuple, lefts: np.ndarray, rights: np.ndarray, ordered: bool, num: int, den: int) -> np.ndarray:
     """Distinct id pairs, smaller first, of members of different families
-    whose sizes and parities allow the similarity num / den.  Row k of
-    ``lefts`` and ``rights`` are two ranges of members that meet; ``ordered``
-    takes each pair of a range that meets itself once."""
-    (ids, family, n, bits), out, apart = members, [], _apart(num / den)
+    whose sizes, parities and joint estimate allow the similarity num / den.
+    Row k of ``lefts`` and ``rights`` are two ranges of members that meet;
+    ``ordered`` takes each pair of a range that meets itself once."""
+    (ids, family, n, bits, regs), out, apart = members, [], _apart(num / den)
+    low = _least_estimate(num / den, regs.shape[1])
     sizes = (lefts[:, 1] - lefts[:, 0]) * (rights[:, 1] - rights[:, 0])
     at = 0
     while at < len(sizes):
@@ -356,7 +363,11 @@ def possible_pairs(members: tuple, lefts: np.ndarray, rights: np.ndarray, ordere
         use &= den * np.minimum(n[i], n[j]) >= num * np.maximum(n[i], n[j])
         i, j = i[use], j[use]
         close = np.bitwise_count(bits[i] ^ bits[j]).sum(1) <= apart
-        out.append(np.stack((ids[i[close]], ids[j[close]])))
+        i, j = i[close], j[close]
+        for k in range(0, len(i), ESTIMATED):
+            a, b = i[k:k + ESTIMATED], j[k:k + ESTIMATED]
+            likely = joint_estimate(regs[a], regs[b], n[a].astype(float), n[b].astype(float)) >= low
+            out.append(np.stack((ids[a[likely]], ids[b[likely]])))
         at = end
     both = np.concatenate(out, 1) if out else np.empty((2, 0), np.int64)
     return np.unique(np.sort(both, 0), axis=1)
@@ -368,7 +379,8 @@ def _members(held: pa.ListArray) -> tuple[tuple, np.ndarray]:
     bits = flat.field("bits").flatten().to_numpy().view(np.uint64).reshape(len(flat), -1)
     size = held.value_lengths().to_numpy()
     end = np.cumsum(size)
-    return tuple(flat.field(f).to_numpy() for f in ("id", "family", "n")) + (bits,), np.stack((end - size, end), 1)
+    regs = np.stack([np.frombuffer(x.as_buffer(), np.uint16) for x in flat.field("regs")])
+    return tuple(flat.field(f).to_numpy() for f in ("id", "family", "n")) + (bits, regs), np.stack((end - size, end), 1)
 
 
 def _bucket_tester(num: int, den: int):
@@ -392,11 +404,12 @@ def _bucket_tester(num: int, den: int):
 
 
 def _bucket_pairs(rest: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (a, b) of members (key, id, family, n, bits, held) of a bucket
-    that are of different families and that sizes and parities allow, each
-    listed once a bucket at most.  ``held``: members of the bucket at most."""
+    """Pairs (a, b) of members (key, id, family, n, bits, regs, held) of a
+    bucket that are of different families and that sizes, parities and joint
+    estimate allow, each listed once a bucket at most.  ``held``: members of the
+    bucket at most."""
     blocks = written(rest.withColumn("no", F.pmod(F.xxhash64("id"), F.ceil(F.col("held") / BUCKET_BLOCK)))
-                     .groupBy("key", "no").agg(F.collect_list(F.struct("id", "family", "n", "bits")).alias("held")), "bins")
+                     .groupBy("key", "no").agg(F.collect_list(F.struct("id", "family", "n", "bits", "regs")).alias("held")), "bins")
     keys = blocks.select("key", "no")
     meet = keys.withColumnRenamed("no", "i").join(keys.withColumnRenamed("no", "j"), "key").filter("i <= j")
     return _fetched(meet, blocks, "key").mapInArrow(_bucket_tester(num, den), "a long, b long")
@@ -416,7 +429,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.first("bits").alias("bits")), "classes")
     bins = written(buckets(classes, bands, rows), "buckets")
     j = num / den
-    low = j - MARGIN * (j * (1 - j) / (bands * rows)) ** 0.5
+    low = _least_estimate(j, bands * rows)
     # what sizes and parities allow
     fits = (F.lit(den) * F.least("n", "m") >= F.lit(num) * F.greatest("n", "m")) & _alike(j)
 
@@ -455,9 +468,9 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       "key", "id", "held", F.coalesce("family", "id").alias("family"), F.coalesce("hubs", "hub").alias("hubs")), "lab")
     # a bucket whose members are all of its hub's family has nothing left to test
     mixed = lab.filter("family <> hubs").select("key").distinct()
-    rest = lab.join(mixed, "key", "left_semi").join(narrow, "id").select("key", "id", "family", "n", "bits", "held")
-    cross = _bucket_pairs(rest, num, den)
-    near = written(_near(written(cross.distinct(), "candidates"), classes, low), "pairs")
+    rest = lab.join(mixed, "key", "left_semi").join(classes.select("id", "n", "bits", "regs"), "id") \
+        .select("key", "id", "family", "n", "bits", "regs", "held")
+    near = written(_bucket_pairs(rest, num, den).distinct(), "pairs")
     outer = _confirm(near, with_sets(near, sets), num, den)
     comps = connected_components(edges.union(inner).union(outer)).toDF("cls", "comp")
     label = home.join(comps, "cls", "left").select(F.col("id").alias("doc"), F.coalesce("comp", "cls").alias("comp"))

@@ -118,18 +118,22 @@ def test_an_id_with_three_texts_is_one_document(spark, monkeypatch):
 
 
 def made_members(n, twins, rng):
-    """(id, family, n, bits): random parities, every ``twins``-th a copy of the one before with 9 bits changed."""
+    """(id, family, n, bits, regs): random registers, every ``twins``-th a copy of the one before with 9 changed."""
+    regs = rng.integers(0, 60_000, (n, 336)).astype(np.uint16)
+    for i in range(1, n, twins):
+        regs[i] = regs[i - 1]
+        regs[i, :9] ^= 1
     bits = rng.integers(0, 2**63, (n, 4), dtype=np.int64)
     for i in range(1, n, twins):
         bits[i] = bits[i - 1] ^ np.array([511, 0, 0, 0])
-    return [(int(i), int(i // 3), int(90 + i % 20), [int(x) for x in bits[i]]) for i in range(n)]
+    return [(int(i), int(i // 3), int(90 + i % 20), [int(x) for x in bits[i]], bytearray(regs[i].tobytes())) for i in range(n)]
 
 
 def allowed(rows, num, den):
     from ioclake.llm.near_dedup import _apart
     out = set()
     bits = np.array([r[3] for r in rows])
-    for k, (i, f, n, _) in enumerate(rows):
+    for k, (i, f, n, _, _) in enumerate(rows):
         near = np.flatnonzero(np.bitwise_count(bits[k] ^ bits).sum(1) <= _apart(num / den))
         out |= {(min(i, rows[m][0]), max(i, rows[m][0])) for m in near if rows[m][1] != f
                 and den * min(n, rows[m][2]) >= num * max(n, rows[m][2])}
@@ -143,7 +147,7 @@ def test_members_of_a_bucket_meet_in_blocks(spark, monkeypatch, at_once):
     monkeypatch.setattr(module, "BUCKET_BLOCK", 16)
     rows = made_members(120, 4, np.random.default_rng(2))
     df = spark.createDataFrame([(k, *r, 120) for k in (7, 8) for r in rows] + [(9, *r, 3) for r in rows[:3]],
-                               "key long, id long, family long, n long, bits array<long>, held long")
+                               "key long, id long, family long, n long, bits array<long>, regs binary, held long")
     got = {tuple(r) for r in module._bucket_pairs(df, 80, 100).collect()}
     assert got == allowed(rows, 80, 100)
 
@@ -152,7 +156,7 @@ def test_a_bucket_of_many_unlike_members_lists_no_pairs(spark):
     from ioclake.llm import near_dedup as module
     rows = made_members(5000, 50, np.random.default_rng(3))
     df = spark.createDataFrame([(1, *r, 5000) for r in rows],
-                               "key long, id long, family long, n long, bits array<long>, held long")
+                               "key long, id long, family long, n long, bits array<long>, regs binary, held long")
     out = module._bucket_pairs(df, 80, 100)
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" in plan and "family" not in plan.split("MapInArrow")[0]
