@@ -154,3 +154,12 @@ def test_many_matches_in_one_sentence_are_walked_once(spark):
 def test_no_terms_give_no_mentions(spark):
     assert mentions_of(spark, ["a b c"], []) == []
     assert mentions_of(spark, ["a b c", "", "..."], [("***", "X"), ("", "Y")]) == []
+
+
+def test_any_way_to_join_the_gazetteer_gives_the_same(spark, monkeypatch):
+    args = (["of the - of, the (of the) x of the -", "- - of the", "", "- .", "of THE"], [("of the", "X"), ("the", "Y"), ("x", "X")])
+    want = mentions_of(spark, *args)
+    assert want == [(0, 0, 0, 2, "of the", "X"), (0, 0, 3, 1, "the", "Y"), (0, 0, 4, 2, "of the", "X"), (0, 0, 6, 1, "x", "X"),
+                    (0, 0, 7, 2, "of the", "X"), (1, 0, 0, 2, "of the", "X"), (4, 0, 0, 2, "of THE", "X")]
+    monkeypatch.setattr(mn, "SMALL_GAZETTEER", 2)
+    assert mentions_of(spark, *args) == want
