@@ -52,6 +52,9 @@ WARM_DOCS = 200
 LANES, STEPS, WINDOW, RATE, CLIP = (32, 128), 256, 32, 0.006, 5.0
 SCORE_LANES, SCORE_WINDOW, POOL = 256, 32, 1_500_000
 FLUSH = 500_000
+#: distance of a bound from the largest logit up to which exp keeps its digits; optimiser's block
+SAFE, BLOCK, ONE = 80, 65_536, np.float32(1)
+R, Z, N = (slice(k * HIDDEN, (k + 1) * HIDDEN) for k in range(3))
 SEED = 3
 
 
@@ -72,174 +75,308 @@ def initial(counts: np.ndarray, rest: float) -> dict:
     return {k: v.astype(np.float32) for k, v in net.items()}
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (np.tanh(0.5 * x) + 1)
+def _gates(x: np.ndarray, u: np.ndarray, g: np.ndarray) -> np.ndarray:
+    """One matrix from (state, embedding, 1) to the sums of the gates: of the
+    candidate by embedding, z, r, of the candidate by state."""
+    out = np.zeros((4, HIDDEN, 2 * HIDDEN + 1), np.float32)
+    for k, at in enumerate((N, Z, R)):
+        out[k, :, HIDDEN:-1], out[k, :, -1] = x[:, at].T, g[at]
+    for k, at in enumerate((Z, R, N), 1):
+        out[k, :, :HIDDEN] = u[:, at].T
+    return out.reshape(4 * HIDDEN, -1)
 
 
-def _cell(g: np.ndarray, h: np.ndarray, u: np.ndarray):
-    a = h @ u
-    rz = _sigmoid(g[:, :2 * HIDDEN] + a[:, :2 * HIDDEN])
-    r, z = rz[:, :HIDDEN], rz[:, HIDDEN:]
-    n = np.tanh(g[:, 2 * HIDDEN:] + r * a[:, 2 * HIDDEN:])
-    return n + z * (h - n), r, z, n, a
+def _inputs(h: np.ndarray, e: np.ndarray, tok: np.ndarray) -> np.ndarray:
+    """(steps + 1, (state, embedding, 1), lanes) with the state before the first step."""
+    high, n = tok.shape
+    out = np.empty((high + 1, 2 * HIDDEN + 1, n), np.float32)
+    out[0, :HIDDEN], out[:, -1] = h[:, :n], 1
+    out[:-1, HIDDEN:-1] = e.take(tok.ravel(), 0).reshape(high, n, HIDDEN).transpose(0, 2, 1)
+    return out
+
+
+def _steps(weights: np.ndarray, inputs: np.ndarray, fresh: list, gates: np.ndarray, change: np.ndarray) -> None:
+    """Runs the cell over the steps of a window, in arrays of (steps, features,
+    lanes); the states in ``inputs`` are filled in.  ``fresh``: per step the lanes
+    that open a document, or None.  Left for the way back: in ``gates`` the
+    candidate, z, r and the candidate's sum by state, in ``change`` the state
+    before less the candidate."""
+    low = slice(HIDDEN, 3 * HIDDEN)
+    weights = weights.copy()
+    weights[low] *= -1
+    for now, h, new, opens, a, n, zr, z, r, by, d in zip(  # noqa: B905
+            inputs, inputs[:, :HIDDEN], inputs[1:, :HIDDEN], fresh, gates, gates[:, :HIDDEN], gates[:, low],
+            gates[:, HIDDEN:2 * HIDDEN], gates[:, 2 * HIDDEN:3 * HIDDEN], gates[:, 3 * HIDDEN:], change):
+        if opens is not None:
+            h[:, opens] = 0
+        np.matmul(weights, now, a)
+        np.exp(zr, zr)
+        np.add(zr, ONE, zr)
+        np.reciprocal(zr, zr)
+        np.multiply(r, by, d)
+        np.add(n, d, n)
+        np.tanh(n, n)
+        np.subtract(h, n, d)
+        np.multiply(z, d, new)
+        np.add(new, n, new)
 
 
-def _by_class(ids: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """(class, positions) of the neural tokens among ``ids``."""
-    cls = ids // CLASS_SIZE
+def _cell(g: np.ndarray, h: np.ndarray, u: np.ndarray):
+    """One step of rows of lanes, ``g`` what their tokens bring: (new state,)."""
+    weights = _gates(np.zeros_like(u), u, np.zeros_like(u[0]))
+    out = []
+    with np.errstate(over="ignore"):
+        for brings, state in zip(g, h, strict=True):
+            weights[:3 * HIDDEN, -1] = np.concatenate([brings[N], brings[Z], brings[R]])
+            inputs = np.ones((2, 2 * HIDDEN + 1, 1), np.float32)
+            inputs[0, :HIDDEN, 0] = state
+            _steps(weights, inputs, [None], np.empty((1, 4 * HIDDEN, 1), np.float32), np.empty((1, HIDDEN, 1), np.float32))
+            out.append(inputs[1, :HIDDEN, 0])
+    return (np.array(out),)
+
+
+def _sorted(ids: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """(order, [(class, first, end)]) of the neural tokens among ``ids``."""
+    cls = (ids // CLASS_SIZE).astype(np.uint8)
     order = np.argsort(cls, kind="stable")
-    bound = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        if bound[c] < bound[c + 1]:
-            yield c, order[bound[c]:bound[c + 1]]
+    bound = np.searchsorted(cls[order], np.arange(CLASSES + 1)).tolist()
+    return order[:bound[CLASSES]], [(c, x, y) for c, (x, y) in enumerate(zip(bound, bound[1:], strict=False)) if x < y]
+
+
+def _level(weights: np.ndarray) -> tuple[np.ndarray, bool]:
+    """``weights`` (state and, last, bias; outputs) with a bias less by a bound of
+    the logits; whether no softmax can vanish by that.  States are within -1 and
+    1, so sums of absolute weights bound the logits."""
+    bias = weights[..., -1, :]
+    reach = np.ones(HIDDEN, np.float32) @ np.abs(weights[..., :-1, :])
+    high, low = (bias + reach).max(-1, keepdims=True), (bias - reach).max(-1, keepdims=True)
+    out = weights.copy()
+    out[..., -1, :] -= high
+    return out, bool((high - low).max() < SAFE)
+
+
+def _exp(x: np.ndarray, safe: bool) -> np.ndarray:
+    """exp in place, of rows less their largest where that is needed."""
+    if not safe:
+        x -= x.max(1, keepdims=True)
+    return np.exp(x, x)
+
+
+def _within(w: np.ndarray, state: np.ndarray, spans: list[tuple[int, int, int]]) -> np.ndarray:
+    """Logits within the class of each row of ``state``, rows in order of class."""
+    x = np.empty((len(state), CLASS_SIZE), np.float32)
+    for c, i, j in spans:
+        np.matmul(state[i:j], w[c], x[i:j])
+    return x
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+def _outputs(net: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of the softmax over classes and of those within: (state and
+    bias, classes) and (class, state and bias, words)."""
+    return (np.concatenate([net["c"], net["cb"][None]]),
+            np.concatenate([net["w"].transpose(0, 2, 1), net["wb"][:, None]], 1))
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(1, keepdims=True)
-    np.exp(x, out=x)
-    x /= x.sum(1, keepdims=True)
-    return x
+def _log_picked(x: np.ndarray, at: np.ndarray, safe: bool) -> np.ndarray:
+    """ln of the softmax of each row at its place ``at``."""
+    if not safe:
+        x -= x.max(1, keepdims=True)
+    here = x[np.arange(len(x)), at].astype(np.float64)
+    np.exp(x, x)
+    return here - np.log(x @ np.ones(x.shape[1], np.float32))
 
 
-def _summed(rows: np.ndarray, at: np.ndarray, many: int) -> np.ndarray:
-    """Sums of the rows that share a place ``at`` among ``many``."""
-    order = np.argsort(at, kind="stable")
-    first = np.flatnonzero(np.diff(at[order], prepend=-1))
-    out = np.zeros((many, rows.shape[1]), rows.dtype)
-    out[at[order[first]]] = np.add.reduceat(rows[order], first)
+def _log_probs(outputs: tuple, state: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    (c, safe_c), (w, safe_w) = outputs
+    out = _log_picked(state @ c, ids // CLASS_SIZE, safe_c)
+    order, spans = _sorted(ids)
+    out[order] += _log_picked(_within(w, state[order], spans), ids[order] % CLASS_SIZE, safe_w)
     return out
 
 
+def _levels(net: dict) -> tuple:
+    c, w = _outputs(net)
+    return _level(c), _level(w)
+
+
 def log_probs(net: dict, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """ln P of each token (of the class alone for tokens of the last class)."""
-    out = _log_softmax(h @ net["c"] + net["cb"])[np.arange(len(ids)), ids // CLASS_SIZE].astype(np.float64)
-    for c, at in _by_class(ids):
-        within = _log_softmax(h[at] @ net["w"][c].T + net["wb"][c])
-        out[at] += within[np.arange(len(at)), ids[at] % CLASS_SIZE]
-    return out
+    return _log_probs(_levels(net), np.hstack([h, np.ones((len(h), 1), np.float32)]), ids)
 
 
-def lanes(docs: list[np.ndarray], many: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+def lanes(docs: list[np.ndarray], many: int) -> list[list[int]]:
     """Documents laid end to end in up to ``many`` lanes of about equal
-    length, longest lane first: per lane the tokens and their documents."""
+    length, longest lane first: per lane the places of its documents."""
+    size = [len(d) for d in docs]
     heap = [(0, i) for i in range(min(many, len(docs)))]
     held: list[list[int]] = [[] for _ in heap]
-    for d in sorted(range(len(docs)), key=lambda d: (-len(docs[d]), d)):
-        size, i = heapq.heappop(heap)
+    for d in sorted(range(len(docs)), key=lambda d: (-size[d], d)):
+        n, i = heapq.heappop(heap)
         held[i].append(d)
-        heapq.heappush(heap, (size + len(docs[d]), i))
-    held.sort(key=lambda ds: -sum(len(docs[d]) for d in ds))
-    return ([np.concatenate([docs[d] for d in ds]) for ds in held],
-            [np.repeat(ds, [len(docs[d]) for d in ds]) for ds in held])
+        heapq.heappush(heap, (n + size[d], i))
+    return sorted(held, key=lambda ds: -sum(size[d] for d in ds))
 
 
 def windows(docs: list[np.ndarray], many: int, steps: int):
-    """Per window: tokens and documents (steps, lanes; -1 where a lane is
-    over) and whether a token opens its document."""
-    toks, owner = lanes(docs, many)
-    size = [len(t) for t in toks]
-    for at in range(0, size[0] if size else 0, steps):
-        n = sum(s > at for s in size)
-        high = min(steps, size[0] - at)
-        tok, own = np.full((2, high, n), -1)
-        fresh = np.zeros((high, n), bool)
-        for i in range(n):
-            part, who = toks[i][at:at + steps], owner[i][at:at + steps]
-            tok[:len(part), i], own[:len(part), i] = part, who
-            fresh[0, i] = at == 0 or owner[i][at - 1] != who[0]
-            fresh[1:len(part), i] = who[1:] != who[:-1]
-        yield tok, own, fresh
+    """Per window: tokens and documents (steps, lanes; NEURAL and -1 where a lane
+    is over) and per step the lanes that open a document, or None."""
+    held = lanes(docs, many)
+    inorder = [d for ds in held for d in ds]
+    size = np.array([len(docs[d]) for d in inorder], np.int64)
+    # the end stands for all places where a lane is over
+    toks = np.concatenate([*(docs[d] for d in inorder), [NEURAL]]).astype(np.int16)
+    owner = np.append(np.repeat(np.array(inorder, np.int32), size), np.int32(-1))
+    opens = np.zeros(len(toks), bool)
+    opens[np.cumsum(size) - size] = True
+    length = np.array([sum(len(docs[d]) for d in ds) for ds in held], np.int64)
+    first = np.cumsum(length) - length
+    for at in range(0, int(length[0]) if len(length) else 0, steps):
+        n = int((length > at).sum())
+        step = at + np.arange(min(steps, int(length[0]) - at))[:, None]
+        place = np.where(step < length[:n], first[:n] + step, len(toks) - 1)
+        fresh = opens[place]
+        yield toks[place], owner[place], [x.nonzero()[0] if y else None for x, y in zip(fresh, fresh.any(1), strict=True)]
+
+
+def _rows(states: np.ndarray) -> np.ndarray:
+    """(steps, features, lanes) as rows of one per step and lane, with a one for the bias."""
+    high, size, n = states.shape
+    out = np.ones((high, n, size + 1), np.float32)
+    out[:, :, :size] = states.transpose(0, 2, 1)
+    return out.reshape(high * n, size + 1)
 
 
 def score_documents(net: dict, docs: list[np.ndarray], many: int = SCORE_LANES) -> np.ndarray:
     """ln P of every document's neural tokens and classes."""
     out = np.zeros(len(docs))
-    table = net["e"] @ net["x"] + net["g"]
-    h = np.zeros((min(many, len(docs)), HIDDEN), np.float32)
-    for tok, own, fresh in windows(docs, many, SCORE_WINDOW):
-        n = tok.shape[1]
-        h = h[:n]
-        before = np.empty((len(tok), n, HIDDEN), np.float32)
-        for t in range(len(tok)):
-            if fresh[t].any():
-                h = np.where(fresh[t][:, None], np.float32(0), h)
-            before[t] = h
-            h = _cell(table[tok[t]], h, net["u"])[0]
-        real = own >= 0
-        lp = log_probs(net, before[real], tok[real])
-        out += np.bincount(own[real], lp, len(docs))
+    weights, outputs = _gates(net["x"], net["u"], net["g"]), _levels(net)
+    h = np.zeros((HIDDEN, min(many, len(docs))), np.float32)
+    with np.errstate(over="ignore"):
+        for tok, own, fresh in windows(docs, many, SCORE_WINDOW):
+            inputs = _inputs(h, net["e"], tok)
+            n = tok.shape[1]
+            gates, change = np.empty((len(tok), 4 * HIDDEN, n), np.float32), np.empty((len(tok), HIDDEN, n), np.float32)
+            _steps(weights, inputs, fresh, gates, change)
+            h = inputs[-1, :HIDDEN]
+            real = np.flatnonzero(own.ravel() >= 0)
+            state, ids, own = _rows(inputs[:-1, :HIDDEN]), tok.ravel(), own.ravel()
+            if len(real) < len(ids):
+                state, ids, own = state[real], ids[real], own[real]
+            out += np.bincount(own, _log_probs(outputs, state, ids), len(docs))
     return out
 
 
+def _views(flat: np.ndarray, like: dict) -> dict:
+    """Arrays in the shapes of ``like``, one after the other in ``flat``."""
+    ends = np.cumsum([v.size for v in like.values()])
+    return {k: flat[e - v.size:e].reshape(v.shape) for (k, v), e in zip(like.items(), ends, strict=True)}
+
+
+def _adam(at: np.ndarray, g: np.ndarray, m1: np.ndarray, m2: np.ndarray, step: int) -> None:
+    """One step of the optimiser (decays 0.9 and 0.99) in place; the moments are
+    kept as sums, not means, and ``g`` is used up."""
+    size = float(np.sqrt(np.dot(g, g)))
+    if size > CLIP:
+        g *= np.float32(CLIP / size)
+    root = np.sqrt(0.01 / (1 - 0.99**step))
+    rate, least = np.float32(RATE * 0.1 / (1 - 0.9**step) / root), np.float32(1e-6 / root)
+    held = np.empty(min(len(g), BLOCK), np.float32)
+    for i in range(0, len(g), BLOCK):
+        x, y, z, p = g[i:i + BLOCK], m1[i:i + BLOCK], m2[i:i + BLOCK], at[i:i + BLOCK]
+        t = held[:len(x)]
+        y *= np.float32(0.9)
+        y += x
+        x *= x
+        z *= np.float32(0.99)
+        z += x
+        np.sqrt(z, t)
+        t += least
+        np.divide(y, t, t)
+        t *= rate
+        p -= t
+
+
 def train(net: dict, docs: list[np.ndarray]) -> tuple[dict, int]:
     """Truncated backpropagation over the documents, once; (weights, tokens)."""
-    net = {k: v.copy() for k, v in net.items()}
-    m1 = {k: np.zeros_like(v) for k, v in net.items()}
-    m2 = {k: np.zeros_like(v) for k, v in net.items()}
+    c, w = _outputs(net)
+    mine = {"e": net["e"], "x": net["x"], "u": net["u"], "g": net["g"], "c": c, "w": w}
+    flat = np.concatenate([v.ravel() for v in mine.values()])
+    m1, m2, slope = np.zeros((3, len(flat)), np.float32)
+    mine, grad = _views(flat, mine), _views(slope, mine)
     many = int(np.clip(sum(map(len, docs)) // (WINDOW * STEPS), *LANES))
-    h = np.zeros((min(many, len(docs)), HIDDEN), np.float32)
+    h = np.zeros((HIDDEN, min(many, len(docs))), np.float32)
+    places = np.arange(HIDDEN)
     step = seen = 0
-    for tok, own, fresh in windows(docs, many, WINDOW):
-        high, n = tok.shape
-        h = h[:n]
-        emb = net["e"][tok.ravel()]
-        put = (emb @ net["x"] + net["g"]).reshape(high, n, 3 * HIDDEN)
-        keep = ~fresh[:, :, None]
-        trace = []
-        for t in range(high):
-            h = h * keep[t]
-            new, r, z, c, a = _cell(put[t], h, net["u"])
-            trace.append((h, r, z, c, a[:, 2 * HIDDEN:]))
-            h = new
-        real = own >= 0
-        before = np.stack([x[0] for x in trace])
-        state, ids = before[real], tok[real]
-        grad = {k: np.zeros_like(net[k]) for k in ("w", "wb")}
-        d = _softmax(state @ net["c"] + net["cb"])
-        d[np.arange(len(ids)), ids // CLASS_SIZE] -= 1
-        scale = np.float32(1 / len(ids))
-        d *= scale
-        grad["c"], grad["cb"] = state.T @ d, d.sum(0)
-        back = d @ net["c"].T
-        for k, at in _by_class(ids):
-            some = state[at]
-            d = _softmax(some @ net["w"][k].T + net["wb"][k])
-            d[np.arange(len(at)), ids[at] % CLASS_SIZE] -= 1
-            d *= scale
-            grad["w"][k], grad["wb"][k] = d.T @ some, d.sum(0)
-            back[at] += d @ net["w"][k]
-        direct = np.zeros((high, n, HIDDEN), np.float32)
-        direct[real] = back
-        das, dgs = np.empty((2, high, n, 3 * HIDDEN), np.float32)
-        dh, ut = np.zeros((n, HIDDEN), np.float32), np.ascontiguousarray(net["u"].T)
-        for t in reversed(range(high)):
-            old, r, z, c, a = trace[t]
-            dn = dh * (1 - z) * (1 - c * c)
-            da = das[t]
-            da[:, :HIDDEN] = dn * a * r * (1 - r)
-            da[:, HIDDEN:2 * HIDDEN] = dh * (old - c) * z * (1 - z)
-            da[:, 2 * HIDDEN:] = dn * r
-            dgs[t, :, :2 * HIDDEN], dgs[t, :, 2 * HIDDEN:] = da[:, :2 * HIDDEN], dn
-            dh = (dh * z + da @ ut + direct[t]) * keep[t]
-        das, dgs = das.reshape(-1, 3 * HIDDEN), dgs.reshape(-1, 3 * HIDDEN)
-        grad["u"] = before.reshape(-1, HIDDEN).T @ das
-        grad["x"], grad["g"] = emb.T @ dgs, dgs.sum(0)
-        grad["e"] = _summed(dgs @ net["x"].T, tok.ravel() % len(net["e"]), len(net["e"]))
-        size = np.sqrt(sum(float((g**2).sum()) for g in grad.values()))
-        step += 1
-        for k, g in grad.items():
-            g *= np.float32(min(1, CLIP / max(size, 1e-9)))
-            m1[k] += np.float32(0.1) * (g - m1[k])
-            m2[k] += np.float32(0.01) * (g * g - m2[k])
-            net[k] -= np.float32(RATE) * (m1[k] / np.float32(1 - 0.9**step)) / (
-                np.sqrt(m2[k] / np.float32(1 - 0.99**step)) + np.float32(1e-6))
-        seen += len(ids)
-    return net, seen
+    with np.errstate(over="ignore"):
+        for tok, own, fresh in windows(docs, many, WINDOW):
+            high, wide = tok.shape
+            ids, step = tok.ravel(), step + 1
+            real = own.ravel() >= 0
+            many_real = int(real.sum())
+            weights, inputs = _gates(mine["x"], mine["u"], mine["g"]), _inputs(h, mine["e"], tok)
+            gates = np.empty((high, 4 * HIDDEN, wide), np.float32)
+            change = np.empty((high, HIDDEN, wide), np.float32)
+            _steps(weights, inputs, fresh, gates, change)
+            h = inputs[-1, :HIDDEN]
+
+            slope.fill(0)
+            state, scale = _rows(inputs[:-1, :HIDDEN]), np.float32(1 / many_real)
+            (cc, safe_c), (ww, safe_w) = _level(mine["c"]), _level(mine["w"])
+            d = _exp(state @ cc, safe_c)
+            d *= (real * scale / (d @ np.ones(d.shape[1], np.float32)))[:, None].astype(np.float32)
+            d[np.arange(len(ids)), ids // CLASS_SIZE] -= real * scale
+            np.matmul(state.T, d, grad["c"])
+            back = d @ mine["c"][:-1].T
+            order, spans = _sorted(ids)
+            some = state[order]
+            d = _exp(_within(ww, some, spans), safe_w)
+            d *= (scale / (d @ np.ones(CLASS_SIZE, np.float32)))[:, None]
+            d[np.arange(len(order)), ids[order] % CLASS_SIZE] -= scale
+            more = np.empty((len(order), HIDDEN), np.float32)
+            for k, i, j in spans:
+                np.matmul(some[i:j].T, d[i:j], grad["w"][k])
+                np.matmul(d[i:j], mine["w"][k, :-1].T, more[i:j])
+            back[order] += more
+            direct = np.ascontiguousarray(back.reshape(high, wide, HIDDEN).transpose(0, 2, 1))
+
+            # slopes of a step by the rows of ``weights``; their factors but for those of the state and the candidate
+            by = np.empty((high, 4, HIDDEN, wide), np.float32)
+            factor = np.empty_like(by)
+            gn, gz, gr, gs = gates.reshape(by.shape).swapaxes(0, 1)
+            keep = ONE - gz
+            np.multiply(gn, gn, factor[:, 0])
+            np.subtract(ONE, factor[:, 0], factor[:, 0])
+            factor[:, 0] *= keep
+            np.multiply(change, gz, factor[:, 1])
+            factor[:, 1] *= keep
+            np.subtract(ONE, gr, factor[:, 2])
+            factor[:, 2] *= gr
+            factor[:, 2] *= gs
+            factor[:, 3] = gr
+            flow, u = by.reshape(gates.shape), np.ascontiguousarray(weights[HIDDEN:, :HIDDEN].T)
+            dh, dm = np.zeros((2, HIDDEN, wide), np.float32)
+            for s, a, rest, f, last, down, z, more, opens in reversed(list(zip(
+                    by[:, :2], by[:, 0], by[:, 2:], factor[:, :2], factor[:, 2:], flow[:, HIDDEN:], gz, direct, fresh,
+                    strict=True))):
+                np.multiply(dh, f, s)
+                np.multiply(a, last, rest)
+                np.matmul(u, down, dm)
+                np.multiply(dh, z, dh)
+                np.add(dh, dm, dh)
+                np.add(dh, more, dh)
+                if opens is not None:
+                    dh[:, opens] = 0
+            dw = np.matmul(flow, inputs[:-1].transpose(0, 2, 1)).sum(0).reshape(4, HIDDEN, -1)
+            for k, at in enumerate((N, Z, R)):
+                grad["x"][:, at], grad["g"][at] = dw[k, :, HIDDEN:-1].T, dw[k, :, -1]
+            for k, at in enumerate((Z, R, N), 1):
+                grad["u"][:, at] = dw[k, :, :HIDDEN].T
+            np.add.at(grad["e"].reshape(-1), (ids[:, None].astype(np.intp) * HIDDEN + places).ravel(), np.matmul(
+                flow[:, :3 * HIDDEN].transpose(0, 2, 1), weights[:3 * HIDDEN, HIDDEN:-1]).ravel())
+            _adam(flat, slope, m1, m2, step)
+            seen += many_real
+    return {"e": mine["e"], "x": mine["x"], "u": mine["u"], "g": mine["g"], "c": mine["c"][:-1], "cb": mine["c"][-1],
+            "w": mine["w"][:, :-1].transpose(0, 2, 1), "wb": mine["w"][:, -1]}, seen
 
 
 # ----------------------------------------------------------------- vocabulary
@@ -298,22 +435,33 @@ def _documents(w: Words, place: np.ndarray, head: Head) -> list[np.ndarray]:
 
 # --------------------------------------------------------------- task bodies
 
+def _distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, places in it where another value begins) of the hashes in order."""
+    order = np.argsort(h)
+    inorder = h[order]
+    new = np.ones(len(h), bool)
+    np.not_equal(inorder[1:], inorder[:-1], new[1:])
+    return order, np.flatnonzero(new)
+
+
 def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Partial counts (word, n), merged over about FLUSH distinct words."""
     held, distinct, texts = [], 0, 0
 
     def merged() -> pa.RecordBatch:
-        h = np.concatenate([x[0] for x in held])
-        _, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-        n = np.bincount(inverse, np.concatenate([x[1] for x in held])).astype(np.int64)
-        strings = pa.concat_arrays([x[2] for x in held]).take(pa.array(first))
-        return pa.RecordBatch.from_arrays([strings, pa.array(n)], names=["word", "n"])
+        order, new = _distinct(np.concatenate([x[0] for x in held]))
+        n = np.concatenate([x[1] for x in held])[order]
+        strings = pa.concat_arrays([x[2] for x in held]).take(pa.array(order[new]))
+        return pa.RecordBatch.from_arrays([strings, pa.array(np.add.reduceat(n, new))], names=["word", "n"])
 
     for b in batches:
         texts += b.num_rows
         for w in words(b.column(0)):
-            _, first, n = np.unique(w.hash, return_index=True, return_counts=True)
-            held.append((w.hash[first], n, w.strings(first)))
+            if not len(w.hash):
+                continue
+            order, new = _distinct(w.hash)
+            first = order[new]
+            held.append((w.hash[first], np.diff(new, append=len(order)), w.strings(first)))
             distinct += len(first)
             if distinct >= FLUSH:
                 yield merged()
@@ -464,27 +612,27 @@ def score(docs: DataFrame, id_col: str, text_col: str, fold: Column) -> DataFram
         _scoring(sc.broadcast((table, end_count, net))),
         f"id {kind}, h long, held_out boolean, n_tokens long, n_rest long, n_known long, base double, score double, "
         "tail array<binary>, times array<int>")
-    facts = F.struct("held_out", "n_tokens", "n_rest", "n_known", "base", "score")
+    facts = {"held_out": "boolean", "n_tokens": "bigint", "n_rest": "bigint", "n_known": "bigint", "base": "double",
+             "score": "double"}
     # one entry per word beyond the head, and one that stands for the row; it joins nothing
     own = F.struct(F.concat(F.lit(END), F.col("h").cast("string").cast("binary")).alias("word"),
-                   F.lit(0).alias("times"), facts.alias("facts"))
+                   F.lit(0).alias("times"), *facts)
     tail = F.transform(F.arrays_zip("tail", "times"), lambda x: F.struct(
-        x.tail.alias("word"), x.times.alias("times"), F.lit(None).cast(
-            "struct<held_out:boolean,n_tokens:bigint,n_rest:bigint,n_known:bigint,base:double,score:double>")
-        .alias("facts")))
+        x.tail.alias("word"), x.times.alias("times"), *[F.lit(None).cast(t).alias(k) for k, t in facts.items()]))
     flat = rows.select("id", "h", F.inline(F.concat(F.array(own), tail)))
     known = flat.join(counts, "word", "left")
+    # copies of a row have the same facts; a struct of them would have to be sorted for
     per = known.groupBy("id", "h").agg(
-        F.count("facts").alias("copies"), F.first("facts", ignorenulls=True).alias("f"),
+        F.count("n_tokens").alias("copies"), *[F.max(k).alias(k) for k in facts],
         F.sum(F.when(F.col("c").isNotNull(), F.col("times")).otherwise(0)).alias("known"),
         F.sum(F.col("times") * F.log10(F.coalesce("c", F.lit(0)) + ALPHA)).alias("log"))
     log = F.col("log") / F.col("copies")
     return per.select(
-        F.col("id").alias(id_col), F.col("f.held_out").alias("held_out"), F.col("f.n_tokens").alias("n_tokens"),
-        (F.col("f.n_known") + (F.col("known") / F.col("copies")).cast("long")).alias("n_known"),
+        F.col("id").alias(id_col), "held_out", "n_tokens",
+        (F.col("n_known") + (F.col("known") / F.col("copies")).cast("long")).alias("n_known"),
         F.lit(all_n).cast("long").alias("train_tokens"),
-        (F.col("f.base") + log - F.col("f.n_tokens") * base_norm).alias("base_score"),
-        (F.col("f.score") + log - F.col("f.n_rest") * rest_norm).alias("score"),
+        (F.col("base") + log - F.col("n_tokens") * base_norm).alias("base_score"),
+        (F.col("score") + log - F.col("n_rest") * rest_norm).alias("score"),
         F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).drop("copy")
 
 

@@ -126,3 +126,42 @@ def test_tokens_learned_from_are_all_tokens(spark):
     net = M.initial(np.array([300, *(c for _, c in table)], float), 0.0)
     assert M.fitted(df.repartition(3), (table, 300, net))[1] == sum(i % 7 + 1 for i in range(300))
     assert M.fitted(df.limit(0), (table, 300, net)) == (net, 0)
+
+
+def test_rows_meet_their_rare_words_without_a_sort_for_the_group(spark):
+    df = spark.createDataFrame([(1, "a b"), (2, "a b"), (2, "a b"), (None, "c")], "doc_id long, text string")
+    got = M.score(df, "doc_id", "text", F.lit(1))
+    assert "SortAggregate" not in got._jdf.queryExecution().toString()
+    assert sorted((r.doc_id or 0, r.n_tokens) for r in got.collect()) == [(0, 2), (1, 3), (2, 3), (2, 3)]
+
+
+@pytest.mark.parametrize("wide", [1, 60])
+def test_log_probs_equal_plain_softmax_for_small_and_large_weights(wide):
+    rng = np.random.default_rng(6)
+    net = {k: (v + rng.normal(0, .1, v.shape) * wide).astype(np.float32)
+           for k, v in M.initial(np.arange(1, 5000)[:M.NEURAL].astype(float), 100.0).items()}
+    assert M._levels(net)[0][1] == (wide == 1)
+    h, ids = np.tanh(rng.normal(size=(50, M.HIDDEN))).astype(np.float32), rng.integers(0, M.NEURAL + 1, 50)
+    soft = lambda x: x - x.max() - np.log(np.exp(x - x.max()).sum())
+    for s, i, got in zip(h.astype(float), ids, M.log_probs(net, h, ids), strict=True):
+        c, k = divmod(int(i), M.CLASS_SIZE)
+        want = soft(s @ net["c"].astype(float) + net["cb"])[c]
+        if c < M.CLASSES:
+            want += soft(net["w"][c].astype(float) @ s + net["wb"][c])[k]
+        assert got == pytest.approx(want, rel=1e-4, abs=1e-4)
+
+
+def test_slopes_of_a_window_equal_differences(monkeypatch):
+    rng = np.random.default_rng(7)
+    net = {k: (v + rng.normal(0, .3, v.shape)).astype(np.float32) for k, v in M.initial(np.ones(50), 10.0).items()}
+    docs = [rng.integers(0, 60, n).astype(np.int16) for n in (9, 31, 14, 2)] + [np.full(5, M.NEURAL, np.int16)]
+    seen = {}
+    monkeypatch.setattr(M, "_adam", lambda at, g, *_: seen.setdefault("g", g.copy()))
+    M.train(net, docs)
+    like = {k: net[k] for k in ("e", "x", "u", "g")}
+    grad = M._views(seen["g"][:sum(v.size for v in like.values())], like)
+    total = sum(map(len, docs))
+    for k, v in like.items():
+        way = rng.normal(size=v.shape).astype(np.float32)
+        up, down = (M.score_documents(net | {k: v + np.float32(e) * way}, docs).sum() for e in (2e-3, -2e-3))
+        assert (way * grad[k]).sum() == pytest.approx((down - up) / 4e-3 / total, rel=0.02, abs=2e-4)
