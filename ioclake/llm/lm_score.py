@@ -255,8 +255,10 @@ def score_documents(net: dict, docs: list[np.ndarray], many: int = SCORE_LANES)
         for tok, own, fresh in windows(docs, many, SCORE_WINDOW):
             inputs = _inputs(h, net["e"], tok)
             n = tok.shape[1]
-            gates, change = np.empty((len(tok), 4 * HIDDEN, n), np.float32), np.empty((len(tok), HIDDEN, n), np.float32)
-            _steps(weights, inputs, fresh, gates, change)
+            # nothing goes back: all steps have the same place for their gates
+            held = np.empty((5 * HIDDEN, n), np.float32)
+            same = np.lib.stride_tricks.as_strided(held, (len(tok), *held.shape), (0, *held.strides))
+            _steps(weights, inputs, fresh, same[:, :4 * HIDDEN], same[:, 4 * HIDDEN:])
             h = inputs[-1, :HIDDEN]
             real = np.flatnonzero(own.ravel() >= 0)
             state, ids, own = _rows(inputs[:-1, :HIDDEN]), tok.ravel(), own.ravel()
@@ -412,15 +414,19 @@ class HashTable:
         return out
 
 
+def hashed(table: list[tuple[bytes, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and counts of words, found once for all tasks."""
+    joined = pa.array([b" ".join(w for w, _ in table)], pa.binary())
+    return (next(words(joined, 1 << 62)).hash if table else np.empty(0, np.uint64),
+            np.array([c for _, c in table], np.float64))
+
+
 class Head:
     """The frequent words: their counts, and which of them are neural."""
 
-    def __init__(self, table: list[tuple[bytes, int]], end_count: int):
-        joined = pa.array([b" ".join(w for w, _ in table)], pa.binary())
-        parts = list(words(joined, 1 << 62))
-        self.table = HashTable(parts[0].hash if table else np.empty(0, np.uint64))
-        self.count = np.array([c for _, c in table], np.float64)
-        self.log = np.log10(self.count + ALPHA)
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray, end_count: int):
+        self.table = HashTable(hashes)
+        self.log = np.log10(counts + ALPHA)
         self.end_count, self.end_id = end_count, 0
 
     def ids(self, place: np.ndarray) -> np.ndarray:
@@ -474,8 +480,8 @@ def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _training(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, end_count, net = shared.value
-        head, docs, size = Head(table, end_count), [], 0
+        *head, net = shared.value
+        head, docs, size = Head(*head), [], 0
         total, weights = 0, None
 
         def learn(docs):
@@ -501,9 +507,9 @@ def _scoring(shared):
     names = ["id", "h", "held_out", "n_tokens", "n_rest", "n_known", "base", "score", "tail", "times"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, end_count, net = shared.value
-        head = Head(table, end_count)
-        end_log = np.log10(end_count + ALPHA)
+        *head, net = shared.value
+        head = Head(*head)
+        end_log = np.log10(head.end_count + ALPHA)
         held: list[tuple] = []
         docs: list[np.ndarray] = []
         size = 0
@@ -537,7 +543,7 @@ def _scoring(shared):
                 held.append(([b.column(i).slice(w.first, w.rows) for i in range(3)], {
                     "n_tokens": np.diff(w.bound).astype(np.int64) + 1,
                     "n_rest": count(rest).astype(np.int64),
-                    "n_known": count(place >= 0).astype(np.int64) + int(end_count > 0),
+                    "n_known": count(place >= 0).astype(np.int64) + int(head.end_count > 0),
                     "base": count(slice(None), log) + end_log,
                     "rest_log": count(rest, log[rest]),
                     "tail": pa.ListArray.from_arrays(pa.array(offs), w.strings(order[new])),
@@ -575,10 +581,11 @@ def frequent(counts: DataFrame, most: int) -> DataFrame:
 def fitted(learn: DataFrame, shared: tuple) -> tuple[dict, int]:
     """(weights, tokens learned from) after a pass over all texts of ``learn``;
     ``shared``: the frequent words, the number of ends and the weights so far."""
+    table, ends, net = shared
     parts = learn.select("text").mapInArrow(
-        _training(learn.sparkSession.sparkContext.broadcast(shared)), "net binary, n long")
+        _training(learn.sparkSession.sparkContext.broadcast((*hashed(table), ends, net))), "net binary, n long")
     added, n = parts.rdd.map(_weighted).treeAggregate((None, 0), _add, _add, 3)
-    return ({k: (v / n).astype(np.float32) for k, v in added.items()}, n) if n else (shared[2], 0)
+    return ({k: (v / n).astype(np.float32) for k, v in added.items()}, n) if n else (net, 0)
 
 
 def score(docs: DataFrame, id_col: str, text_col: str, fold: Column) -> DataFrame:
@@ -602,14 +609,14 @@ def score(docs: DataFrame, id_col: str, text_col: str, fold: Column) -> DataFram
     net = initial(np.array(neural, float), float(rest_n))
     sc = spark.sparkContext
     warm = learn.orderBy(F.xxhash64(F.lit("train"), "id", "text"), "h").limit(WARM_DOCS).select("text").coalesce(1) \
-        .mapInArrow(_training(sc.broadcast((table, end_count, net))), "net binary, n long").first()
+        .mapInArrow(_training(sc.broadcast((*hashed(table), end_count, net))), "net binary, n long").first()
     if warm:
         net = pickle.loads(warm.net)
     net = fitted(learn, (table, end_count, net))[0]
 
     kind = src.dtypes[0][1]
     rows = src.select("id", "h", F.coalesce(F.col("fold") == 0, F.lit(False)).alias("held_out"), "text").mapInArrow(
-        _scoring(sc.broadcast((table, end_count, net))),
+        _scoring(sc.broadcast((*hashed(table), end_count, net))),
         f"id {kind}, h long, held_out boolean, n_tokens long, n_rest long, n_known long, base double, score double, "
         "tail array<binary>, times array<int>")
     facts = {"held_out": "boolean", "n_tokens": "bigint", "n_rest": "bigint", "n_known": "bigint", "base": "double",
